@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import mixing, simhash, substring
 from .common import table
 
 
@@ -18,9 +18,15 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), share=1.0, most=3.0)
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
+    "op8_substring": op8_substring,
 }
 
 ORACLES = {
