@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, substring
+from . import langid, mixing, simhash, substring
 from .common import table
 
 
@@ -23,10 +23,17 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(langid.fold("doc_id", 3) == 1, F.lit(False))
+    return langid.language_id(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
     "op8_substring": op8_substring,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
