@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, simhash, substring
+from . import "license_scan", "token_counts", langid, mixing, simhash, substring
 from .common import table
 
 
@@ -29,14 +29,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.histogram(token_counts.token_lengths(table(spark, sf_dir, "documents")))
+
+
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
     "op8_substring": op8_substring,
+    "op9_license": op9_license,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
+    "op9_license": license_scan.oracle(),
     "op6_mix": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
