@@ -32,7 +32,7 @@ TEMPLATES = {
     "apache-2.0-notice": "licensed under the apache license {{version}} 2 0",
     "apache-2.0-terms": "you may not use this file except in compliance with the license {{you may obtain a copy of the license at <<12>> unless}}",
     "bsd-terms": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "cc-by-notice": "licensed under {{a}} {{the}} {{creative commons}} cc by {{<<1>> 0}} {{international}}",
+    "cc-by-notice": "licensed under {{a}} {{the}} {{creative commons}} cc by <<1>> 0 {{international}}",
     "cc-by-nc-notice": "licensed under {{a}} {{the}} cc by nc {{sa}} {{nd}} {{<<1>> 0}}",
     "gpl-notice": "licensed under the {{terms of the}} gnu general public license {{as published by the free software foundation}} {{either}} {{version <<1>>}}",
     "gpl-or-later": "gnu general public license {{as published by the free software foundation}} {{either}} version <<1>> {{of the license}} or at your option any later version",
@@ -177,7 +177,7 @@ def oracle() -> str:
     hits = []
     for phrase, label in PHRASES.items():
         parts = " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(phrase.split()))
-        hits.append(f"SELECT n, '{label}' AS label, unnest(list_filter(range(1, len(words) + 1), lambda i: {parts})) - 1 AS at FROM split")
+        hits.append(f"SELECT n, '{label}' AS label, unnest(list_filter(range(1, len(words) + 1), lambda i: {parts})) - 1 AS pos FROM split")
     own = "\n  UNION ALL ".join(f"SELECT n, '{label}' AS label FROM split WHERE regexp_matches(line, '{template_regex(markup)}')" for label, markup in sorted(TEMPLATES.items()))
     return rf"""
 WITH split AS (
@@ -186,7 +186,7 @@ WITH split AS (
                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents)),
 base AS ({" UNION ALL ".join(hits)}),
 own AS ({own}),
-based AS (SELECT n, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY n),
+based AS (SELECT n, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY n),
 named AS (SELECT n, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT n, label FROM base UNION ALL SELECT n, label FROM own) GROUP BY n)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,

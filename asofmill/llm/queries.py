@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import "license_scan", "token_counts", langid, mixing, simhash, substring
+from . import langid, license_scan, mixing, simhash, substring, token_counts
 from .common import table
 
 
