@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, simhash, substring, token_counts
+from . import langid, license_scan, mixing, quality, simhash, substring, token_counts
 from .common import table
 
 
@@ -37,10 +37,15 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
+    "op7_quality": op7_quality,
     "op8_substring": op8_substring,
     "op9_license": op9_license,
     "op10_language_id": op10_language_id,
