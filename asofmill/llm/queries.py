@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, quality, simhash, substring, token_counts
+from . import decontaminate, langid, license_scan, mixing, quality, simhash, substring, token_counts
 from .common import table
 
 
@@ -41,8 +41,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_a", "row_b")
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
     "op7_quality": op7_quality,
