@@ -23,7 +23,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, root: for every node of ``edges`` (u, v) the smallest node that it is linked to. Nodes without edges are left out.
+    """node, root: for every node of ``edges`` (u, v; of any ordered type) the smallest node that it is linked to. Nodes without edges are left out.
 
     Each round is written to the shared folder. A round costs two joins of the remaining links;
     a hub's links are counted by partial aggregation and its join can be split by Spark.
@@ -32,7 +32,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(most_rounds):
         edges = stage(_stars(_stars(edges, large=True), large=False), "stars")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v"))).first()
         if tuple(now) == mark:
             break
         mark = tuple(now)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, license_scan, mixing, quality, simhash, substring, token_counts
+from . import decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring, token_counts
 from .common import table
 
 
@@ -46,7 +46,13 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row_a", "row_b")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=1, least=16)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
@@ -58,6 +64,30 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_line_dedup": r"""
+WITH RECURSIVE split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, no, trim(parts[no + 1], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+  FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS no FROM split)),
+known AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 16)),
+halves AS (
+  SELECT id, line, n, n AS long, 1 AS side, left(line, n // 2) AS part FROM known
+  UNION ALL SELECT id, line, n, n, 2, right(line, n - n // 2) FROM known
+  UNION ALL SELECT id, line, n, n - 1, 1, left(line, (n - 1) // 2) FROM known
+  UNION ALL SELECT id, line, n, n - 1, 2, right(line, n - 1 - (n - 1) // 2) FROM known),
+links AS (
+  SELECT DISTINCT a.id AS u, b.id AS v FROM halves a JOIN halves b ON a.long = b.long AND a.side = b.side AND a.part = b.part AND a.id <> b.id
+  WHERE levenshtein(a.line, b.line) <= 1),
+reach AS (SELECT id, id AS other FROM known UNION SELECT r.id, l.v FROM reach r JOIN links l ON r.other = l.u),
+groups AS (SELECT id, min(other) AS root FROM reach GROUP BY id),
+placed AS (
+  SELECT l.doc_id, l.no, row_number() OVER (PARTITION BY g.root ORDER BY l.doc_id, l.no) AS nth
+  FROM lines l JOIN known k ON k.line = l.line JOIN groups g ON g.id = k.id),
+gone AS (SELECT doc_id, list(no) AS nos FROM placed WHERE nth > 1 GROUP BY doc_id)
+SELECT s.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(nos), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(parts, lambda x, i: NOT list_contains(coalesce(nos, []), i - 1)), chr(10))) AS kept_sha256
+FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
+""",
     "op9_license": license_scan.oracle(),
     "op6_mix": r"""
 WITH sized AS (
