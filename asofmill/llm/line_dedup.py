@@ -62,6 +62,11 @@ def shared_prefix(a: Column, b: Column, most: Column) -> Column:
     return F.aggregate(steps, F.lit(0), further)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used: Spark would repeat the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def within_edits(a: Column, b: Column, max_edits: int) -> Column:
     """Whether two strings are at most ``max_edits`` edits apart: bit-parallel over the band of diagonals.
 
@@ -96,10 +101,15 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
 
 def middles(a: Column, b: Column) -> Column:
     """What is left of a and b (fields a and b) when their common beginning and end are cut off."""
-    n, m = F.char_length(a), F.char_length(b)
-    head = shared_prefix(a, b, F.least(n, m))
-    tail = shared_prefix(F.reverse(a), F.reverse(b), F.least(n, m) - head)
-    return F.struct(F.substring(a, head + 1, n - head - tail).alias("a"), F.substring(b, head + 1, m - head - tail).alias("b"))
+
+    def cut(x: Column) -> Column:
+        left = F.least(F.char_length(a), F.char_length(b)) - x
+        return let(
+            shared_prefix(F.reverse(a), F.reverse(b), left),
+            lambda y: F.struct(F.substring(a, x + 1, F.char_length(a) - x - y).alias("a"), F.substring(b, x + 1, F.char_length(b) - x - y).alias("b")),
+        )
+
+    return let(shared_prefix(a, b, F.least(F.char_length(a), F.char_length(b))), cut)
 
 
 def lines_of(docs: DataFrame, least: int, *more: Column) -> DataFrame:
@@ -174,10 +184,14 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     a, b = few.filter("own").select("k", F.col("id").alias("u")), few.select("k", "own", F.col("id").alias("v"))
     pairs = a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v").distinct()
     held = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v")
-    middle = held.select("u", "v", middles(F.col("a"), F.col("b")).alias("m"))
-    if max_edits == 1:  # what is left differs at both ends, so more than one character is more than one edit
-        middle = middle.filter((F.char_length("m.a") <= 1) & (F.char_length("m.b") <= 1))
-    links = middle.filter(within_edits(F.col("m.a"), F.col("m.b"), max_edits)).select("u", "v")
+
+    def verified(m: Column) -> Column:
+        near = within_edits(m["a"], m["b"], max_edits)
+        if max_edits == 1:  # what is left differs at both ends, so more than one character is more than one edit
+            near = (F.char_length(m["a"]) <= 1) & (F.char_length(m["b"]) <= 1) & near
+        return near
+
+    links = held.filter(let(middles(F.col("a"), F.col("b")), verified)).select("u", "v")
     if max_edits == 1:
         many = shared.filter(F.col("c") > crowd).select("id").distinct()
         links = links.union(_crowd_links(texts.join(many, "id", "left_semi")))
