@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring, token_counts
+from . import ann, decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring, token_counts
 from .common import table
 
 
@@ -51,7 +51,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
