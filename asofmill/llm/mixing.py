@@ -71,21 +71,21 @@ def _boundary(words: DataFrame, keys: list[str], bucket: str) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.0, most: float = 3.0) -> DataFrame:
-    """How often each document is to be taken so that the sources' words come to the target weights.
+def _by_source(rows: DataFrame, other: DataFrame, sources: int, *more: str) -> DataFrame:
+    """rows joined with a row for each source (and, under it, the columns ``more``)."""
+    other = other.select(*[F.col(c).alias(f"__other_{c}" if c in ("source", *more) else c) for c in other.columns])
+    on = F.col("source").eqNullSafe(F.col("__other_source"))
+    for c in more:
+        on = on & (F.col(c) == F.col(f"__other_{c}"))
+    return rows.join(guarded(other, sources, 100_000), on).drop("__other_source", *[f"__other_{c}" for c in more])
 
-    Returns doc_id, size, source_size, target, copies (whole takes of the document) and taken
-    (= copies * size), one row per input row. A source with target t and size s takes every
-    document floor(t / s) times, and once more those whose hash lies under its threshold: the
-    longest run of hashes, in their order, whose words stay within the remainder.
 
-    Null and empty texts have size 0. Rows that agree in id (or, without id, in text) are taken
-    alike. A null source is a source of its own, last in order. Only doc_id, text and source are
-    read, so other columns may have any names. An empty table gives no rows.
+def thresholds(sized: DataFrame, weights: tuple[float, ...], share: float, most: float) -> tuple[DataFrame, int]:
+    """One row for each source, and how many there are: source, source_size, target, whole (times that each row is taken) and limit.
+
+    Rows whose hash is below ``limit`` are taken once more; with a null limit all are if
+    something is left over, else none (then limit is empty).
     """
-    sized = stage(
-        docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("hash")), "mix-sizes"
-    )
     plan = stage(
         targets(sized, weights, share, most)
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int"))
@@ -93,31 +93,48 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
         "mix-targets",
     )
     sources = plan.count()
-    low, mid = F.substring("hash", 1, BUCKET_DIGITS), F.substring("hash", BUCKET_DIGITS + 1, BUCKET_DIGITS)
-
-    def join(rows: DataFrame, other: DataFrame, *more: str) -> DataFrame:
-        other = other.withColumnRenamed("source", "other_source")
-        for c in more:
-            other = other.withColumnRenamed(c, f"other_{c}")
-        on = F.col("source").eqNullSafe(F.col("other_source"))
-        for c in more:
-            on = on & (F.col(c) == F.col(f"other_{c}"))
-        return rows.join(guarded(other, sources, 100_000), on).drop("other_source", *[f"other_{c}" for c in more])
-
-    rows = sized.withColumn("low", low).withColumn("mid", mid)
+    rows = sized.withColumn("low", F.substring("hash", 1, BUCKET_DIGITS)).withColumn("mid", F.substring("hash", BUCKET_DIGITS + 1, BUCKET_DIGITS))
     first = rows.groupBy("source", "low").agg(F.sum("size").alias("words"))
-    edge = _boundary(join(first, plan.select("source", "left")), ["source"], "low")
-    second = join(rows, edge, "low").groupBy("source", "low", "mid").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-    edge = _boundary(second, ["source", "low"], "mid")
-    edge = stage(edge, "mix-edge")
-    third = join(rows, edge, "low", "mid").groupBy("source", "hash").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+    edge = _boundary(_by_source(first, plan.select("source", "left"), sources), ["source"], "low")
+    second = _by_source(rows, edge, sources, "low").groupBy("source", "low", "mid").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+    edge = stage(_boundary(second, ["source", "low"], "mid"), "mix-edge")
+    third = _by_source(rows, edge, sources, "low", "mid").groupBy("source", "hash").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
     limit = _boundary(third, ["source"], "hash").select(F.col("source").alias("limit_source"), F.col("hash").alias("limit"))
-    plan = stage(plan.join(limit, F.col("source").eqNullSafe(F.col("limit_source")), "left").drop("limit_source"), "mix-plan")
-    copies = F.col("whole") + F.when(F.col("limit").isNull() | (F.col("hash") < F.col("limit")), 1).otherwise(0)
-    # a source without a limit has nothing left over, or no words at all
-    copies = F.when((F.col("left") <= 0) | (F.col("source_size") == 0), F.col("whole")).otherwise(copies)
-    return (
-        join(sized, plan)
-        .withColumn("copies", copies.cast("int"))
-        .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
-    )
+    plan = plan.join(limit, F.col("source").eqNullSafe(F.col("limit_source")), "left").drop("limit_source")
+    none = (F.col("left") <= 0) | (F.col("source_size") == 0)
+    return stage(plan.withColumn("limit", F.when(none, "").otherwise(F.col("limit"))).drop("left"), "mix-plan"), sources
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and hash of every row."""
+    return stage(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("hash")), "mix-sizes")
+
+
+def _copies() -> Column:
+    return (F.col("whole") + F.when(F.col("limit").isNull() | (F.col("hash") < F.col("limit")), 1).otherwise(0)).cast("int")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.0, most: float = 3.0) -> DataFrame:
+    """How often each document is to be taken so that the sources' words come to the target weights.
+
+    Returns doc_id, size, source_size, target, copies (whole takes of the document) and taken
+    (= copies * size), one row per input row. A source with target t and size s takes every
+    document floor(t / s) times, and once more those whose hash lies under its threshold: the
+    longest run of hashes, in their order, whose words stay within the remainder.
+
+    Null and empty texts have size 0. Rows that agree in id (or, without id, in text) are taken
+    alike. A null source is a source of its own, last in order. Only doc_id, text and source are
+    read, so other columns may have any names. An empty table gives no rows.
+    """
+    sized = sizes(docs)
+    plan, sources = thresholds(sized, weights, share, most)
+    taken = _by_source(sized, plan, sources).withColumn("copies", _copies())
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
+
+
+def take(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.0, most: float = 3.0) -> DataFrame:
+    """The rows of docs that the mix takes, with all their columns and ``copies`` (1 or more; it replaces a column of that name)."""
+    plan, sources = thresholds(sizes(docs), weights, share, most)
+    names = [c for c in docs.columns if c != "copies"]
+    held = docs.select(F.col("source"), row_hash(F.col("doc_id"), F.col("text")).alias("hash"), F.struct(*names).alias("row"))
+    return _by_source(held, plan, sources).withColumn("copies", _copies()).filter("copies > 0").select(*[F.col("row")[c].alias(c) for c in names], "copies")
