@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import joined_bytes, span_hashes, split_text_batches, word_spans
@@ -148,8 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ran
         .agg(F.min("quality").cast("int").alias("quality"))
     )
     counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("labelled"), "labelled"))
-    chosen = known.withColumn("rank", rank).filter(F.col("rank") <= per_label).select("labelled", "quality")
+    of_label = lambda q: known.filter(F.col("quality") == q).orderBy(F.xxhash64("labelled"), "labelled").limit(per_label)
+    chosen = of_label(0).union(of_label(1))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("quality", "text")  # at most 2 * per_label rows
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
