@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def as_traded(bars: DataFrame) -> DataFrame:
-    """ticker, date, open, high, low, close, volume, adjustment from vendor bars.
+def as_traded(bars: DataFrame, *more: str) -> DataFrame:
+    """ticker, date, open, high, low, close, volume, adjustment (and the columns ``more``) from vendor bars.
 
     The vendor's open, high, low and close are split-adjusted; closeunadj is what was paid and
     closeadj is adjusted for dividends too. Without closeunadj, or with a close of 0, prices stay
@@ -25,6 +25,7 @@ def as_traded(bars: DataFrame) -> DataFrame:
         F.coalesce(paid, close).alias("close"),
         F.col("volume").cast("long").alias("volume"),
         F.when(given, F.col("closeadj") / F.nullif(paid, F.lit(0.0))).otherwise(F.lit(1.0)).alias("adjustment"),
+        *more,
     )
 
 

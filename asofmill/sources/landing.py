@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import parse
 from .schemas import FACTOR_FILES, INDICATORS, TABLES
 
+#: A column that says which of several rows of a key came last; loaders hand it on.
+SEQUENCE = "__seq"
+
 # The vendor's price table codes and what they hold.
 PRICE_TABLES = {"SEP": "stocks", "SFP": "funds"}
 
@@ -68,7 +71,7 @@ def _typed(rows: DataFrame, table: str, **given: Column) -> DataFrame:
         if value is None:
             value = parse.number(source) if kind == "double" else parse.iso_date(source) if kind == "date" else source
         out.append(value.cast(f.dataType).alias(f.name))
-    return rows.select(*out)
+    return rows.select(*out, *[c for c in rows.columns if c == SEQUENCE])
 
 
 def tickers(rows: DataFrame) -> DataFrame:
@@ -104,7 +107,8 @@ def prices(rows: DataFrame) -> DataFrame:
     from ..operators.prices import as_traded
 
     names = ("open", "high", "low", "close", "closeunadj", "closeadj", "volume")
-    return as_traded(rows.select("ticker", parse.iso_date(F.col("date")).alias("date"), *[parse.number(_column(rows, c)).alias(c) for c in names]))
+    more = [c for c in rows.columns if c == SEQUENCE]
+    return as_traded(rows.select("ticker", parse.iso_date(F.col("date")).alias("date"), *[parse.number(_column(rows, c)).alias(c) for c in names], *more), *more)
 
 
 def factor_lines(lines: DataFrame, columns: str) -> DataFrame:

@@ -30,9 +30,9 @@ class Table:
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(", ".join(c if " " in c else f"{c} string" for c in (x.strip() for x in self.columns.split(","))))
 
-    def conform(self, rows: DataFrame) -> DataFrame:
-        """The table's columns in its order and types; those that ``rows`` lacks are null, further ones go."""
-        return rows.select(*[(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema])
+    def conform(self, rows: DataFrame, *more: str) -> DataFrame:
+        """The table's columns in its order and types, and ``more``; those that ``rows`` lacks are null, further ones go."""
+        return rows.select(*more, *[(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema])
 
 
 def _doubles(names: str | list[str]) -> str:
