@@ -7,6 +7,11 @@ in one slice at least, and that slice's tree is searched with that small radius.
 node holds a vantage point and a radius; a fingerprint lives in one leaf (its shard) and visits
 every other leaf that its ball reaches by the triangle bound. Inside a shard all 64 bits are
 compared, so the pairs are exact.
+
+With several words of 64 bits and a wide ``max_bits`` no slice is sure to be nearly equal. Then
+``reach`` is given: each of the many slices has its tree, and a pair is found if it shares a
+shard in one of them, which is the likelier the nearer it is. What is found is still compared
+over all bits.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import guarded, split_text_batches, stage
+from .common import guarded, mix64, split_text_batches, stage
 from .components import components
 
 SEED = 42
@@ -29,38 +34,61 @@ SAMPLE, LEAF = 16_384, 512
 CROWD = 4_096
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """64 majority bits over the XXH64 of the word shingles; 0 without words."""
+def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
+    """(hashes, words): the hashes themselves, and further scramblings of them."""
+    return np.stack([hashes, *[mix64(hashes + np.uint64(w * 0x9E3779B97F4A7C15 % (1 << 64))) for w in range(1, words)]], axis=1)
+
+
+def fingerprint(text: str | None, shingle: int, size: int = 1) -> np.ndarray:
+    """``size`` times 64 majority bits over the XXH64 of the word shingles, as 64-bit words; 0 without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(size, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return _spread(np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64), size)[0]
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     n = len(words) - shingle + 1
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros(64 * size, np.int64)
     a, b = starts[:n].tolist(), ends[shingle - 1 :].tolist()
     for at in range(0, n, 16_384):
         hashes = np.fromiter((digest(joined[i:j], SEED) for i, j in zip(a[at : at + 16_384], b[at : at + 16_384], strict=True)), np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+        ones += np.unpackbits(_spread(hashes, size).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > n, bitorder="little").view(np.uint64)
+
+
+def _column(prints: np.ndarray) -> pa.Array:
+    """Fingerprints (rows, words) as signed longs, or as bytes if they have several words."""
+    if prints.shape[1] == 1:
+        return pa.array(prints[:, 0].view(np.int64))
+    width = 8 * prints.shape[1]
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(prints), [None, pa.py_buffer(np.ascontiguousarray(prints))]).cast(pa.binary())
+
+
+def _matrix(column: pa.Array, size: int) -> np.ndarray:
+    if size == 1:
+        return column.to_numpy(zero_copy_only=False).view(np.uint64)[:, None]
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, size)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id, row_a, row_b (two hashes of id and text, which name the row) and fp (the fingerprint as a signed long)."""
+def _kind(size: int) -> str:
+    return "long" if size == 1 else "binary"
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, size: int = 1) -> DataFrame:
+    """doc_id, row_a, row_b (two hashes of id and text, which name the row) and fp (the fingerprint: a signed long, or the bytes of several words)."""
     keyed = docs.select(
         F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), "text"
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_text_batches(batches, "text"):
-            made = np.fromiter((fingerprint(t, shingle) for t in batch.column(3).to_pylist()), np.uint64, batch.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made)], names=["doc_id", "row_a", "row_b", "fp"])
+            made = np.array([fingerprint(t, shingle, size) for t in batch.column(3).to_pylist()], np.uint64).reshape(-1, size)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _column(made)], names=["doc_id", "row_a", "row_b", "fp"])
 
-    return keyed.mapInArrow(rows, "doc_id long, row_a long, row_b int, fp long")
+    return keyed.mapInArrow(rows, f"doc_id long, row_a long, row_b int, fp {_kind(size)}")
 
 
 class VantageTree:
@@ -114,12 +142,22 @@ def slice_masks(slices: int) -> list[int]:
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edge, edge[1:], strict=False)]
 
 
-def spanning_links(home: np.ndarray, others: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that join all that residents are linked to, without listing every pair: a breadth-first search."""
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints (..., words) that broadcast against each other."""
+    out = np.bitwise_count(a[..., 0] ^ b[..., 0])
+    if a.shape[-1] > 1:
+        out = out.astype(np.uint16)
+        for w in range(1, a.shape[-1]):
+            out += np.bitwise_count(a[..., w] ^ b[..., w])
+    return out
+
+
+def spanning_links(home: np.ndarray, others: np.ndarray, max_bits: int) -> np.ndarray:
+    """Links that join all that residents are linked to, without listing every pair: a breadth-first search. (links, 2, words)"""
     every = np.concatenate((home, others))
     linked, rows = [], max(1, (1 << 21) // max(1, len(every)))
     for at in range(0, len(home), rows):
-        close = np.bitwise_count(home[at : at + rows, None] ^ every[None, :]) <= max_bits
+        close = _far(home[at : at + rows, None], every[None, :]) <= max_bits
         linked.append(np.count_nonzero(close, axis=1) > 1)  # each is close to itself
     open_ = np.ones(len(every), bool)
     links = []
@@ -131,33 +169,42 @@ def spanning_links(home: np.ndarray, others: np.ndarray, max_bits: int) -> list[
         while queue:
             node = queue.pop()
             rest = np.flatnonzero(open_)
-            found = rest[np.bitwise_count(every[rest] ^ every[node]) <= max_bits]
+            found = rest[_far(every[rest], every[node]) <= max_bits]
             open_[found] = False
             links += [(node, int(x)) for x in found]
             queue += found.tolist()
-    return [(int(every[a]), int(every[b])) for a, b in links]
+    return every[np.array(links, np.int64).reshape(-1, 2)]
 
 
-def near_links(distinct: DataFrame, max_bits: int, slices: int = 4, leaf: int = LEAF, sample: int = SAMPLE, crowd: int = CROWD) -> DataFrame:
-    """u, v: links among the distinct fingerprints (column fp) that span every component; each is a true pair."""
+def near_links(
+    distinct: DataFrame, max_bits: int, slices: int = 4, size: int = 1, reach: int | None = None, leaf: int = LEAF, sample: int = SAMPLE, crowd: int = CROWD
+) -> DataFrame:
+    """u, v: links among the distinct fingerprints (column fp) that span what is found; each is a true pair.
+
+    Without ``reach`` all pairs within ``max_bits`` are found; the radius of a slice's tree then
+    follows from the number of slices.
+    """
     spark = distinct.sparkSession
     rows = distinct.count()
     taken = [r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
-    values = np.array(taken, np.int64).view(np.uint64)
-    trees = [VantageTree(values, mask, -(-rows // leaf), seed) for seed, mask in enumerate(slice_masks(slices))]
-    reach = max_bits // slices
+    values = np.array(taken, np.int64).view(np.uint64)[:, None] if size == 1 else np.frombuffer(b"".join(taken), np.uint64).reshape(-1, size)
+    spots = [(word, mask) for word in range(size) for mask in slice_masks(slices)]
+    trees = [VantageTree(values[:, word], mask, -(-rows // leaf), seed) for seed, (word, mask) in enumerate(spots)]
+    radius = max_bits // len(spots) if reach is None else reach
     shared = spark.sparkContext.broadcast(trees)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False)
+            column = batch.column(0)
+            own = _matrix(column, size)
             first = 0
-            for tree in shared.value:
-                at, shard, home = tree.shards(own.view(np.uint64), reach)
-                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64) + first), pa.array(own[at]), pa.array(home)], names=["shard", "fp", "home"])
+            for (word, _), tree in zip(spots, shared.value, strict=True):
+                at, shard, home = tree.shards(np.ascontiguousarray(own[:, word]), radius)
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64) + first), column.take(pa.array(at)), pa.array(home)], names=["shard", "fp", "home"])
                 first += tree.leaves
 
-    routed = stage(distinct.select("fp").mapInArrow(route, "shard long, fp long, home boolean"), "shards")
+    kind = _kind(size)
+    routed = stage(distinct.select("fp").mapInArrow(route, f"shard long, fp {kind}, home boolean"), "shards")
     crowds = routed.groupBy("shard").agg(F.count_if("home").alias("n")).filter(F.col("n") > crowd)
     parts = crowds.select("shard", F.ceil(F.col("n") / crowd).cast("int").alias("parts"))
     # a crowded shard is dealt to several tasks: its residents live in one part and visit the others
@@ -170,33 +217,36 @@ def near_links(distinct: DataFrame, max_bits: int, slices: int = 4, leaf: int =
     )
 
     def pairs(group: pa.Table) -> pa.Table:
-        own = group.column("fp").to_numpy().view(np.uint64)
+        own = _matrix(group.column("fp"), size)
         home = group.column("home").to_numpy()
         links = spanning_links(own[home], own[~home], max_bits)
-        return pa.table(np.array(links, np.uint64).reshape(-1, 2).view(np.int64).T.tolist() or [[], []], schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+        return pa.table([_column(links[:, 0]), _column(links[:, 1])], names=["u", "v"])
 
-    return dealt.groupBy("shard", "part").applyInArrow(pairs, "u long, v long")
+    return dealt.groupBy("shard", "part").applyInArrow(pairs, f"u {kind}, v {kind}")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None) -> DataFrame:
     """doc_id, row_a, row_b, fp and component_id: the smallest doc_id that a row's fingerprint reaches by links of ``max_bits``.
 
+    ``size`` words of 64 bits make a fingerprint, ``slices`` trees search each word. With
+    ``reach`` pairs count that share a shard within it; without, all pairs.
+
     Texts without words (null and empty ones too) have fingerprint 0 and are linked like any
     other. Rows without doc_id take part, but give no component_id unless their component has an
     id. Repeated rows come back repeated. Only doc_id and text are read.
     """
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
+    prints = stage(fingerprints(docs, shingle, size), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = stage(components(near_links(classes, max_bits, slices)), "roots")
+    roots = stage(components(near_links(classes, max_bits, slices, size, reach)), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     of = roots.join(groups, "root").select(F.col("node").alias("fp"), "component_id")
     named = classes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return prints.join(named, "fp")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None) -> DataFrame:
     """One row of every group of near-duplicates, that with the smallest doc_id (without ids, any fixed one); columns unchanged."""
-    found = near_duplicates(docs, shingle, max_bits, slices)
+    found = near_duplicates(docs, shingle, max_bits, slices, size, reach)
     # without an id in the whole group, its rows are told apart by fingerprint alone
     group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
     best = found.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("best"))

@@ -105,4 +105,26 @@ def test_empty_table(spark):
 def test_fingerprint_is_spark_xxhash(spark):
     text = "Alpha beta gamma delta"
     native = spark.createDataFrame([(text.lower(),)], "t string").select(F.xxhash64("t")).first()[0]
-    assert simhash.fingerprint(text, 4) == native % (1 << 64)
+    assert int(simhash.fingerprint(text, 4)[0]) == native % (1 << 64)
+
+
+def test_wide_fingerprints_find_near_copies(spark):
+    import random
+
+    chance = random.Random(6)
+    word = lambda: "".join(chance.choices("abcdefghij", k=4))
+    bases = [[word() for _ in range(200)] for _ in range(40)]
+    rows, group = [], {}
+    for i, base in enumerate(bases):
+        for j in range(4):
+            own = list(base)
+            for at in chance.sample(range(200), 3 * bool(j)):  # three words of 200: about 0.86 of the shingles stay
+                own[at] = word()
+            rows.append((10 * i + j, " ".join(own), None, None))
+            group[10 * i + j] = 10 * i
+    rows += [(1000 + i, " ".join(word() for _ in range(chance.randrange(1, 9))), None, None) for i in range(60)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=5, max_bits=51, slices=5, size=4, reach=0).collect()
+    assert all(r.component_id == r.doc_id for r in got if r.doc_id >= 1000)
+    right = sum(r.component_id == group[r.doc_id] for r in got if r.doc_id < 1000)
+    assert right >= 0.95 * len(group)
+    assert len(simhash.keep_one(spark.createDataFrame(rows, SCHEMA), 5, 51, 5, 4, 0).collect()) <= 60 + len(bases) + 8
