@@ -39,8 +39,11 @@ def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.stack([hashes, *[mix64(hashes + np.uint64(w * 0x9E3779B97F4A7C15 % (1 << 64))) for w in range(1, words)]], axis=1)
 
 
-def fingerprint(text: str | None, shingle: int, size: int = 1) -> np.ndarray:
-    """``size`` times 64 majority bits over the XXH64 of the word shingles, as 64-bit words; 0 without words."""
+def fingerprint(text: str | None, shingle: int, size: int = 1, repeats: bool = True) -> np.ndarray:
+    """``size`` times 64 majority bits over the XXH64 of the word shingles, as 64-bit words; 0 without words.
+
+    A shingle that occurs again counts again, unless ``repeats`` is off.
+    """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(size, np.uint64)
@@ -50,13 +53,14 @@ def fingerprint(text: str | None, shingle: int, size: int = 1) -> np.ndarray:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    n = len(words) - shingle + 1
+    spots = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(joined[i:j], SEED) for i, j in spots), np.uint64)
+    hashes = hashes if repeats else np.unique(hashes)
     ones = np.zeros(64 * size, np.int64)
-    a, b = starts[:n].tolist(), ends[shingle - 1 :].tolist()
-    for at in range(0, n, 16_384):
-        hashes = np.fromiter((digest(joined[i:j], SEED) for i, j in zip(a[at : at + 16_384], b[at : at + 16_384], strict=True)), np.uint64)
-        ones += np.unpackbits(_spread(hashes, size).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > n, bitorder="little").view(np.uint64)
+    for at in range(0, len(hashes), 16_384):
+        bits = np.unpackbits(_spread(hashes[at : at + 16_384], size).view(np.uint8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
 
 
 def _column(prints: np.ndarray) -> pa.Array:
@@ -77,7 +81,7 @@ def _kind(size: int) -> str:
     return "long" if size == 1 else "binary"
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, size: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, size: int = 1, repeats: bool = True) -> DataFrame:
     """doc_id, row_a, row_b (two hashes of id and text, which name the row) and fp (the fingerprint: a signed long, or the bytes of several words)."""
     keyed = docs.select(
         F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), "text"
@@ -85,7 +89,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, size: int = 1) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_text_batches(batches, "text"):
-            made = np.array([fingerprint(t, shingle, size) for t in batch.column(3).to_pylist()], np.uint64).reshape(-1, size)
+            made = np.array([fingerprint(t, shingle, size, repeats) for t in batch.column(3).to_pylist()], np.uint64).reshape(-1, size)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], _column(made)], names=["doc_id", "row_a", "row_b", "fp"])
 
     return keyed.mapInArrow(rows, f"doc_id long, row_a long, row_b int, fp {_kind(size)}")
@@ -225,17 +229,17 @@ def near_links(
     return dealt.groupBy("shard", "part").applyInArrow(pairs, f"u {kind}, v {kind}")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None, repeats: bool = True) -> DataFrame:
     """doc_id, row_a, row_b, fp and component_id: the smallest doc_id that a row's fingerprint reaches by links of ``max_bits``.
 
-    ``size`` words of 64 bits make a fingerprint, ``slices`` trees search each word. With
+    ``size`` words of 64 bits make a fingerprint (with or without ``repeats`` of its shingles), ``slices`` trees search each word. With
     ``reach`` pairs count that share a shard within it; without, all pairs.
 
     Texts without words (null and empty ones too) have fingerprint 0 and are linked like any
     other. Rows without doc_id take part, but give no component_id unless their component has an
     id. Repeated rows come back repeated. Only doc_id and text are read.
     """
-    prints = stage(fingerprints(docs, shingle, size), "fingerprints")
+    prints = stage(fingerprints(docs, shingle, size, repeats), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = stage(components(near_links(classes, max_bits, slices, size, reach)), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
@@ -244,9 +248,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices
     return prints.join(named, "fp")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None, repeats: bool = True) -> DataFrame:
     """One row of every group of near-duplicates, that with the smallest doc_id (without ids, any fixed one); columns unchanged."""
-    found = near_duplicates(docs, shingle, max_bits, slices, size, reach)
+    found = near_duplicates(docs, shingle, max_bits, slices, size, reach, repeats)
     # without an id in the whole group, its rows are told apart by fingerprint alone
     group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
     best = found.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("best"))
