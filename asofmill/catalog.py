@@ -232,7 +232,7 @@ query(
 
 
 def _with_kind(p, m):
-    return p.join(F.broadcast(m.select("ticker", "src_table")), "ticker", "left").withColumn("yr", F.year("date"))
+    return p.join(m.select("ticker", "src_table"), "ticker", "left").withColumn("yr", F.year("date"))
 
 
 query(
@@ -248,7 +248,7 @@ query(
 query(
     "freshness", "v_prices v_master",
     "SELECT src_table, max(date) AS last_date, count(DISTINCT p.ticker) AS n_ticker FROM v_prices p JOIN v_master m ON p.ticker = m.ticker GROUP BY src_table",
-)(lambda p, m: p.join(F.broadcast(m.select("ticker", "src_table")), "ticker").groupBy("src_table").agg(F.max("date").alias("last_date"), F.count_distinct("ticker").alias("n_ticker")))
+)(lambda p, m: p.join(m.select("ticker", "src_table"), "ticker").groupBy("src_table").agg(F.max("date").alias("last_date"), F.count_distinct("ticker").alias("n_ticker")))
 
 query("action_counts", "v_actions", "SELECT action, count(*) AS n, count(DISTINCT ticker) AS n_ticker FROM v_actions GROUP BY action")(lambda a: analytics.counts(a, ["action"], "ticker"))
 

@@ -62,7 +62,7 @@ def universe_on(prices: DataFrame, master: DataFrame, sf1: DataFrame, day: dt.da
     recent = Window.partitionBy("ticker").orderBy(F.desc("date"))
     quotes = (
         prices.filter(F.col("date") <= F.lit(day))
-        .join(F.broadcast(names.select("ticker")), "ticker", "left_semi")
+        .join(names.select("ticker"), "ticker", "left_semi")
         .withColumn("nth", F.row_number().over(recent))
         .filter(F.col("nth") <= screen.lookback + 5)
     )
@@ -76,7 +76,7 @@ def universe_on(prices: DataFrame, master: DataFrame, sf1: DataFrame, day: dt.da
     shares = latest_upto(filed_shares(sf1), ["ticker"], "date", F.lit(day), ["shareswa"], ["dimension"])
     rows = (
         by.join(shares, "ticker")
-        .join(F.broadcast(names), "ticker")
+        .join(names, "ticker")
         .withColumn("mcap", F.col("price") * F.col("shareswa"))
         .withColumn("dvol_avg", F.coalesce(F.try_divide(F.col("dollars").cast("double"), F.col("dvol_days")), F.lit(0.0)))
         .filter(F.datediff(F.lit(day), F.col("last_date")) <= screen.max_quote_age)
@@ -93,13 +93,14 @@ def valid_quotes(prices: DataFrame, master: DataFrame, sf1: DataFrame, screen: S
     known = prices.filter(F.col("close").isNotNull())
     known = known.filter(F.col("date") >= F.lit(start)) if start else known
     names = candidates(master, screen, F.lit(start) if start else F.lit(dt.date(1900, 1, 1)))
-    quotes = known.join(F.broadcast(names.select("ticker")), "ticker", "left_semi").select("ticker", "date", "close", "volume")
+    quotes = known.join(names.select("ticker"), "ticker", "left_semi").select("ticker", "date", "close", "volume")
+    # the share counts first: their exchange and order by ticker and date serve the rolling frame too
+    known_shares = asof_join(quotes, filed_shares(sf1), ["ticker"], "date", ["shareswa"], ["dimension"])
     frame = Window.partitionBy("ticker").orderBy("date").rowsBetween(-(screen.lookback - 1), 0)
-    rolled = quotes.withColumn("dollars", F.sum(F.when(F.col("volume") > 0, _dollars())).over(frame)).withColumn("dvol_days", F.count(F.when(F.col("volume") > 0, 1)).over(frame).cast("int"))
-    known_shares = asof_join(rolled, filed_shares(sf1), ["ticker"], "date", ["shareswa"], ["dimension"])
+    rolled = known_shares.withColumn("dollars", F.sum(F.when(F.col("volume") > 0, _dollars())).over(frame)).withColumn("dvol_days", F.count(F.when(F.col("volume") > 0, 1)).over(frame).cast("int"))
     dvol = F.when(F.col("dvol_days") >= screen.min_dvol_days, F.try_divide(F.col("dollars").cast("double"), F.col("dvol_days"))).otherwise(F.lit(0.0))
     return (
-        known_shares.select("ticker", "date", F.col("close").alias("price"), (F.col("close") * F.col("shareswa")).alias("mcap"), F.coalesce(dvol, F.lit(0.0)).alias("dvol_avg"), "dvol_days")
+        rolled.select("ticker", "date", F.col("close").alias("price"), (F.col("close") * F.col("shareswa")).alias("mcap"), F.coalesce(dvol, F.lit(0.0)).alias("dvol_avg"), "dvol_days")
         .filter((F.col("price") >= screen.min_price) & (F.col("mcap") >= screen.min_mcap) & (F.col("dvol_avg") >= screen.min_dvol))
     )
 
@@ -114,7 +115,7 @@ def validity(valid: DataFrame, master: DataFrame, screen: Screen, last_day: Data
     w = Window.partitionBy("ticker").orderBy("date")
     ends = master.groupBy("ticker").agg(F.max("lastpricedate").alias("lastpricedate"))
     aged = F.date_add("date", screen.max_quote_age)
-    joined = valid.withColumn("next", F.lead("date").over(w)).withColumn("before", F.lag("date").over(w)).join(F.broadcast(ends), "ticker", "left").join(F.broadcast(last_day))
+    joined = valid.withColumn("next", F.lead("date").over(w)).withColumn("before", F.lag("date").over(w)).join(ends, "ticker", "left").join(F.broadcast(last_day))
     stop = F.coalesce("lastpricedate", "last_day")
     capped = F.when(F.col("before").isNotNull() & (F.datediff("date", "before") <= screen.max_quote_age), F.greatest("date", F.least(stop, aged))).otherwise(F.least(stop, aged))
     until = F.when(F.col("next").isNotNull(), F.least(F.date_sub("next", 1), aged)).otherwise(capped)
@@ -136,7 +137,7 @@ def universe_history(prices: DataFrame, master: DataFrame, sf1: DataFrame, scree
     valid = valid_quotes(prices, master, sf1, screen, start)
     spans = validity(valid, master, screen, bounds.select("last_day")).filter(F.col("until") >= F.col("date"))
     each = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
-    return each.join(F.broadcast(days.select(F.col("date").alias("as_of"))), "as_of", "left_semi").join(F.broadcast(names), "ticker").select(*COLUMNS)
+    return each.join(F.broadcast(days.select(F.col("date").alias("as_of"))), "as_of", "left_semi").join(names, "ticker").select(*COLUMNS)
 
 
 def spans_of(valid: DataFrame, age: int) -> DataFrame:
