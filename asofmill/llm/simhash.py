@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices
     roots = stage(components(near_links(classes, max_bits, slices, size, reach)), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     of = roots.join(groups, "root").select(F.col("node").alias("fp"), "component_id")
-    named = classes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    # written, so that the join below is of two plain exchanges, which Spark can split where one fingerprint has many rows
+    named = stage(classes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "named")
     return prints.join(named, "fp")
 
 
