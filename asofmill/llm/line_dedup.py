@@ -116,7 +116,11 @@ def lines_of(docs: DataFrame, least: int, *more: Column) -> DataFrame:
     """row_a, row_b, doc_id, line_no, line, n: the lines of ``least`` characters or more, without blanks around them."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), F.col("text").cast("string").alias("text"))
     split = keyed.select("row_a", "row_b", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return split.withColumn("line", F.btrim("raw", F.lit(BLANKS))).withColumn("n", F.char_length("line")).filter(F.col("n") >= least).select("row_a", "row_b", "doc_id", "line_no", "line", "n", *more)
+    # a character set to trim by makes Spark take the line apart, so only lines that begin or end with a blank are trimmed
+    edged = F.lit(False)
+    for blank in BLANKS:
+        edged = edged | F.col("raw").startswith(blank) | F.col("raw").endswith(blank)
+    return split.withColumn("line", F.when(edged, F.btrim("raw", F.lit(BLANKS))).otherwise(F.col("raw"))).withColumn("n", F.char_length("line")).filter(F.col("n") >= least).select("row_a", "row_b", "doc_id", "line_no", "line", "n", *more)
 
 
 def _id(h1: Column, h2: Column) -> Column:
@@ -170,12 +174,12 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     entries = distinct.select("h1", "h2", F.explode(index).alias("e")).select("h1", "h2", "e.k", "e.own")
     met = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.count_if("own").alias("o")).filter((F.col("c") > 1) & (F.col("o") > 0)).select("k", "c")
     met = stage(met, "segments")
-    shared = stage(entries.join(guarded(met, met.count()), "k").select("k", "c", "own", _id(F.col("h1"), F.col("h2")).alias("id")), "shared")
-    wanted = stage(shared.groupBy("id").agg(F.max("c").alias("c")), "wanted")
+    shared = stage(entries.join(guarded(met, met.count()), "k").select("h1", "h2", "k", "c", "own", _id(F.col("h1"), F.col("h2")).alias("id")), "shared")
+    wanted = stage(shared.select("h1", "h2", "id").distinct(), "wanted")
     texts = stage(
         lines_of(docs, least)
-        .select(_id(F.xxhash64("line"), F.hash("line")).alias("id"), "line", "n")
-        .join(guarded(wanted.select("id"), wanted.count()), "id", "left_semi")
+        .select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "line", "n")
+        .join(guarded(wanted, wanted.count()), ["h1", "h2"])
         .groupBy("id")
         .agg(F.first("line").alias("line"), F.first("n").alias("n")),
         "texts",
@@ -196,8 +200,8 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
         many = shared.filter(F.col("c") > crowd).select("id").distinct()
         links = links.union(_crowd_links(texts.join(many, "id", "left_semi")))
     roots = stage(components(links), "line-roots")
-    groups = roots.select(F.col("node").alias("id"), "root")
-    firsts = distinct.select(_id(F.col("h1"), F.col("h2")).alias("id"), "h1", "h2", "first", "last").join(groups, "id", "left")
+    groups = stage(wanted.join(roots.select(F.col("node").alias("id"), "root"), "id").select("h1", "h2", "root"), "line-groups")
+    firsts = distinct.select("h1", "h2", "first", "last").join(guarded(groups, groups.count()), ["h1", "h2"], "left")
     firsts = firsts.filter(F.col("root").isNotNull() | (F.col("first") != F.col("last")))
     linked = firsts.filter(F.col("root").isNotNull())
     of_group = linked.groupBy("root").agg(F.min("first").alias("group_first"))
