@@ -80,7 +80,7 @@ def parser() -> argparse.ArgumentParser:
         bulk.add_argument("--status-url", required=True)
         bulk.add_argument("--base-url", required=True)
         bulk.add_argument("--folder", required=True)
-    sub.add_parser("optimize")
+    sub.add_parser("optimize-db")
     shown = sub.add_parser("prices")
     shown.add_argument("ticker")
     for field in ("--start", "--end", "--as-of"):
@@ -122,7 +122,7 @@ def run(spark: SparkSession, words: list[str], fetcher=None):
             out = sync(net, given.folder, files, lambda name, path: os.path.getsize(path))
         else:
             out = house.bulk(net, given.folder, files, from_zero=command == "bulk-fromzero")
-    elif command == "optimize":
+    elif command == "optimize-db":
         out = house.optimize()
     elif command == "prices":
         out = [tuple(r) for r in house.adjusted_prices(given.ticker.upper(), given.start, given.end, given.as_of).collect()]
