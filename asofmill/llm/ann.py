@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import guarded, stage
+from .common import guarded, sample_of, stage
 
 #: The bounded sample, vectors wanted in a list, centroids at most, and vectors of a list that one task scores.
 SAMPLE, LIST_SIZE, MOST_LISTS, PART = 20_000, 128, 4_096, 4_096
@@ -162,7 +162,7 @@ def nearest(
         return spark.createDataFrame([], schema)
     rows = stage(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     n = rows.count()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()["v"]
+    sample = sample_of(rows, n, SAMPLE, "vec_id").select("v").toPandas()["v"]
     shared = spark.sparkContext.broadcast(Centroids(unit(np.array(sample.tolist(), np.float64)), min(-(-n // list_size), MOST_LISTS)))
 
     def route(ratio: float, least: int, most: int, expand: int):

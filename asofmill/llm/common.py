@@ -68,8 +68,18 @@ def guarded(small: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(small) if rows <= most else small
 
 
-def lit_null_key(col: Column, other: Column) -> Column:
-    return col.eqNullSafe(other)
+def within_share(chance: Column, rows: Column, wanted: int) -> Column:
+    """Whether a 64-bit hash lies in the part of its range that holds about twice ``wanted`` of so many rows (always, for few rows)."""
+    return (rows <= 2 * wanted) | ((chance / F.lit(2.0**64) + 0.5) * rows <= 2.0 * wanted)
+
+
+def sample_of(rows: DataFrame, n: int, most: int, *key: str) -> DataFrame:
+    """``most`` of n rows (all, if fewer): those with the smallest hashes of their different keys.
+
+    Only twice as many pass the first filter, so that no task hands on more than its share.
+    """
+    chance = F.xxhash64(*key)
+    return rows.filter(within_share(chance, F.lit(n), most)).orderBy(chance, *key).limit(most)
 
 
 def split_text_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:

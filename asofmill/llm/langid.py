@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import joined_bytes, split_text_batches
+from .common import joined_bytes, split_text_batches, within_share
 
 #: Bytes that the network reads at once, hidden units of each direction.
 WINDOW, HIDDEN = 64, 8
@@ -146,11 +146,10 @@ def cut_windows(data: np.ndarray, begins: np.ndarray, window: int = WINDOW) -> t
 
 def sample_windows(docs: DataFrame, learn, per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT) -> list:
     """Rows (lang, window): up to ``per_text`` windows, spread over the whole text, of up to ``per_language`` texts for each language."""
-    known = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("chance"))
-    # of the hashes' range a part that holds four times the texts wanted, so that no window sees a language's every text
+    known = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("chance")).distinct()
+    # no window sees a language's every text
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")).select(F.col("lang").alias("of"), "texts")  # one row per language
-    part = (F.col("chance") / F.lit(2.0**64) + 0.5) * F.col("texts")
-    known = known.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter((F.col("texts") <= 4 * per_language) | (part <= 4.0 * per_language)).drop("of", "texts")
+    known = known.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter(within_share(F.col("chance"), F.col("texts"), 2 * per_language)).drop("of", "texts")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "doc_id"))
     chosen = known.withColumn("rank", rank).filter(F.col("rank") <= per_language).select(F.col("doc_id").alias("chosen")).distinct()
     # at most per_language rows for each of at most LANGUAGES languages

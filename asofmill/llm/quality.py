@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, span_hashes, split_text_batches, word_spans
+from .common import joined_bytes, sample_of, span_hashes, split_text_batches, word_spans
 
 #: Score of the threshold; labelled documents of each label in the bounded sample; pairs of bytes are counted in so many buckets.
 CUT, PER_LABEL, PAIRS = 0.3, 5_000, 128
@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ran
         .agg(F.min("quality").cast("int").alias("quality"))
     )
     counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    of_label = lambda q: known.filter(F.col("quality") == q).orderBy(F.xxhash64("labelled"), "labelled").limit(per_label)
+    of_label = lambda q: sample_of(known.filter(F.col("quality") == q), counts.get(q, 0), per_label, "labelled")
     chosen = of_label(0).union(of_label(1))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("quality", "text")  # at most 2 * per_label rows
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import guarded, mix64, split_text_batches, stage
+from .common import guarded, mix64, sample_of, split_text_batches, stage
 from .components import components
 
 SEED = 42
@@ -52,7 +52,6 @@ def fingerprint(text: str | None, shingle: int, size: int = 1, repeats: bool = T
         return _spread(np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64), size)[0]
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
     spots = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
     hashes = np.fromiter((xxhash.xxh64_intdigest(joined[i:j], SEED) for i, j in spots), np.uint64)
     hashes = hashes if repeats else np.unique(hashes)
@@ -190,7 +189,7 @@ def near_links(
     """
     spark = distinct.sparkSession
     rows = distinct.count()
-    taken = [r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
+    taken = [r.fp for r in sample_of(distinct.select("fp"), rows, sample, "fp").collect()]
     values = np.array(taken, np.int64).view(np.uint64)[:, None] if size == 1 else np.frombuffer(b"".join(taken), np.uint64).reshape(-1, size)
     spots = [(word, mask) for word in range(size) for mask in slice_masks(slices)]
     trees = [VantageTree(values[:, word], mask, -(-rows // leaf), seed) for seed, (word, mask) in enumerate(spots)]
