@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import guarded, sample_of, stage
 
-#: The bounded sample, vectors wanted in a list, centroids at most, and vectors of a list that one task scores.
+#: The bounded sample, vectors wanted in a list, centroids at most, and vectors of a list (and queries) that one group scores.
 SAMPLE, LIST_SIZE, MOST_LISTS, PART = 20_000, 128, 4_096, 4_096
 #: A vector is copied to at most COPIES lists whose centroid is at most COPY_RATIO times as far as the nearest one.
 COPIES, COPY_RATIO = 4, 1.15
@@ -179,12 +179,16 @@ def nearest(
     spec = "list int, vec_id long, v array<double>"
     posted = stage(rows.mapInArrow(route(copy_ratio, 1, COPIES, 48), spec), "postings")
     asked = rows.filter(is_query)
-    parts = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
-    parts = guarded(parts, MOST_LISTS, MOST_LISTS)  # one row for each list
-    in_parts = posted.join(parts, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), "vec_id", "v")
+    sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
 
-    def score(lists: DataFrame) -> DataFrame:
-        wanted = lists.join(parts, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("vec_id").alias("query_id"), "v")
+    def score(routes: DataFrame) -> DataFrame:
+        """The k best of each list for the queries routed to it: parts of the list against blocks of the queries."""
+        asking = routes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("blocks"))
+        cut = guarded(stage(sizes.join(asking, "list"), "cuts"), MOST_LISTS, MOST_LISTS)  # one row for each list
+        block, own_part = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        held = posted.join(cut, "list").select("list", own_part.alias("part"), every("blocks").alias("block"), "vec_id", "v")
+        wanted = routes.join(cut, "list").select("list", every("parts").alias("part"), block.alias("block"), F.col("vec_id").alias("query_id"), "v")
 
         def pairs(own: pa.Table, queries: pa.Table) -> pa.Table:
             found = []
@@ -192,9 +196,11 @@ def nearest(
                 found = best_of(_matrix(queries["v"], width), queries["query_id"].to_numpy(), _matrix(own["v"], width), own["vec_id"].to_numpy(), k)
             return pa.table(list(zip(*found, strict=True)) or [[], [], []], schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
-        return in_parts.groupBy("list", "part").cogroup(wanted.groupBy("list", "part")).applyInArrow(pairs, "query_id long, vec_id long, score double")
+        key = ["list", "part", "block"]
+        return held.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(pairs, "query_id long, vec_id long, score double")
 
-    found = stage(score(asked.select("vec_id", "v").mapInArrow(route(probe_ratio, LEAST_PROBES, MOST_LISTS, walk), spec)), "found")
+    probes = stage(asked.select("vec_id", "v").mapInArrow(route(probe_ratio, LEAST_PROBES, MOST_LISTS, walk), spec), "probes")
+    found = stage(score(probes), "found")
     enough = min(k, n - 1)
     full = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count_distinct("vec_id").alias("n")).filter(F.col("n") >= enough)
     short = stage(asked.join(full, "vec_id", "left_anti"), "short") if enough else None

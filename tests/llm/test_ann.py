@@ -12,12 +12,12 @@ SCHEMA = "vec_id long, embedding array<float>, score string"
 QUERY = "vec_id % 50 = 0"
 
 
-def brute(rows, k=5):
-    """rows: (id, vector), ids different."""
+def brute(rows, k=5, every=50):
+    """rows: (id, vector), ids different; every so many-th id asks."""
     ids, v = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float32).astype(np.float64)
     out = {}
     for i, key in enumerate(ids.tolist()):
-        if key % 50 == 0:
+        if key % every == 0:
             score = ann.cosines(np.broadcast_to(v[i], v.shape), v)
             order = [j for j in np.lexsort((ids, -score)) if j != i][:k]
             out[key] = [(int(ids[j]), float(score[j])) for j in order]
@@ -58,6 +58,13 @@ def test_all_lists_give_the_exact_answer_with_ties_and_a_crowd(spark):
     assert {q: [j for j, _ in x] for q, x in got.items()} == {q: [j for j, _ in x] for q, x in brute(rows).items()}
 
 
+def test_many_queries_in_blocks(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, random.standard_normal(8)) for i in range(150)]
+    got = answers(ann.nearest(frame_of(spark, rows), "vec_id >= 0", list_size=32, probe_ratio=1e9, walk=10_000, part=16))
+    assert {q: [j for j, _ in x] for q, x in got.items()} == {q: [j for j, _ in x] for q, x in brute(rows, every=1).items()}
+
+
 @pytest.mark.parametrize("n", [1, 2, 4])
 def test_few_candidates(spark, n):
     rows = [(i * 50, np.eye(4)[i] + 0.1) for i in range(n)]
