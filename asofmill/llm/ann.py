@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import guarded, sample_of, stage
 
 #: The bounded sample, vectors wanted in a list, centroids at most, and vectors of a list (and queries) that one group scores.
@@ -155,6 +156,7 @@ def nearest(
     another width than most, or hold null or non-finite components take no part, nor do rows
     without id. Repeated ids count once, with the least of their vectors. Only the two named columns are read.
     """
+    ship(vectors.sparkSession)
     rows, width = usable(vectors, id_column, vector)
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"

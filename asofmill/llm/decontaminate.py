@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import guarded, mix64, split_text_batches, stage, window_hashes
 
 #: Template words of a window, words that an item needs to be looked for, and bits of the filter of benchmark windows.
@@ -171,6 +172,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
     words, or without a window that is half wording match nothing. Equal windows of an item all
     count. Only doc_id, text and item_id, text are read.
     """
+    ship(docs.sparkSession)
     items = stage(benchmark_windows(benchmark, window, least), "items")
     widths = sorted(r.width for r in items.select("width").distinct().collect())
     shared = docs.sparkSession.sparkContext.broadcast((_filter_of(items, filter_bits), widths))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shipping import ship
 from .common import joined_bytes, split_text_batches, within_share
 
 #: Bytes that the network reads at once, hidden units of each direction.
@@ -146,6 +147,7 @@ def cut_windows(data: np.ndarray, begins: np.ndarray, window: int = WINDOW) -> t
 
 def sample_windows(docs: DataFrame, learn, per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT) -> list:
     """Rows (lang, window): up to ``per_text`` windows, spread over the whole text, of up to ``per_language`` texts for each language."""
+    ship(docs.sparkSession)
     known = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("chance")).distinct()
     # no window sees a language's every text
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")).select(F.col("lang").alias("of"), "texts")  # one row per language
@@ -210,6 +212,7 @@ def identify(docs: DataFrame, names: list[str], model: ByteGru | None, language:
     """
     if model is None:
         return docs.withColumns({language: F.lit(UNDETERMINED), score: F.lit(0.0)})
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((names, model))
     letters = "__has_letter"
     marked = docs.withColumn(letters, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))

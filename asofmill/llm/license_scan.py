@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import split_text_batches
 
 # The base phrases and their labels.
@@ -144,6 +145,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
     accepted, 0.5 with base phrases only, else 0. Null and empty texts have no words and no
     labels. Only doc_id and text are read.
     """
+    ship(docs.sparkSession)
     base = {k.encode(): v for k, v in (PHRASES if phrases is None else phrases).items()}
     marked = dict(TEMPLATES if templates is None else templates)
 

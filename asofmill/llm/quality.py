@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import joined_bytes, sample_of, span_hashes, split_text_batches, word_spans
 
 #: Score of the threshold; labelled documents of each label in the bounded sample; pairs of bytes are counted in so many buckets.
@@ -142,6 +143,7 @@ def fold(doc_id: str, folds: int) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ranking:
     """Learn from labelled documents outside the held-out fold (crc32 modulo 5 is 0): at most ``per_label`` of each label, by a hash of their ids."""
+    ship(docs.sparkSession)
     known = (
         labels.filter((fold("doc_id", 5) != 0) & F.col("quality").isin(0, 1))
         .groupBy(F.col("doc_id").alias("labelled"))
@@ -165,6 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ran
 
 def score(docs: DataFrame, model: Ranking) -> DataFrame:
     """doc_id, score (0 to 1, eight digits) and predicted (1 if the score is at least ``CUT``), one row for every input row. Only doc_id and text are read."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

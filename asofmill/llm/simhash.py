@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import guarded, mix64, sample_of, split_text_batches, stage
 from .components import components
 
@@ -82,6 +83,7 @@ def _kind(size: int) -> str:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, size: int = 1, repeats: bool = True) -> DataFrame:
     """doc_id, row_a, row_b (two hashes of id and text, which name the row) and fp (the fingerprint: a signed long, or the bytes of several words)."""
+    ship(docs.sparkSession)
     keyed = docs.select(
         F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), "text"
     )
@@ -188,6 +190,7 @@ def near_links(
     follows from the number of slices.
     """
     spark = distinct.sparkSession
+    ship(spark)
     rows = distinct.count()
     taken = [r.fp for r in sample_of(distinct.select("fp"), rows, sample, "fp").collect()]
     values = np.array(taken, np.int64).view(np.uint64)[:, None] if size == 1 else np.frombuffer(b"".join(taken), np.uint64).reshape(-1, size)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import BROADCAST_ROWS, guarded, joined_bytes, mix64, span_hashes, split_text_batches, stage, window_hashes, word_spans
 
 #: Perfect difference sets: modulo the key every difference occurs.
@@ -146,7 +147,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     separate. Null texts have no words; texts shorter than the window lose none. Repeated rows
     are repeats of each other. Only doc_id and text are read; other columns may have any names.
     """
-    period, _ = cover_for(window)
+    ship(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), "text")
 
     def met_again(rows: DataFrame, *key: str) -> DataFrame:

@@ -16,6 +16,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import split_text_batches
 
 #: A public byte-level vocabulary of 50,256 ranks and its split pattern.
@@ -46,6 +47,7 @@ def read_vocabulary(spark: SparkSession, path: str) -> bytes:
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """n_tokens of every text, one row each; null and empty texts have 0."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(docs.sparkSession, vocabulary))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
