@@ -49,6 +49,11 @@ def _remove_at_exit(spark: SparkSession, folder: str) -> None:
     atexit.register(remove)
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Column names as references, whatever characters they hold."""
+    return [f"`{n.replace('`', '``')}`" for n in names]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession

@@ -216,17 +216,19 @@ def identify(docs: DataFrame, names: list[str], model: ByteGru | None, language:
     shared = docs.sparkSession.sparkContext.broadcast((names, model))
     letters = "__has_letter"
     marked = docs.withColumn(letters, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    column = docs.columns.index("text")
+    marked = marked.toDF(*[f"c{i}" for i in range(len(marked.columns))])  # Spark takes no names with dots below
+    carried = docs.columns
+    column = carried.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, net = shared.value
-        for batch in split_text_batches(batches, "text"):
+        for batch in split_text_batches(batches, f"c{column}"):
             prob = text_probabilities(net, batch.column(column))
             best = prob.argmax(axis=1)
             sure = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             value = np.where(sure, np.clip(np.round(prob[np.arange(len(best)), best], 6), 0, 1), 0.0)
             label = [known[b] if s else UNDETERMINED for b, s in zip(best.tolist(), sure.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(label, pa.string()), pa.array(value, pa.float64())], names=[*batch.schema.names[:-1], language, score])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(label, pa.string()), pa.array(value, pa.float64())], names=[*carried, language, score])
 
     return marked.mapInArrow(rows, T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())]))
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import guarded, stage
+from .common import guarded, quoted, stage
 from .components import components
 
 #: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line.
@@ -224,12 +224,12 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd:
     gone = stage(repeated_lines(docs, max_edits, least, crowd).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
     changed = guarded(gone.select("__row_a", "__row_b"), gone.count())
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    docs = docs.select(*names).withColumns({"__a": F.xxhash64("doc_id", "text"), "__b": F.hash(F.col("text"), F.col("doc_id"))})
+    docs = docs.select(*quoted(names)).withColumns({"__a": F.xxhash64("doc_id", "text"), "__b": F.hash(F.col("text"), F.col("doc_id"))})
     on = (F.col("__a") == F.col("__row_a")) & (F.col("__b") == F.col("__row_b"))
     lines = F.split("text", "\n", -1)
     n_lines = F.coalesce(F.size(lines), F.lit(0))
-    same = docs.join(changed, on, "left_anti").select(*names, F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    same = docs.join(changed, on, "left_anti").select(*quoted(names), F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    cut = docs.join(changed, on, "left_semi").join(gone, on).select(*[kept.alias(c) if c == "text" else F.col(c) for c in names], n_lines.cast("long").alias("n_lines"), F.size("__gone").cast("long").alias("n_removed"))
+    cut = docs.join(changed, on, "left_semi").join(gone, on).select(*[kept.alias(c) if c == "text" else F.col(q) for c, q in zip(names, quoted(names), strict=True)], n_lines.cast("long").alias("n_lines"), F.size("__gone").cast("long").alias("n_removed"))
     return same.unionByName(cut)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, guarded, stage
+from .common import WORD, guarded, quoted, stage
 
 #: Hexadecimal digits of the hash that each histogram resolves, and those of the whole hash.
 BUCKET_DIGITS, HASH_DIGITS = 3, 15
@@ -136,5 +136,5 @@ def take(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: f
     """The rows of docs that the mix takes, with all their columns and ``copies`` (1 or more; it replaces a column of that name)."""
     plan, sources = thresholds(sizes(docs), weights, share, most)
     names = [c for c in docs.columns if c != "copies"]
-    held = docs.select(F.col("source"), row_hash(F.col("doc_id"), F.col("text")).alias("hash"), F.struct(*names).alias("row"))
+    held = docs.select(F.col("source"), row_hash(F.col("doc_id"), F.col("text")).alias("hash"), F.struct(*quoted(names)).alias("row"))
     return _by_source(held, plan, sources).withColumn("copies", _copies()).filter("copies > 0").select(*[F.col("row")[c].alias(c) for c in names], "copies")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import guarded, mix64, sample_of, split_text_batches, stage
+from .common import guarded, mix64, quoted, sample_of, split_text_batches, stage
 from .components import components
 
 SEED = 42
@@ -263,4 +263,4 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int =
     kept = keyed.join(chosen, (F.col(a) == F.col("__chosen_a")) & (F.col(b) == F.col("__chosen_b")))
     # rows that are alike in id and text are one choice: the first stays
     same = Window.partitionBy(a, b).orderBy(F.lit(1))
-    return kept.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*[kept[c] for c in docs.columns])
+    return kept.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*quoted(docs.columns))

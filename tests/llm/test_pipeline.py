@@ -77,6 +77,15 @@ def test_run_gives_what_the_stages_give_and_reruns_agree(spark, corpus, pipeline
     assert sorted(tuple(r) for r in pipeline.run(spark, folder).collect()) == want
 
 
+def test_stages_keep_columns_of_any_name(spark, corpus, pipeline):
+    folder, _, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(20).selectExpr("*", "1 AS `a.b`", "'x' AS size", "doc_id AS row_a", "0 AS copies")
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns[-4:] == ["a.b", "size", "row_a", "copies"] and {r["size"] for r in docs.collect()} == {"x"}
+    assert pipeline.STAGES[-1][1](spark, docs, folder).columns == docs.columns
+
+
 def test_empty_documents(spark, tmp_path, pipeline):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
