@@ -157,21 +157,24 @@ def _crowd_links(rows: DataFrame) -> DataFrame:
     return links.union(shorter.join(whole, ["h1", "h2"]).select("u", F.col("id").alias("v"))).filter("u != v")
 
 
-def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD) -> DataFrame:
+def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None) -> DataFrame:
     """row_a, row_b, gone: for each row with lines to remove, their numbers (from 0).
 
     Of the lines that are linked by equality and by near-copies, directly or through others, the
     first stays: that with the smallest doc_id (rows without one come last), and in it the first.
-    Rows alike in id and text are treated alike. ``crowd`` bounds pairs only for one edit.
+    Rows alike in id and text are treated alike. ``crowd`` bounds pairs only for one edit. Lines
+    of ``exact`` characters (``least``, if not given) up to ``least`` are linked by equality alone.
     """
+    exact = least if exact is None else min(exact, least)
     own, probes = segment_keys(F.col("line"), F.col("n"), max_edits)
     keys = [k.alias(f"k{i}") for i, k in enumerate([*own, *probes])]
-    lines = stage(lines_of(docs, least, F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *keys).drop("line"), "lines")
+    lines = stage(lines_of(docs, exact, F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *keys).drop("line"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b", "line_no")
     distinct = stage(lines.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.max(place).alias("last"), *[F.min(f"k{i}").alias(f"k{i}") for i in range(len(keys))]), "distinct-lines")
 
     index = F.array(*[F.struct(F.col(f"k{i}").alias("k"), F.lit(i < len(own)).alias("own")) for i in range(len(keys))])
-    entries = distinct.select("h1", "h2", F.explode(index).alias("e")).select("h1", "h2", "e.k", "e.own")
+    compared = distinct.filter(F.col("n") >= least) if exact < least else distinct
+    entries = compared.select("h1", "h2", F.explode(index).alias("e")).select("h1", "h2", "e.k", "e.own")
     met = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.count_if("own").alias("o")).filter((F.col("c") > 1) & (F.col("o") > 0)).select("k", "c")
     met = stage(met, "segments")
     shared = stage(entries.join(guarded(met, met.count()), "k").select("h1", "h2", "k", "c", "own", _id(F.col("h1"), F.col("h2")).alias("id")), "shared")
@@ -213,15 +216,15 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     return gone.groupBy("row_a", "row_b").agg(F.collect_set("line_no").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None) -> DataFrame:
     """docs with the text's repeated lines removed, and n_lines and n_removed as further columns; one row for every input row.
 
     Lines are what newlines separate; blanks around them and lines of fewer than ``least``
-    characters (empty ones too) are not compared, and stay. Kept lines keep their blanks and
-    their order. A null text stays null with 0 lines. Columns n_lines and n_removed of docs are
+    characters (empty ones too) are not compared, and stay; with ``exact``, shorter ones of so many
+    characters or more go too if they are equal to another. Kept lines keep their blanks and their order. A null text stays null with 0 lines. Columns n_lines and n_removed of docs are
     replaced; all others stay.
     """
-    gone = stage(repeated_lines(docs, max_edits, least, crowd).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
+    gone = stage(repeated_lines(docs, max_edits, least, crowd, exact).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
     changed = guarded(gone.select("__row_a", "__row_b"), gone.count())
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*quoted(names)).withColumns({"__a": F.xxhash64("doc_id", "text"), "__b": F.hash(F.col("text"), F.col("doc_id"))})

@@ -94,6 +94,13 @@ def test_bit_parallel_distance(spark):
         assert distance(r.m.a, r.m.b) == distance(r.a, r.b)
 
 
+def test_exact_copies_of_short_lines_go_too(spark):
+    line = "a line that is long enough"
+    rows = [(1, "Les.\n\nx"), (2, " Les.\r\n\nLes,\n" + line), (3, "x\nLes.\n \n" + line[:-1] + "!"), (4, "Les.")]
+    got = run(spark, rows, least=16, exact=1)
+    assert got == [(1, "Les.\n\nx", 3, 0), (2, "\nLes,\n" + line, 4, 1), (3, " ", 4, 3), (4, "", 1, 1)]
+
+
 def test_repeated_rows_and_null_ids(spark):
     line = "a line that is long enough"
     rows = [(1, line), (1, line), (None, line), (2, line + "\nand another line here"), (None, "alone, but long enough too")]

@@ -68,6 +68,11 @@ def test_every_stage(spark, corpus, pipeline):
     assert all(1 <= r.copies <= 3 for r in mixed)
 
 
+def test_line_stage_compares_short_lines(spark, pipeline):
+    docs = spark.createDataFrame([(1, "Les.\nfirst", "aa", "s", 10), (2, "Les.\nsecond", "aa", "s", 11)], DOCS)
+    assert sorted(r.text for r in pipeline.line_dedup_stage(spark, docs, "").collect()) == ["Les.\nfirst", "second"]
+
+
 def test_run_gives_what_the_stages_give_and_reruns_agree(spark, corpus, pipeline):
     folder, _, _ = corpus
     docs = spark.read.parquet(f"{folder}/documents.parquet")
