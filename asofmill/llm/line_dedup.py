@@ -12,6 +12,11 @@ that more than ``crowd`` different lines share makes no pairs: with one edit all
 are keyed by all that lies outside one of ``BLOCKS`` blocks, then by the line without one
 character of a shared block. Lines with such a key in common are near-copies; each is linked to
 the least of them.
+
+With more edits, lines of a crowded segment are linked like that too, and to the least line of
+the segment if near it. Then what lies outside the segment is cut into max_edits + 1 segments
+in its turn, one of which a near-copy also holds. Of lines that share a segment of both kinds
+only those make pairs that are not linked yet, so one large family of near-copies makes none.
 """
 
 from __future__ import annotations
@@ -51,6 +56,41 @@ def segment_keys(line: Column, n: Column, max_edits: int) -> tuple[list[Column],
     return own, probes
 
 
+def _places(max_edits: int) -> list[tuple[int, int, int]]:
+    """Segment (from 1), how much shorter the indexed line is, and shift of each key of ``segment_keys``, in its order."""
+    parts = max_edits + 1
+    shifts = lambda i, less: range(max(1 - i, less - (parts - i)), min(i - 1, less + parts - i) + 1)
+    return [(i, 0, 0) for i in range(1, parts + 1)] + [(i, less, s) for less in range(parts) for i in range(1, parts + 1) for s in shifts(i, less) if less or s]
+
+
+def _each(values: Column, use) -> Column:
+    """``use`` of every value, whatever further parameters it has."""
+    return F.transform(values, lambda x: use(x))
+
+
+def _finer(rows: DataFrame, max_edits: int) -> DataFrame:
+    """k, own, id: the entries (id, k, at, line, n) of crowded segments, keyed by further segments of what lies outside theirs.
+
+    Two lines within ``max_edits`` that share a segment where ``segment_keys`` says are so outside it too.
+    """
+    parts, places = max_edits + 1, _places(max_edits)
+    i, less, shift = (F.get(F.array(*[F.lit(p[x]) for p in places]), F.col("at")) for x in range(3))
+    start, size = _segment(F.col("n") - less, i, parts)
+    start, size = (start + shift).cast("int"), size.cast("int")
+    rest = F.concat(F.substring("line", F.lit(1), start - 1), F.substring("line", start + size, F.col("n")))
+    rows = rows.select("id", "k", (F.col("at") < parts).alias("own"), less.alias("less"), rest.alias("rest"), (F.col("n") - less - size).alias("m"))
+    made = []
+    for j in range(1, parts + 1):
+        begin, length = (x.cast("int") for x in _segment(F.col("m"), j, parts))
+
+        def key(shift: Column, j: int = j, begin: Column = begin, length: Column = length) -> Column:
+            return F.struct(F.xxhash64("k", F.lit(j), F.substring("rest", begin + shift, length)).alias("k"), (F.col("own") & (shift == 0)).alias("own"))
+
+        low, high = F.greatest(F.lit(1 - j), F.col("less") - (parts - j)), F.least(F.lit(j - 1), F.col("less") + parts - j)
+        made.append(_each(F.sequence(low, high), key))
+    return rows.select("id", F.explode(F.concat(*made)).alias("e")).select("e.k", "e.own", "id").distinct()
+
+
 def shared_prefix(a: Column, b: Column, most: Column) -> Column:
     """Characters that a and b begin with alike, ``most`` at most: a search by halving steps."""
     steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
@@ -157,51 +197,93 @@ def _crowd_links(rows: DataFrame) -> DataFrame:
     return links.union(shorter.join(whole, ["h1", "h2"]).select("u", F.col("id").alias("v"))).filter("u != v")
 
 
-def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None) -> DataFrame:
+def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, crowd: int) -> DataFrame:
+    """u, v for the entries (k, at, own, c, id) of shared segments, several edits allowed; pairs are those that ``verified`` keeps."""
+
+    def paired(entries: DataFrame) -> DataFrame:
+        a, b = entries.filter("own").drop("own").withColumnRenamed("id", "u"), entries.withColumnRenamed("id", "v")
+        if "root" in entries.columns:
+            a, b = a.withColumnRenamed("root", "root_u"), b.withColumnRenamed("root", "root_v")
+        pairs = a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v"))))
+        return pairs.filter("root_u != root_v") if "root" in entries.columns else pairs
+
+    def starred(entries: DataFrame) -> DataFrame:
+        least = entries.filter("own").groupBy("k").agg(F.min("id").alias("v"))
+        return entries.join(least, "k").select(F.col("id").alias("u"), "v").filter("u != v")
+
+    many = shared.filter(F.col("c") > crowd)
+    near = verified(paired(shared.filter(F.col("c") <= crowd).select("k", "own", "id")).select("u", "v").distinct())
+    crowded = many.select("id", "k", "at").join(texts, "id")
+    finer = stage(_finer(crowded, max_edits), "finer")
+    links = near.union(_crowd_links(texts.join(many.select("id").distinct(), "id", "left_semi")))
+    links = links.union(verified(starred(many.select("k", "own", "id")).union(starred(finer)).distinct()))
+    links = stage(links, "first-links")
+    roots = stage(components(links), "first-roots")
+    rooted = finer.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
+    return links.union(verified(paired(rooted.join(mixed, "k", "left_semi")).select("u", "v").distinct()))
+
+
+def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None, per_edit: int = 1) -> DataFrame:
     """row_a, row_b, gone: for each row with lines to remove, their numbers (from 0).
 
     Of the lines that are linked by equality and by near-copies, directly or through others, the
     first stays: that with the smallest doc_id (rows without one come last), and in it the first.
-    Rows alike in id and text are treated alike. ``crowd`` bounds pairs only for one edit. Lines
-    of ``exact`` characters (``least``, if not given) up to ``least`` are linked by equality alone.
+    Rows alike in id and text are treated alike. A pair's edits are also at most its shorter line's
+    length over ``per_edit`` (one edit always is allowed). Lines of ``exact`` characters (``least``, if
+    not given) up to ``least`` are linked by equality alone.
     """
     exact = least if exact is None else min(exact, least)
     own, probes = segment_keys(F.col("line"), F.col("n"), max_edits)
     keys = [k.alias(f"k{i}") for i, k in enumerate([*own, *probes])]
-    lines = stage(lines_of(docs, exact, F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *keys).drop("line"), "lines")
+    wide = max_edits > 1
+    hashes = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")]
+    lines = stage(lines_of(docs, exact, *hashes, *([] if wide else keys)).drop("line"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b", "line_no")
-    distinct = stage(lines.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.max(place).alias("last"), *[F.min(f"k{i}").alias(f"k{i}") for i in range(len(keys))]), "distinct-lines")
+    # many keys of each line are made of its text, once
+    told = lines_of(docs, exact, *hashes) if wide else lines
+    extra = [F.first("line").alias("line")] if wide else [F.min(f"k{i}").alias(f"k{i}") for i in range(len(keys))]
+    distinct = stage(told.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.max(place).alias("last"), *extra), "distinct-lines")
 
     index = F.array(*[F.struct(F.col(f"k{i}").alias("k"), F.lit(i < len(own)).alias("own")) for i in range(len(keys))])
     compared = distinct.filter(F.col("n") >= least) if exact < least else distinct
-    entries = compared.select("h1", "h2", F.explode(index).alias("e")).select("h1", "h2", "e.k", "e.own")
+    if wide:
+        compared = compared.select("h1", "h2", *keys)
+    entries = compared.select("h1", "h2", F.posexplode(index).alias("at", "e")).select("h1", "h2", "at", "e.k", "e.own")
     met = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.count_if("own").alias("o")).filter((F.col("c") > 1) & (F.col("o") > 0)).select("k", "c")
     met = stage(met, "segments")
-    shared = stage(entries.join(guarded(met, met.count()), "k").select("h1", "h2", "k", "c", "own", _id(F.col("h1"), F.col("h2")).alias("id")), "shared")
+    shared = stage(entries.join(guarded(met, met.count()), "k").select("h1", "h2", "k", "c", "at", "own", _id(F.col("h1"), F.col("h2")).alias("id")), "shared")
     wanted = stage(shared.select("h1", "h2", "id").distinct(), "wanted")
     texts = stage(
-        lines_of(docs, least)
-        .select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "line", "n")
+        (distinct if wide else lines_of(docs, least, *hashes))
+        .select("h1", "h2", "line", "n")
         .join(guarded(wanted, wanted.count()), ["h1", "h2"])
         .groupBy("id")
         .agg(F.first("line").alias("line"), F.first("n").alias("n")),
         "texts",
     )
-    few = shared if max_edits > 1 else shared.filter(F.col("c") <= crowd)
-    a, b = few.filter("own").select("k", F.col("id").alias("u")), few.select("k", "own", F.col("id").alias("v"))
-    pairs = a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v").distinct()
-    held = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v")
 
-    def verified(m: Column) -> Column:
-        near = within_edits(m["a"], m["b"], max_edits)
+    def near(a: Column, b: Column, m: Column) -> Column:
         if max_edits == 1:  # what is left differs at both ends, so more than one character is more than one edit
-            near = (F.char_length(m["a"]) <= 1) & (F.char_length(m["b"]) <= 1) & near
-        return near
-
-    links = held.filter(let(middles(F.col("a"), F.col("b")), verified)).select("u", "v")
-    if max_edits == 1:
+            return (F.char_length(m["a"]) <= 1) & (F.char_length(m["b"]) <= 1) & within_edits(m["a"], m["b"], 1)
+        allowed = F.least(F.char_length(a), F.char_length(b)) / per_edit
+        out = within_edits(m["a"], m["b"], 1)
+        for k in range(2, max_edits + 1):
+            out = F.when(allowed >= k, within_edits(m["a"], m["b"], k)).otherwise(out)
+        return out
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        held = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v")
+        return held.filter(let(middles(F.col("a"), F.col("b")), lambda m: near(F.col("a"), F.col("b"), m))).select("u", "v")
+
+    if wide:
+        links = _wide_links(shared, texts, verified, max_edits, crowd)
+    else:
+        few = shared.filter(F.col("c") <= crowd)
+        a, b = few.filter("own").select("k", F.col("id").alias("u")), few.select("k", "own", F.col("id").alias("v"))
+        pairs = a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v").distinct()
         many = shared.filter(F.col("c") > crowd).select("id").distinct()
-        links = links.union(_crowd_links(texts.join(many, "id", "left_semi")))
+        links = verified(pairs).union(_crowd_links(texts.join(many, "id", "left_semi")))
     roots = stage(components(links), "line-roots")
     groups = stage(wanted.join(roots.select(F.col("node").alias("id"), "root"), "id").select("h1", "h2", "root"), "line-groups")
     firsts = distinct.select("h1", "h2", "first", "last").join(guarded(groups, groups.count()), ["h1", "h2"], "left")
@@ -216,7 +298,7 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     return gone.groupBy("row_a", "row_b").agg(F.collect_set("line_no").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None, per_edit: int = 1) -> DataFrame:
     """docs with the text's repeated lines removed, and n_lines and n_removed as further columns; one row for every input row.
 
     Lines are what newlines separate; blanks around them and lines of fewer than ``least``
@@ -224,7 +306,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd:
     characters or more go too if they are equal to another. Kept lines keep their blanks and their order. A null text stays null with 0 lines. Columns n_lines and n_removed of docs are
     replaced; all others stay.
     """
-    gone = stage(repeated_lines(docs, max_edits, least, crowd, exact).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
+    gone = stage(repeated_lines(docs, max_edits, least, crowd, exact, per_edit).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
     changed = guarded(gone.select("__row_a", "__row_b"), gone.count())
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*quoted(names)).withColumns({"__a": F.xxhash64("doc_id", "text"), "__b": F.hash(F.col("text"), F.col("doc_id"))})

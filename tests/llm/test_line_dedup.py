@@ -94,6 +94,21 @@ def test_bit_parallel_distance(spark):
         assert distance(r.m.a, r.m.b) == distance(r.a, r.b)
 
 
+@pytest.mark.parametrize("crowd", [2, 64])
+def test_three_edits_match_brute_force(spark, crowd):
+    chance = random.Random(3)
+    head, tail = "the same beginning of all ", " and an end"
+    rows = [r for r in corpus(30) if r[0] < 103]
+    rows += [(200 + i, head + "".join(chance.choices("abcd", k=6)) + tail) for i in range(25)] + [(300 + i, head + "".join(chance.choices("efghij", k=9)) + tail[chance.randrange(3) :]) for i in range(25)]
+    assert run(spark, rows, max_edits=3, least=12, crowd=crowd) == brute(rows, 3, 12)
+
+
+def test_edits_grow_with_the_line(spark):
+    short, long = "twenty characters ok", "a line of more than forty-eight characters, all counted"
+    rows = [(1, short), (2, short.replace("ok", "no")), (3, long), (4, long.replace("all", "not"))]
+    assert [r[3] for r in run(spark, rows, max_edits=3, per_edit=16)] == [0, 0, 0, 1]
+
+
 def test_exact_copies_of_short_lines_go_too(spark):
     line = "a line that is long enough"
     rows = [(1, "Les.\n\nx"), (2, " Les.\r\n\nLes,\n" + line), (3, "x\nLes.\n \n" + line[:-1] + "!"), (4, "Les.")]
