@@ -2,8 +2,9 @@
 
 Numbers, names and units become typed slots; what is left of a text is its template. Windows of
 template words are hashed, and windows of documents are joined with those of the benchmark. A
-document and an item match along a shift if what stands in the slots fits: one value of the item
-has one value in the document throughout. So a question with other numbers or names is found, and
+document and an item match along a shift where what stands in the slots fits: one value of the item
+has one value in the document throughout a run of windows that overlap. Windows whose slots are
+unchanged match whatever the others of their run hold. So a question with other numbers or names is found, and
 two texts that merely share slot-ridden wording are not.
 """
 
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -165,7 +166,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
     """Pairs of a document and an item that share a template: one row for each pair (and each row of a repeated id).
 
     doc_id, row_a, row_b (they name the row), item_id, n_windows (different windows of the item
-    that match along consistent shifts), item_windows, coverage (their ratio), changed (slots
+    that match), item_windows, coverage (their ratio), changed (slots
     whose value differs, at the shift with the most windows) and verbatim (none does).
 
     Null and empty texts match nothing. Items without id, with fewer than ``least`` template
@@ -193,13 +194,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
             yield _rows(templates, list(batch.columns[:3]), ["row_a", "row_b", "doc_id"], chosen)
 
     found = keyed.mapInArrow(rows, "window long, row_a long, row_b int, doc_id long, place int, slots array<string>")
-    own = items.select("window", "item_id", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    own = items.select("window", "item_id", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "width")
     pairs = found.join(guarded(own, items.count(), 200_000), "window").filter(F.size("slots") == F.size("item_slots"))
+    key = ["row_a", "row_b", "doc_id", "item_id", "shift"]
+    met = pairs.select(
+        *key[:4], (F.col("place") - F.col("item_place")).alias("shift"), F.col("item_place").alias("at"), "width", (F.col("slots") == F.col("item_slots")).alias("same"),
+        F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("own")).alias("values"),
+    ).distinct()
+    ordered = Window.partitionBy(*key).orderBy("at")
+    begins = F.coalesce(F.col("at") >= F.lag(F.col("at") + F.col("width")).over(ordered), F.lit(False))
+    runs = (
+        met.withColumn("begins", begins.cast("int"))
+        .withColumn("run", F.sum("begins").over(ordered))
+        .groupBy(*key, "run")
+        .agg(F.collect_set(F.struct("at", "same")).alias("windows"), F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"))
+    )
+    # one value of the item stands for one value of the document, all along the run
+    fits = F.size("values") == F.size(F.array_distinct(F.col("values.item")))
     along = (
-        pairs.groupBy("row_a", "row_b", "doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("own"))))).alias("values"))
-        # one value of the item stands for one value of the document, all along the shift
-        .filter(F.size("values") == F.size(F.array_distinct(F.col("values.item"))))
+        runs.withColumn("places", F.filter("windows", lambda w: fits | w["same"])["at"])
+        .groupBy(*key)
+        .agg(F.flatten(F.collect_set("places")).alias("places"), F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"))
+        .filter(F.size("places") > 0)
         .withColumn("changed", F.size(F.filter("values", lambda v: v["item"] != v["own"])))
     )
     sizes = items.groupBy("item_id").agg(F.count_distinct("place").cast("int").alias("item_windows"))

@@ -85,6 +85,14 @@ def test_other_numbers_and_names_are_found_and_inconsistent_ones_not(spark):
     assert 202 not in got and 206 not in got
 
 
+def test_a_conflict_leaves_the_unchanged_windows(spark):
+    tail = " She then walked slowly along the river until it got dark and cold outside."
+    docs = [(1, QUESTION.replace("12 apples", "13 apples") + tail), (2, BROKEN), (3, OTHER + " Nothing else. " + tail)]
+    got = {r.doc_id: r for r in dc.matches(*frames(spark, docs, [(100, QUESTION + tail)])).collect()}
+    assert got[1].n_windows < got[1].item_windows and got[1].changed == 1 and not got[1].verbatim
+    assert 2 not in got and got[3].changed >= 3
+
+
 def test_removal_keeps_the_rest(spark):
     docs, items = cases()
     frame, bench = frames(spark, docs, items)
