@@ -6,6 +6,9 @@ document and an item match along a shift where what stands in the slots fits: on
 has one value in the document throughout a run of windows that overlap. Windows whose slots are
 unchanged match whatever the others of their run hold. So a question with other numbers or names is found, and
 two texts that merely share slot-ridden wording are not.
+
+With ``exact``, windows that are mostly slots, and items that are too short for a template, are
+looked for as well, by their very words and values.
 """
 
 from __future__ import annotations
@@ -45,6 +48,8 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?:;\n]")
 _PLAIN, _CAPITAL, _NUMBER, _UNIT, _NAME, _STOP = range(6)
 _SLOTS = {_NUMBER: 0x9AE16A3B2F90404F, _UNIT: 0xC949C7DEFB2D1E1D, _NAME: 0xB492B66FBE98F273}
 _BASE = 0xD1342543DE82EF95
+#: Added to the width of windows that are hashed with what their slots hold.
+_EXACT = 1 << 32
 
 
 class _Vocabulary(dict):
@@ -96,22 +101,29 @@ class Templates:
         again = np.zeros(len(token), bool)
         again[1:] = name[1:] & name[:-1] & same[1:]  # first and last name are one slot
         hashes = np.array(vocabulary.hashes, np.uint64)[token] if len(token) else np.zeros(0, np.uint64)
+        words = hashes.copy()
         for mask, slot in ((name, _NAME), (number, _NUMBER), (unit, _UNIT)):
             hashes[mask] = _SLOTS[slot]
         stay = ~again
+        self.words = words[stay]
         self.hashes, self.slot, self.token, self.of = hashes[stay], (name | number | unit)[stay], token[stay], of[stay]
         self.first = np.searchsorted(self.of, np.arange(len(texts) + 1))
         self.forms = vocabulary.forms
 
-    def windows(self, width: int, texts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of each window of ``width`` words that lies in one text and has half its words, at least, outside slots."""
+    def windows(self, width: int, texts: np.ndarray | None = None, exact: bool = False, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+        """First word and hash of each window of ``width`` words that lies in one text and has half its words, at least, outside slots.
+
+        With ``exact``, of each other window (of each, if shorter than ``least``), hashed with what its slots hold.
+        """
         at = np.arange(max(0, len(self.hashes) - width + 1))
         plain = np.concatenate(([0], np.cumsum(~self.slot)))
-        keep = (self.of[at] == self.of[at + width - 1]) & (2 * (plain[at + width] - plain[at]) >= width)
+        wording = (2 * (plain[at + width] - plain[at]) >= width) & (width >= least)
+        keep = (self.of[at] == self.of[at + width - 1]) & (wording != exact)
         if texts is not None:
             keep &= texts[self.of[at]]
         at = at[keep]
-        return at, mix64(window_hashes(self.hashes, at, width, _BASE) + np.uint64(width)) if len(at) else np.zeros(0, np.uint64)
+        salt = np.uint64(width + (_EXACT if exact else 0))
+        return at, mix64(window_hashes(self.words if exact else self.hashes, at, width, _BASE) + salt) if len(at) else np.zeros(0, np.uint64)
 
     def values(self, at: int, width: int) -> list[str]:
         return [self.forms[t] for t in self.token[at : at + width][self.slot[at : at + width]].tolist()]
@@ -129,18 +141,20 @@ def _rows(templates: Templates, ids: list[pa.Array], names: list[str], chosen: l
     )
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, least: int = LEAST) -> DataFrame:
-    """window (hash), item_id, place, slots, width: every window of each item; an item shorter than ``window`` is one window."""
+def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, least: int = LEAST, exact: bool = False) -> DataFrame:
+    """window (hash), item_id, place, slots, width, exact: every window of each item; an item shorter than ``window`` is one window."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_text_batches(batches, "text"):
             templates = Templates(batch.column(1).to_pylist(), _Vocabulary())
             n = np.diff(templates.first)
-            chosen = [(w, *templates.windows(w, np.minimum(n, window) == w)) for w in range(least, window + 1)]
+            kinds = [(w, False) for w in range(least, window + 1)] + [(w, True) for w in range(1, window + 1) if exact]
+            chosen = [(w, *templates.windows(w, np.minimum(n, window) == w, kind, least)) for w, kind in kinds]
             made = _rows(templates, [batch.column(0)], ["item_id"], chosen)
-            yield made.append_column("width", pa.array(np.concatenate([np.full(len(a), w, np.int32) for w, a, _ in chosen]), pa.int32()))
+            made = made.append_column("width", pa.array(np.concatenate([np.full(len(a), w, np.int32) for w, a, _ in chosen]), pa.int32()))
+            yield made.append_column("exact", pa.array(np.concatenate([np.full(len(a), kind) for (_, kind), (_, a, _) in zip(kinds, chosen, strict=True)]), pa.bool_()))
 
-    schema = "window long, item_id long, place int, slots array<string>, width int"
+    schema = "window long, item_id long, place int, slots array<string>, width int, exact boolean"
     return benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, schema)
 
 
@@ -162,7 +176,7 @@ def _may_hold(filter_: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (filter_[bucket * 4096 + position // 8] >> (position % 8).astype(np.uint8)) & 1 == 1
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST, filter_bits: int = FILTER_BITS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST, filter_bits: int = FILTER_BITS, exact: bool = False) -> DataFrame:
     """Pairs of a document and an item that share a template: one row for each pair (and each row of a repeated id).
 
     doc_id, row_a, row_b (they name the row), item_id, n_windows (different windows of the item
@@ -170,12 +184,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
     whose value differs, at the shift with the most windows) and verbatim (none does).
 
     Null and empty texts match nothing. Items without id, with fewer than ``least`` template
-    words, or without a window that is half wording match nothing. Equal windows of an item all
-    count. Only doc_id, text and item_id, text are read.
+    words, or without a window that is half wording match nothing, unless ``exact`` is set: then a
+    window that is mostly slots, and a whole item that is too short, match the same words with the
+    same values, however few. Equal windows of an item all count. Only doc_id, text and item_id, text are read.
     """
     ship(docs.sparkSession)
-    items = stage(benchmark_windows(benchmark, window, least), "items")
-    widths = sorted(r.width for r in items.select("width").distinct().collect())
+    items = stage(benchmark_windows(benchmark, window, least, exact), "items")
+    widths = sorted((r.width, r.exact) for r in items.select("width", "exact").distinct().collect())
     shared = docs.sparkSession.sparkContext.broadcast((_filter_of(items, filter_bits), widths))
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
@@ -187,8 +202,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
                 vocabulary = _Vocabulary()
             templates = Templates(batch.column(3).to_pylist(), vocabulary)
             chosen = []
-            for width in wanted:
-                at, hashes = templates.windows(width)
+            for width, kind in wanted:
+                at, hashes = templates.windows(width, None, kind, least)
                 hit = _may_hold(filter_, hashes, filter_bits)
                 chosen.append((width, at[hit], hashes[hit]))
             yield _rows(templates, list(batch.columns[:3]), ["row_a", "row_b", "doc_id"], chosen)
@@ -229,8 +244,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
     )
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST, exact: bool = False) -> DataFrame:
     """The rows of docs that match no item; columns unchanged."""
-    bad = stage(matches(docs, benchmark, window, least).select(F.col("row_a").alias("__bad_a"), F.col("row_b").alias("__bad_b")).distinct(), "contaminated")
+    bad = stage(matches(docs, benchmark, window, least, exact=exact).select(F.col("row_a").alias("__bad_a"), F.col("row_b").alias("__bad_b")).distinct(), "contaminated")
     on = (F.xxhash64("doc_id", "text") == F.col("__bad_a")) & (F.hash(F.col("text"), F.col("doc_id")) == F.col("__bad_b"))
     return docs.join(guarded(bad, bad.count()), on, "left_anti")

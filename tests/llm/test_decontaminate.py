@@ -93,6 +93,14 @@ def test_a_conflict_leaves_the_unchanged_windows(spark):
     assert 2 not in got and got[3].changed >= 3
 
 
+def test_short_items_and_windows_of_slots_are_found_by_their_words(spark):
+    items = [(1, "What is 37 times 48?"), (2, "Add 3 4 5 6 7 8 9 10 11 12 13 now.")]
+    docs = [(1, "Easy. what is 37 times 48? Yes."), (2, "What is 38 times 48?"), (3, "So add 3 4 5 6 7 8 9 10 11 12 13 now"), (4, "Add 3 4 5 6 7 8 9 11 11 12 13 now.")]
+    got = dc.matches(*frames(spark, docs, items), exact=True).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (3, 2)} and all(r.verbatim and r.coverage == 1 for r in got)
+    assert sorted(r.doc_id for r in dc.remove_contaminated(*frames(spark, docs, items), exact=True).collect()) == [2, 4]
+
+
 def test_removal_keeps_the_rest(spark):
     docs, items = cases()
     frame, bench = frames(spark, docs, items)
