@@ -20,7 +20,7 @@ from .common import joined_bytes, split_text_batches, within_share
 
 #: Bytes that the network reads at once, hidden units of each direction.
 WINDOW, HIDDEN = 64, 8
-#: The bounded sample: texts for each language, windows from each text, and languages at most.
+#: The bounded sample: texts for each language, windows from each text, and languages beyond which each gives fewer texts.
 PER_LANGUAGE, PER_TEXT, LANGUAGES = 400, 6, 256
 UNDETERMINED = "und"
 
@@ -154,7 +154,7 @@ def sample_windows(docs: DataFrame, learn, per_language: int = PER_LANGUAGE, per
     known = known.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter(within_share(F.col("chance"), F.col("texts"), 2 * per_language)).drop("of", "texts")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "doc_id"))
     chosen = known.withColumn("rank", rank).filter(F.col("rank") <= per_language).select(F.col("doc_id").alias("chosen")).distinct()
-    # at most per_language rows for each of at most LANGUAGES languages
+    # at most per_language rows for each language
     texts = docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen"), "left_semi").select("lang", "text")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,10 +176,9 @@ def sample_windows(docs: DataFrame, learn, per_language: int = PER_LANGUAGE, per
 
 def train(docs: DataFrame, learn, steps: int = 500, per_language: int = PER_LANGUAGE, hidden: int = HIDDEN) -> tuple[list[str], ByteGru | None]:
     """Language names and a network, learned from rows where ``learn`` holds and lang is set. Without such texts there is none."""
-    names = sorted(r.lang for r in docs.filter(learn & F.col("lang").isNotNull()).select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    windows = sample_windows(docs, learn, per_language) if names else []
+    names = sorted(r.lang for r in docs.filter(learn & F.col("lang").isNotNull()).select("lang").distinct().collect())
+    # the sample is bounded in all: of more than LANGUAGES languages each gives fewer texts, one at least
+    windows = sample_windows(docs, learn, max(1, min(per_language, per_language * LANGUAGES // len(names)))) if names else []
     if not windows:
         return [], None
     data = np.zeros((len(windows), WINDOW), np.uint8)
@@ -187,7 +186,8 @@ def train(docs: DataFrame, learn, steps: int = 500, per_language: int = PER_LANG
     for i, (_, w) in enumerate(windows):
         data[i, : len(w)] = np.frombuffer(w, np.uint8)
         mask[i, : len(w)] = 1
-    labels = np.array([names.index(lang) for lang, _ in windows])
+    number = {name: i for i, name in enumerate(names)}
+    labels = np.array([number[lang] for lang, _ in windows])
     return names, ByteGru(len(names), hidden).fit(data, labels, mask, steps)
 
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from asofmill.llm import langid
 from asofmill.llm.queries import op10_language_id
@@ -65,6 +66,13 @@ def test_every_row_comes_back_and_held_out_rows_are_right(spark, tmp_path):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_any_number_of_languages(spark):
+    docs = spark.createDataFrame([(i, f"text of {i}", f"l{i % 300:03}", "x") for i in range(600)], SCHEMA)
+    names, model = langid.train(docs, F.lit(True), steps=2)
+    assert names == [f"l{i:03}" for i in range(300)] and model is not None
+    assert langid.identify(docs.select("text"), names, model).count() == 600
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None, "x"), (2, None, None, None)], SCHEMA)
     assert [r.lang_pred for r in langid.language_id(docs).collect()] == ["und", "und"]
