@@ -142,7 +142,11 @@ def fold(doc_id: str, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ranking:
-    """Learn from labelled documents outside the held-out fold (crc32 modulo 5 is 0): at most ``per_label`` of each label, by a hash of their ids."""
+    """Learn from labelled documents outside the held-out fold (crc32 modulo 5 is 0): at most ``per_label`` of each label, by a hash of their ids.
+
+    Of several rows of one id, one is learned from, by a hash of its text. Empty tables give a
+    model without weights (see ``classify``).
+    """
     ship(docs.sparkSession)
     known = (
         labels.filter((fold("doc_id", 5) != 0) & F.col("quality").isin(0, 1))
@@ -152,7 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Ran
     counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
     of_label = lambda q: sample_of(known.filter(F.col("quality") == q), counts.get(q, 0), per_label, "labelled")
     chosen = of_label(0).union(of_label(1))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("quality", "text")  # at most 2 * per_label rows
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    # of an id's several rows one is learned from, so at most 2 * per_label rows reach the driver
+    texts = texts.groupBy("labelled", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.hash("text"))).alias("text")).select("quality", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_text_batches(batches, "text"):
@@ -182,7 +188,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs.
 
     Without good labels every score is 0, without poor ones 0.5. A null or empty text is scored
-    like any other, by features that are all 0. Ids labelled more than once count by their
+    like any other, by features that are all 0; a very long one is read whole. Repeated rows come
+    back repeated, with equal scores; an empty table gives no rows. Ids labelled more than once count by their
     smallest label; null and other labels and null ids are not learned from.
     """
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))

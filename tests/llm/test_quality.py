@@ -51,3 +51,52 @@ def test_labels_of_one_kind_and_empty_tables(spark):
         got = quality.classify(docs, spark.createDataFrame(labels, LABELS)).collect()
         assert [r.predicted for r in got] == [predicted] * 2
     assert quality.classify(spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)).count() == 0
+
+
+def test_ids_with_many_rows_are_learned_from_once(spark):
+    docs, labels = corpus(60)
+    many = [(i, t, None) for i, t, _ in docs for _ in range(5)] + [(0, None, None), (1, "another text", None)]
+    rng = {i for i, *_ in docs if zlib.crc32(str(i).encode()) % 5}
+    seen = []
+    fitted = quality.fit
+    quality.fit = lambda good, poor, *n: seen.append((len(good), len(poor))) or fitted(good, poor, *n, steps=5)
+    try:
+        quality.train(spark.createDataFrame(many, DOCS), spark.createDataFrame(labels, LABELS))
+    finally:
+        quality.fit = fitted
+    good = sum(q for i, q, _ in labels if i in rng)
+    assert seen == [(good, len(rng) - good)]
+
+
+def brute_pairs_loss(weight, good, poor):
+    return np.mean([np.log1p(np.exp(-(weight @ (a - b)))) for a in good for b in poor])
+
+
+def test_fit_lowers_the_pairwise_loss_and_ranks_like_brute_force():
+    random_ = np.random.default_rng(1)
+    good, poor = random_.normal(0.5, 1, (40, quality.N_FEATURES)), random_.normal(-0.5, 1, (30, quality.N_FEATURES))
+    model = quality.fit(good, poor, 40, 30)
+    a, b = (np.clip((x - model.mean) / model.scale, -8, 8) for x in (good, poor))
+    assert brute_pairs_loss(model.weight, a, b) < 0.1 < brute_pairs_loss(np.zeros(quality.N_FEATURES), a, b)
+    worth = np.concatenate((a, b)) @ model.weight
+    assert np.allclose(model.worth(np.concatenate((good, poor))), worth)
+    assert np.mean((model.score(good) >= quality.CUT)) > 0.95 > 0.05 > np.mean((model.score(poor) >= quality.CUT))
+
+
+def brute_features(text):
+    """Some of the features, worked out byte by byte and word by word."""
+    raw = text.encode()
+    kinds = np.zeros(quality.N_KINDS)
+    for x in raw:
+        kinds[quality.KINDS[x]] += 1
+    words = raw.split()
+    return np.concatenate((np.sqrt(kinds / len(raw)), [np.log1p(len(raw)), np.log1p(len(words)), np.mean([len(w) for w in words]), len(set(words)) / len(words), max(words.count(w) for w in words) / len(words)]))
+
+
+def test_features_against_brute_force():
+    for text in ("A plain Sentence, with words. And words!", "x x x\ny", "É ß 12 AB! AB!"):
+        got = quality.features(pa.array([text]))[0]
+        own = got[quality.N_KINDS + quality.PAIRS :]
+        want = brute_features(text)
+        assert np.allclose(got[: quality.N_KINDS], want[: quality.N_KINDS])
+        assert np.allclose([own[0], own[1], own[2], own[4], own[6] ** 2], want[quality.N_KINDS :])
