@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship
-from .common import joined_bytes, split_text_batches, within_share
+from .common import joined_bytes, quoted, split_text_batches, within_share
 
 #: Bytes that the network reads at once, hidden units of each direction.
 WINDOW, HIDDEN = 64, 8
@@ -154,8 +154,9 @@ def sample_windows(docs: DataFrame, learn, per_language: int = PER_LANGUAGE, per
     known = known.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter(within_share(F.col("chance"), F.col("texts"), 2 * per_language)).drop("of", "texts")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "doc_id"))
     chosen = known.withColumn("rank", rank).filter(F.col("rank") <= per_language).select(F.col("doc_id").alias("chosen")).distinct()
-    # at most per_language rows for each language
-    texts = docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen"), "left_semi").select("lang", "text")
+    texts = docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen"), "left_semi")
+    # of an id's several rows in a language one is learned from, so at most per_language texts of each language count
+    texts = texts.groupBy("doc_id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.hash("text"))).alias("text")).select("lang", "text")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_text_batches(batches, "text"):
@@ -206,10 +207,11 @@ def text_probabilities(model: ByteGru, column: pa.Array) -> np.ndarray:
 def identify(docs: DataFrame, names: list[str], model: ByteGru | None, language: str = "lang_pred", score: str = "score") -> DataFrame:
     """docs with two columns more: the predicted language and its probability (0 to 1, six digits).
 
-    Only ``text`` is read. A text that is null or has no letter is `und` with score 0, as is every
+    Columns of docs with these names are replaced. Only ``text`` is read. A text that is null or has no letter is `und` with score 0, as is every
     text if nothing could be learned. Equal probabilities go to the first name in order. A row
-    comes back for each row, with all its columns.
+    comes back for each row (repeated ones too; none for an empty table), with all its other columns.
     """
+    docs = docs.select(*quoted([c for c in docs.columns if c not in (language, score)]))
     if model is None:
         return docs.withColumns({language: F.lit(UNDETERMINED), score: F.lit(0.0)})
     ship(docs.sparkSession)

@@ -77,3 +77,46 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None, "x"), (2, None, None, None)], SCHEMA)
     assert [r.lang_pred for r in langid.language_id(docs).collect()] == ["und", "und"]
     assert langid.language_id(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def brute_forward(net, raw):
+    """Probabilities of every byte, one byte at a time."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    logits = np.tile(p["bias"], (len(raw), 1))
+    for d, order in (("f", range(len(raw))), ("b", range(len(raw) - 1, -1, -1))):
+        h = np.zeros(len(p["fUz"]))
+        for t in order:
+            z = sigmoid(p[f"{d}z"][raw[t]] + h @ p[f"{d}Uz"])
+            r = sigmoid(p[f"{d}r"][raw[t]] + h @ p[f"{d}Ur"])
+            c = np.tanh(p[f"{d}c"][raw[t]] + (r * h) @ p[f"{d}Uc"])
+            h = h + z * (c - h)
+            logits[t] += h @ p[f"{d}o"]
+    e = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def test_pooled_probabilities_match_brute_force():
+    net = langid.ByteGru(4, seed=3)
+    texts = ["abc", "é" * 50, "x" * 64, "some words of more than sixty-four bytes, so that a second window is read", ""]
+    got = langid.text_probabilities(net, pa.array(texts))
+    for text, row in zip(texts, got):
+        raw = text.encode()
+        # a window's unused places are zero bytes, which the backward layer reads first
+        positions = [brute_forward(net, raw[i : i + 64] + bytes(64 - len(raw[i : i + 64])))[: len(raw) - i][:64] for i in range(0, len(raw), 64)]
+        want = np.concatenate(positions).mean(axis=0) if raw else np.zeros(4)
+        assert np.allclose(row, want, atol=1e-5)
+
+
+def test_ids_with_many_rows_are_learned_from_once(spark):
+    docs = spark.createDataFrame([(i % 10, f"text of {i % 10}", "xx", "s") for i in range(200)], SCHEMA)
+    assert len(langid.sample_windows(docs, F.lit(True))) == 10
+
+
+def test_columns_named_like_the_results_are_replaced(spark):
+    docs = spark.createDataFrame([(i, "bra kel tos " * 5, "xx", "old") for i in range(8)], SCHEMA).withColumn("lang_pred", F.lit("old"))
+    got = langid.language_id(docs)
+    assert sorted(got.columns) == sorted(["doc_id", "text", "lang", "score", "lang_pred"])
+    assert {r.lang_pred for r in got.select("lang_pred", "score").collect()} == {"xx"}
+    none = langid.identify(docs, [], None)
+    assert sorted(none.columns) == sorted(got.columns) and {r.score for r in none.select("score").collect()} == {0.0}
