@@ -6,9 +6,9 @@ words: for any two places of equal windows there is a shift under P that puts bo
 so equal windows share an anchor at the same shift. Anchors met twice are extended: the windows
 that can hold one are hashed whole (96 bits) and counted; those met twice are removed.
 
-Each task first looks for repeats among its own texts. It sends one row for each different
-anchor or window and marks the rest as settled, so a passage in a third of all texts comes to
-one row per slice of text rather than one per place.
+Each task first looks for repeats among its own texts. Of an anchor or window it sends at most
+two rows under its own key and marks the rest as settled, under keys that spread them. So a
+passage in a third of all texts brings at most two rows per task into one group, not one per place.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from .common import BROADCAST_ROWS, guarded, joined_bytes, mix64, span_hashes, s
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
 ANCHOR_BASE, WINDOW_BASES = 0xD6E8FEB86659FD93, (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 SLICE = 1 << 22
+#: Keys that a task remembers.
+SEEN = 1 << 22
 
 
 def cover_for(window: int) -> tuple[int, int]:
@@ -35,20 +37,54 @@ def cover_for(window: int) -> tuple[int, int]:
     return period, window - period + 1
 
 
-def _settled(key: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys and flags of one slice: 0 one of its kind, 1 the first of several, 2 a further one (with a key that spreads it)."""
-    order = np.lexsort((key,) if second is None else (second, key))
-    new = np.ones(len(key), bool)
-    if len(key):
-        new[1:] = key[order][1:] != key[order][:-1]
-        if second is not None:
-            new[1:] |= second[order][1:] != second[order][:-1]
-    several = ~new
-    several[:-1] |= ~new[1:]
-    flag = np.empty(len(key), np.int8)
-    flag[order] = np.where(new, several.astype(np.int8), 2)
-    spread = mix64(key + np.arange(len(key), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return np.where(flag == 2, spread, key), flag, order
+class Settled:
+    """What a task has sent so far: which keys once, and which at least twice.
+
+    ``SEEN`` keys are remembered; beyond them it starts anew, which only settles less in the task.
+    """
+
+    def __init__(self) -> None:
+        self.once = self.twice = np.zeros(0, np.uint64)
+
+    @staticmethod
+    def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(keys), bool)
+        return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+    @staticmethod
+    def _with(known: np.ndarray, new: np.ndarray) -> np.ndarray:
+        new = np.sort(new)
+        return np.insert(known, np.searchsorted(known, new), new)
+
+    def flags(self, key: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Keys to send and flags of one slice: 0 one of its kind so far, 1 a row under its own key that has others, 2 a further one (with a key that spreads it)."""
+        order = np.lexsort((key,) if second is None else (second, key))
+        new = np.ones(len(key), bool)
+        if len(key):
+            new[1:] = key[order][1:] != key[order][:-1]
+            if second is not None:
+                new[1:] |= second[order][1:] != second[order][:-1]
+        several = ~new
+        several[:-1] |= ~new[1:]
+        name = key if second is None else mix64(key ^ (second.astype(np.uint64) << np.uint64(32)))
+        firsts = name[order][new]
+        met, done = self._among(firsts, self.once), self._among(firsts, self.twice)
+        flag = np.empty(len(key), np.int8)
+        sent = np.where(new, several.astype(np.int8), 2)
+        at = np.flatnonzero(new)
+        sent[at[met]] = 1  # its row of an earlier slice went as one of its kind: this one tells of the repeat
+        sent[at[done]] = 2
+        flag[order] = sent
+        again = several[at] & ~met & ~done
+        # a key with several rows in this slice has gone under its own key once, marked: all its later rows are settled
+        self.once = np.delete(self.once, np.searchsorted(self.once, firsts[met]))
+        self.once = self._with(self.once, firsts[~(met | done | again)])
+        self.twice = self._with(self.twice, firsts[met | again])
+        if len(self.once) + len(self.twice) > SEEN:
+            self.once = self.twice = np.zeros(0, np.uint64)
+        spread = mix64(name + np.arange(len(key), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return np.where(flag == 2, spread, key), flag
 
 
 def _anchors(window: int):
@@ -56,6 +92,7 @@ def _anchors(window: int):
     on_cover = np.isin(np.arange(period), COVERS[period])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settled = Settled()
         for batch in split_text_batches(batches, "text", SLICE):
             data, begins = joined_bytes(batch.column(1))
             starts, ends, first = word_spans(data, begins)
@@ -66,7 +103,7 @@ def _anchors(window: int):
             if not len(at):
                 continue
             hashed = window_hashes(span_hashes(data, starts, ends), at, width, ANCHOR_BASE)
-            key, flag, _ = _settled(hashed)
+            key, flag = settled.flags(hashed)
             of = np.repeat(np.arange(len(counts)), counts)[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), pa.array(batch.column(0).to_numpy()[of]), pa.array(place[at] * 4 + flag, pa.int64())], names=["key", "row_a", "place"]
@@ -79,6 +116,7 @@ def _windows(window: int):
     period, _ = cover_for(window)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settled = Settled()
         for batch in split_text_batches(batches, "text", SLICE):
             row_no, text, anchors, copies = (batch.column(i) for i in range(4))
             data, begins = joined_bytes(text)
@@ -98,7 +136,7 @@ def _windows(window: int):
             words = span_hashes(data, starts, ends)
             one = window_hashes(words, at, window, WINDOW_BASES[0])
             two = (window_hashes(mix64(words + np.uint64(1)), at, window, WINDOW_BASES[1]) >> np.uint64(32)).astype(np.uint32)
-            key, flag, _ = _settled(one, two)
+            key, flag = settled.flags(one, two)
             of = np.repeat(np.arange(len(counts)), counts)[at]
             flag = np.where((copies.to_numpy()[of] > 1) & (flag == 0), 1, flag)
             yield pa.RecordBatch.from_arrays(

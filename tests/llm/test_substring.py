@@ -76,3 +76,25 @@ def test_query_on_a_written_table(spark, tmp_path):
     spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted((tuple(r) for r in op8_substring(spark, str(tmp_path)).collect()), key=repr)
     assert got == sorted(((d, n, g, hashlib.sha256(k.encode()).hexdigest()) for d, n, g, k in brute(rows, 35)), key=repr)
+
+
+@pytest.mark.parametrize("slice_,seen", [(64, 1 << 20), (256, 100)])
+def test_many_slices_in_one_task(spark, monkeypatch, slice_, seen):
+    monkeypatch.setattr(substring, "SLICE", slice_)
+    monkeypatch.setattr(substring, "SEEN", seen)
+    rows = corpus()
+    for parts in (1, 3):
+        docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).coalesce(1).repartition(parts)
+        assert sorted((tuple(r) for r in substring.remove_repeats(docs, 35).collect()), key=repr) == brute(rows, 35)
+
+
+def test_a_common_passage_sends_two_rows_of_each_key_from_a_task():
+    import numpy as np
+
+    settled, sent = substring.Settled(), []
+    for _ in range(50):
+        key, flag = settled.flags(np.array([5, 5, 7, 9], np.uint64))
+        sent.append((key[flag < 2], flag))
+    own = np.concatenate([k for k, _ in sent])
+    assert {k: int((own == k).sum()) for k in (5, 7, 9)} == {5: 1, 7: 2, 9: 2}
+    assert all((f == 2).all() for _, f in sent[2:])
