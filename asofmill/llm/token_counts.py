@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import split_text_batches
+from .common import split_text_batches, stage
 
 #: A public byte-level vocabulary of 50,256 ranks and its split pattern.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -69,7 +69,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
     Sums run inside blocks of ``BLOCK`` lengths and over the blocks' own sums, so no task holds
     more than a block of lengths or the list of blocks.
     """
-    counts = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # written, since two branches read it: texts are encoded once
+    counts = stage(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
     counts = counts.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()

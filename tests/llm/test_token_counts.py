@@ -43,3 +43,15 @@ def test_empty_table(spark):
     hist = token_counts.histogram(token_counts.token_lengths(frame(spark, [])))
     assert hist.count() == 0
     assert [tuple(r) for r in token_counts.at_limits(hist, [10]).collect()] == [(10, 0, 0, 0)]
+
+
+def test_texts_are_encoded_once(spark):
+    plan = token_counts.histogram(token_counts.token_lengths(frame(spark)))._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan  # only written counts are read
+
+
+def test_query_on_a_written_table(spark, tmp_path):
+    from asofmill.llm.queries import op3_token_counts
+
+    frame(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.n_tokens: r.n_docs for r in op3_token_counts(spark, str(tmp_path)).collect()} == Counter(brute())
