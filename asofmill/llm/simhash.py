@@ -4,19 +4,26 @@ Fingerprints are 64 bits; two are linked if at most ``max_bits`` bits differ. Ov
 bits distances of unrelated texts crowd around 32, so a tree prunes little there. The bits are
 therefore cut into slices: a pair within ``max_bits`` differs by at most max_bits // slices bits
 in one slice at least, and that slice's tree is searched with that small radius. In each tree a
-node holds a vantage point and a radius; a fingerprint lives in one leaf (its shard) and visits
-every other leaf that its ball reaches by the triangle bound. Inside a shard all 64 bits are
-compared, so the pairs are exact.
-
-With several words of 64 bits and a wide ``max_bits`` no slice is sure to be nearly equal. Then
-``reach`` is given: each of the many slices has its tree, and a pair is found if it shares a
-shard in one of them, which is the likelier the nearer it is. What is found is still compared
-over all bits.
+node holds a vantage point and a radius; a fingerprint lives in one leaf (its shard). Its ball
+goes down whole where the triangle bound puts it on one side, and point by point across a
+boundary, so it visits the other shards that hold a point of it, and no more. Inside a shard
+all 64 bits are compared, so the pairs are exact.
+
+Trees come from a bounded sample. A leaf with more residents than wanted is cut into parts by its
+points (the slice's bits), whatever the sample was; a part that is still crowded is compared in
+blocks of residents against blocks of visitors.
+
+With several words of 64 bits and a wide ``max_bits`` no slice is sure to be nearly equal. Then a
+``Forest`` of trees over random bits is searched without visits: a pair is found if it shares a
+shard in one of them. Two fingerprints equal in a tree's bits always do, however many rows there
+are, so the share of pairs found has a lower bound that does not depend on the size of the table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +32,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import guarded, mix64, quoted, sample_of, split_text_batches, stage
+from .common import byte_class, guarded, joined_bytes, mix64, quoted, sample_of, span_hashes, split_text_batches, stage, window_hashes, word_spans
 from .components import components
 
 SEED = 42
-#: Fingerprints from which the trees are built (the bounded sample), and those wanted in a leaf.
-SAMPLE, LEAF = 16_384, 512
-#: Residents of a shard above which it is dealt to several tasks.
+#: Fingerprints from which the trees are built (the bounded sample), residents wanted in a shard, leaves of a tree at most.
+SAMPLE, LEAF, MOST_LEAVES = 32_768, 512, 4_096
+#: Residents, and a quarter of the visitors, that one task compares at once.
 CROWD = 4_096
 
 
+class Forest(NamedTuple):
+    """``trees`` over ``bits`` random bits for each word of the fingerprints."""
+
+    trees: int
+    bits: int
+
+    def spots(self, size: int, seed: int = 5) -> list[tuple[int, int]]:
+        random = np.random.default_rng(seed)
+        return [(word, sum(1 << int(b) for b in random.choice(64, self.bits, replace=False))) for word in range(size) for _ in range(self.trees)]
+
+
 def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
     """(hashes, words): the hashes themselves, and further scramblings of them."""
     return np.stack([hashes, *[mix64(hashes + np.uint64(w * 0x9E3779B97F4A7C15 % (1 << 64))) for w in range(1, words)]], axis=1)
@@ -100,12 +118,13 @@ class VantageTree:
     """A vantage-point tree over the bits of ``mask``: which leaf a fingerprint lives in, and which its ball reaches."""
 
     def __init__(self, sample: np.ndarray, mask: int, leaves: int, seed: int):
-        self.mask, self.nodes, self.leaves = np.uint64(mask), [], 0
-        random = np.random.default_rng(seed)
+        self.mask, self.leaves, nodes = np.uint64(mask), 0, []
         depth = max(0, int(np.ceil(np.log2(max(1, leaves)))))
-        self.root = self._build(sample, depth, random)
+        self.root = self._build(sample, depth, np.random.default_rng(seed), nodes)
+        self.vantage = np.array([n[0] for n in nodes], np.uint64)
+        self.radius, self.inside, self.outside = (np.array([n[i] for n in nodes], np.int64) for i in (1, 2, 3))
 
-    def _build(self, members: np.ndarray, depth: int, random: np.random.Generator) -> int:
+    def _build(self, members: np.ndarray, depth: int, random: np.random.Generator, nodes: list) -> int:
         """The new node's number; leaves count down from -1."""
         if depth and len(members) >= 8:
             for vantage in random.choice(members, min(4, len(members)), replace=False):
@@ -115,31 +134,65 @@ class VantageTree:
                 if inner.all():
                     radius, inner = radius - 1, far <= radius - 1
                 if inner.any():
-                    at = len(self.nodes)
-                    self.nodes.append(None)
-                    self.nodes[at] = (vantage, radius, self._build(members[inner], depth - 1, random), self._build(members[~inner], depth - 1, random))
+                    at = len(nodes)
+                    nodes.append(None)
+                    nodes[at] = (vantage, radius, self._build(members[inner], depth - 1, random, nodes), self._build(members[~inner], depth - 1, random, nodes))
                     return at
         self.leaves += 1
         return -self.leaves
 
-    def shards(self, values: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Index of the value, leaf, and whether it lives there: one row for each leaf within ``reach`` of the value."""
-        out, todo = [], [(self.root, np.arange(len(values)), np.ones(len(values), bool))]
+    def ball(self, reach: int) -> np.ndarray:
+        """What to flip in a value for each point within ``reach`` of it; the value itself comes first."""
+        bits = [1 << b for b in range(64) if int(self.mask) >> b & 1]
+        return np.array([sum(some) for r in range(reach + 1) for some in combinations(bits, r)], np.uint64)
+
+    def homes(self, points: np.ndarray) -> np.ndarray:
+        """The leaf of each point."""
+        leaf, todo = np.empty(len(points), np.int64), [(self.root, np.arange(len(points)))]
         while todo:
-            node, at, home = todo.pop()
+            node, at = todo.pop()
+            if node < 0:
+                leaf[at] = -node - 1
+            elif len(at):
+                near = np.bitwise_count((points[at] ^ self.vantage[node]) & self.mask) <= self.radius[node]
+                todo += [(int(self.inside[node]), at[near]), (int(self.outside[node]), at[~near])]
+        return leaf
+
+    def shards(self, values: np.ndarray, reach: int, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the value, leaf, part of the leaf, and whether it lives there: one row for each shard that holds a point of its ball.
+
+        ``parts``: in how many parts each leaf is cut.
+        """
+        flips = self.ball(reach)
+        whole, points, leaf = [(self.root, np.arange(len(values)))], [], []
+        while whole:
+            node, at = whole.pop()
             if not len(at):
                 continue
-            if node < 0:
-                out.append((at, np.full(len(at), -node - 1), home))
+            if node < 0 and parts[-node - 1] == 1:
+                points.append((at, np.zeros(len(at), np.int64), np.full(len(at), -node - 1)))
                 continue
-            vantage, radius, inside, outside = self.nodes[node]
-            far = np.bitwise_count((values[at] ^ vantage) & self.mask).astype(np.int64)
-            near = far <= radius
-            go = far - reach <= radius
-            todo.append((inside, at[go], (home & near)[go]))
-            go = far + reach > radius
-            todo.append((outside, at[go], (home & ~near)[go]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool))
+            if node >= 0:
+                far = np.bitwise_count((values[at] ^ self.vantage[node]) & self.mask).astype(np.int64)
+                in_, out = far + reach <= self.radius[node], far - reach > self.radius[node]
+                whole += [(int(self.inside[node]), at[in_]), (int(self.outside[node]), at[out])]
+                at = at[~in_ & ~out]
+            if len(at):  # across a boundary, or in a leaf of several parts: point by point
+                leaf.append(np.repeat(at, len(flips)) * len(flips) + np.tile(np.arange(len(flips)), len(at)))
+        if leaf:
+            spot = np.concatenate(leaf)
+            at, nth = spot // len(flips), spot % len(flips)
+            points.append((at, nth, self.homes(values[at] ^ flips[nth])))
+        if not points:
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool)
+        at, nth, of = (np.concatenate(x) for x in zip(*points, strict=True))
+        part = (mix64((values[at] ^ flips[nth]) & self.mask) % parts[of].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((nth, part, of, at))  # of a value's points in one shard the first stays: the value itself, if it lives there
+        at, nth, of, part = at[order], nth[order], of[order], part[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1]) | (part[1:] != part[:-1])
+        # a ball that went to its leaf whole came with its value
+        return at[new], of[new], part[new], nth[new] == 0
 
 
 def slice_masks(slices: int) -> list[int]:
@@ -181,69 +234,187 @@ def spanning_links(home: np.ndarray, others: np.ndarray, max_bits: int) -> np.nd
     return every[np.array(links, np.int64).reshape(-1, 2)]
 
 
+def closest_links(home: np.ndarray, others: np.ndarray, max_bits: int) -> np.ndarray:
+    """Links within ``max_bits`` like ``spanning_links``, by the fewest differing bits first: a minimum spanning forest. (links, 2, words)"""
+    every = np.concatenate((home, others))
+    linked, rows = np.zeros(len(every), bool), max(1, (1 << 21) // max(1, len(every)))
+    for at in range(0, len(home), rows):
+        close = _far(home[at : at + rows, None], every[None, :]) <= max_bits
+        linked[at : at + rows] |= np.count_nonzero(close, axis=1) > 1
+        linked |= close[linked[at : at + len(close)]].any(axis=0)
+    every = every[linked]
+    best, parent = np.full(len(every), max_bits + 1, np.int64), np.zeros(len(every), np.int64)
+    open_, links = np.ones(len(every), bool), []
+    for _ in range(len(every)):
+        node = int(np.where(open_, best, max_bits + 2).argmin())
+        if best[node] <= max_bits:
+            links.append((node, int(parent[node])))
+        open_[node] = False
+        far = _far(every, every[node]).astype(np.int64)
+        nearer = open_ & (far < best)
+        best[nearer], parent[nearer] = far[nearer], node
+    return every[np.array(links, np.int64).reshape(-1, 2)]
+
+
 def near_links(
-    distinct: DataFrame, max_bits: int, slices: int = 4, size: int = 1, reach: int | None = None, leaf: int = LEAF, sample: int = SAMPLE, crowd: int = CROWD
+    distinct: DataFrame, max_bits: int, slices: int = 3, size: int = 1, forest: Forest | None = None, leaf: int = LEAF, sample: int = SAMPLE, crowd: int = CROWD
 ) -> DataFrame:
     """u, v: links among the distinct fingerprints (column fp) that span what is found; each is a true pair.
 
-    Without ``reach`` all pairs within ``max_bits`` are found; the radius of a slice's tree then
-    follows from the number of slices.
+    Without a ``forest`` all pairs within ``max_bits`` are found; the radius of a slice's tree then
+    follows from the number of slices: its points are visited one by one, so few slices (a radius of 3
+    or more) make many of them. With one, links are the closest that span what is found.
     """
     spark = distinct.sparkSession
     ship(spark)
     rows = distinct.count()
-    taken = [r.fp for r in sample_of(distinct.select("fp"), rows, sample, "fp").collect()]
+    leaves = min(MOST_LEAVES, -(-rows // leaf))
+    taken = [r.fp for r in sample_of(distinct.select("fp"), rows, min(sample, 8 * leaves), "fp").collect()]
     values = np.array(taken, np.int64).view(np.uint64)[:, None] if size == 1 else np.frombuffer(b"".join(taken), np.uint64).reshape(-1, size)
-    spots = [(word, mask) for word in range(size) for mask in slice_masks(slices)]
-    trees = [VantageTree(values[:, word], mask, -(-rows // leaf), seed) for seed, (word, mask) in enumerate(spots)]
-    radius = max_bits // len(spots) if reach is None else reach
-    shared = spark.sparkContext.broadcast(trees)
+    spots = forest.spots(size) if forest else [(word, mask) for word in range(size) for mask in slice_masks(slices)]
+    trees = [VantageTree(values[:, word], mask, leaves, seed) for seed, (word, mask) in enumerate(spots)]
+    radius = 0 if forest else max_bits // len(spots)
+    grown = spark.sparkContext.broadcast(trees)
+    first = np.concatenate(([0], np.cumsum([t.leaves for t in trees])))
+
+    def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(first[-1], np.int64)
+        for batch in batches:
+            own = _matrix(batch.column(0), size)
+            for i, ((word, _), tree) in enumerate(zip(spots, grown.value, strict=True)):
+                count[first[i] : first[i + 1]] += np.bincount(tree.homes(np.ascontiguousarray(own[:, word])), minlength=tree.leaves)
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], names=["leaf", "n"])
+
+    # one row for each leaf: at most MOST_LEAVES for each tree
+    lived = distinct.select("fp").mapInArrow(live, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).collect()
+    parts = np.ones(first[-1], np.int64)
+    for r in lived:
+        parts[r.leaf] = -(-r.n // leaf) if r.n > 4 * leaf else 1
+    shared = spark.sparkContext.broadcast((trees, parts))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, parts = shared.value
         for batch in batches:
-            column = batch.column(0)
-            own = _matrix(column, size)
-            first = 0
-            for (word, _), tree in zip(spots, shared.value, strict=True):
-                at, shard, home = tree.shards(np.ascontiguousarray(own[:, word]), radius)
-                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64) + first), column.take(pa.array(at)), pa.array(home)], names=["shard", "fp", "home"])
-                first += tree.leaves
+            for start in range(0, batch.num_rows, 4096):
+                column = batch.column(0).slice(start, 4096)
+                own = _matrix(column, size)
+                for i, ((word, _), tree) in enumerate(zip(spots, trees, strict=True)):
+                    at, of, part, home = tree.shards(np.ascontiguousarray(own[:, word]), radius, parts[first[i] : first[i + 1]])
+                    yield pa.RecordBatch.from_arrays([pa.array((of + first[i]) << 32 | part), column.take(pa.array(at)), pa.array(home)], names=["shard", "fp", "home"])
 
     kind = _kind(size)
     routed = stage(distinct.select("fp").mapInArrow(route, f"shard long, fp {kind}, home boolean"), "shards")
-    crowds = routed.groupBy("shard").agg(F.count_if("home").alias("n")).filter(F.col("n") > crowd)
-    parts = crowds.select("shard", F.ceil(F.col("n") / crowd).cast("int").alias("parts"))
-    # a crowded shard is dealt to several tasks: its residents live in one part and visit the others
-    dealt = (
-        routed.join(guarded(parts, sum(t.leaves for t in trees), 100_000), "shard", "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("shard", "part", "fp", (F.col("home") & (F.col("part") == F.col("own"))).alias("home"))
-    )
+    crowds = routed.groupBy("shard").agg(F.count_if("home").alias("n"), F.count(F.lit(1)).alias("all")).filter((F.col("n") > crowd) | (F.col("all") > 8 * crowd))
+    crowds = stage(crowds.select("shard", F.ceil(F.col("n") / crowd).cast("int").alias("ps"), F.ceil(F.col("all") / (4 * crowd)).cast("int").alias("qs")), "crowds")
+    dealt = routed.join(guarded(crowds, crowds.count()), "shard", "left")
+    # blocks of a crowded shard: residents p against all rows q; a resident is among both
+    spread = lambda n, salt: F.pmod(F.xxhash64("fp", F.lit(salt)), F.col(n)).cast("int")
+    block = lambda p, q, home: F.struct(p.alias("p"), q.alias("q"), home.alias("home"))
+    resident = F.transform(F.sequence(F.lit(0), F.col("qs") - 1), lambda q: block(spread("ps", 1), q, F.lit(True)))
+    visitor = F.transform(F.sequence(F.lit(0), F.col("ps") - 1), lambda p: block(p, spread("qs", 2), F.lit(False)))
+    blocks = F.when(F.col("ps").isNull(), F.array(block(F.lit(0), F.lit(0), F.col("home")))).when(F.col("home"), F.concat(resident, visitor)).otherwise(visitor)
+    dealt = dealt.select("shard", "fp", F.explode(blocks).alias("b")).select("shard", "b.p", "b.q", "fp", "b.home")
 
     def pairs(group: pa.Table) -> pa.Table:
         own = _matrix(group.column("fp"), size)
         home = group.column("home").to_numpy()
-        links = spanning_links(own[home], own[~home], max_bits)
+        links = (closest_links if forest else spanning_links)(own[home], own[~home], max_bits)
         return pa.table([_column(links[:, 0]), _column(links[:, 1])], names=["u", "v"])
 
-    return dealt.groupBy("shard", "part").applyInArrow(pairs, f"u {kind}, v {kind}")
+    return dealt.groupBy("shard", "p", "q").applyInArrow(pairs, f"u {kind}, v {kind}").filter("u != v")
+
+
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
+_WORD_BYTE = ~byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None, repeats: bool = True) -> DataFrame:
+def shingle_sets(column: pa.Array, shingle: int) -> list[bytes]:
+    """The different word shingles of each text, as sorted 64-bit hashes; fewer words are one shingle, none are none."""
+    data, begins = joined_bytes(column)
+    starts, ends, first = word_spans(_LOW[data], begins, _WORD_BYTE)
+    words = span_hashes(_LOW[data], starts, ends)
+    counts = np.diff(first)
+    place = np.arange(len(words)) - np.repeat(first[:-1], counts)
+    at = np.flatnonzero(place + shingle <= np.repeat(counts, counts))
+    hashes = window_hashes(words, at, shingle, 0xA0761D6478BD642F) if len(at) else np.zeros(0, np.uint64)
+    edge = np.searchsorted(at, first)
+    out = []
+    for i, n in enumerate(counts.tolist()):
+        own = hashes[edge[i] : edge[i + 1]] if n >= shingle else window_hashes(words, first[i : i + 1], n, 0xE7037ED1A0B428DB) if n else hashes[:0]
+        out.append(np.unique(own).tobytes())
+    return out
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Common share of two sorted sets; 1 of two empty ones."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+    return both / (len(x) + len(y) - both)
+
+
+def _alike(docs: DataFrame, prints: DataFrame, candidates: DataFrame, shingle: int, similarity: float, size: int) -> DataFrame:
+    """u, v: those of the candidate links, and of links to the least of a group of candidates, whose texts share so much of their shingles.
+
+    First each group's members are held against its least one; then every candidate link between
+    members that this did not join. So a group of close copies costs one comparison for each
+    member, and no candidate link is dropped without having been compared.
+    """
+    candidates = stage(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
+    groups = stage(components(candidates), "candidate-groups")
+    rows = prints.join(groups.select(F.col("node").alias("fp")), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("row_a", "row_b")).alias("row"))
+    wanted = stage(rows.select("fp", F.col("row.row_a").alias("want_a"), F.col("row.row_b").alias("want_b")), "wanted")
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), F.col("text").cast("string").alias("text"))
+    on = (F.col("row_a") == F.col("want_a")) & (F.col("row_b") == F.col("want_b"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in split_text_batches(batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingle_sets(batch.column(1), shingle), pa.binary())], names=["fp", "shingles"])
+
+    kind = _kind(size)
+    texts = keyed.join(guarded(wanted, wanted.count()), on).select("fp", "text").mapInArrow(sets, f"fp {kind}, shingles binary")
+    texts = stage(texts.groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [jaccard(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    def verified(links: DataFrame) -> DataFrame:
+        held = links.join(texts.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u").join(texts.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v")
+        return held.select("u", "v", "a", "b").mapInArrow(compared, f"u {kind}, v {kind}")
+
+    stars = stage(verified(groups.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "stars-alike")
+    joined = lambda x, as_: stars.select(F.col("u").alias(x), F.col("v").alias(as_))
+    rest = candidates.join(joined("u", "of_u"), "u", "left").join(joined("v", "of_v"), "v", "left")
+    rest = rest.filter(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
+    return stars.union(verified(rest))
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 3, size: int = 1, repeats: bool = True, forest: Forest | None = None, similarity: float | None = None
+) -> DataFrame:
     """doc_id, row_a, row_b, fp and component_id: the smallest doc_id that a row's fingerprint reaches by links of ``max_bits``.
 
-    ``size`` words of 64 bits make a fingerprint (with or without ``repeats`` of its shingles), ``slices`` trees search each word. With
-    ``reach`` pairs count that share a shard within it; without, all pairs.
+    ``size`` words of 64 bits make a fingerprint (with or without ``repeats`` of its shingles). Without a
+    ``forest`` trees over ``slices`` of each word find all pairs; with one, pairs that share a shard
+    count. With ``similarity`` links are candidates: only those count whose texts' different
+    shingles have that Jaccard similarity, at least.
 
     Texts without words (null and empty ones too) have fingerprint 0 and are linked like any
     other. Rows without doc_id take part, but give no component_id unless their component has an
-    id. Repeated rows come back repeated. Only doc_id and text are read.
+    id. Repeated rows come back repeated; an empty table gives no rows. Very long texts are read
+    whole. Only doc_id and text are read.
     """
     prints = stage(fingerprints(docs, shingle, size, repeats), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = stage(components(near_links(classes, max_bits, slices, size, reach)), "roots")
+    links = near_links(classes, max_bits, slices, size, forest)
+    if similarity is not None:
+        links = _alike(docs, prints, links, shingle, similarity, size)
+    roots = stage(components(links), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     of = roots.join(groups, "root").select(F.col("node").alias("fp"), "component_id")
     # written, so that the join below is of two plain exchanges, which Spark can split where one fingerprint has many rows
@@ -251,16 +422,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices
     return prints.join(named, "fp")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 4, size: int = 1, reach: int | None = None, repeats: bool = True) -> DataFrame:
-    """One row of every group of near-duplicates, that with the smallest doc_id (without ids, any fixed one); columns unchanged."""
-    found = near_duplicates(docs, shingle, max_bits, slices, size, reach, repeats)
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """One row of every group of ``near_duplicates(docs, **how)``, that with the smallest doc_id (without ids, any fixed one); columns unchanged.
+
+    Rows alike in id and text are one choice: one of them stays.
+    """
+    found = near_duplicates(docs, **how)
     # without an id in the whole group, its rows are told apart by fingerprint alone
     group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
-    best = found.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("best"))
-    chosen = best.select(F.col("best.row_a").alias("__chosen_a"), F.col("best.row_b").alias("__chosen_b"))
+    found = stage(found.groupBy("row_a", "row_b").agg(F.min("doc_id").alias("doc_id"), F.min(group).alias("group"), F.count(F.lit(1)).alias("copies")), "rows")
+    best = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("best"))
+    chosen = best.select(F.col("best.row_a").alias("row_a"), F.col("best.row_b").alias("row_b"), F.lit(True).alias("chosen"))
+    # lists of what goes are short beside the texts, which then need not move
+    fate = stage(found.join(chosen, ["row_a", "row_b"], "left").filter("chosen IS NULL OR copies > 1").select(F.col("row_a").alias("__fate_a"), F.col("row_b").alias("__fate_b"), F.col("chosen").alias("__chosen")), "fate")
     a, b, n = (f"__{x}" for x in ("row_a", "row_b", "row_n"))
+    on = (F.col(a) == F.col("__fate_a")) & (F.col(b) == F.col("__fate_b"))
     keyed = docs.withColumns({a: F.xxhash64("doc_id", "text"), b: F.hash(F.col("text"), F.col("doc_id"))})
-    kept = keyed.join(chosen, (F.col(a) == F.col("__chosen_a")) & (F.col(b) == F.col("__chosen_b")))
-    # rows that are alike in id and text are one choice: the first stays
+    kept = keyed.join(guarded(fate, fate.count()), on, "left_anti").select(*quoted(docs.columns))
+    copied = fate.filter("__chosen")
+    several = copied.count()
+    if not several:
+        return kept
     same = Window.partitionBy(a, b).orderBy(F.lit(1))
-    return kept.withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1).select(*quoted(docs.columns))
+    first = keyed.join(guarded(copied, several), on, "left_semi").withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1)
+    return kept.unionByName(first.select(*quoted(docs.columns)))

@@ -48,7 +48,7 @@ def docs_of(spark):
     return rows + [(None, base, None, None), (None, "alone here", None, None), (3, base.upper(), "clash", None), (50, "q " * 40_000, None, None)]
 
 
-@pytest.mark.parametrize("slices", [1, 2, 4, 5])
+@pytest.mark.parametrize("slices", [2, 3, 5])
 def test_groups_match_brute_force(spark, slices):
     rows = docs_of(spark)
     got = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), slices=slices).collect()
@@ -57,8 +57,9 @@ def test_groups_match_brute_force(spark, slices):
     assert sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got), key=repr) == want
 
 
-@pytest.mark.parametrize("slices,crowd", [(1, 4096), (4, 4096), (5, 4096), (4, 8)])
-def test_links_of_random_fingerprints(spark, slices, crowd):
+@pytest.mark.parametrize("slices,crowd,most", [(2, 4096, 4096), (3, 4096, 4096), (4, 4096, 4096), (5, 4096, 4), (3, 8, 4096), (3, 8, 4), (4, 4, 1)])
+def test_links_of_random_fingerprints(spark, monkeypatch, slices, crowd, most):
+    monkeypatch.setattr(simhash, "MOST_LEAVES", most)
     random = np.random.default_rng(5)
     values = set()
     for centre in random.integers(0, 1 << 63, 60).tolist():
@@ -123,8 +124,92 @@ def test_wide_fingerprints_find_near_copies(spark):
             rows.append((10 * i + j, " ".join(own), None, None))
             group[10 * i + j] = 10 * i
     rows += [(1000 + i, " ".join(word() for _ in range(chance.randrange(1, 9))), None, None) for i in range(60)]
-    got = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=5, max_bits=51, slices=5, size=4, reach=0).collect()
+    how = dict(shingle=5, max_bits=56, size=4, repeats=False, forest=simhash.Forest(10, 14), similarity=0.8)
+    got = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), **how).collect()
     assert all(r.component_id == r.doc_id for r in got if r.doc_id >= 1000)
     right = sum(r.component_id == group[r.doc_id] for r in got if r.doc_id < 1000)
     assert right >= 0.95 * len(group)
-    assert len(simhash.keep_one(spark.createDataFrame(rows, SCHEMA), 5, 51, 5, 4, 0).collect()) <= 60 + len(bases) + 8
+    assert len(simhash.keep_one(spark.createDataFrame(rows, SCHEMA), **how).collect()) <= 60 + len(bases) + 8
+
+
+def brute_jaccard(a, b, shingle=5):
+    x, y = ({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set() for w in (t.lower().split() for t in (a, b)))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_shingle_sets_and_jaccard():
+    import pyarrow as pa
+
+    texts = ["a b c d e f g", "A b c D e f g h", "a b", "", None, "x y z x y z x y z", "a\nb", "é b c d e"]
+    sets = simhash.shingle_sets(pa.array(texts), 5)
+    for a, x in zip(texts, sets):
+        for b, y in zip(texts, sets):
+            assert simhash.jaccard(x, y) == pytest.approx(brute_jaccard(a or "", b or ""))
+
+
+def test_links_are_of_the_similarity_asked_for(spark):
+    """Chains of copies that move away from each other: what is kept apart or joined is as brute force over all pairs says."""
+    import random
+
+    chance = random.Random(12)
+    word = lambda: "".join(chance.choices("abcdefghij", k=5))
+    texts = []
+    for changes in (1, 2, 3, 4, 6):
+        for _ in range(12):
+            own = [word() for _ in range(150)]
+            for _ in range(5):
+                texts.append(" ".join(own))
+                own = list(own)
+                for at in chance.sample(range(150), changes):
+                    own[at] = word()
+    got = simhash.near_duplicates(spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA), shingle=5, max_bits=56, size=4, repeats=False, forest=simhash.Forest(10, 14), similarity=0.8)
+    got = {r.doc_id: r.component_id for r in got.collect()}
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    pairs = [(i, j) for i in range(len(texts)) for j in range(max(0, i - 5), i) if brute_jaccard(texts[i], texts[j]) >= 0.8]
+    for i, j in pairs:
+        parent[max(find(i), find(j))] = min(find(i), find(j))
+    assert len(pairs) > 100
+    assert sum(got[i] == got[j] for i, j in pairs) >= 0.95 * len(pairs)
+    assert all(find(i) == find(got[i]) for i in got)  # nothing else is joined
+
+
+@pytest.mark.parametrize("rows", [4_000, 60_000])
+def test_recall_of_the_forest_does_not_fall_with_the_table(spark, monkeypatch, rows):
+    """Pairs at the rate of differing bits of similarity 0.8, among ever more others; all leaves are cut to their points."""
+    monkeypatch.setattr(simhash, "MOST_LEAVES", 8)
+    random = np.random.default_rng(rows)
+    prints = random.integers(0, 1 << 63, (rows, 4), np.uint64) * np.uint64(2) + random.integers(0, 2, (rows, 4), np.uint64)
+    pairs = 400
+    flips = np.packbits(random.random((pairs, 256)) < 0.1515, axis=1).view(np.uint64)
+    prints[pairs : 2 * pairs] = prints[:pairs] ^ flips
+    frame = spark.createDataFrame([(bytes(x),) for x in prints], "fp binary").repartition(4)
+    links = {frozenset((bytes(u), bytes(v))) for u, v in simhash.near_links(frame, 66, size=4, forest=simhash.Forest(10, 14), leaf=16).collect()}
+    found = sum(frozenset((bytes(prints[i]), bytes(prints[pairs + i]))) in links for i in range(pairs))
+    assert found >= 0.92 * pairs
+
+
+def test_shards_stay_small_with_a_million_fingerprints():
+    random = np.random.default_rng(3)
+    values = random.integers(0, 1 << 62, 1_000_000, np.uint64) * np.uint64(4)
+    leaves = min(simhash.MOST_LEAVES, -(-len(values) // simhash.LEAF))
+    tree = simhash.VantageTree(values[: 8 * leaves], simhash.slice_masks(3)[1], leaves, 0)
+    lives = np.bincount(tree.homes(values), minlength=tree.leaves)
+    parts = np.where(lives > 4 * simhash.LEAF, -(-lives // simhash.LEAF), 1)
+    at, of, part, home = tree.shards(values, 0, parts)
+    assert home.all() and np.array_equal(np.sort(at), np.arange(len(values)))
+    sizes = np.unique((of << 32) | part, return_counts=True)[1]
+    assert sizes.max() <= 4 * simhash.LEAF
+    at, of, part, home = tree.shards(values[:20_000], 1, parts)
+    assert len(at) <= 22 * 20_000 and home.sum() == 20_000
+    # every point of the ball is routed to where it lives
+    seen = set(zip(at.tolist(), of.tolist(), part.tolist()))
+    for flip in tree.ball(1).tolist():
+        moved = values[:500] ^ np.uint64(flip)
+        a, o, p, _ = tree.shards(moved, 0, parts)
+        assert all(x in seen for x in zip(a.tolist(), o.tolist(), p.tolist()))
