@@ -21,14 +21,21 @@ from .common import guarded, sample_of, stage
 
 #: The bounded sample, vectors wanted in a list, centroids at most, and vectors of a list (and queries) that one group scores.
 SAMPLE, LIST_SIZE, MOST_LISTS, PART = 20_000, 128, 4_096, 4_096
-#: A vector is copied to at most COPIES lists whose centroid is at most COPY_RATIO times as far as the nearest one.
-COPIES, COPY_RATIO = 4, 1.15
-#: A query opens lists up to PROBE_RATIO times as far as its nearest, LEAST_PROBES at least; the walk expands WALK centroids of DEGREE neighbours.
-PROBE_RATIO, LEAST_PROBES, WALK, DEGREE = 1.22, 8, 192, 16
+#: A vector is copied to at most COPIES lists whose centroid is at most COPY_RATIO times as far as the nearest one: only those near a boundary are.
+COPIES, COPY_RATIO = 2, 1.01
+#: A query opens lists up to PROBE_RATIO times as far as its nearest, LEAST_PROBES at least.
+PROBE_RATIO, LEAST_PROBES = 1.27, 2
+#: The walk over centroids expands those up to SLACK (or the ratio asked for) times as far as the nearest met, WALK at most, with DEGREE neighbours each.
+SLACK, WALK, DEGREE = 1.12, 256, 16
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so that squares neither overflow nor vanish; their cosines are the same to the last bit."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -66,33 +73,37 @@ class Centroids:
             todo += [(high, parts - parts // 2), (low, parts // 2)]
         return unit(np.array(out))
 
-    def walk(self, queries: np.ndarray, expand: int) -> np.ndarray:
-        """Cosines (queries, centroids) of the centroids met by a best-first walk; -2 where the walk did not come."""
+    def walk(self, queries: np.ndarray, ratio: float, least: int, expand: int) -> np.ndarray:
+        """Cosines (queries, centroids) of the centroids met by a best-first walk; -2 where the walk did not come.
+
+        It goes on from the nearest centroid not yet expanded while that is at most ``ratio`` times
+        as far as the nearest one met (and for ``least`` steps).
+        """
         k, q = len(self.points), len(queries)
         seen = np.full((q, k), -2.0)
         seen[:, self.entries] = queries @ self.points[self.entries].T
         open_ = np.where(seen > -2, seen, -3.0)
-        rows = np.arange(q)
-        for _ in range(min(expand, k)):
+        for step in range(min(expand, k)):
             best = open_.argmax(axis=1)
-            going = open_[rows, best] > -3
-            if not going.any():
+            reached = open_[np.arange(q), best]
+            nearest = seen.max(axis=1)
+            on = np.flatnonzero((reached > -3) & ((step < least) | (1 - reached <= ratio * ratio * (1 - nearest) + 1e-12)))
+            if not len(on):
                 break
-            open_[rows, best] = -3
-            on = np.flatnonzero(going)
+            open_[on, best[on]] = -3
             next_ = self.links[best[on]]
             new = seen[on[:, None], next_] == -2
-            cosine = np.einsum("qd,qkd->qk", queries[on], self.points[next_])
             at, which = np.nonzero(new)
-            seen[on[at], next_[at, which]] = cosine[at, which]
-            open_[on[at], next_[at, which]] = cosine[at, which]
+            cosine = (queries[on[at]] * self.points[next_[at, which]]).sum(axis=1)
+            seen[on[at], next_[at, which]] = cosine
+            open_[on[at], next_[at, which]] = cosine
         return seen
 
     def lists(self, vectors: np.ndarray, ratio: float, least: int, most: int, expand: int) -> tuple[np.ndarray, np.ndarray]:
         """Index of the vector and list: the nearest lists met, up to ``ratio`` times the least distance, at least and at most so many."""
         out = []
         for at in range(0, len(vectors), 1024):
-            cosine = self.walk(vectors[at : at + 1024], expand)
+            cosine = self.walk(vectors[at : at + 1024], max(SLACK, ratio), 4, expand)
             order = np.argsort(-cosine, axis=1, kind="stable")[:, :most]
             ranked = np.take_along_axis(cosine, order, axis=1)
             far = np.sqrt(np.maximum(0, 2 - 2 * ranked))
@@ -109,22 +120,23 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each row of a with the same row of b, by sums along the row only: equal vectors get equal scores."""
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def best_of(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """The k best other vectors of each query among these: (query, vector, cosine), ties to the smaller id."""
+def best_of(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int, float]]:
+    """The k best other vectors of each query among these: (query's row, vector's row, its id, cosine), ties to the smaller id."""
     out = []
     names = unit(vectors)
     for at in range(0, len(queries), 256):
         close = unit(queries[at : at + 256]) @ names.T
-        close[query_ids[at : at + 256, None] == ids[None, :]] = -3
+        close[query_rows[at : at + 256, None] == rows[None, :]] = -3
         kth = np.partition(close, max(0, close.shape[1] - k), axis=1)[:, max(0, close.shape[1] - k)]
         for i, row in enumerate(close):
             found = np.flatnonzero((row >= kth[i] - 1e-9) & (row > -3))
             exact = cosines(np.broadcast_to(queries[at + i], (len(found), queries.shape[1])), vectors[found])
-            best = np.lexsort((ids[found], -exact))[:k]
-            out += [(int(query_ids[at + i]), int(ids[found[j]]), float(exact[j])) for j in best]
+            best = np.lexsort((rows[found], ids[found], -exact))[:k]
+            out += [(int(query_rows[at + i]), int(rows[found[j]]), int(ids[found[j]]), float(exact[j])) for j in best]
     return out
 
 
@@ -154,7 +166,8 @@ def nearest(
     score is the cosine of the original vectors in double precision; ties go to the smaller id.
     A query gets k rows, or all candidates if there are fewer. Vectors that are null, zero, of
     another width than most, or hold null or non-finite components take no part, nor do rows
-    without id. Repeated ids count once, with the least of their vectors. Only the two named columns are read.
+    without id; an empty table gives no rows. Every row is a candidate of its own: rows of one id are
+    candidates of each other, and each that asks gets its own k rows. Only the two named columns are read.
     """
     ship(vectors.sparkSession)
     rows, width = usable(vectors, id_column, vector)
@@ -162,15 +175,15 @@ def nearest(
     schema = "query_id long, rank int, vec_id long, score double"
     if not width:
         return spark.createDataFrame([], schema)
-    rows = stage(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
+    rows = stage(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"), "vectors")
     n = rows.count()
-    sample = sample_of(rows, n, SAMPLE, "vec_id").select("v").toPandas()["v"]
+    sample = sample_of(rows, n, SAMPLE, "row").select("v").toPandas()["v"]
     shared = spark.sparkContext.broadcast(Centroids(unit(np.array(sample.tolist(), np.float64)), min(-(-n // list_size), MOST_LISTS)))
 
     def route(ratio: float, least: int, most: int, expand: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = _matrix(batch.column(1), width)
+                own = _matrix(batch.column(2), width)
                 at, lists = shared.value.lists(unit(own), ratio, least, most, expand)
                 for start in range(0, len(at), 8192):
                     some = pa.array(at[start : start + 8192])
@@ -178,8 +191,8 @@ def nearest(
 
         return run
 
-    spec = "list int, vec_id long, v array<double>"
-    posted = stage(rows.mapInArrow(route(copy_ratio, 1, COPIES, 48), spec), "postings")
+    spec = "list int, row long, vec_id long, v array<double>"
+    posted = stage(rows.mapInArrow(route(copy_ratio, 1, COPIES, walk), spec), "postings")
     asked = rows.filter(is_query)
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
 
@@ -187,27 +200,28 @@ def nearest(
         """The k best of each list for the queries routed to it: parts of the list against blocks of the queries."""
         asking = routes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("blocks"))
         cut = guarded(stage(sizes.join(asking, "list"), "cuts"), MOST_LISTS, MOST_LISTS)  # one row for each list
-        block, own_part = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+        block, own_part = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        held = posted.join(cut, "list").select("list", own_part.alias("part"), every("blocks").alias("block"), "vec_id", "v")
-        wanted = routes.join(cut, "list").select("list", every("parts").alias("part"), block.alias("block"), F.col("vec_id").alias("query_id"), "v")
+        held = posted.join(cut, "list").select("list", own_part.alias("part"), every("blocks").alias("block"), "row", "vec_id", "v")
+        wanted = routes.join(cut, "list").select("list", every("parts").alias("part"), block.alias("block"), F.col("row").alias("query"), "v")
 
         def pairs(own: pa.Table, queries: pa.Table) -> pa.Table:
             found = []
             if own.num_rows and queries.num_rows:
-                found = best_of(_matrix(queries["v"], width), queries["query_id"].to_numpy(), _matrix(own["v"], width), own["vec_id"].to_numpy(), k)
-            return pa.table(list(zip(*found, strict=True)) or [[], [], []], schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
+                found = best_of(_matrix(queries["v"], width), queries["query"].to_numpy(), _matrix(own["v"], width), own["row"].to_numpy(), own["vec_id"].to_numpy(), k)
+            return pa.table(list(zip(*found, strict=True)) or [[]] * 4, schema=pa.schema([("query", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
         key = ["list", "part", "block"]
-        return held.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(pairs, "query_id long, vec_id long, score double")
+        return held.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(pairs, "query long, row long, vec_id long, score double")
 
-    probes = stage(asked.select("vec_id", "v").mapInArrow(route(probe_ratio, LEAST_PROBES, MOST_LISTS, walk), spec), "probes")
+    probes = stage(asked.select("row", "vec_id", "v").mapInArrow(route(probe_ratio, LEAST_PROBES, MOST_LISTS, walk), spec), "probes")
     found = stage(score(probes), "found")
     enough = min(k, n - 1)
-    full = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count_distinct("vec_id").alias("n")).filter(F.col("n") >= enough)
-    short = stage(asked.join(full, "vec_id", "left_anti"), "short") if enough else None
+    full = found.groupBy(F.col("query").alias("row")).agg(F.count_distinct("row").alias("n")).filter(F.col("n") >= enough)
+    short = stage(asked.join(full, "row", "left_anti"), "short") if enough else None
     if short is not None and short.count():  # the lists opened held too few: open all
-        found = found.union(score(short.select(F.explode(F.sequence(F.lit(0), F.lit(len(shared.value.points) - 1))).alias("list"), "vec_id", "v")))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        found = found.union(score(short.select(F.explode(F.sequence(F.lit(0), F.lit(len(shared.value.points) - 1))).alias("list"), "row", "vec_id", "v")))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    ranked = found.groupBy("query", "row", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    named = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return ranked.join(named, "query").select("query_id", "rank", "vec_id", "score")

@@ -83,7 +83,7 @@ def test_queries_that_lists_leave_short_are_completed(spark, monkeypatch):
 def test_vectors_that_take_no_part(spark):
     good = [(i, np.arange(1, 5) * ((-1) ** i) + i) for i in range(0, 120, 10)]
     odd = [(200, None), (250, [0, 0, 0, 0]), (300, [1, 2, 3]), (350, [1, float("nan"), 1, 1]), (351, [1, float("inf"), 1, 1]), (None, [1, 1, 1, 1])]
-    frame = frame_of(spark, good + odd).union(spark.createDataFrame([(400, [1.0, None, 1.0, 1.0], None)], SCHEMA)).union(frame_of(spark, good[:2]))
+    frame = frame_of(spark, good + odd).union(spark.createDataFrame([(400, [1.0, None, 1.0, 1.0], None)], SCHEMA))
     got = answers(ann.nearest(frame, QUERY))
     assert {q: [j for j, _ in x] for q, x in got.items()} == {q: [j for j, _ in x] for q, x in brute(good).items()}
 
@@ -91,3 +91,45 @@ def test_vectors_that_take_no_part(spark):
 def test_empty_table(spark):
     assert ann.nearest(frame_of(spark, []), QUERY).count() == 0
     assert ann.nearest(frame_of(spark, [(1, None)]), QUERY).count() == 0
+
+
+def test_repeated_ids_are_candidates_of_their_own(spark):
+    rows = [(1, [1.0, 0.1]), (1, [0.0, 1.0]), (50, [1.0, 0.0]), (50, [0.0, 2.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in ann.nearest(frame_of(spark, rows), QUERY, k=3).collect())
+    near, half = round(1 / np.sqrt(1.01), 6), round(np.sqrt(0.5), 6)
+    assert got == sorted([(50, 1, 1, near), (50, 2, 7, half), (50, 3, 7, half), (50, 1, 1, 1.0), (50, 2, 7, half), (50, 3, 7, half)])
+
+
+def test_extreme_magnitudes(spark):
+    random = np.random.default_rng(4)
+    plain = [(i, random.standard_normal(6)) for i in range(60)]
+    wild = [(i, [float(x) * (1e200, 1e-200, 1e300, 1e-300)[i % 4] for x in v]) for i, v in plain]
+    schema = "vec_id long, embedding array<double>"
+    get = lambda rows: answers(ann.nearest(spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], schema), QUERY, probe_ratio=1e9))
+    want, got = get(plain), get(wild)
+    assert {q: [j for j, _ in x] for q, x in got.items()} == {q: [j for j, _ in x] for q, x in want.items()}
+    assert all(math.isclose(a[1], b[1], abs_tol=1e-12) for q in got for a, b in zip(got[q], want[q]))
+
+
+@pytest.mark.parametrize("spread,most", [(0.25, 0.35), (None, 1.0)])
+def test_index_scores_less_than_brute_force(spread, most):
+    """Share of all vectors that a query scores, and recall, on clustered vectors and on ones without any clusters."""
+    random = np.random.default_rng(6)
+    n = 6000
+    v = random.standard_normal((n, 64))
+    if spread is not None:
+        v = random.standard_normal((60, 64))[np.arange(n) % 60] + spread * v
+    u = ann.unit(v)
+    index = ann.Centroids(u, -(-n // ann.LIST_SIZE))
+    at, lists = index.lists(u, ann.COPY_RATIO, 1, ann.COPIES, ann.WALK)
+    held = np.zeros((n, len(index.points)), bool)
+    held[at, lists] = True
+    queries = np.arange(0, n, 50)
+    qa, ql = index.lists(u[queries], ann.PROBE_RATIO, ann.LEAST_PROBES, ann.MOST_LISTS, ann.WALK)
+    opened = np.zeros((len(queries), len(index.points)), bool)
+    opened[qa, ql] = True
+    assert (opened @ held.sum(axis=0)).mean() / n < most
+    close = u[queries] @ u.T
+    close[np.arange(len(queries)), queries] = -3
+    top = np.argsort(-close, axis=1)[:, :5]
+    assert np.mean([(held[x] & opened[i]).any() for i in range(len(queries)) for x in top[i]]) >= 0.9
