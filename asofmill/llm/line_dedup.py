@@ -9,8 +9,8 @@ distance on what lies between their common beginning and end.
 
 Only hashes of segments move; texts are fetched for the lines that share a segment. A segment
 that more than ``crowd`` different lines share makes no pairs: with one edit allowed, its lines
-are keyed by all that lies outside one of ``BLOCKS`` blocks, then by the line without one
-character of a shared block. Lines with such a key in common are near-copies; each is linked to
+are keyed by all that lies outside one block (``BLOCKS`` of them, or the root of the length if that
+is more), then by the line without one character of a shared block. Lines with such a key in common are near-copies; each is linked to
 the least of them.
 
 With more edits, lines of a crowded segment are linked like that too, and to the least line of
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import guarded, quoted, stage
 from .components import components
 
-#: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line.
+#: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line at least.
 LEAST, CROWD, BLOCKS = 16, 64, 8
 BLANKS = " \t\r\x0b\x0c"
 
@@ -172,17 +172,20 @@ def _crowd_links(rows: DataFrame) -> DataFrame:
     """u, v for the lines (id, line, n) of crowded segments, one edit allowed: linear in the lines."""
     line, n = F.col("line"), F.col("n")
 
-    def outside(length: Column, b: int) -> Column:
-        """All but block b of a line cut as one of ``length`` is: the end is counted from the line's own end."""
-        start = F.floor(length * b / BLOCKS).cast("int")
-        end = F.floor(length * (b + 1) / BLOCKS).cast("int")
-        return F.struct(
-            F.xxhash64(length, F.lit(b), F.substring(line, F.lit(1), start), F.lit("|"), F.substring(line, n - (length - end) + 1, length - end)).alias("k"),
-            start.alias("start"), (n - length + end).alias("end"),
-        )
-
-    blocks = [F.struct(outside(length, b).alias("x"), F.lit(own).alias("own")) for own, length in ((True, n), (False, n - 1)) for b in range(BLOCKS)]
-    keyed = rows.select("id", "line", "n", F.explode(F.array(*blocks)).alias("b")).select("id", "line", "n", "b.own", "b.x.k", "b.x.start", "b.x.end")
+    def blocks(length: Column, own: bool) -> Column:
+        """Of a line cut as one of ``length`` is, all but each block: the end is counted from the line's own end."""
+        parts = F.greatest(F.lit(BLOCKS), F.ceil(F.sqrt(length))).cast("int")
+
+        def outside(b: Column) -> Column:
+            start, end = (F.floor(length * x / parts).cast("int") for x in (b, b + 1))
+            return F.struct(
+                F.xxhash64(length, b, F.substring(line, F.lit(1), start), F.lit("|"), F.substring(line, n - (length - end) + 1, length - end)).alias("k"),
+                start.alias("start"), (n - length + end).alias("end"), F.lit(own).alias("own"),
+            )
+
+        return F.transform(F.sequence(F.lit(0), parts - 1), outside)
+
+    keyed = rows.select("id", "line", "n", F.explode(F.concat(blocks(n, True), blocks(n - 1, False))).alias("b")).select("id", "line", "n", "b.own", "b.k", "b.start", "b.end")
     several = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.count_if("own").alias("o")).filter((F.col("c") > 1) & (F.col("o") > 0)).select("k")
     inner = keyed.join(several, "k", "left_semi")
     spots = F.sequence(F.col("start") + 1, F.col("end"))
@@ -264,8 +267,6 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     )
 
     def near(a: Column, b: Column, m: Column) -> Column:
-        if max_edits == 1:  # what is left differs at both ends, so more than one character is more than one edit
-            return (F.char_length(m["a"]) <= 1) & (F.char_length(m["b"]) <= 1) & within_edits(m["a"], m["b"], 1)
         allowed = F.least(F.char_length(a), F.char_length(b)) / per_edit
         out = within_edits(m["a"], m["b"], 1)
         for k in range(2, max_edits + 1):
@@ -303,7 +304,8 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd:
 
     Lines are what newlines separate; blanks around them and lines of fewer than ``least``
     characters (empty ones too) are not compared, and stay; with ``exact``, shorter ones of so many
-    characters or more go too if they are equal to another. Kept lines keep their blanks and their order. A null text stays null with 0 lines. Columns n_lines and n_removed of docs are
+    characters or more go too if they are equal to another. Repeated rows lose the same lines; an empty
+    table gives no rows; very long lines are compared whole. Kept lines keep their blanks and their order. A null text stays null with 0 lines. Columns n_lines and n_removed of docs are
     replaced; all others stay.
     """
     gone = stage(repeated_lines(docs, max_edits, least, crowd, exact, per_edit).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")

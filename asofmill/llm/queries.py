@@ -47,7 +47,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=1, least=16)
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=3, per_edit=16, least=16, exact=1)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -68,22 +68,36 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
+# Letters of two bytes in the tables. DuckDB counts edits in bytes, so its SQL puts a control character in the place of each.
+TWO_BYTE_LETTERS = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü"
+ONE_BYTE = [x for x in range(1, 32) if x not in range(9, 14)]
+
 ORACLES = {
-    "op2_line_dedup": r"""
+    "op2_line_dedup": rf"""
 WITH RECURSIVE split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
 lines AS (
   SELECT doc_id, no, trim(parts[no + 1], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
   FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS no FROM split)),
-known AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 16)),
-halves AS (
-  SELECT id, line, n, n AS long, 1 AS side, left(line, n // 2) AS part FROM known
-  UNION ALL SELECT id, line, n, n, 2, right(line, n - n // 2) FROM known
-  UNION ALL SELECT id, line, n, n - 1, 1, left(line, (n - 1) // 2) FROM known
-  UNION ALL SELECT id, line, n, n - 1, 2, right(line, n - 1 - (n - 1) // 2) FROM known),
+known AS (
+  SELECT line, length(line) AS n, row_number() OVER (ORDER BY line) AS id,
+         translate(line, '{TWO_BYTE_LETTERS}', {" || ".join(f"chr({x})" for x in ONE_BYTE[: len(TWO_BYTE_LETTERS)])}) AS plain
+  FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 1)),
+compared AS (SELECT * FROM known WHERE n >= 16),
+numbers AS (SELECT i FROM range(1, 5) t(i)),
+held AS (
+  SELECT id, n, i, substr(plain, CAST(n * (i - 1) // 4 + 1 AS BIGINT), CAST(n * i // 4 - n * (i - 1) // 4 AS BIGINT)) AS part FROM compared, numbers),
+probes AS (
+  SELECT id, n - less AS m, i, (n - less) * (i - 1) // 4 + 1 + shift AS start, (n - less) * i // 4 - (n - less) * (i - 1) // 4 AS size, plain
+  FROM compared, numbers, range(0, 4) a(less), range(-3, 4) b(shift)),
+candidates AS (
+  SELECT DISTINCT p.id AS u, h.id AS v
+  FROM probes p JOIN held h ON h.n = p.m AND h.i = p.i AND h.part = substr(p.plain, CAST(p.start AS BIGINT), CAST(p.size AS BIGINT))
+  WHERE p.start >= 1 AND p.id <> h.id),
 links AS (
-  SELECT DISTINCT a.id AS u, b.id AS v FROM halves a JOIN halves b ON a.long = b.long AND a.side = b.side AND a.part = b.part AND a.id <> b.id
-  WHERE levenshtein(a.line, b.line) <= 1),
-reach AS (SELECT id, id AS other FROM known UNION SELECT r.id, l.v FROM reach r JOIN links l ON r.other = l.u),
+  SELECT c.u, c.v FROM candidates c JOIN known a ON a.id = c.u JOIN known b ON b.id = c.v
+  WHERE levenshtein(a.plain, b.plain) <= greatest(1, least(3, a.n // 16, b.n // 16))),
+both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT id, id AS other FROM known UNION SELECT r.id, l.v FROM reach r JOIN both_ways l ON r.other = l.u),
 groups AS (SELECT id, min(other) AS root FROM reach GROUP BY id),
 placed AS (
   SELECT l.doc_id, l.no, row_number() OVER (PARTITION BY g.root ORDER BY l.doc_id, l.no) AS nth

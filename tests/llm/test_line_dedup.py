@@ -128,3 +128,11 @@ def test_empty_table_and_native_plan(spark):
     assert ld.dedup_lines(none).count() == 0
     plan = ld.repeated_lines(none)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_crowd_of_long_lines(spark):
+    chance = random.Random(2)
+    base = "".join(chance.choices("abcdefgh ", k=3000))
+    rows = [(i, base[: 41 * i + 3] + "#" + base[41 * i + 3 + i % 2 :]) for i in range(30)] + [(60, base), (61, base[:-1]), (62, base[1:]), (63, base[:1500] + "##" + base[1500:])]
+    got = run(spark, rows, least=16, crowd=4)
+    assert [r[0] for r in got if not r[3]] == [0, 63]
