@@ -124,19 +124,38 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def best_of(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int, float]]:
-    """The k best other vectors of each query among these: (query's row, vector's row, its id, cosine), ties to the smaller id."""
-    out = []
-    names = unit(vectors)
-    for at in range(0, len(queries), 256):
-        close = unit(queries[at : at + 256]) @ names.T
-        close[query_rows[at : at + 256, None] == rows[None, :]] = -3
-        kth = np.partition(close, max(0, close.shape[1] - k), axis=1)[:, max(0, close.shape[1] - k)]
+def best_of(
+    queries: np.ndarray, query_rows: np.ndarray, query_lists: np.ndarray, vectors: np.ndarray, rows: np.ndarray, ids: np.ndarray, lists: np.ndarray, k: int
+) -> list[tuple[int, int, int, float]]:
+    """The k best other vectors of each query in the lists it opened: (query's row, vector's row, its id, cosine), ties to the smaller id.
+
+    A query comes once for each list it opened, a vector once for each list it is in.
+    """
+    out, names = [], unit(vectors)
+    asking, first, of = np.unique(query_rows, return_index=True, return_inverse=True)
+    at_list = np.argsort(lists, kind="stable")
+    known, starts = np.unique(lists[at_list], return_index=True)
+    held = dict(zip(known.tolist(), np.split(at_list, starts[1:]), strict=True))
+    order = np.argsort(of, kind="stable")
+    edge = np.searchsorted(of[order], np.arange(0, len(asking) + 256, 256))
+    for block, (low, high) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+        own = slice(256 * block, 256 * block + 256)
+        asked = order[low:high]
+        close = np.full((len(asking[own]), len(vectors)), -3.0)
+        units = unit(queries[first[own]])
+        for name in np.unique(query_lists[asked]).tolist():
+            if name in held:
+                some = of[asked[query_lists[asked] == name]] - 256 * block
+                close[np.ix_(some, held[name])] = units[some] @ names[held[name]].T
+        close[asking[own, None] == rows[None, :]] = -3
+        spot = max(0, close.shape[1] - COPIES * k)
+        kth = np.partition(close, spot, axis=1)[:, spot]
         for i, row in enumerate(close):
             found = np.flatnonzero((row >= kth[i] - 1e-9) & (row > -3))
-            exact = cosines(np.broadcast_to(queries[at + i], (len(found), queries.shape[1])), vectors[found])
+            found = found[np.unique(rows[found], return_index=True)[1]]  # a copy counts once
+            exact = cosines(np.broadcast_to(queries[first[own][i]], (len(found), queries.shape[1])), vectors[found])
             best = np.lexsort((rows[found], ids[found], -exact))[:k]
-            out += [(int(query_rows[at + i]), int(rows[found[j]]), int(ids[found[j]]), float(exact[j])) for j in best]
+            out += [(int(asking[own][i]), int(rows[found[j]]), int(ids[found[j]]), float(exact[j])) for j in best]
     return out
 
 
@@ -194,24 +213,28 @@ def nearest(
     spec = "list int, row long, vec_id long, v array<double>"
     posted = stage(rows.mapInArrow(route(copy_ratio, 1, COPIES, walk), spec), "postings")
     asked = rows.filter(is_query)
-    sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+    # lists share bundles of about ``part`` vectors, so a query brings k rows for each bundle, not for each list
+    bundle = F.pmod(F.col("list"), F.lit(max(1, -(-posted.count() // part)))).alias("bundle")
+    posted, sizes = posted.select(bundle, "*"), posted.groupBy(bundle).agg(F.ceil(F.count(F.lit(1)) / (2 * part)).cast("int").alias("parts"))
 
     def score(routes: DataFrame) -> DataFrame:
-        """The k best of each list for the queries routed to it: parts of the list against blocks of the queries."""
-        asking = routes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("blocks"))
-        cut = guarded(stage(sizes.join(asking, "list"), "cuts"), MOST_LISTS, MOST_LISTS)  # one row for each list
+        """The k best of each bundle for the queries routed to its lists: parts of the bundle against blocks of the queries."""
+        routes = routes.select(bundle, "*")
+        asking = routes.groupBy("bundle").agg(F.ceil(F.count_distinct("row") / part).cast("int").alias("blocks"))
+        cut = guarded(stage(sizes.join(asking, "bundle"), "cuts"), MOST_LISTS, MOST_LISTS)  # one row for each bundle: no more than lists
         block, own_part = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        held = posted.join(cut, "list").select("list", own_part.alias("part"), every("blocks").alias("block"), "row", "vec_id", "v")
-        wanted = routes.join(cut, "list").select("list", every("parts").alias("part"), block.alias("block"), F.col("row").alias("query"), "v")
+        held = posted.join(cut, "bundle").select("bundle", own_part.alias("part"), every("blocks").alias("block"), "list", "row", "vec_id", "v")
+        wanted = routes.join(cut, "bundle").select("bundle", every("parts").alias("part"), block.alias("block"), "list", F.col("row").alias("query"), "v")
 
         def pairs(own: pa.Table, queries: pa.Table) -> pa.Table:
             found = []
             if own.num_rows and queries.num_rows:
-                found = best_of(_matrix(queries["v"], width), queries["query"].to_numpy(), _matrix(own["v"], width), own["row"].to_numpy(), own["vec_id"].to_numpy(), k)
+                asked = (_matrix(queries["v"], width), queries["query"].to_numpy(), queries["list"].to_numpy())
+                found = best_of(*asked, _matrix(own["v"], width), own["row"].to_numpy(), own["vec_id"].to_numpy(), own["list"].to_numpy(), k)
             return pa.table(list(zip(*found, strict=True)) or [[]] * 4, schema=pa.schema([("query", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
-        key = ["list", "part", "block"]
+        key = ["bundle", "part", "block"]
         return held.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(pairs, "query long, row long, vec_id long, score double")
 
     probes = stage(asked.select("row", "vec_id", "v").mapInArrow(route(probe_ratio, LEAST_PROBES, MOST_LISTS, walk), spec), "probes")
