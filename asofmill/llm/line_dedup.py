@@ -115,27 +115,40 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
     row at once: the matching ones stay, and those of row e - 1 go on to e by one edit.
     """
     k = max_edits
-    band = (1 << (2 * k + 1)) - 1
-    n, m = F.char_length(a), F.char_length(b)
+    band = F.lit((1 << (2 * k + 1)) - 1).cast("long")
     start = F.array(*[F.lit(sum(1 << (d + k) for d in range(e + 1))).cast("long") for e in range(k + 1)])
 
-    def advance(rows: Column, j: Column) -> Column:
-        letter = F.substring(b, j, F.lit(1))
-        match = F.lit(0).cast("long")
-        for d in range(-k, k + 1):
-            match = match.bitwiseOR(F.when((j + d >= 1) & (j + d <= n) & (F.substring(a, j + d, F.lit(1)) == letter), F.lit(1 << (d + k)).cast("long")).otherwise(F.lit(0).cast("long")))
-        out = []
-        for e in range(k + 1):
-            row = F.get(rows, F.lit(e)).bitwiseAND(match)
-            if e:
-                less = F.get(rows, F.lit(e - 1))
-                row = row.bitwiseOR(less).bitwiseOR(F.shiftright(less, 1)).bitwiseOR(F.shiftleft(out[e - 1], 1))
-            out.append(row.bitwiseAND(F.lit(band).cast("long")))
-        return F.array(*out)
-
-    last = F.get(F.aggregate(F.sequence(F.lit(1), m), start, advance), F.lit(k))
+    def through(letters: Column) -> Column:
+        """The band moved along all of b; letters: those of a, in an array, since a place in a string has to be searched for."""
+        mine, theirs = letters["a"], letters["b"]
+
+        def advance(rows: Column, letter: Column) -> Column:
+            # rows: the state, and the number of letters of b so far
+            j, state = rows["j"], rows["state"]
+            match = F.lit(0).cast("long")
+            for d in range(-k, k + 1):
+                match = match.bitwiseOR(F.when(F.get(mine, j + d) == letter, F.lit(1 << (d + k)).cast("long")).otherwise(F.lit(0).cast("long")))
+
+            def row(e: int, known: list[Column], same: Column) -> Column:
+                if e > k:
+                    return F.array(*known)
+                own = F.get(state, F.lit(e)).bitwiseAND(same)
+                if e:
+                    less = F.get(state, F.lit(e - 1))
+                    own = own.bitwiseOR(less).bitwiseOR(F.shiftright(less, 1)).bitwiseOR(F.shiftleft(known[-1], 1))
+                return let(own.bitwiseAND(band), lambda x: row(e + 1, [*known, x], same))
+
+            moved = let(match, lambda same: row(0, [], same))
+            # with no diagonal left, what follows changes nothing
+            return F.struct((j + 1).alias("j"), F.when(F.get(state, F.lit(k)) == 0, state).otherwise(moved).alias("state"))
+
+        first = F.struct(F.lit(0).alias("j"), start.alias("state"))
+        return F.get(F.aggregate(theirs, first, advance)["state"], F.lit(k))
+
+    n, m = F.char_length(a), F.char_length(b)
     ends = F.get(F.array(*[F.lit(1 << x).cast("long") for x in range(2 * k + 1)]), n - m + k)
     # an empty b has no character to advance by
+    last = let(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), through)
     return F.when(F.abs(n - m) > k, F.lit(False)).when(m == 0, n <= k).otherwise(last.bitwiseAND(ends) != 0)
 
 
