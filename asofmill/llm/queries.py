@@ -47,7 +47,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=2, per_edit=16, least=16, exact=1)
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_edits=1, least=16, exact=1)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -83,19 +83,19 @@ known AS (
          translate(line, '{TWO_BYTE_LETTERS}', {" || ".join(f"chr({x})" for x in ONE_BYTE[: len(TWO_BYTE_LETTERS)])}) AS plain
   FROM (SELECT DISTINCT line FROM lines WHERE length(line) >= 1)),
 compared AS (SELECT * FROM known WHERE n >= 16),
-numbers AS (SELECT i FROM range(1, 4) t(i)),
+numbers AS (SELECT i FROM range(1, 3) t(i)),
 held AS (
-  SELECT id, n, i, substr(plain, CAST(n * (i - 1) // 3 + 1 AS BIGINT), CAST(n * i // 3 - n * (i - 1) // 3 AS BIGINT)) AS part FROM compared, numbers),
+  SELECT id, n, i, substr(plain, CAST(n * (i - 1) // 2 + 1 AS BIGINT), CAST(n * i // 2 - n * (i - 1) // 2 AS BIGINT)) AS part FROM compared, numbers),
 probes AS (
-  SELECT id, n - less AS m, i, (n - less) * (i - 1) // 3 + 1 + shift AS start, (n - less) * i // 3 - (n - less) * (i - 1) // 3 AS size, plain
-  FROM compared, numbers, range(0, 3) a(less), range(-2, 3) b(shift)),
+  SELECT id, n - less AS m, i, (n - less) * (i - 1) // 2 + 1 + shift AS start, (n - less) * i // 2 - (n - less) * (i - 1) // 2 AS size, plain
+  FROM compared, numbers, range(0, 2) a(less), range(-1, 2) b(shift)),
 candidates AS (
   SELECT DISTINCT p.id AS u, h.id AS v
   FROM probes p JOIN held h ON h.n = p.m AND h.i = p.i AND h.part = substr(p.plain, CAST(p.start AS BIGINT), CAST(p.size AS BIGINT))
   WHERE p.start >= 1 AND p.id <> h.id),
 links AS (
   SELECT c.u, c.v FROM candidates c JOIN known a ON a.id = c.u JOIN known b ON b.id = c.v
-  WHERE levenshtein(a.plain, b.plain) <= greatest(1, least(2, a.n // 16, b.n // 16))),
+  WHERE levenshtein(a.plain, b.plain) <= 1),
 both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
 reach AS (SELECT id, id AS other FROM known UNION SELECT r.id, l.v FROM reach r JOIN both_ways l ON r.other = l.u),
 groups AS (SELECT id, min(other) AS root FROM reach GROUP BY id),
