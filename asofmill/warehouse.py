@@ -102,8 +102,11 @@ class Warehouse:
     def classify(self, as_of: dt.date) -> int:
         """Standard sectors from the master; industries that are known already stay."""
         master = self.table("securities_master").select("ticker", sector_of(F.col("sector")).alias("sector"), "industry", F.lit(as_of).alias("as_of")).dropDuplicates(["ticker"])
+        known = self.table("classifications").filter(F.col("industry").isNotNull()).select("ticker", F.col("industry").alias("__known"))
+        master = master.join(known, "ticker", "left").withColumn("industry", F.coalesce("__known", "industry")).drop("__known")
+        count = master.count()  # before the write, which takes away the files that ``known`` reads
         self.write("classifications", writes.preserve_upsert(self.table("classifications"), master, ["ticker"], []))
-        return master.count()
+        return count
 
     def update_universe(self, rows: DataFrame, source: str, as_of: dt.date | None) -> int:
         """Members of a fund (ticker, name); identifiers found earlier stay."""

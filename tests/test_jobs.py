@@ -6,6 +6,8 @@ import zipfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from asofmill import cli
 from asofmill.sources import landing, providers, sync
 from asofmill.sources.schemas import TABLES
@@ -166,3 +168,16 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.ticker_list(" a, B,,") == ["A", "B"]
     with pytest.raises(SystemExit):
         cli.run(spark, ["no-such"])
+
+
+def test_classify_keeps_known_industries(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    rows = spark.createDataFrame([("A", "Technology", "Chips"), ("B", "Energy", "Oil"), ("C", "Energy", "Gas")], "ticker string, sector string, industry string")
+    house.upsert("securities_master", rows.withColumn("permaticker", F.col("ticker")).withColumn("src_table", F.lit("stocks")))
+    day = dt.date(2024, 1, 2)
+    old = spark.createDataFrame([("A", "Old", "Semiconductors", day), ("B", "Old", None, day)], "ticker string, sector string, industry string, as_of date")
+    house.upsert("classifications", old)
+    assert house.classify(dt.date(2024, 2, 1)) == 3
+    got = {r.ticker: r for r in house.table("classifications").collect()}
+    assert {t: r.industry for t, r in got.items()} == {"A": "Semiconductors", "B": "Oil", "C": "Gas"}
+    assert {r.as_of for r in got.values()} == {dt.date(2024, 2, 1)} and "Old" not in {r.sector for r in got.values()}
