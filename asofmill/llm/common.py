@@ -54,16 +54,36 @@ def quoted(names: list[str]) -> list[str]:
     return [f"`{n.replace('`', '``')}`" for n in names]
 
 
+#: Whether Spark removes a query's shuffle files when it ends, instead of when the driver's garbage collection finds them unused.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, and survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, and survives lost executors.
+
+    The shuffle files behind it go as soon as it is written, since nothing reads them again.
+    """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/asofmill-{spark.sparkContext.applicationId}"
     _remove_at_exit(spark, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Remove what ``stage`` wrote, once nothing is left to be computed from it."""
+    hadoop = staged.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        path = staged.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 #: Rows of a key list that may be broadcast (16 to 32 bytes each); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,13 +25,14 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root: for every node of ``edges`` (u, v; of any ordered type) the smallest node that it is linked to. Nodes without edges are left out.
 
-    Each round is written to the shared folder. A round costs two joins of the remaining links;
+    Each round is written to the shared folder, and the one before removed. A round costs two joins of the remaining links;
     a hub's links are counted by partial aggregation and its join can be split by Spark.
     """
     edges = stage(edges.select("u", "v").filter(F.col("u") != F.col("v")).distinct(), "links")
     mark = None
     for _ in range(most_rounds):
-        edges = stage(_stars(_stars(edges, large=True), large=False), "stars")
+        last, edges = edges, stage(_stars(_stars(edges, large=True), large=False), "stars")
+        discard(last)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v"))).first()
         if tuple(now) == mark:
             break
