@@ -29,18 +29,20 @@ from .components import components
 
 #: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line at least.
 LEAST, CROWD, BLOCKS = 16, 64, 8
+#: Letters after which the distance looks whether any diagonal is left.
+EARLY = 16
 BLANKS = " \t\r\x0b\x0c"
 
 
-def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
+def _segment(n: Column, i: int | Column, parts: int | Column) -> tuple[Column, Column]:
     """Start (from 1) and length of segment i (from 1) of a line of length n: the later ones take the remainder."""
     base, rest = F.floor(n / parts), n % parts
     longer = F.greatest(F.lit(0), rest - (parts - i + 1))
     return base * (i - 1) + longer + 1, base + (rest >= parts - i + 1).cast("int")
 
 
-def _key(line: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(line, start.cast("int"), size.cast("int")))
+def _key(line: Column, length: Column, i: int | Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(length, i if isinstance(i, Column) else F.lit(i), F.substring(line, start.cast("int"), size.cast("int")))
 
 
 def segment_keys(line: Column, n: Column, max_edits: int) -> tuple[list[Column], list[Column]]:
@@ -56,11 +58,30 @@ def segment_keys(line: Column, n: Column, max_edits: int) -> tuple[list[Column],
     return own, probes
 
 
-def _places(max_edits: int) -> list[tuple[int, int, int]]:
-    """Segment (from 1), how much shorter the indexed line is, and shift of each key of ``segment_keys``, in its order."""
-    parts = max_edits + 1
-    shifts = lambda i, less: range(max(1 - i, less - (parts - i)), min(i - 1, less + parts - i) + 1)
-    return [(i, 0, 0) for i in range(1, parts + 1)] + [(i, less, s) for less in range(parts) for i in range(1, parts + 1) for s in shifts(i, less) if less or s]
+def _places(max_edits: int) -> list[tuple[int, int, int, int]]:
+    """edits, i, less, shift of every key of a line: its segments (less and shift zero) and its probes, for each number of edits up to ``max_edits``."""
+    out = []
+    for edits in range(1, max_edits + 1):
+        for less in range(edits + 1):
+            for i in range(1, edits + 2):
+                low, high = max(1 - i, less - (edits + 1 - i)), min(i - 1, less + edits + 1 - i)
+                out += [(edits, i, less, shift) for shift in range(low, high + 1)]
+    return out
+
+
+def _entries(lines: DataFrame, max_edits: int, per_edit: int) -> DataFrame:
+    """h1, h2, edits, i, less, shift, own, k: the index entries and probes of lines (h1, h2, line, n).
+
+    The length of the indexed line decides how many edits it allows, and so its segments. The places are laid
+    out as rows first, so that one short expression makes all keys: as a column each, they outgrow what Spark compiles.
+    """
+    places = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(p, ("edits", "i", "less", "shift"), strict=True)]) for p in _places(max_edits)])
+    # four bytes a character, so that a place in a line needs no search for it
+    laid = lines.select("h1", "h2", F.encode("line", "UTF-32").alias("line"), "n").select("h1", "h2", "line", "n", F.inline(places))
+    allowed = F.greatest(F.lit(1), F.least(F.lit(max_edits), F.expr(f"(n - less) div {per_edit}")))
+    start, size = _segment(F.col("n") - F.col("less"), F.col("i"), F.col("edits") + 1)
+    key = _key(F.col("line"), F.col("n") - F.col("less"), F.col("i"), (start + F.col("shift") - 1) * 4 + 1, size * 4)
+    return laid.filter(F.col("edits") == allowed).select("h1", "h2", "edits", "i", "less", "shift", ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"), key.alias("k"))
 
 
 def _each(values: Column, use) -> Column:
@@ -69,16 +90,15 @@ def _each(values: Column, use) -> Column:
 
 
 def _finer(rows: DataFrame, max_edits: int) -> DataFrame:
-    """k, own, id: the entries (id, k, at, line, n) of crowded segments, keyed by further segments of what lies outside theirs.
+    """k, own, id: the entries (id, k, edits, i, less, shift, own, line, n) of crowded segments, keyed by further segments of what lies outside theirs.
 
     Two lines within ``max_edits`` that share a segment where ``segment_keys`` says are so outside it too.
     """
-    parts, places = max_edits + 1, _places(max_edits)
-    i, less, shift = (F.get(F.array(*[F.lit(p[x]) for p in places]), F.col("at")) for x in range(3))
-    start, size = _segment(F.col("n") - less, i, parts)
-    start, size = (start + shift).cast("int"), size.cast("int")
+    parts, less = max_edits + 1, F.col("less")
+    start, size = _segment(F.col("n") - less, F.col("i"), F.col("edits") + 1)
+    start, size = (start + F.col("shift")).cast("int"), size.cast("int")
     rest = F.concat(F.substring("line", F.lit(1), start - 1), F.substring("line", start + size, F.col("n")))
-    rows = rows.select("id", "k", (F.col("at") < parts).alias("own"), less.alias("less"), rest.alias("rest"), (F.col("n") - less - size).alias("m"))
+    rows = rows.select("id", "k", "own", "less", rest.alias("rest"), (F.col("n") - less - size).alias("m"))
     made = []
     for j in range(1, parts + 1):
         begin, length = (x.cast("int") for x in _segment(F.col("m"), j, parts))
@@ -95,11 +115,14 @@ def shared_prefix(a: Column, b: Column, most: Column) -> Column:
     """Characters that a and b begin with alike, ``most`` at most: a search by halving steps."""
     steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
 
-    def further(known: Column, step: Column) -> Column:
-        longer = known + step
-        return F.when((longer <= most) & (F.substring(a, F.lit(1), longer) == F.substring(b, F.lit(1), longer)), longer).otherwise(known)
+    def within(most: Column) -> Column:
+        def further(known: Column, step: Column) -> Column:
+            longer = known + step
+            return F.when((longer <= most) & (F.substring(a, F.lit(1), longer) == F.substring(b, F.lit(1), longer)), longer).otherwise(known)
+
+        return F.aggregate(steps, F.lit(0), further)
 
-    return F.aggregate(steps, F.lit(0), further)
+    return let(most, within)
 
 
 def let(value: Column, use) -> Column:
@@ -107,8 +130,8 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def within_edits(a: Column, b: Column, max_edits: int) -> Column:
-    """Whether two strings are at most ``max_edits`` edits apart: bit-parallel over the band of diagonals.
+def within_edits(a: Column, b: Column, max_edits: int, allowed: Column | None = None) -> Column:
+    """Whether two strings are at most ``max_edits`` edits apart (``allowed``, if given, which is no more): bit-parallel over the band of diagonals.
 
     Row e of the state is a word whose bit d + max_edits says that the first j + d characters of
     a and the first j of b are at most e edits apart. A character of b moves all diagonals of a
@@ -143,13 +166,19 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
             return F.struct((j + 1).alias("j"), F.when(F.get(state, F.lit(k)) == 0, state).otherwise(moved).alias("state"))
 
         first = F.struct(F.lit(0).alias("j"), start.alias("state"))
-        return F.get(F.aggregate(theirs, first, advance)["state"], F.lit(k))
+        return F.get(F.aggregate(theirs, first, advance)["state"], F.lit(k) if allowed is None else allowed)
 
     n, m = F.char_length(a), F.char_length(b)
     ends = F.get(F.array(*[F.lit(1 << x).cast("long") for x in range(2 * k + 1)]), n - m + k)
     # an empty b has no character to advance by
-    last = let(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), through)
-    return F.when(F.abs(n - m) > k, F.lit(False)).when(m == 0, n <= k).otherwise(last.bitwiseAND(ends) != 0)
+    def after(letters: int | None) -> Column:
+        """The row of the state after so many letters of b (all, if None)."""
+        mine, theirs = (a, b) if letters is None else (F.substring(a, 1, letters + k), F.substring(b, 1, letters))
+        return let(F.struct(F.split(mine, "").alias("a"), F.split(theirs, "").alias("b")), through)
+
+    # most strings that are further apart leave the band at once, so the rest of them is not taken apart
+    lost = (m > EARLY) & (after(EARLY) == 0)
+    return F.when(F.abs(n - m) > k, F.lit(False)).when(m == 0, n <= (k if allowed is None else allowed)).when(lost, F.lit(False)).otherwise(after(None).bitwiseAND(ends) != 0)
 
 
 def middles(a: Column, b: Column) -> Column:
@@ -158,7 +187,7 @@ def middles(a: Column, b: Column) -> Column:
     def cut(x: Column) -> Column:
         left = F.least(F.char_length(a), F.char_length(b)) - x
         return let(
-            shared_prefix(F.reverse(a), F.reverse(b), left),
+            let(F.struct(F.reverse(a).alias("a"), F.reverse(b).alias("b")), lambda r: shared_prefix(r["a"], r["b"], left)),
             lambda y: F.struct(F.substring(a, x + 1, F.char_length(a) - x - y).alias("a"), F.substring(b, x + 1, F.char_length(b) - x - y).alias("b")),
         )
 
@@ -214,7 +243,7 @@ def _crowd_links(rows: DataFrame) -> DataFrame:
 
 
 def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, crowd: int) -> DataFrame:
-    """u, v for the entries (k, at, own, c, id) of shared segments, several edits allowed; pairs are those that ``verified`` keeps."""
+    """u, v for the entries (k, edits, i, less, shift, own, c, id) of shared segments, several edits allowed; pairs are those that ``verified`` keeps."""
 
     def paired(entries: DataFrame) -> DataFrame:
         a, b = entries.filter("own").drop("own").withColumnRenamed("id", "u"), entries.withColumnRenamed("id", "v")
@@ -229,8 +258,10 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
 
     many = shared.filter(F.col("c") > crowd)
     near = verified(paired(shared.filter(F.col("c") <= crowd).select("k", "own", "id")).select("u", "v").distinct())
-    crowded = many.select("id", "k", "at").join(texts, "id")
+    crowded = many.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id")
     finer = stage(_finer(crowded, max_edits), "finer")
+    if finer.isEmpty():
+        return near
     links = near.union(_crowd_links(texts.join(many.select("id").distinct(), "id", "left_semi")))
     links = links.union(verified(starred(many.select("k", "own", "id")).union(starred(finer)).distinct()))
     links = stage(links, "first-links")
@@ -261,14 +292,15 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     extra = [F.first("line").alias("line")] if wide else [F.min(f"k{i}").alias(f"k{i}") for i in range(len(keys))]
     distinct = stage(told.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.max(place).alias("last"), *extra), "distinct-lines")
 
-    index = F.array(*[F.struct(F.col(f"k{i}").alias("k"), F.lit(i < len(own)).alias("own")) for i in range(len(keys))])
     compared = distinct.filter(F.col("n") >= least) if exact < least else distinct
     if wide:
-        compared = compared.select("h1", "h2", *keys)
-    entries = compared.select("h1", "h2", F.posexplode(index).alias("at", "e")).select("h1", "h2", "at", "e.k", "e.own")
+        entries = _entries(compared, max_edits, per_edit)
+    else:
+        index = F.array(*[F.struct(F.col(f"k{i}").alias("k"), F.lit(i < len(own)).alias("own")) for i in range(len(keys))])
+        entries = compared.select("h1", "h2", F.explode(index).alias("e")).select("h1", "h2", "e.k", "e.own")
     met = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.count_if("own").alias("o")).filter((F.col("c") > 1) & (F.col("o") > 0)).select("k", "c")
     met = stage(met, "segments")
-    shared = stage(entries.join(guarded(met, met.count()), "k").select("h1", "h2", "k", "c", "at", "own", _id(F.col("h1"), F.col("h2")).alias("id")), "shared")
+    shared = stage(entries.join(guarded(met, met.count()), "k").withColumn("id", _id(F.col("h1"), F.col("h2"))), "shared")
     wanted = stage(shared.select("h1", "h2", "id").distinct(), "wanted")
     texts = stage(
         (distinct if wide else lines_of(docs, least, *hashes))
@@ -281,10 +313,7 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
 
     def near(a: Column, b: Column, m: Column) -> Column:
         allowed = F.least(F.char_length(a), F.char_length(b)) / per_edit
-        out = within_edits(m["a"], m["b"], 1)
-        for k in range(2, max_edits + 1):
-            out = F.when(allowed >= k, within_edits(m["a"], m["b"], k)).otherwise(out)
-        return out
+        return within_edits(m["a"], m["b"], max_edits, F.greatest(F.lit(1), F.least(F.lit(max_edits), F.floor(allowed).cast("int"))))
 
     def verified(pairs: DataFrame) -> DataFrame:
         held = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v")
