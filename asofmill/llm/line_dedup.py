@@ -120,7 +120,7 @@ def shared_prefix(a: Column, b: Column, most: Column) -> Column:
             longer = known + step
             return F.when((longer <= most) & (F.substring(a, F.lit(1), longer) == F.substring(b, F.lit(1), longer)), longer).otherwise(known)
 
-        return F.aggregate(steps, F.lit(0), further)
+        return F.aggregate(F.filter(steps, lambda step: step <= most), F.lit(0), further)
 
     return let(most, within)
 
@@ -359,6 +359,6 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd:
     n_lines = F.coalesce(F.size(lines), F.lit(0))
     same = docs.join(changed, on, "left_anti").select(*quoted(names), F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    kept = let(lines, lambda parts: F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
     cut = docs.join(changed, on, "left_semi").join(gone, on).select(*[kept.alias(c) if c == "text" else F.col(q) for c, q in zip(names, quoted(names), strict=True)], n_lines.cast("long").alias("n_lines"), F.size("__gone").cast("long").alias("n_removed"))
     return same.unionByName(cut)
