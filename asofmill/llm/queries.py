@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, license_scan, line_dedup, mixing, quality, simhash, substring, token_counts
+from . import ann, clustering, decontaminate, langid, license_scan, line_dedup, mining, mixing, packing, quality, simhash, substring, token_counts
 from .common import table
 
 
@@ -55,6 +55,24 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+#: A public byte-level tokenizer; where its folder lies is a parameter of ``packing.pack``.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, length=2048)
+
+
+def op12_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, width=64, scale=256, salt="2")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return mining.hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, whole=100, scale=256)
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
@@ -66,6 +84,9 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_license": op9_license,
     "op10_language_id": op10_language_id,
+    "op11_pack": op11_pack,
+    "op12_cluster": op12_cluster,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # Letters of two bytes in the tables. DuckDB counts edits in bytes, so its SQL puts a control character in the place of each.
@@ -108,6 +129,8 @@ SELECT s.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, CAST(coales
 FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
 """,
     "op9_license": license_scan.oracle(),
+    "op12_cluster": clustering.oracle(),
+    "op13_hard_negatives": mining.oracle(),
     "op6_mix": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
