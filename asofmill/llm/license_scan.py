@@ -8,7 +8,6 @@ deterministic as they run; texts that lack a template's rarest mandatory word ar
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -80,12 +79,12 @@ class Automaton:
     def longest(self, words: list[bytes], at: int) -> int:
         """Words that the longest accepted wording from ``at`` takes; 0 if none is accepted."""
         states, best = self.closed({0}), 0
-        for n, word in enumerate(itertools.islice(words, at, None), 1):
-            states = self.step(states, word)
+        for i in range(at, len(words)):
+            states = self.step(states, words[i])
             if not states:
                 break
             if self.accept in states:
-                best = n
+                best = i + 1 - at
         return best
 
 
@@ -126,11 +125,12 @@ def template_regex(markup: str) -> str:
 
 
 def places_of(line: bytes, phrase: bytes) -> list[int]:
-    """Words before each place of the phrase; ``line`` has one space before and after each word."""
-    out, needle, at = [], b" " + phrase + b" ", 0
+    """Words before each place of the phrase; ``line`` has one space before and after each word. One pass, however many places there are."""
+    out, needle, at, words, upto = [], b" " + phrase + b" ", 0, 0, 0
     while (at := line.find(needle, at)) >= 0:
-        out.append(line.count(b" ", 0, at))
-        at += 1
+        words += line.count(b" ", upto, at)
+        out.append(words)
+        upto, at = at, at + 1
     return out
 
 
@@ -143,7 +143,8 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
     n_words; n_base, first_word and last_word: places of the base phrases; base_labels; labels
     (the templates' too), sorted and comma-joined, empty without any; score: 1 if a template is
     accepted, 0.5 with base phrases only, else 0. Null and empty texts have no words and no
-    labels. Only doc_id and text are read.
+    labels; repeated rows get a row each; an empty table gives none. Texts are scanned whole, in time
+    proportional to their length: no template takes more words than its own markup allows. Only doc_id and text are read.
     """
     ship(docs.sparkSession)
     base = {k.encode(): v for k, v in (PHRASES if phrases is None else phrases).items()}

@@ -1,6 +1,7 @@
 """Token automata and the scan against plain restatements."""
 
 import re
+import time
 
 import pytest
 
@@ -70,3 +71,19 @@ def test_scan_matches_brute_force(spark):
 
 def test_empty_table(spark):
     assert ls.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_texts_full_of_places_take_time_in_proportion(spark):
+    times = 120_000
+    rows = [(1, "mit license x " * times, None), (2, "licensed under the " * times, None), (3, "gnu general public license or licensed " * times, None)]
+    assert sum(len(t) for _, t, _ in rows) > 8_000_000
+    began = time.time()
+    got = {r.doc_id: r for r in ls.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert time.time() - began < 60  # hours, if every place were counted from the beginning
+    assert (got[1].n_base, got[1].first_word, got[1].last_word) == (times, 0, 3 * (times - 1))
+    assert (got[2].n_words, got[2].n_base, got[2].labels) == (3 * times, 0, "")
+    assert (got[3].n_base, got[3].last_word, got[3].labels) == (times, 6 * (times - 1), "gpl")
+
+
+def test_empty_table(spark):
+    assert ls.scan(spark.createDataFrame([], SCHEMA)).collect() == []
