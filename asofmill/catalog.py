@@ -93,15 +93,27 @@ query(
 )(fundamentals.quarterly_statements)
 
 
+# Vendor ratios that the stand-in filings lack, from figures that they have.
+_GIVEN = {
+    "pe": ("assets", "netinc"), "pb": ("assets", "assetsc"), "ps": ("assets", "revenue"), "roe": ("netinc", "assetsc"), "roa": ("netinc", "assets"), "netmargin": ("netinc", "revenue"),
+    "grossmargin": ("gp", "revenue"), "de": ("liabilities", "assetsc"), "currentratio": ("assetsc", "liabilitiesc"), "divyield": ("liabilitiesc", "assets"), "evebitda": ("assets", "ncfo"),
+}
+_RATIO_OF = {
+    "trailing_pe": "pe", "price_to_book": "pb", "price_to_sales": "ps", "roe": "roe", "roa": "roa", "net_margin": "netmargin", "gross_margin": "grossmargin", "debt_to_equity": "de",
+    "current_ratio": "currentratio", "dividend_yield": "divyield", "ev_to_ebitda": "evebitda",
+}
+
+
 @query(
     "ratios_latest", "v_sf1",
-    f"""SELECT ticker, DATE '{DAY}' AS as_of, CASE WHEN assets <> 0 THEN netinc / assets END AS roa, CASE WHEN revenue <> 0 THEN gp / revenue END AS gross_margin,
-       CASE WHEN revenue <> 0 THEN ncfo / revenue END AS operating_margin, shareswa AS shares_outstanding, CAST(NULL AS DOUBLE) AS forward_pe
+    f"""SELECT ticker, DATE '{DAY}' AS as_of, {", ".join(f"CASE WHEN {_GIVEN[v][1]} <> 0 THEN {_GIVEN[v][0]} / {_GIVEN[v][1]} END AS {k}" for k, v in _RATIO_OF.items())},
+       CASE WHEN revenue <> 0 THEN ncfo / revenue END AS operating_margin, assets * 2 AS market_cap, assets * 3 AS enterprise_value, shareswa AS shares_outstanding,
+       CAST(NULL AS DOUBLE) AS forward_pe, CAST(NULL AS DOUBLE) AS beta
        FROM v_sf1 WHERE dimension = 'MRY' QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) = 1""",
 )
 def ratios_latest(sf1):
-    rows = sf1.withColumn("roa", parse.share(F.col("netinc"), F.col("assets"))).withColumn("grossmargin", parse.share(F.col("gp"), F.col("revenue"))).withColumn("opinc", F.col("ncfo"))
-    return fundamentals.ratios(rows, F.lit(DAY)).select("ticker", "as_of", "roa", "gross_margin", "operating_margin", "shares_outstanding", "forward_pe")
+    made = {k: parse.share(F.col(a), F.col(b)) for k, (a, b) in _GIVEN.items()} | {"opinc": F.col("ncfo"), "marketcap": F.col("assets") * 2, "ev": F.col("assets") * 3}
+    return fundamentals.ratios(sf1.withColumns(made), F.lit(DAY))
 
 
 _PIOTROSKI = """r AS (
@@ -366,13 +378,30 @@ query(
     f"SELECT ticker, max(close) AS high, min(close) AS low FROM v_prices WHERE date <= DATE '{DAY}' AND date > DATE '{DAY}' - 365 GROUP BY ticker",
 )(lambda p: analytics.range_high_low(p, DAY))
 
+# Splits and dividends are known for most changes of the adjustment; those left out of v_events have to show as deviations.
+_CHAIN = f"""steps AS (
+  SELECT ticker, date, adjustment, lag(adjustment) OVER (PARTITION BY ticker ORDER BY date) / adjustment AS step, last_value(adjustment) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS at_end
+  FROM v_prices WHERE adjustment > 0 AND date <= DATE '{DAY}'),
+on_event AS (SELECT s.ticker, s.date, s.step FROM steps s WHERE EXISTS (SELECT 1 FROM v_events e WHERE e.ticker = s.ticker AND e.date = s.date AND e.action IN ('split', 'dividend'))),
+chains AS (
+  SELECT s.ticker, s.date, s.adjustment, s.at_end, coalesce(product(e.step), 1e0) AS chain FROM steps s LEFT JOIN on_event e ON e.ticker = s.ticker AND e.date > s.date AND e.step IS NOT NULL GROUP BY ALL)"""
+
 query(
-    "adjustment_identity", "v_prices",
-    "SELECT ticker, count(*) AS n, CAST(0 AS BIGINT) AS broken FROM v_prices WHERE adjustment > 0 GROUP BY ticker",
+    "adjustment_identity", "v_prices v_events",
+    f"""/*with*/ {_CHAIN}
+       SELECT ticker, count(*) AS n, (SELECT count(*) FROM on_event o WHERE o.ticker = c.ticker) AS n_events, count(*) FILTER (WHERE abs(adjustment / chain / at_end - 1) > 1e-9) AS broken,
+              round(max(abs(adjustment / chain / at_end - 1)), 6) AS deviation FROM chains c GROUP BY ticker""",
 )(
-    lambda p: analytics.adjustment_identity(p).groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("rebuilt") / F.col("adjustment") - 1) > 1e-9).alias("broken"))
+    lambda p, e: analytics.adjustment_chain(p, e, until=DAY).groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_event").alias("n_events"), F.count_if(F.abs("deviation") > 1e-9).alias("broken"), F.round(F.max(F.abs("deviation")), 6).alias("deviation")
+    )
 )
 
+query(
+    "price_events", "v_prices v_events",
+    f"SELECT p.ticker, p.date, p.close, p.adjustment, e.action FROM v_prices p LEFT JOIN v_events e ON e.ticker = p.ticker AND e.date = p.date WHERE p.date >= DATE '{SINCE}' AND p.date <= DATE '{DAY}'",
+)(lambda p, e: analytics.with_events(prices.between(p, None, SINCE, DAY).select("ticker", "date", "close", "adjustment"), e, "action"))
+
 query(
     "history_years_pick", "v_prices v_master",
     """SELECT m.ticker, m.sector, s.years FROM v_master m JOIN (SELECT ticker, date_diff('day', min(date), max(date)) / 365.25e0 AS years FROM v_prices GROUP BY ticker) s ON m.ticker = s.ticker

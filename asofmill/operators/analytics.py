@@ -115,14 +115,33 @@ def range_high_low(prices: DataFrame, as_of: dt.date, days: int = 365) -> DataFr
     return rows.groupBy("ticker").agg(F.max("close").alias("high"), F.min("close").alias("low"))
 
 
-def adjustment_identity(prices: DataFrame) -> DataFrame:
-    """ticker, date, adjustment and rebuilt: the last adjustment divided by all later steps, by logarithms from the end."""
+def with_events(rows: DataFrame, events: DataFrame, *columns: str) -> DataFrame:
+    """rows left-joined with the events of their ticker and day: one row for each event of the day, null ``columns`` where there is none.
+
+    Both sides are laid out by ticker and day; null tickers and days meet nothing.
+    """
+    return rows.join(events.select("ticker", "date", *columns), ["ticker", "date"], "left")
+
+
+def adjustment_chain(prices: DataFrame, events: DataFrame, kinds: tuple[str, ...] = ("split", "dividend"), since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """ticker, date, adjustment, is_event, chain and deviation: the adjustment against what the events alone explain.
+
+    ``chain`` is the product of the steps (adjustment before over adjustment after) on event days after a
+    row's own, as far as ``until``. Where every change of the adjustment falls on a day with an event, adjustment over chain is
+    the last adjustment and ``deviation``, their ratio less 1, is 0; a change on any other day shows from there back to
+    the first day. Only rows with an adjustment above 0 count, a first row has no step, and several events of a day are one.
+    """
+    rows = prices.filter(F.col("adjustment") > 0)
+    rows = rows.filter(F.col("date") >= F.lit(since)) if since else rows
+    rows = rows.filter(F.col("date") <= F.lit(until)) if until else rows
+    days = events.filter(F.col("action").isin(*kinds)).select("ticker", "date").distinct().withColumn("__event", F.lit(True))
+    rows = with_events(rows.select("ticker", "date", "adjustment"), days, "__event").withColumn("is_event", F.coalesce("__event", F.lit(False))).drop("__event")
     w = Window.partitionBy("ticker").orderBy("date")
     later = Window.partitionBy("ticker").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("ticker")
-    rows = prices.filter(F.col("adjustment") > 0).withColumn("step", F.ln(F.col("adjustment") / F.lag("adjustment").over(w)))
-    last = F.max_by("adjustment", "date").over(whole)
-    return rows.withColumn("rebuilt", last / F.exp(F.coalesce(F.sum("step").over(later), F.lit(0.0)))).select("ticker", "date", "adjustment", "rebuilt")
+    rows = rows.withColumn("__step", F.when(F.col("is_event"), F.ln(F.lag("adjustment").over(w) / F.col("adjustment"))))
+    rows = rows.withColumn("chain", F.exp(F.coalesce(F.sum("__step").over(later), F.lit(0.0)))).drop("__step")
+    last = F.first("adjustment").over(Window.partitionBy("ticker").orderBy(F.desc("date")))
+    return rows.withColumn("deviation", F.col("adjustment") / F.col("chain") / last - 1)
 
 
 def long_histories(prices: DataFrame, rows: DataFrame, years: float, order: str) -> DataFrame:

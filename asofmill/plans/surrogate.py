@@ -54,6 +54,12 @@ FROM (SELECT CAST(l_suppkey AS VARCHAR(20)) AS ticker, d.dimension,
     "v_actions": """
 SELECT DISTINCT CAST(user_id AS VARCHAR(20)) AS ticker, CAST(ts AS DATE) AS date, event_type AS action, CAST(value AS VARCHAR(30)) AS value
 FROM events
+""",
+    "v_events": """
+SELECT ticker, MIN(date) AS date, CASE WHEN yr IN (1998, 2000) THEN 'split' ELSE 'dividend' END AS action
+FROM (SELECT ticker, date, YEAR(date) AS yr FROM v_prices) y WHERE (CAST(ticker AS INT) + yr) % 5 <> 0 GROUP BY ticker, yr
+UNION ALL SELECT ticker, MIN(date) AS date, 'listed' AS action FROM v_prices GROUP BY ticker
+UNION ALL SELECT ticker, MAX(date) AS date, 'delisted' AS action FROM v_prices WHERE CAST(ticker AS INT) % 7 = 0 GROUP BY ticker
 """,
     "v_factor_file": """
 SELECT event_type AS file, CAST(ts AS DATE) AS date,
@@ -63,7 +69,7 @@ FROM events GROUP BY 1, 2
 }
 
 #: Views that each view reads.
-NEEDS = {"v_prices": ["v_vendor_bars"], "v_master": ["v_vendor_bars", "v_prices"]}
+NEEDS = {"v_prices": ["v_vendor_bars"], "v_master": ["v_vendor_bars", "v_prices"], "v_events": ["v_vendor_bars", "v_prices"]}
 
 TABLES = ("nation", "region", "supplier", "lineitem", "events")
 

@@ -221,3 +221,25 @@ def test_sector_labels(spark):
 def test_buckets_are_closed_on_the_right(spark):
     frame = spark.createDataFrame([(0.0,), (1.0,), (1.5,), (2.0,), (9.0,)], "v double")
     assert [r[0] for r in frame.select(analytics.bucket(F.col("v"), [0, 1, 2], ["low", "high"])).collect()] == [None, "low", "high", "high", None]
+
+
+def test_changes_without_an_event_deviate(spark):
+    days = sessions(8)
+    frame = lambda factors: spark.createDataFrame([("T", d, None, None, None, 1.0, 1, f) for d, f in zip(days, factors)], PRICE)
+    events = spark.createDataFrame([("T", days[3], "split"), ("T", days[3], "dividend"), ("T", days[6], "dividend"), ("T", days[5], "listed"), ("U", days[2], "split")], "ticker string, date date, action string")
+    explained = [0.2, 0.2, 0.2, 0.5, 0.5, 0.5, 0.9, 0.9]
+    got = {r.date: r for r in analytics.adjustment_chain(frame(explained), events).collect()}
+    assert all(abs(r.deviation) < 1e-12 for r in got.values()) and [d for d, r in sorted(got.items()) if r.is_event] == [days[3], days[6]]
+    assert got[days[0]].chain == close_to(0.2 / 0.9) and got[days[3]].chain == close_to(0.5 / 0.9) and got[days[7]].chain == 1.0
+    planted = [0.2, 0.2, 0.2, 0.5, 0.5, 0.6, 0.9, 0.9]  # the fifth day's change has no split or dividend
+    got = {r.date: r.deviation for r in analytics.adjustment_chain(frame(planted), events).collect()}
+    assert [round(got[d], 9) for d in days] == [round(0.5 / 0.6 - 1, 9)] * 5 + [0.0] * 3
+    assert analytics.adjustment_chain(frame(planted), events, until=days[4]).filter("abs(deviation) > 1e-9").count() == 0
+
+
+def test_every_event_of_a_day_meets_its_price(spark):
+    days = sessions(3)
+    p = spark.createDataFrame([("T", d, None, None, None, 1.0, 1, 1.0) for d in days], PRICE)
+    events = spark.createDataFrame([("T", days[1], "split"), ("T", days[1], "dividend"), (None, days[2], "split")], "ticker string, date date, action string")
+    got = sorted((r.date, r.action or "") for r in analytics.with_events(p, events, "action").collect())
+    assert got == [(days[0], ""), (days[1], "dividend"), (days[1], "split"), (days[2], "")]
