@@ -233,6 +233,36 @@ query(
     f"/*with*/ {_HISTORY} SELECT CAST(year(as_of) AS INT) AS yr, count(*) AS n, median(mcap) AS median, CAST(sum(CAST(mcap AS DECIMAL(28,0))) AS DOUBLE) AS total FROM history GROUP BY 1",
 )(lambda *t: analytics.median_by(_history(*t).withColumn("yr", F.year("as_of")), "yr", "mcap"))
 
+# What an earlier state of the prices lacked: a third of the tickers from a day on, and two days of the calendar.
+_LATE, _NEW_DAYS = dt.date(2001, 3, 1), (dt.date(2001, 6, 4), dt.date(2001, 10, 31))
+
+
+@query("history_update", _PIT_VIEWS, f"/*with*/ {_HISTORY} SELECT * FROM history")
+def history_update(p, m, sf1):
+    """The history of an earlier state of the prices, brought up to date from what has changed since: equal to a full build."""
+    late = ((F.col("ticker").cast("int") % 3 == 0) & (F.col("date") >= F.lit(_LATE))) | F.col("date").isin(*_NEW_DAYS)
+    before, new = p.filter(~late), p.filter(late)
+    changes = new.groupBy("ticker").agg(F.min("date").alias("first_day"))
+    days = new.select("date").distinct().join(before.select("date").distinct(), "date", "left_anti").agg(F.min("date").alias("first_day")).select(F.lit(None).cast("string").alias("ticker"), "first_day")
+    since = pit.affected_since(changes.union(days), m, SCREEN)
+    old = pit.universe_history(before, m, sf1, SCREEN)
+    return pit.without_affected(old, since).unionByName(pit.history_since(p, m, sf1, since, SCREEN))
+
+
+_EXPECTED = f"""c AS (SELECT DISTINCT date FROM v_prices WHERE date BETWEEN DATE '{SINCE}' AND DATE '{DAY}'),
+lives AS (SELECT ticker, greatest(firstpricedate, (SELECT min(date) FROM c)) AS first, least(lastpricedate, (SELECT max(date) FROM c)) AS last FROM v_master WHERE firstpricedate IS NOT NULL),
+e AS (SELECT ticker, first, last, (SELECT count(*) FROM c WHERE c.date BETWEEN l.first AND l.last) AS expected FROM lives l)"""
+
+query("sessions_expected", "v_prices v_master", f"/*with*/ {_EXPECTED} SELECT * FROM e")(
+    lambda p, m: pit.sessions_expected(p, m.filter("firstpricedate IS NOT NULL"), SINCE, DAY)
+)
+
+query(
+    "short_tickers", "v_prices v_master",
+    f"""/*with*/ {_EXPECTED}, h AS (SELECT e.ticker, count(p.date) AS held FROM e LEFT JOIN v_prices p ON p.ticker = e.ticker AND p.date BETWEEN e.first AND e.last AND p.volume > 20 GROUP BY e.ticker)
+       SELECT ticker, expected, held FROM e JOIN h USING (ticker) WHERE held < expected - 20""",
+)(lambda p, m: pit.short_tickers(p.filter("volume > 20"), pit.sessions_expected(p, m.filter("firstpricedate IS NOT NULL"), SINCE, DAY)))
+
 # ---- coverage and counts ----
 
 query(

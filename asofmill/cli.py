@@ -43,8 +43,13 @@ class Http:
             return r.headers.get("Last-Modified")
 
 
+def names_of(text: str | None) -> list[str]:
+    """The parts of a comma-separated list, without blanks."""
+    return [t.strip() for t in (text or "").split(",") if t.strip()]
+
+
 def ticker_list(text: str | None) -> list[str]:
-    return [t.strip().upper() for t in (text or "").split(",") if t.strip()]
+    return [t.upper() for t in names_of(text)]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -62,9 +67,14 @@ def parser() -> argparse.ArgumentParser:
     universe = sub.add_parser("update-universe")
     universe.add_argument("file")
     universe.add_argument("--source", default="fund")
-    sub.add_parser("update-classifications").add_argument("--as-of", type=day, default=dt.date.today())
+    classes = sub.add_parser("update-classifications")
+    classes.add_argument("--as-of", type=day, default=dt.date.today())
+    classes.add_argument("--ticker", default=None)
+    classes.add_argument("--force", action="store_true")
     french = sub.add_parser("update-french-factors")
     french.add_argument("--folder", required=True)
+    french.add_argument("--base-url", default=None)
+    french.add_argument("--force", action="store_true")
     for name in ("build-piotroski", "build-quarterly"):
         sub.add_parser(name)
     sub.add_parser("build-ratios").add_argument("--as-of", type=day, default=None)
@@ -73,6 +83,8 @@ def parser() -> argparse.ArgumentParser:
     pit.add_argument("--as-of", type=day, default=dt.date.today())
     pit.add_argument("--start", type=day, default=None)
     pit.add_argument("--end", type=day, default=None)
+    pit.add_argument("--changed", action="store_true")
+    pit.add_argument("--types", default=None)
     for field, kind in (("min_price", float), ("min_mcap", float), ("min_dvol", float), ("lookback", int), ("min_dvol_days", int), ("max_quote_age", int)):
         pit.add_argument("--" + field.replace("_", "-"), type=kind, default=getattr(Screen(), field))
     for name in ("bulk-download", "bulk-fromzero", "bulk-update"):
@@ -80,7 +92,14 @@ def parser() -> argparse.ArgumentParser:
         bulk.add_argument("--status-url", required=True)
         bulk.add_argument("--base-url", required=True)
         bulk.add_argument("--folder", required=True)
+        bulk.add_argument("--tables", default=None)
+        bulk.add_argument("--force", action="store_true")
+        bulk.add_argument("--no-derive", action="store_true")
+        bulk.add_argument("--no-pit", action="store_true")
     sub.add_parser("optimize-db")
+    held = sub.add_parser("statements")
+    held.add_argument("ticker")
+    held.add_argument("--dimension", default="ARY")
     shown = sub.add_parser("prices")
     shown.add_argument("ticker")
     for field in ("--start", "--end", "--as-of"):
@@ -97,11 +116,17 @@ def run(spark: SparkSession, words: list[str], fetcher=None):
     elif command == "update-universe":
         with open(given.file) as f:
             rows, day = providers.fund_holdings(spark, f.read())
-        out = house.update_universe(rows.select("ticker", "name"), given.source, day)
+        out = house.update_universe(rows.select("ticker", "name", "sector"), given.source, day)
     elif command == "update-classifications":
-        out = house.classify(given.as_of)
+        out = house.classify(given.as_of, ticker_list(given.ticker), given.force)
+    elif command == "update-french-factors" and given.base_url:
+        net = fetcher or Http()
+        os.makedirs(given.folder, exist_ok=True)
+        urls = {k: f"{given.base_url}/{f[0]}" for k, f in FACTOR_FILES.items()}
+        out = house.update_factors(net, given.folder, {k: (url, net.stamp(url)) for k, url in urls.items()}, given.force)
     elif command == "update-french-factors":
         out = {k: house.load_factor_file(k, os.path.join(given.folder, f[0])) for k, f in FACTOR_FILES.items() if os.path.exists(os.path.join(given.folder, f[0]))}
+        house.describe_factors()
     elif command == "build-piotroski":
         out = house.build_piotroski()
     elif command == "build-quarterly":
@@ -109,25 +134,31 @@ def run(spark: SparkSession, words: list[str], fetcher=None):
     elif command == "build-ratios":
         out = house.build_ratios(given.as_of)
     elif command == "build-universe-pit":
-        screen = Screen(given.min_price, given.min_mcap, given.min_dvol, given.lookback, given.min_dvol_days, given.max_quote_age)
-        out = house.build_history(screen, given.start, given.end) if given.history else house.build_universe(given.as_of, screen)
+        screen = Screen(given.min_price, given.min_mcap, given.min_dvol, given.lookback, given.min_dvol_days, given.max_quote_age, tuple(names_of(given.types)) or Screen().categories)
+        out = house.update_history(screen) if given.changed else house.build_history(screen, given.start, given.end) if given.history else house.build_universe(given.as_of, screen)
     elif command.startswith("bulk-"):
         net = fetcher or Http()
         status = net.get_json(given.status_url)
-        files = {k: (f"{given.base_url}/{name}", stamp) for k in landing.LOADERS for name, stamp in bulk_files(status, k)[:1]}
+        wanted = names_of(given.tables) or list(landing.LOADERS)
+        if unknown := sorted(set(wanted) - set(landing.LOADERS)):
+            raise SystemExit(f"no such tables: {', '.join(unknown)}")
+        files = {k: (f"{given.base_url}/{name}", stamp) for k in landing.LOADERS if k in wanted for name, stamp in bulk_files(status, k)[:1]}
         os.makedirs(given.folder, exist_ok=True)
         if command == "bulk-download":
             from .sources.sync import sync
 
-            out = sync(net, given.folder, files, lambda name, path: os.path.getsize(path))
+            out = sync(net, given.folder, files, lambda name, path: os.path.getsize(path), force=given.force)
         else:
-            out = house.bulk(net, given.folder, files, from_zero=command == "bulk-fromzero")
+            out = house.bulk(net, given.folder, files, None, command == "bulk-fromzero", not given.no_derive, not given.no_pit, given.force)
     elif command == "optimize-db":
         out = house.optimize()
+    elif command == "statements":
+        out = [r.asDict() for r in house.statements(given.ticker.upper(), given.dimension).collect()]
     elif command == "prices":
         out = [tuple(r) for r in house.adjusted_prices(given.ticker.upper(), given.start, given.end, given.as_of).collect()]
     else:
         out = [tuple(r) for r in house.status().collect()]
+        print(json.dumps([tuple(r) for r in [*house.stocks().collect(), *house.pulled().collect()]], default=str))
     print(json.dumps(out, default=str))
     return out
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # What stands for a missing number in vendor tables, and in factor files.
 MISSING = ("", "N/A")
 FACTOR_MISSING = ("", "-99.99", "-999", "-99.00")
+#: Texts, in lower case, that say that there is no value: not counted as unreadable.
+NOTHING = ("", "n/a", "nan", "null", "none")
 
 
 def number(text: Column) -> Column:
@@ -49,8 +51,3 @@ def first_nonzero(*values: Column) -> Column:
 def cik(value: Column) -> Column:
     """Ten digits with leading zeros."""
     return F.lpad(value.cast("string"), 10, "0")
-
-
-def trading_days(start: Column, end: Column) -> Column:
-    """About how many sessions lie between two dates, both included: five of seven days."""
-    return F.greatest(F.lit(1), F.floor((F.datediff(end, start) + 1) * 5 / 7)).cast("int")

@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def coverage(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
-    """name, n_rows, first_date, last_date of several tables; each comes with its date column, or none."""
+def coverage(tables: dict[str, tuple[DataFrame, str | None]], distinct: str | None = None) -> DataFrame:
+    """name, n_rows, first_date, last_date of several tables; each comes with its date column, or none. Also how many different values of ``distinct`` each has, if given (null where it has no such column)."""
     parts = []
     for name, (rows, day) in tables.items():
         ends = (F.min(day), F.max(day)) if day else (F.lit(None), F.lit(None))
-        parts.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), ends[0].cast("date").alias("first_date"), ends[1].cast("date").alias("last_date")).select(F.lit(name).alias("name"), "*"))
+        more = [(F.count_distinct(distinct) if distinct in rows.columns else F.lit(None)).cast("long").alias(f"n_{distinct}")] if distinct else []
+        parts.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), *more, ends[0].cast("date").alias("first_date"), ends[1].cast("date").alias("last_date")).select(F.lit(name).alias("name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -29,9 +30,14 @@ def flag_counts(rows: DataFrame, flags: dict[str, Column], by: list[str] | None
     return rows.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(v).alias(k) for k, v in flags.items()])
 
 
+def is_missing(column: str) -> Column:
+    """Null, or an empty text."""
+    return F.col(column).isNull() | (F.col(column).cast("string") == "")
+
+
 def null_counts(rows: DataFrame, columns: list[str], empty_is_null: bool = False) -> DataFrame:
     """column, n_missing, n_rows: one pass over the table."""
-    missing = lambda c: F.col(c).isNull() | (F.col(c).cast("string") == "") if empty_is_null else F.col(c).isNull()
+    missing = lambda c: is_missing(c) if empty_is_null else F.col(c).isNull()
     one = rows.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(missing(c)).alias(c) for c in columns])
     return one.unpivot(["n_rows"], columns, "column", "n_missing").select("column", "n_missing", "n_rows")
 

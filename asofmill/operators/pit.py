@@ -122,6 +122,23 @@ def validity(valid: DataFrame, master: DataFrame, screen: Screen, last_day: Data
     return joined.withColumn("until", until).drop("next", "before", "lastpricedate", "last_day")
 
 
+def _names(master: DataFrame, screen: Screen, bounds: DataFrame) -> DataFrame:
+    """Candidates that were not delisted before the first trading day."""
+    names = candidates(master, screen, F.lit(dt.date(1900, 1, 1))).join(F.broadcast(bounds.select("first_day")))
+    return names.filter(~F.coalesce((F.col("isdelisted") == "Y") & (F.col("lastpricedate") < F.col("first_day")), F.lit(False))).drop("first_day")
+
+
+def _members(valid: DataFrame, master: DataFrame, screen: Screen, days: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The trading days that each valid quote stands for, with the ticker's profile."""
+    spans = validity(valid, master, screen, bounds.select("last_day")).filter(F.col("until") >= F.col("date"))
+    each = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
+    return each.join(F.broadcast(days.select(F.col("date").alias("as_of"))), "as_of", "left_semi").join(_names(master, screen, bounds), "ticker").select(*COLUMNS)
+
+
+def _bounds(days: DataFrame) -> DataFrame:
+    return days.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
 def universe_history(prices: DataFrame, master: DataFrame, sf1: DataFrame, screen: Screen = Screen(), start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Members on every trading day from ``start`` to ``end``.
 
@@ -131,13 +148,73 @@ def universe_history(prices: DataFrame, master: DataFrame, sf1: DataFrame, scree
     range, and kept if they are trading days.
     """
     days = trading_days(prices, start, end)
-    bounds = days.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
-    names = candidates(master, screen, F.lit(dt.date(1900, 1, 1))).join(F.broadcast(bounds.select("first_day")))
-    names = names.filter(~F.coalesce((F.col("isdelisted") == "Y") & (F.col("lastpricedate") < F.col("first_day")), F.lit(False))).drop("first_day")
-    valid = valid_quotes(prices, master, sf1, screen, start)
-    spans = validity(valid, master, screen, bounds.select("last_day")).filter(F.col("until") >= F.col("date"))
-    each = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
-    return each.join(F.broadcast(days.select(F.col("date").alias("as_of"))), "as_of", "left_semi").join(names, "ticker").select(*COLUMNS)
+    return _members(valid_quotes(prices, master, sf1, screen, start), master, screen, days, _bounds(days))
+
+
+def affected_since(changes: DataFrame, tickers: DataFrame, screen: Screen = Screen()) -> DataFrame:
+    """ticker, since: from which day on each ticker's membership has to be worked out again.
+
+    changes: (ticker, first_day) of what was loaded; a null ticker stands for all, from a day that is new to the calendar: each
+    trading day lists every member, so a new one concerns those without a change too. A quote's days end where the next one's
+    begin, so a change reaches back over the days that the quote before it may hold.
+    """
+    first = changes.groupBy("ticker").agg(F.min("first_day").alias("first_day"))
+    own = first.filter(F.col("ticker").isNotNull()).select("ticker", F.date_sub("first_day", screen.max_quote_age).alias("own"))
+    every = first.filter(F.col("ticker").isNull()).agg(F.min("first_day").alias("every"))
+    known = tickers.select("ticker").union(own.select("ticker")).distinct()
+    return known.join(own, "ticker", "left").join(F.broadcast(every)).select("ticker", F.least("own", "every").alias("since")).filter(F.col("since").isNotNull())
+
+
+def history_since(prices: DataFrame, master: DataFrame, sf1: DataFrame, since: DataFrame, screen: Screen = Screen()) -> DataFrame:
+    """The rows of ``universe_history`` of the tickers in ``since`` (ticker, since), from their day on.
+
+    Quotes are judged from two quote ages before that day, each on a whole frame: the sessions that the frame needs are
+    carried along from before. Everything earlier is left alone.
+    """
+    days = trading_days(prices)
+    begin = F.date_sub("since", 2 * screen.max_quote_age)
+    quotes = prices.filter(F.col("close").isNotNull()).select("ticker", "date", "close", "volume").join(since.select("ticker", begin.alias("__begin")), "ticker")
+    back = Window.partitionBy("ticker").orderBy(F.desc("date"))
+    warm = F.col("date") < F.col("__begin")
+    before = F.sum(warm.cast("int")).over(back)
+    needed = quotes.withColumn("__before", before).filter(~warm | (F.col("__before") < screen.lookback)).drop("__begin", "__before")
+    valid = valid_quotes(needed, master, sf1, screen).join(since.select("ticker", begin.alias("__begin")), "ticker").filter(F.col("date") >= F.col("__begin")).drop("__begin")
+    found = _members(valid, master, screen, days, _bounds(days)).join(since, "ticker").filter(F.col("as_of") >= F.col("since"))
+    return found.select(*COLUMNS)
+
+
+def without_affected(history: DataFrame, since: DataFrame) -> DataFrame:
+    """Rows of a history that ``history_since`` does not give anew."""
+    return history.join(since, "ticker", "left").filter(F.col("since").isNull() | (F.col("as_of") < F.col("since"))).select(*history.columns)
+
+
+def sessions_expected(prices: DataFrame, master: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """ticker, first, last, expected: how many sessions each ticker's life, cut to ``start`` and ``end``, spans by the calendar of all prices.
+
+    Trading days are ranked once; every day of the calendar gets the rank of the last session up to it, so a life's sessions are
+    the difference of the ranks at its ends. The calendar has a row for each day, so its size does not grow with the tickers. A life without first or
+    last day is open there; one that lies outside has 0 sessions.
+    """
+    sessions = trading_days(prices, start, end)
+    bounds = _bounds(sessions)
+    listed = bounds.select(F.explode(F.sequence(F.date_sub("first_day", 1), "last_day")).alias("day")).join(sessions.select(F.col("date").alias("day"), F.lit(1).alias("open")), "day", "left")
+    ranks = listed.select("day", F.count("open").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)).alias("rank"))
+    lives = master.groupBy("ticker").agg(F.min(F.coalesce("firstpricedate", F.lit(dt.date(1800, 1, 1)))).alias("firstpricedate"), F.max(F.coalesce("lastpricedate", F.lit(dt.date(9999, 12, 31)))).alias("lastpricedate")).join(F.broadcast(bounds))
+    lives = lives.select("ticker", F.greatest("firstpricedate", "first_day").alias("first"), F.least("lastpricedate", "last_day").alias("last"))
+    at = lambda day, name: F.broadcast(ranks.select(F.col("day").alias(day), F.col("rank").alias(name)))
+    ranked = lives.withColumn("__first", F.date_sub("first", 1)).join(at("__first", "before"), "__first", "left").join(at("last", "upto"), "last", "left")
+    expected = F.when(F.col("first") <= F.col("last"), F.col("upto") - F.col("before")).otherwise(F.lit(0))
+    return ranked.select("ticker", "first", "last", F.coalesce(expected, F.lit(0)).cast("long").alias("expected"))
+
+
+def short_tickers(prices: DataFrame, expected: DataFrame, slack: int = 20) -> DataFrame:
+    """ticker, expected, held: tickers with more than ``slack`` sessions fewer than ``expected`` (ticker, expected, and first and last, if given, between which sessions count)."""
+    rows = prices.select("ticker", "date").distinct()
+    if "first" in expected.columns:
+        rows = rows.join(expected.select("ticker", "first", "last"), "ticker").filter(F.col("date").between(F.col("first"), F.col("last")))
+    held = rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("held"))
+    counted = expected.select("ticker", "expected").join(held, "ticker", "left").withColumn("held", F.coalesce("held", F.lit(0).cast("long")))
+    return counted.filter(F.col("held") < F.col("expected") - slack)
 
 
 def spans_of(valid: DataFrame, age: int) -> DataFrame:

@@ -1,12 +1,15 @@
 """Keyed writes: replacement, per-column and preserving upserts, ledgers, resumable work lists.
 
 Plain Parquet has no MERGE. Each function gives the table's new content as a DataFrame;
-``commit`` writes it beside the old version and then switches to it.
+``versions`` writes it beside the old one and then switches to it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,32 +93,18 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def commit(rows: DataFrame, path: str, partition_by: list[str] | None = None, most_rows_per_file: int = 5_000_000) -> None:
-    """Write a table's new content beside the old, which it may be derived from, then rename it into place.
-
-    The old version goes last, so a failure leaves a whole table.
-    """
-    spark = rows.sparkSession
-    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", most_rows_per_file)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}__new")
-    to = spark._jvm.org.apache.hadoop.fs.Path
-    fs = to(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(to(f"{path}__old"), True)
-    if fs.exists(to(path)):
-        fs.rename(to(path), to(f"{path}__old"))
-    fs.rename(to(f"{path}__new"), to(path))
-    fs.delete(to(f"{path}__old"), True)
+@contextmanager
+def aside(rows: DataFrame, folder: str) -> Iterator[DataFrame]:
+    """The rows, written into ``folder`` once and read back, for what several steps read; removed at the end."""
+    spark, path = rows.sparkSession, f"{folder}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def key_violations(rows: DataFrame, key: list[str]) -> DataFrame:
     """Keys that several rows have, and how many."""
     return rows.groupBy(*key).count().filter("count > 1")
-
-
-def compact(spark: SparkSession, path: str, key: list[str], partition_by: list[str] | None = None) -> dict[str, int]:
-    """Rewrite a table in few sorted files, and report its rows, repeated keys and files before."""
-    rows = spark.read.parquet(path)
-    report = {"rows": rows.count(), "repeated_keys": key_violations(rows, key).count() if key else 0, "files_before": len(rows.inputFiles())}
-    spread = rows.repartition(*[F.col(c) for c in partition_by]) if partition_by else rows.coalesce(max(1, report["rows"] // 5_000_000))
-    commit(spread.sortWithinPartitions(*key) if key else spread, path, partition_by)
-    return report

@@ -7,28 +7,31 @@ import datetime as dt
 import io
 import json
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.parse import cik
+from ..operators import pit
+from ..shipping import ship
 from .sync import Busy, patiently
 
 
 class Provider(Protocol):
-    """What a vendor gives; each table is a DataFrame with the columns of its schema."""
+    """What a vendor gives: each table as text rows, by tickers and days or by pages; ``Warehouse.pull`` loads them."""
 
-    def get_universe(self) -> DataFrame: ...
+    #: Columns of each table, by the name of its loader.
+    columns: dict[str, list[str]]
 
-    def get_prices(self, ticker: str, start: dt.date, end: dt.date) -> DataFrame: ...
+    def rows(self, table: str, tickers: list[str], first: dt.date, last: dt.date) -> list[dict]: ...
 
-    def get_classification(self, ticker: str) -> DataFrame: ...
-
-    def get_fundamentals(self, ticker: str) -> DataFrame: ...
+    def page(self, table: str, offset: int, limit: int) -> list[dict]: ...
 
 
 def csv_rows(text: str) -> list[dict[str, str]]:
@@ -46,52 +49,128 @@ class _Pages(InputPartition):
         self.first, self.step = first, step
 
 
+def _texts(rows: list[dict], names: list[str]) -> pa.RecordBatch:
+    """Vendor rows as text columns; what a row lacks is null."""
+    return pa.RecordBatch.from_arrays([pa.array([None if r.get(n) is None else str(r[n]) for r in rows], pa.string()) for n in names], names=names)
+
+
 class PagedReader(DataSourceReader):
     """A table by offset and limit: each of ``lanes`` partitions reads every lanes-th page until a short one."""
 
-    def __init__(self, schema: T.StructType, fetch: Callable[[int, int], list[dict]], page: int, lanes: int):
-        self.schema, self.fetch, self.page, self.lanes = schema, fetch, page, lanes
+    def __init__(self, names: list[str], fetch: Callable[[int, int], list[dict]], page: int, lanes: int):
+        self.names, self.fetch, self.page, self.lanes = names, fetch, page, lanes
 
     def partitions(self) -> list[InputPartition]:
         return [_Pages(i, self.lanes) for i in range(self.lanes)]
 
-    def read(self, partition: _Pages) -> Iterator[tuple]:
+    def read(self, partition: _Pages) -> Iterator[pa.RecordBatch]:
         at = partition.first
         while True:
             rows = patiently(lambda at=at: self.fetch(at * self.page, self.page))
-            for r in rows:
-                yield tuple(None if r.get(f.name) is None else str(r[f.name]) for f in self.schema)
+            if rows:
+                yield _texts(rows, self.names)
             if len(rows) < self.page:
                 return
             at += partition.step
 
 
-def paged_source(name: str, columns: list[str], fetch: Callable[[int, int], list[dict]], page: int = 10_000, lanes: int = 4) -> type[DataSource]:
-    """A data source to register with Spark: ``spark.read.format(name).load()`` pulls the whole table, page by page, on the executors."""
+class _Batch(InputPartition):
+    def __init__(self, tickers: list[str]):
+        self.tickers = tickers
+
+
+#: Asks for tickers between two days, both included.
+TickerFetch = Callable[[list[str], dt.date, dt.date], list[dict]]
+
+
+class TickerReader(DataSourceReader):
+    """A table by tickers: a partition for each batch, planned so that its answer stays below the server's ``cap`` rows.
+
+    Sizes are estimates (the sessions a life spans), so an answer may still reach the cap, and what reaches it may be cut: its tickers
+    are halved until each answer is whole. A ticker that alone reaches the cap is asked for in pieces of its days, halved likewise.
+    """
+
+    def __init__(self, names: list[str], fetch: TickerFetch, sizes: dict[str, int], cap: int, most_rows: int, most_tickers: int, days: tuple[dt.date, dt.date]):
+        self.names, self.fetch, self.sizes, self.cap, self.most_rows, self.most_tickers, self.days = names, fetch, sizes, cap, most_rows, most_tickers, days
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Batch(own) for own in size_batches(self.sizes, self.most_rows, self.most_tickers)]
+
+    def read(self, partition: _Batch) -> Iterator[pa.RecordBatch]:
+        todo = [(partition.tickers, *self.days)] if partition else []
+        while todo:
+            own, first, last = todo.pop()
+            rows = patiently(lambda own=own, first=first, last=last: self.fetch(own, first, last))
+            if len(rows) < self.cap:
+                if rows:
+                    yield _texts(rows, self.names)
+            elif len(own) > 1:
+                todo += [(own[len(own) // 2 :], first, last), (own[: len(own) // 2], first, last)]
+            elif first < last:
+                middle = first + (last - first) // 2
+                todo += [(own, middle + dt.timedelta(1), last), (own, first, middle)]
+            else:
+                raise ValueError(f"{own[0]} has {len(rows)} rows or more on {first}: a day's rows do not fit an answer")
+
+
+def size_batches(rows_of: dict[str, int], most_rows: int = 30_000, most_names: int = 28) -> list[list[str]]:
+    """Names in order, in batches that keep both bounds; a name that alone passes ``most_rows`` is a batch."""
+    out: list[list[str]] = []
+    total = 0
+    for name, rows in rows_of.items():
+        if not out or total + rows > most_rows or len(out[-1]) == most_names:
+            out.append([])
+            total = 0
+        out[-1].append(name)
+        total += rows
+    return out
+
+
+def _source(given: str, columns: list[str], make: Callable[[], DataSourceReader]) -> type[DataSource]:
     table = T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
-    class Paged(DataSource):
+    class Vendor(DataSource):
         @classmethod
         def name(cls) -> str:
-            return name
+            return given
 
         def schema(self) -> T.StructType:
             return table
 
         def reader(self, schema: T.StructType) -> DataSourceReader:
-            return PagedReader(table, fetch, page, lanes)
+            return make()
+
+    return Vendor
 
-    return Paged
 
+def paged(spark: SparkSession, columns: list[str], fetch: Callable[[int, int], list[dict]], page: int = 10_000, lanes: int = 4) -> DataFrame:
+    """A whole table as text columns, pulled page by page on the executors: ``fetch(offset, limit)``."""
+    ship(spark)
+    name = f"paged_{uuid.uuid4().hex[:8]}"
+    spark.dataSource.register(_source(name, columns, lambda: PagedReader(columns, fetch, page, lanes)))
+    return spark.read.format(name).load()
 
-def batches(names: list[str], size: int = 25) -> list[list[str]]:
-    return [names[i : i + size] for i in range(0, len(names), size)]
 
+def by_ticker(
+    spark: SparkSession, columns: list[str], fetch: TickerFetch, expected: DataFrame, days: tuple[dt.date, dt.date], cap: int = 50_000, most_rows: int = 30_000, most_tickers: int = 28
+) -> DataFrame:
+    """Rows of the tickers in ``expected`` (ticker, expected rows) as text columns, fetched on the executors in batches by size.
 
-def short_tickers(prices: DataFrame, expected: DataFrame, slack: int = 20) -> DataFrame:
-    """Tickers with more than ``slack`` sessions fewer than ``expected`` (ticker, sessions) says: to be fetched again alone."""
-    held = prices.groupBy("ticker").agg(F.count(F.lit(1)).alias("held"))
-    return expected.join(held, "ticker", "left").withColumn("held", F.coalesce("held", F.lit(0))).filter(F.col("held") < F.col("sessions") - slack)
+    The plan is a name and a number for each ticker: some ten thousand, made on the driver as a data source's partitions are.
+    """
+    ship(spark)
+    sizes = {r.ticker: int(r.expected or 0) for r in expected.select("ticker", "expected").filter("ticker IS NOT NULL").orderBy("ticker").collect()}
+    if not sizes:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    name = f"tickers_{uuid.uuid4().hex[:8]}"
+    spark.dataSource.register(_source(name, columns, lambda: TickerReader(columns, fetch, sizes, cap, most_rows, most_tickers, days)))
+    return spark.read.format(name).load()
+
+
+def refetched(rows: DataFrame, expected: DataFrame, again: Callable[[DataFrame], DataFrame], slack: int = 20) -> DataFrame:
+    """``rows`` (text; ticker, date), and those of tickers with over ``slack`` sessions fewer than expected fetched once more, alone; rows that both have count once."""
+    short = pit.short_tickers(rows.withColumn("date", F.col("date").try_cast("date")), expected, slack)
+    return rows.unionByName(again(short.select("ticker", "expected"))).distinct()
 
 
 # ---- holdings ----
@@ -120,23 +199,13 @@ def joint_holdings(spark: SparkSession, lists: list[list[dict]]) -> DataFrame:
     return first_by_key(frame, ["ticker"], ["nth", "place"]).select("ticker", "name")
 
 
-def all_pages(fetch: Callable[[int], list[dict]], page: int = 100) -> list[dict]:
-    """Rows of a small listing by offset, to the first short page."""
-    out: list[dict] = []
-    while True:
-        rows = fetch(len(out))
-        out += rows
-        if len(rows) < page:
-            return out
-
-
 # ---- identifiers ----
 
 
 def figi_lookup(spark: SparkSession, tickers: list[str], post: Callable[[list[dict]], list[dict]], sleep: Callable[[float], None], size: int = 10) -> DataFrame:
     """ticker, figi from a mapping service that takes ``size`` tickers at a time; those it does not know are left out."""
     out = []
-    for own in batches(tickers, size):
+    for own in [tickers[i : i + size] for i in range(0, len(tickers), size)]:
         jobs = [{"idType": "TICKER", "idValue": t, "exchCode": "US"} for t in own]
         for ticker, answer in zip(own, patiently(lambda jobs=jobs: post(jobs), attempts=6, sleep=sleep), strict=True):
             if found := (answer.get("data") or [None])[0]:

@@ -96,29 +96,3 @@ def sync(fetcher: Fetcher, folder: str, wanted: dict[str, tuple[str, str | None]
 def bulk_files(status: dict, table: str, history: str = "full") -> list[tuple[str, str]]:
     """(name, modified) of a table's files in a bulk status document."""
     return [(f["name"], f["modified"]) for t in (status if isinstance(status, list) else [status]) if t.get("table") == table for f in t["files"] if f.get("history") == history]
-
-
-def size_batches(rows_of: dict[str, int], most_rows: int = 30_000, most_names: int = 28) -> list[list[str]]:
-    """Names in order, in batches that keep both bounds; a name that alone passes ``most_rows`` is a batch."""
-    out: list[list[str]] = []
-    total = 0
-    for name, rows in rows_of.items():
-        if not out or total + rows > most_rows or len(out[-1]) == most_names:
-            out.append([])
-            total = 0
-        out[-1].append(name)
-        total += rows
-    return out
-
-
-def under_cap(names: list[str], fetch: Callable[[list[str]], list], cap: int = 50_000) -> list:
-    """Rows of all names; a response as long as the cap may be cut, so its names are halved until each fits."""
-    todo, out = [names], []
-    while todo:
-        own = todo.pop()
-        rows = fetch(own)
-        if len(rows) < cap or len(own) == 1:
-            out += rows
-        else:
-            todo += [own[len(own) // 2 :], own[: len(own) // 2]]
-    return out
