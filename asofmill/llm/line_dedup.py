@@ -15,8 +15,10 @@ the least of them.
 
 With more edits, lines of a crowded segment are linked like that too, and to the least line of
 the segment if near it. Then what lies outside the segment is cut into max_edits + 1 segments
-in its turn, one of which a near-copy also holds. Of lines that share a segment of both kinds
-only those make pairs that are not linked yet, so one large family of near-copies makes none.
+in its turn, one of which a near-copy also holds; and so once more where many share that one too (``DEPTH``). Of lines that share
+segments of all kinds only those make pairs that are not linked yet, so one large family of near-copies makes none, and
+only if their signatures allow it: parities of the letter pairs they hold, of which an edit changes four at most. The join
+compares signatures by bits, so lines that merely have a beginning and an end in common make no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from .components import components
 
 #: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line at least.
 LEAST, CROWD, BLOCKS = 16, 64, 8
+#: Times that what lies outside shared segments is cut into segments again, for lines of segments that more than so many share.
+DEPTH, SHARED = 3, 1024
 #: Letters after which the distance looks whether any diagonal is left.
 EARLY = 16
 BLANKS = " \t\r\x0b\x0c"
@@ -90,25 +94,40 @@ def _each(values: Column, use) -> Column:
 
 
 def _finer(rows: DataFrame, max_edits: int) -> DataFrame:
-    """k, own, id: the entries (id, k, edits, i, less, shift, own, line, n) of crowded segments, keyed by further segments of what lies outside theirs.
+    """k, own, id, less, begin, size: the entries (id, k, own, less, rest, m) of crowded segments, keyed by further segments of what lies outside theirs.
 
-    Two lines within ``max_edits`` that share a segment where ``segment_keys`` says are so outside it too.
+    ``rest`` is that part of the line and m its length in the indexed line, of which this one has ``less`` more. Two lines within
+    ``max_edits`` that share a segment where the index says are so outside it too. A segment lies at ``begin`` of its line's rest.
     """
-    parts, less = max_edits + 1, F.col("less")
-    start, size = _segment(F.col("n") - less, F.col("i"), F.col("edits") + 1)
-    start, size = (start + F.col("shift")).cast("int"), size.cast("int")
-    rest = F.concat(F.substring("line", F.lit(1), start - 1), F.substring("line", start + size, F.col("n")))
-    rows = rows.select("id", "k", "own", "less", rest.alias("rest"), (F.col("n") - less - size).alias("m"))
+    parts = max_edits + 1
     made = []
     for j in range(1, parts + 1):
         begin, length = (x.cast("int") for x in _segment(F.col("m"), j, parts))
 
         def key(shift: Column, j: int = j, begin: Column = begin, length: Column = length) -> Column:
-            return F.struct(F.xxhash64("k", F.lit(j), F.substring("rest", begin + shift, length)).alias("k"), (F.col("own") & (shift == 0)).alias("own"))
+            place = (begin + shift).cast("int")
+            return F.struct(F.xxhash64("k", F.lit(j), F.substring("rest", place, length)).alias("k"), (F.col("own") & (shift == 0)).alias("own"), place.alias("begin"), length.alias("size"))
 
         low, high = F.greatest(F.lit(1 - j), F.col("less") - (parts - j)), F.least(F.lit(j - 1), F.col("less") + parts - j)
         made.append(_each(F.sequence(low, high), key))
-    return rows.select("id", F.explode(F.concat(*made)).alias("e")).select("e.k", "e.own", "id").distinct()
+    return rows.select("id", "less", "rest", "m", F.explode(F.concat(*made)).alias("e")).select("e.k", "e.own", "id", "less", "rest", "m", "e.begin", "e.size")
+
+
+def _outside(text: Column, begin: Column, size: Column) -> Column:
+    """A text without ``size`` characters from ``begin`` (from 1) on."""
+    return F.concat(F.substring(text, F.lit(1), begin - 1), F.substring(text, begin + size, F.char_length(text)))
+
+
+def signature(line: Column, salt: int) -> Column:
+    """64 parities: how often the line holds letter pairs of each of 64 classes. An edit takes two pairs away and adds two at most."""
+    return let(
+        F.split(line, ""),
+        lambda letters: F.aggregate(
+            F.when(F.size(letters) > 1, F.sequence(F.lit(0), F.size(letters) - 2)).otherwise(F.array().cast("array<int>")),
+            F.lit(0).cast("long"),
+            lambda bits, i: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(F.get(letters, i), F.get(letters, i + 1), F.lit(salt)).bitwiseAND(F.lit(63)).cast("int"))),
+        ),
+    )
 
 
 def shared_prefix(a: Column, b: Column, most: Column) -> Column:
@@ -243,32 +262,54 @@ def _crowd_links(rows: DataFrame) -> DataFrame:
 
 
 def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, crowd: int) -> DataFrame:
-    """u, v for the entries (k, edits, i, less, shift, own, c, id) of shared segments, several edits allowed; pairs are those that ``verified`` keeps."""
+    """u, v for the entries (k, edits, i, less, shift, own, c, id) of shared segments, several edits allowed; pairs are those that ``verified`` keeps.
+
+    A segment of ``crowd`` lines or fewer makes their pairs, so a line makes no more than that for each of its keys. The lines of others
+    are linked through keys first; of what is left unlinked, pairs whose signatures differ in more than four bits an edit never leave the join.
+    """
 
     def paired(entries: DataFrame) -> DataFrame:
-        a, b = entries.filter("own").drop("own").withColumnRenamed("id", "u"), entries.withColumnRenamed("id", "v")
-        if "root" in entries.columns:
-            a, b = a.withColumnRenamed("root", "root_u"), b.withColumnRenamed("root", "root_v")
-        pairs = a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v"))))
-        return pairs.filter("root_u != root_v") if "root" in entries.columns else pairs
+        a, b = entries.filter("own").select("k", F.col("id").alias("u")), entries.select("k", "own", F.col("id").alias("v"))
+        return a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v")
+
+    def alike(entries: DataFrame) -> DataFrame:
+        """Pairs of entries (k, own, id, root, s0, s1) of unlike roots whose signatures allow so many edits."""
+        a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "s0", "s1")]) for on, side in (("own", "u"), ("true", "v")))
+        near = [F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) <= 4 * max_edits for c in ("s0", "s1")]
+        order = (F.col("id_u") < F.col("id_v")) | (~b["own"] & (F.col("id_u") != F.col("id_v")))
+        return a.drop("own").join(b, (a["k"] == b["k"]) & (F.col("root_u") != F.col("root_v")) & order & near[0] & near[1]).select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
     def starred(entries: DataFrame) -> DataFrame:
         least = entries.filter("own").groupBy("k").agg(F.min("id").alias("v"))
         return entries.join(least, "k").select(F.col("id").alias("u"), "v").filter("u != v")
 
     many = shared.filter(F.col("c") > crowd)
-    near = verified(paired(shared.filter(F.col("c") <= crowd).select("k", "own", "id")).select("u", "v").distinct())
-    crowded = many.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id")
-    finer = stage(_finer(crowded, max_edits), "finer")
-    if finer.isEmpty():
+    near = verified(paired(shared.filter(F.col("c") <= crowd)).distinct())
+    n, less = F.col("n"), F.col("less")
+    start, size = _segment(n - less, F.col("i"), F.col("edits") + 1)
+    crowded = many.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id").withColumns({"begin": (start + F.col("shift")).cast("int"), "size": size.cast("int")})
+    level = stage(_finer(crowded.select("id", "k", "own", "less", _outside(F.col("line"), F.col("begin"), F.col("size")).alias("rest"), (n - less - F.col("size")).alias("m")), max_edits), "finer")
+    if level.isEmpty():
         return near
-    links = near.union(_crowd_links(texts.join(many.select("id").distinct(), "id", "left_semi")))
+    last = None
+    for depth in range(2, DEPTH + 1):
+        keys = level.groupBy("k").agg(F.count_distinct("id").alias("c"), F.count_if("own").alias("o")).filter("c > 1 AND o > 0").select("k", "c")
+        met = stage(level.join(keys, "k"), "shared-finer")
+        few = met.filter(F.col("c") <= SHARED) if depth < DEPTH else met
+        last = few.select("k", "own", "id") if last is None else last.union(few.select("k", "own", "id"))
+        if depth == DEPTH or (rest := met.filter(F.col("c") > SHARED)).isEmpty():
+            break
+        level = stage(_finer(rest.select("id", "k", "own", "less", _outside(F.col("rest"), F.col("begin"), F.col("size")).alias("rest"), (F.col("m") - F.col("size")).alias("m")), max_edits), "finer")
+    finer = last.distinct()
+    everyone = texts.join(many.select("id").distinct(), "id", "left_semi")
+    links = near.union(_crowd_links(everyone))
     links = links.union(verified(starred(many.select("k", "own", "id")).union(starred(finer)).distinct()))
     links = stage(links, "first-links")
     roots = stage(components(links), "first-roots")
-    rooted = finer.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    marked = stage(everyone.select("id", *[signature(F.col("line"), x).alias(f"s{x}") for x in (0, 1)]).join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id")), "signatures")
+    rooted = finer.join(marked, "id")
     mixed = rooted.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
-    return links.union(verified(paired(rooted.join(mixed, "k", "left_semi")).select("u", "v").distinct()))
+    return links.union(verified(alike(rooted.join(mixed, "k", "left_semi")).distinct()))
 
 
 def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None, per_edit: int = 1) -> DataFrame:

@@ -136,3 +136,54 @@ def test_crowd_of_long_lines(spark):
     rows = [(i, base[: 41 * i + 3] + "#" + base[41 * i + 3 + i % 2 :]) for i in range(30)] + [(60, base), (61, base[:-1]), (62, base[1:]), (63, base[:1500] + "##" + base[1500:])]
     got = run(spark, rows, least=16, crowd=4)
     assert [r[0] for r in got if not r[3]] == [0, 63]
+
+
+def test_signatures_allow_every_edit(spark):
+    chance = random.Random(5)
+    pairs = []
+    for _ in range(300):
+        a = b = "".join(chance.choices("abcdé ", k=chance.randrange(0, 30)))
+        for _ in range(3):
+            at = chance.randrange(len(b) + 1)
+            b = b[:at] + chance.choice(["", "x", "é"]) + b[at + chance.randrange(2) :]
+        pairs.append((a, b))
+    bits = [F.bit_count(ld.signature(F.col("a"), s).bitwiseXOR(ld.signature(F.col("b"), s))).alias(f"s{s}") for s in (0, 1)]
+    for r in spark.createDataFrame(pairs, "a string, b string").select("a", "b", *bits).collect():
+        assert max(r.s0, r.s1) <= 4 * distance(r.a, r.b)
+
+
+def boilerplate(n, middle, seed=4):
+    chance = random.Random(seed)
+    return [(i, "this line has a beginning that all of them share, " + "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=middle)) + " and then an end which is the same too") for i in range(n)]
+
+
+@pytest.mark.parametrize("middle", [12])
+def test_boilerplate_makes_no_pairs(spark, monkeypatch, middle):
+    """Lines with a beginning and an end in common: what leaves the joins grows no faster than the lines."""
+    made, own = [], ld._wide_links
+
+    def counting(shared, texts, verified, max_edits, crowd):
+        return own(shared, texts, lambda pairs: made.append(pairs.count()) or verified(pairs), max_edits, crowd)
+
+    monkeypatch.setattr(ld, "_wide_links", counting)
+    seen = {}
+    for n in (500, 1000, 2000):
+        made.clear()
+        rows = boilerplate(n, middle)
+        assert ld.repeated_lines(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(3), 3, 16, per_edit=16).count() == 0
+        seen[n] = sum(made)
+    assert seen[2000] < 2.6 * seen[1000] < 7 * seen[500] and seen[2000] < 60 * 2000, seen
+
+
+def test_a_family_of_changed_words_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ld, "SHARED", 8)  # so that a third partition is made
+    chance = random.Random(6)
+    words = [("".join(chance.choices("abcdefgh", k=chance.randrange(3, 8)))) for _ in range(16)]
+    rows = []
+    for i in range(70):
+        own = words[:]
+        for _ in range(chance.randrange(1, 3)):
+            at = chance.randrange(16)
+            own[at] = own[at][:-1] + chance.choice("xyz") if chance.random() < 0.4 else "".join(chance.choices("qrstuv", k=len(own[at]) + chance.randrange(2)))
+        rows.append((i, " ".join(own)))
+    assert run(spark, rows, max_edits=3, least=12, crowd=4) == brute(rows, 3, 12)
