@@ -23,6 +23,8 @@ compares signatures by bits, so lines that merely have a beginning and an end in
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from .components import components
 LEAST, CROWD, BLOCKS = 16, 64, 8
 #: Times that what lies outside shared segments is cut into segments again, for lines of segments that more than so many share.
 DEPTH, SHARED = 3, 1024
+#: Longs of a signature.
+WORDS = 4
 #: Letters after which the distance looks whether any diagonal is left.
 EARLY = 16
 BLANKS = " \t\r\x0b\x0c"
@@ -118,16 +122,29 @@ def _outside(text: Column, begin: Column, size: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), begin - 1), F.substring(text, begin + size, F.char_length(text)))
 
 
-def signature(line: Column, salt: int) -> Column:
-    """64 parities: how often the line holds letter pairs of each of 64 classes. An edit takes two pairs away and adds two at most."""
-    return let(
-        F.split(line, ""),
-        lambda letters: F.aggregate(
-            F.when(F.size(letters) > 1, F.sequence(F.lit(0), F.size(letters) - 2)).otherwise(F.array().cast("array<int>")),
-            F.lit(0).cast("long"),
-            lambda bits, i: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(F.get(letters, i), F.get(letters, i + 1), F.lit(salt)).bitwiseAND(F.lit(63)).cast("int"))),
-        ),
-    )
+def signature(line: Column) -> Column:
+    """Four longs of 64 parities: how often the line holds letter pairs of each of 256 classes. An edit takes two pairs away and adds two at most, so it changes four bits."""
+
+    def words(classes: Column) -> Column:
+        def word(w: int) -> Column:
+            def flip(bits: Column, x: Column) -> Column:
+                bit = F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)))
+                return F.when(F.shiftright(x, 6) == w, bits.bitwiseXOR(bit)).otherwise(bits)
+
+            return F.aggregate(classes, F.lit(0).cast("long"), flip)
+
+        return F.array(*[word(w) for w in range(WORDS)])
+
+    def classes(letters: Column) -> Column:
+        places = F.when(F.size(letters) > 1, F.sequence(F.lit(0), F.size(letters) - 2)).otherwise(F.array().cast("array<int>"))
+        return let(F.transform(places, lambda i: F.xxhash64(F.get(letters, i), F.get(letters, i + 1)).bitwiseAND(F.lit(64 * WORDS - 1)).cast("int")), words)
+
+    return let(F.split(line, ""), classes)
+
+
+def differing(a: list[Column], b: list[Column]) -> Column:
+    """Bits in which two signatures (their longs) differ."""
+    return reduce(lambda x, y: x + y, [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True)])
 
 
 def shared_prefix(a: Column, b: Column, most: Column) -> Column:
@@ -273,11 +290,12 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
         return a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v")
 
     def alike(entries: DataFrame) -> DataFrame:
-        """Pairs of entries (k, own, id, root, s0, s1) of unlike roots whose signatures allow so many edits."""
-        a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "s0", "s1")]) for on, side in (("own", "u"), ("true", "v")))
-        near = [F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) <= 4 * max_edits for c in ("s0", "s1")]
+        """Pairs of entries (k, own, id, root, s0 and so on) of unlike roots whose signatures allow so many edits."""
+        signs = [f"s{w}" for w in range(WORDS)]
+        a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", *signs)]) for on, side in (("own", "u"), ("true", "v")))
+        near = differing([F.col(f"{c}_u") for c in signs], [F.col(f"{c}_v") for c in signs]) <= 4 * max_edits
         order = (F.col("id_u") < F.col("id_v")) | (~b["own"] & (F.col("id_u") != F.col("id_v")))
-        return a.drop("own").join(b, (a["k"] == b["k"]) & (F.col("root_u") != F.col("root_v")) & order & near[0] & near[1]).select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
+        return a.drop("own").join(b, (a["k"] == b["k"]) & (F.col("root_u") != F.col("root_v")) & order & near).select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
     def starred(entries: DataFrame) -> DataFrame:
         least = entries.filter("own").groupBy("k").agg(F.min("id").alias("v"))
@@ -306,7 +324,8 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
     links = links.union(verified(starred(many.select("k", "own", "id")).union(starred(finer)).distinct()))
     links = stage(links, "first-links")
     roots = stage(components(links), "first-roots")
-    marked = stage(everyone.select("id", *[signature(F.col("line"), x).alias(f"s{x}") for x in (0, 1)]).join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id")), "signatures")
+    signed = everyone.select("id", signature(F.col("line")).alias("s")).select("id", *[F.get("s", F.lit(w)).alias(f"s{w}") for w in range(WORDS)])
+    marked = stage(signed.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id")), "signatures")
     rooted = finer.join(marked, "id")
     mixed = rooted.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
     return links.union(verified(alike(rooted.join(mixed, "k", "left_semi")).distinct()))

@@ -147,9 +147,10 @@ def test_signatures_allow_every_edit(spark):
             at = chance.randrange(len(b) + 1)
             b = b[:at] + chance.choice(["", "x", "é"]) + b[at + chance.randrange(2) :]
         pairs.append((a, b))
-    bits = [F.bit_count(ld.signature(F.col("a"), s).bitwiseXOR(ld.signature(F.col("b"), s))).alias(f"s{s}") for s in (0, 1)]
-    for r in spark.createDataFrame(pairs, "a string, b string").select("a", "b", *bits).collect():
-        assert max(r.s0, r.s1) <= 4 * distance(r.a, r.b)
+    words = lambda c: [F.get(F.col(c), F.lit(w)) for w in range(ld.WORDS)]
+    signed = spark.createDataFrame(pairs, "a string, b string").select("a", "b", ld.signature(F.col("a")).alias("x"), ld.signature(F.col("b")).alias("y"))
+    for r in signed.select("a", "b", ld.differing(words("x"), words("y")).alias("bits")).collect():
+        assert r.bits <= 4 * distance(r.a, r.b)
 
 
 def boilerplate(n, middle, seed=4):
@@ -159,7 +160,7 @@ def boilerplate(n, middle, seed=4):
 
 @pytest.mark.parametrize("middle", [12])
 def test_boilerplate_makes_no_pairs(spark, monkeypatch, middle):
-    """Lines with a beginning and an end in common: what leaves the joins grows no faster than the lines."""
+    """Lines with a beginning and an end in common: what leaves the joins is a few rows a line (every pair of 2,000 would be 1,000 a line)."""
     made, own = [], ld._wide_links
 
     def counting(shared, texts, verified, max_edits, crowd):
@@ -172,7 +173,7 @@ def test_boilerplate_makes_no_pairs(spark, monkeypatch, middle):
         rows = boilerplate(n, middle)
         assert ld.repeated_lines(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(3), 3, 16, per_edit=16).count() == 0
         seen[n] = sum(made)
-    assert seen[2000] < 2.6 * seen[1000] < 7 * seen[500] and seen[2000] < 60 * 2000, seen
+    assert all(made < 5 * n for n, made in seen.items()), seen
 
 
 def test_a_family_of_changed_words_against_brute_force(spark, monkeypatch):
