@@ -5,6 +5,10 @@ are the centroids. Every vector goes to its nearest centroid's list and, near a
 lists of others that are hardly farther. Centroids are searched along a graph held in memory: a
 best-first walk over each centroid's nearest ones. A query opens the lists whose centroid is not
 much farther than its nearest one, scores all vectors there by exact cosine, and keeps the best.
+
+How much farther is measured, not assumed: the nearest neighbours of a bounded sample of queries are found among all
+rows, and the ratio is the one at which the wanted share of them lies in an opened list. So recall does not
+depend on how many vectors there are, or how they lie; the work does.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ from .common import guarded, sample_of, stage
 SAMPLE, LIST_SIZE, MOST_LISTS, PART = 20_000, 128, 4_096, 4_096
 #: A vector is copied to at most COPIES lists whose centroid is at most COPY_RATIO times as far as the nearest one: only those near a boundary are.
 COPIES, COPY_RATIO = 2, 1.01
-#: A query opens lists up to PROBE_RATIO times as far as its nearest, LEAST_PROBES at least.
-PROBE_RATIO, LEAST_PROBES = 1.27, 2
+#: Share of the nearest neighbours that are to be found, queries by which the ratio for it is measured, and lists that a query opens at least.
+RECALL, MEASURED, LEAST_PROBES = 0.96, 256, 2
+#: Neighbours from which on a quantile is trusted; with fewer, all of them have to be found.
+TRUSTED = 200
 #: The walk over centroids expands those up to SLACK (or the ratio asked for) times as far as the nearest met, WALK at most, with DEGREE neighbours each.
 SLACK, WALK, DEGREE = 1.12, 256, 16
 
@@ -168,6 +174,44 @@ def usable(vectors: DataFrame, id_column: str, vector: str) -> tuple[DataFrame,
     return rows.filter(F.size("v") == (width.w if width else 0)), width.w if width else 0
 
 
+def nearest_of_sample(rows: DataFrame, queries: np.ndarray, query_rows: np.ndarray, k: int, width: int) -> DataFrame:
+    """query (number), row: the k nearest other rows of each query among all ``rows`` (row, v). Tasks hand on k rows for each query and batch."""
+    shared = rows.sparkSession.sparkContext.broadcast((unit(queries), query_rows))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, own = shared.value
+        for batch in batches:
+            names, close = batch.column(0).to_numpy(), asked @ unit(_matrix(batch.column(1), width)).T
+            close[own[:, None] == names[None, :]] = -3
+            top = np.argpartition(-close, min(k, close.shape[1]) - 1, axis=1)[:, :k]
+            score = np.take_along_axis(close, top, axis=1)
+            query, column = np.nonzero(score > -3)
+            yield pa.RecordBatch.from_arrays([pa.array(query.astype(np.int32)), pa.array(names[top[query, column]]), pa.array(score[query, column])], names=["query", "row", "score"])
+
+    found = rows.select("row", "v").mapInArrow(best, "query int, row long, score double")
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "row"))).filter(F.col("rank") <= k).select("query", "row")
+
+
+def measured_ratio(rows: DataFrame, asked: DataFrame, held: DataFrame, centroids: Centroids, k: int, recall: float, width: int) -> float:
+    """How many times as far as the nearest centroid a list's may lie so that ``recall`` of the sampled queries' nearest rows are in an opened list.
+
+    The driver gets ``MEASURED`` queries, and of each k rows with the lists that hold them.
+    """
+    n = asked.count()
+    sample = sample_of(asked, n, MEASURED, "row").select("row", "v").toPandas()
+    if not len(sample):
+        return 1.0
+    queries = np.array(sample["v"].tolist(), np.float64)
+    true = stage(nearest_of_sample(rows, queries, sample["row"].to_numpy(), k, width), "measured")
+    lists = held.join(F.broadcast(true), "row").select("query", "row", "list").toPandas()  # at most COPIES of each
+    if not len(lists):
+        return 1.0
+    far = np.sqrt(np.maximum(0, 2 - 2 * unit(queries) @ centroids.points.T))
+    own = far[lists["query"], lists["list"]] / np.maximum(far.min(axis=1)[lists["query"]], 1e-12)
+    needed = lists.assign(needed=own).groupby(["query", "row"])["needed"].min().to_numpy()
+    return float(np.quantile(needed, recall, method="higher") if len(needed) >= TRUSTED else needed.max()) + 1e-9
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column | str,
@@ -176,13 +220,17 @@ def nearest(
     vector: str = "embedding",
     list_size: int = LIST_SIZE,
     copy_ratio: float = COPY_RATIO,
-    probe_ratio: float = PROBE_RATIO,
+    probe_ratio: float | None = None,
     walk: int = WALK,
     part: int = PART,
+    recall: float = RECALL,
+    exact: bool = False,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest other vectors found for every row of ``vectors`` with ``is_query`` (of vec_id).
 
-    score is the cosine of the original vectors in double precision; ties go to the smaller id.
+    score is the cosine of the original vectors in double precision; ties go to the smaller id. About ``recall`` of the nearest are
+    found: lists are opened up to a ratio measured for it by ``MEASURED`` of the queries, or up to ``probe_ratio`` if that is given. With ``exact`` every
+    list is opened, and all are found.
     A query gets k rows, or all candidates if there are fewer. Vectors that are null, zero, of
     another width than most, or hold null or non-finite components take no part, nor do rows
     without id; an empty table gives no rows. Every row is a candidate of its own: rows of one id are
@@ -237,13 +285,19 @@ def nearest(
         key = ["bundle", "part", "block"]
         return held.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(pairs, "query long, row long, vec_id long, score double")
 
-    probes = stage(asked.select("row", "vec_id", "v").mapInArrow(route(probe_ratio, LEAST_PROBES, MOST_LISTS, walk), spec), "probes")
+    lists = len(shared.value.points)
+    if exact:
+        probes = asked.select(F.explode(F.sequence(F.lit(0), F.lit(lists - 1))).alias("list"), "row", "vec_id", "v")
+    else:
+        ratio = probe_ratio if probe_ratio is not None else measured_ratio(rows, asked, posted.select("list", "row"), shared.value, k, recall, width)
+        probes = asked.select("row", "vec_id", "v").mapInArrow(route(ratio, LEAST_PROBES, lists, lists), spec)
+    probes = stage(probes, "probes")
     found = stage(score(probes), "found")
     enough = min(k, n - 1)
     full = found.groupBy(F.col("query").alias("row")).agg(F.count_distinct("row").alias("n")).filter(F.col("n") >= enough)
     short = stage(asked.join(full, "row", "left_anti"), "short") if enough else None
     if short is not None and short.count():  # the lists opened held too few: open all
-        found = found.union(score(short.select(F.explode(F.sequence(F.lit(0), F.lit(len(shared.value.points) - 1))).alias("list"), "row", "vec_id", "v")))
+        found = found.union(score(short.select(F.explode(F.sequence(F.lit(0), F.lit(lists - 1))).alias("list"), "row", "vec_id", "v")))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.groupBy("query", "row", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     named = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
