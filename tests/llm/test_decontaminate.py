@@ -12,8 +12,8 @@ OTHER = "Peter walks 90 miles every day to visit Rosa at the old mill, and Rosa
 BROKEN = "Peter walks 90 miles every day to visit Rosa at the old mill, and Rosa gives Peter 70 apples for the long way back home."
 
 
-def plain(text):
-    """Template words and slot values of one text, by a loop."""
+def plain(text, names):
+    """Template words and slot values, by a loop; ``names``: capitals that open sentences are names too."""
     out, opens, after_number, was_name = [], True, False, False
     for token in dc._TOKEN.findall(text or ""):
         low = token.lower()
@@ -23,32 +23,42 @@ def plain(text):
         capital = token[0].isupper() and token != "I" and token[1:] == low[1:]
         number = token[0].isdigit() or low in dc.NUMBER_WORDS
         unit = not number and low in dc.UNITS
-        name = not number and not unit and capital and (low in dc.NAMES or not opens)
+        name = not number and not unit and capital and (names or not opens)
         if name and was_name:
+            opens = False
             continue
         out.append(("<name>", low) if name else ("<number>", low) if number else ("<unit>", low) if unit and after_number else (low, None))
         opens, after_number, was_name = False, number, name
     return out
 
 
+def windows(words, i, width):
+    """The window's template and values, or None if it is mostly slots."""
+    own = words[i : i + width]
+    if 2 * sum(v is None for _, v in own) < width:
+        return None
+    return [w for w, _ in own], [v for _, v in own]
+
+
 def brute(docs, items, window=dc.WINDOW, least=dc.LEAST):
     found = set()
     for item_id, item in items:
-        a = plain(item)
-        width = min(len(a), window)
-        if width < least or item_id is None:
-            continue
-        for doc_id, text in docs:
-            b = plain(text)
-            shifts = {}
-            for i in range(len(a) - width + 1):
-                if 2 * sum(v is None for _, v in a[i : i + width]) < width:
-                    continue
-                for j in range(len(b) - width + 1):
-                    if [w for w, _ in a[i : i + width]] == [w for w, _ in b[j : j + width]]:
-                        shifts.setdefault(j - i, set()).update((x[1], y[1]) for x, y in zip(a[i : i + width], b[j : j + width]) if x[1] is not None)
-            if any(len(p) == len({x for x, _ in p}) for p in shifts.values()):
-                found.add((doc_id, item_id))
+        for a_names in (False, True):
+            a = plain(item, a_names)
+            width = min(len(a), window)
+            if width < least or item_id is None:
+                continue
+            for doc_id, text in docs:
+                for b_names in (False, True):
+                    b, shifts = plain(text, b_names), {}
+                    for i in range(len(a) - width + 1):
+                        if (one := windows(a, i, width)) is None:
+                            continue
+                        for j in range(len(b) - width + 1):
+                            if b[j][0] == a[i][0] and (two := windows(b, j, width)) is not None and one[0] == two[0]:
+                                shifts.setdefault(j - i, set()).update((x, y) for x, y in zip(one[1], two[1]) if x is not None)
+                    if any(len(p) == len({x for x, _ in p}) for p in shifts.values()):
+                        found.add((doc_id, item_id))
     return found
 
 
@@ -125,3 +135,33 @@ def test_empty_tables(spark):
     for d, i in (([], items), (docs, []), ([], [])):
         assert dc.matches(*frames(spark, d, i)).count() == 0
     assert dc.remove_contaminated(*frames(spark, docs, [])).count() == len(docs)
+
+
+def test_no_list_of_names_decides(spark):
+    item = "Yusuf walked 90 miles along the river to the market and gave it all to me."
+    docs = [(1, "Fatima walked 12 miles along the river to the market and gave it all to me."), (2, "Then Fatima Zahra walked 12 miles along the river to the market and gave it all to me."),
+            (3, "Nobody walked along the river to the market, and so gave it all to me."), (4, "We know. Peter walked 7 miles along the river to the market and gave it all to me")]
+    got = {r.doc_id: r for r in dc.matches(*frames(spark, docs, [(1, item)])).collect()}
+    assert set(got) == {1, 2, 4} and all(0 < r.coverage <= 1 and r.changed for r in got.values()) and got[1].coverage == 1
+    words = [(1, "Walking along the river to the market and gave it all to me."), (2, "Dogs along the river to the market and gave it all to me.")]
+    assert {(r.doc_id, r.verbatim) for r in dc.matches(*frames(spark, [words[0]], [words[0]])).collect()} == {(1, True)}
+
+
+def test_items_of_a_word_or_two_prove_nothing(spark):
+    items = [(1, "Yes"), (2, "No way"), (3, "It is time."), (4, "It is high time.")]
+    docs = [(1, "yes it is a fine day, yes"), (2, "There is no way to tell."), (3, "So it is time"), (4, "Well, it is high time."), (5, "no"), (None, "Yes. " * 1000), (None, "Yes. " * 1000)]
+    got = {(r.doc_id, r.item_id): r for r in dc.matches(*frames(spark, docs, items), exact=True).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (None, 1)} and {k for k, r in got.items() if r.conclusive} == {(4, 4)}
+    kept = dc.remove_contaminated(*frames(spark, docs, items), exact=True)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 2, 3, 5, None, None], key=repr)
+
+
+def test_query_as_registered(spark, tmp_path):
+    from asofmill.llm.queries import op4_decontaminate
+
+    docs, items = cases()
+    frame, bench = frames(spark, docs, items)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in op4_decontaminate(spark, str(tmp_path)).filter("conclusive").collect()}
+    assert got >= brute(docs, items)
