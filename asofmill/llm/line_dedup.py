@@ -35,10 +35,10 @@ from .components import components
 LEAST, CROWD, BLOCKS = 16, 64, 8
 #: Times that what lies outside shared segments is cut into segments again, for lines of segments that more than so many share.
 DEPTH, SHARED = 3, 1024
-#: Longs of a signature.
-WORDS = 4
-#: Letters after which the distance looks whether any diagonal is left.
-EARLY = 16
+#: Longs of a signature; characters of a segment that its key holds, from its beginning.
+WORDS, KEYED = 4, 24
+#: Letters after which the distance looks whether any diagonal is left, and of the beginnings that are compared first.
+EARLY, BEGINNING = 16, 32
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -88,7 +88,8 @@ def _entries(lines: DataFrame, max_edits: int, per_edit: int) -> DataFrame:
     laid = lines.select("h1", "h2", F.encode("line", "UTF-32").alias("line"), "n").select("h1", "h2", "line", "n", F.inline(places))
     allowed = F.greatest(F.lit(1), F.least(F.lit(max_edits), F.expr(f"(n - less) div {per_edit}")))
     start, size = _segment(F.col("n") - F.col("less"), F.col("i"), F.col("edits") + 1)
-    key = _key(F.col("line"), F.col("n") - F.col("less"), F.col("i"), (start + F.col("shift") - 1) * 4 + 1, size * 4)
+    # an unchanged segment has an unchanged beginning
+    key = _key(F.col("line"), F.col("n") - F.col("less"), F.col("i"), (start + F.col("shift") - 1) * 4 + 1, F.least(size, F.lit(KEYED)) * 4)
     return laid.filter(F.col("edits") == allowed).select("h1", "h2", "edits", "i", "less", "shift", ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"), key.alias("k"))
 
 
@@ -289,23 +290,26 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
         a, b = entries.filter("own").select("k", F.col("id").alias("u")), entries.select("k", "own", F.col("id").alias("v"))
         return a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v")
 
+    signs = [f"s{w}" for w in range(WORDS)]
+
     def alike(entries: DataFrame) -> DataFrame:
-        """Pairs of entries (k, own, id, root, s0 and so on) of unlike roots whose signatures allow so many edits."""
-        signs = [f"s{w}" for w in range(WORDS)]
+        """Pairs of entries (k, own, id, root and the signature) of unlike roots whose signatures allow so many edits."""
         a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", *signs)]) for on, side in (("own", "u"), ("true", "v")))
         near = differing([F.col(f"{c}_u") for c in signs], [F.col(f"{c}_v") for c in signs]) <= 4 * max_edits
         order = (F.col("id_u") < F.col("id_v")) | (~b["own"] & (F.col("id_u") != F.col("id_v")))
         return a.drop("own").join(b, (a["k"] == b["k"]) & (F.col("root_u") != F.col("root_v")) & order & near).select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
     def starred(entries: DataFrame) -> DataFrame:
-        least = entries.filter("own").groupBy("k").agg(F.min("id").alias("v"))
-        return entries.join(least, "k").select(F.col("id").alias("u"), "v").filter("u != v")
+        """Each entry (k, own, id and the signature) with the least line of its segment, if their signatures allow so many edits."""
+        least = entries.filter("own").groupBy("k").agg(F.min(F.struct("id", *signs)).alias("v"))
+        near = differing([F.col(c) for c in signs], [F.col(f"v.{c}") for c in signs]) <= 4 * max_edits
+        return entries.join(least, "k").filter((F.col("id") != F.col("v.id")) & near).select(F.col("id").alias("u"), F.col("v.id").alias("v"))
 
     many = shared.filter(F.col("c") > crowd)
     near = verified(paired(shared.filter(F.col("c") <= crowd)).distinct())
     n, less = F.col("n"), F.col("less")
     start, size = _segment(n - less, F.col("i"), F.col("edits") + 1)
-    crowded = many.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id").withColumns({"begin": (start + F.col("shift")).cast("int"), "size": size.cast("int")})
+    crowded = many.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id").withColumns({"begin": (start + F.col("shift")).cast("int"), "size": F.least(size, F.lit(KEYED)).cast("int")})
     level = stage(_finer(crowded.select("id", "k", "own", "less", _outside(F.col("line"), F.col("begin"), F.col("size")).alias("rest"), (n - less - F.col("size")).alias("m")), max_edits), "finer")
     if level.isEmpty():
         return near
@@ -318,15 +322,14 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
         if depth == DEPTH or (rest := met.filter(F.col("c") > SHARED)).isEmpty():
             break
         level = stage(_finer(rest.select("id", "k", "own", "less", _outside(F.col("rest"), F.col("begin"), F.col("size")).alias("rest"), (F.col("m") - F.col("size")).alias("m")), max_edits), "finer")
-    finer = last.distinct()
     everyone = texts.join(many.select("id").distinct(), "id", "left_semi")
-    links = near.union(_crowd_links(everyone))
-    links = links.union(verified(starred(many.select("k", "own", "id")).union(starred(finer)).distinct()))
-    links = stage(links, "first-links")
-    roots = stage(components(links), "first-roots")
-    signed = everyone.select("id", signature(F.col("line")).alias("s")).select("id", *[F.get("s", F.lit(w)).alias(f"s{w}") for w in range(WORDS)])
-    marked = stage(signed.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id")), "signatures")
-    rooted = finer.join(marked, "id")
+    signed = stage(everyone.select("id", signature(F.col("line")).alias("s")).select("id", *[F.get("s", F.lit(w)).alias(c) for w, c in enumerate(signs)]), "signatures")
+    finer = stage(last.distinct().join(signed, "id"), "finest")
+    first = starred(many.select("k", "own", "id").join(signed, "id")).union(starred(finer)).distinct()
+    links = stage(near.union(verified(first)), "first-links")
+    # lines next to one line are linked already
+    beside = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy(F.col("u").alias("id")).agg(F.min("v").alias("beside"))
+    rooted = finer.join(beside, "id", "left").withColumn("root", F.least("id", "beside"))
     mixed = rooted.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
     return links.union(verified(alike(rooted.join(mixed, "k", "left_semi")).distinct()))
 
@@ -373,7 +376,10 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
 
     def near(a: Column, b: Column, m: Column) -> Column:
         allowed = F.least(F.char_length(a), F.char_length(b)) / per_edit
-        return within_edits(m["a"], m["b"], max_edits, F.greatest(F.lit(1), F.least(F.lit(max_edits), F.floor(allowed).cast("int"))))
+        decided = within_edits(m["a"], m["b"], max_edits, F.greatest(F.lit(1), F.least(F.lit(max_edits), F.floor(allowed).cast("int"))))
+        # beginnings of equal length are at most twice as many edits apart as the whole; most pairs are told apart by them
+        far = F.levenshtein(F.substring(m["a"], 1, BEGINNING), F.substring(m["b"], 1, BEGINNING), 2 * max_edits) < 0
+        return F.when(far, F.lit(False)).otherwise(decided)
 
     def verified(pairs: DataFrame) -> DataFrame:
         held = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v")
