@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from .functions import parse
 from .operators import analytics, asof, factors, fundamentals, pit, prices, writes
 from .plans.surrogate import view, with_views
+from .shipping import shared_folder
+from .sources import archives, landing, providers
 from .sources.schemas import sector_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +72,62 @@ query("cross_section_date", "v_prices", f"SELECT * FROM v_prices WHERE date = DA
 
 query("trading_calendar", "v_prices", "SELECT date FROM v_prices GROUP BY date")(lambda p: pit.trading_days(p).orderBy("date"))
 
+# ---- archives and vendors ----
+
+@query(
+    "archived_bars", "v_vendor_bars",
+    """SELECT ticker, date, open * (closeunadj / close) AS open, high * (closeunadj / close) AS high, low * (closeunadj / close) AS low, closeunadj AS close, volume,
+       CASE WHEN closeadj <> 0 AND closeunadj <> 0 THEN closeadj / closeunadj ELSE 1e0 END AS adjustment FROM v_vendor_bars WHERE close <> 0""",
+)
+def archived_bars(bars):
+    """Vendor bars written as zipped CSV files by the executors, and loaded from them as a vendor's bulk files are."""
+    spark = bars.sparkSession
+    folder = f"{shared_folder(spark)}/bars-{uuid.uuid4().hex[:12]}"
+    archives.write(bars.repartition(4, "ticker"), folder).collect()  # a row for each archive
+    return landing.prices(archives.read(spark, folder, members="first")).drop(landing.UNPARSED)
+
+
+def _store_rows(path: str, columns: list[str], keep=None):
+    """Rows of a Parquet file in any store, as a vendor's server might hold them."""
+    import pyarrow.parquet as pq
+
+    store, at = archives.store_of(path)
+    rows = pq.read_table(at, columns=columns, filesystem=store, filters=keep).to_pylist()
+    return rows
+
+
+def paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders pulled by offset and limit."""
+    path, columns = archives.qualified(spark, f"{sf_dir}/orders.parquet"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+    def fetch(offset: int, limit: int) -> list[dict]:
+        return _store_rows(path, columns)[offset : offset + limit]
+
+    rows = providers.paged(spark, columns, fetch, page=5_000, lanes=3)
+    return rows.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus", "o_orderpriority")
+
+
+def batched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items pulled by supplier, in batches by size, from a server that cuts its answers at 900 rows."""
+    path, columns = archives.qualified(spark, f"{sf_dir}/lineitem.parquet"), ["l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate"]
+    cap = 900
+
+    def fetch(tickers: list[str], first: dt.date, last: dt.date) -> list[dict]:
+        found = _store_rows(path, columns, [("l_suppkey", "in", [int(t) for t in tickers])])
+        day = lambda r: r["l_shipdate"].date() if isinstance(r["l_shipdate"], dt.datetime) else r["l_shipdate"]
+        return [{**r, "l_shipdate": day(r)} for r in found if first <= day(r) <= last][:cap]
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    sizes = lines.groupBy(F.col("l_suppkey").cast("string").alias("ticker")).agg((F.count(F.lit(1)) * 2 / 3).cast("long").alias("expected"))  # too low, as estimates are
+    rows = providers.by_ticker(spark, columns, fetch, sizes, (dt.date(1990, 1, 1), dt.date(2005, 12, 31)), cap, most_rows=1200)
+    kinds = {"l_suppkey": "long", "l_orderkey": "long", "l_linenumber": "long", "l_shipdate": "date"}
+    return rows.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+
+
+QUERIES["paged_orders"], QUERIES["batched_lines"] = paged_orders, batched_lines
+ORACLES["paged_orders"] = "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_orderpriority FROM orders"
+ORACLES["batched_lines"] = "SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem"
+
 # ---- fundamentals ----
 
 _SECTOR_CASES = {"AFRICA": "Energy", "AMERICA": " Finance ", "ASIA": '"Technology"', "EUROPE": "Retail Trade"}

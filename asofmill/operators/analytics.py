@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .selection import medians
+
 
 def coverage(tables: dict[str, tuple[DataFrame, str | None]], distinct: str | None = None) -> DataFrame:
     """name, n_rows, first_date, last_date of several tables; each comes with its date column, or none. Also how many different values of ``distinct`` each has, if given (null where it has no such column)."""
@@ -58,8 +60,10 @@ def mean_days(rows: DataFrame, key: str) -> DataFrame:
 
 
 def median_by(rows: DataFrame, by: str, value: str) -> DataFrame:
-    """n, exact median and sum (of whole units) of a value in each group."""
-    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.median(value).alias("median"), F.sum(F.col(value).cast("decimal(28,0)")).cast("double").alias("total"))
+    """n, exact median and sum (of whole units) of a value in each group. No group is gathered anywhere: the median is selected by histograms."""
+    with_n = rows.groupBy(F.col(by).alias("__by")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(28,0)")).cast("double").alias("total"))
+    middle = medians(rows, by, value).select(by, "median")
+    return with_n.join(middle, F.col("__by").eqNullSafe(F.col(by)), "left").select(F.col("__by").alias(by), "n", "median", "total")
 
 
 def pivot_counts(rows: DataFrame, by: str, kind: str, kinds: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Send this package to the executors, for sessions that were started without ``--py-files``."""
+"""What driver and executors share: this package, for sessions that were started without ``--py-files``, and a folder."""
 
 from __future__ import annotations
 
@@ -23,3 +23,12 @@ def ship(spark: SparkSession) -> None:
         for file in sorted(root.rglob("*.py")):
             archive.write(file, str(file.relative_to(root.parent)))
     context.addPyFile(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``); one of our own only where that is unset, as in tests."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = "file://" + tempfile.mkdtemp(prefix="asofmill-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from asofmill.operators import analytics, asof, factors, fundamentals, pit, prices, writes
+from asofmill.operators import analytics, asof, factors, fundamentals, pit, prices, selection, writes
 from asofmill.sources import landing
 from asofmill.sources.schemas import INDICATORS, TABLES, fund_tickers, sector_of
 
@@ -236,3 +236,31 @@ def test_every_event_of_a_day_meets_its_price(spark):
     events = spark.createDataFrame([("T", days[1], "split"), ("T", days[1], "dividend"), (None, days[2], "split")], "ticker string, date date, action string")
     got = sorted((r.date, r.action or "") for r in analytics.with_events(p, events, "action").collect())
     assert got == [(days[0], ""), (days[1], "dividend"), (days[1], "split"), (days[2], "")]
+
+
+def test_bits_order_as_doubles_do(spark):
+    import random
+    import struct
+
+    chance = random.Random(1)
+    values = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), -float("inf"), 1 - 2**-53, 1 + 2**-52, 2.0, 4.0, 0.1, 2.0**-1021, 3.0e-310]
+    values += [struct.unpack("d", struct.pack("Q", chance.getrandbits(63)))[0] * chance.choice([1, -1]) for _ in range(400)]
+    values = [v for v in values if v == v]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", selection.ordered_bits(F.col("v")).alias("k")).collect()
+    plain = lambda v: struct.unpack("q", struct.pack("d", abs(v)))[0] * (1 if v >= 0 else -1)
+    assert [(r.v, r.k) for r in got if r.k != plain(r.v)] == []
+
+
+def test_medians_by_histograms(spark):
+    import random
+    import statistics
+
+    chance = random.Random(2)
+    groups = {"odd": [chance.gauss(0, 1e6) for _ in range(301)], "even": [chance.choice([-1.5, 0.0, 2.0, 2.5]) for _ in range(200)], "one": [7.25], "two": [1e-300, -1e300], None: [1.0, 2.0, 4.0], "same": [3.5] * 500}
+    rows = [(g, v) for g, own in groups.items() for v in own] + [("odd", None), ("none", None)]
+    frame = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    assert {r.g: (r.n, r.median) for r in selection.medians(frame, "g", "v").collect()} == {g: (len(v), statistics.median(v)) for g, v in groups.items()}
+    whole = {r.g: (r.n, r.median) for r in analytics.median_by(frame.filter("abs(v) < 1e20 OR v IS NULL"), "g", "v").collect()}
+    assert whole["none"] == (1, None) and whole["odd"][0] == 302
+    assert selection.medians(frame.limit(0), "g", "v").count() == 0
+    assert "percentile" not in analytics.median_by(frame.filter("g = 'odd'"), "g", "v")._jdf.queryExecution().toString()
