@@ -8,6 +8,7 @@ total and every quantile.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,23 @@ def encoding_of(raw: bytes) -> tiktoken.Encoding:
     return _encodings[key]
 
 
+#: Runs of blanks that are taken out of a text before it is split: the pattern's search gives up on much longer ones.
+_BLANKS = re.compile(r"\s{4096,}")
+
+
+def n_tokens(encoding: tiktoken.Encoding, text: str) -> int:
+    """Tokens of a text, special ones read as text. Of a very long run of blanks all but the last is one piece by the pattern, and is encoded as such."""
+    try:
+        return len(encoding.encode_ordinary(text))
+    except ValueError:
+        total, at = 0, 0
+        for run in _BLANKS.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            total += len(encoding.encode_ordinary(text[at : run.start()])) + len(encoding._encode_single_piece(text[run.start() : end].encode()))
+            at = end
+        return total + len(encoding.encode_ordinary(text[at:]))
+
+
 def read_vocabulary(spark: SparkSession, path: str) -> bytes:
     """The rank file (a few MB at most), from any store that Spark reads; a bare path is one of the driver's own files."""
     if "://" not in path:
@@ -46,14 +64,14 @@ def read_vocabulary(spark: SparkSession, path: str) -> bytes:
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """n_tokens of every text, one row each; null and empty texts have 0."""
+    """n_tokens of every text, one row each, repeated rows too; null and empty texts have 0, an empty table has no rows, and long texts are encoded whole."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(docs.sparkSession, vocabulary))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding_of(shared.value).encode_ordinary
+        encoding = encoding_of(shared.value)
         for batch in split_text_batches(batches, "text"):
-            made = np.fromiter((len(encode(t)) if t else 0 for t in batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            made = np.fromiter((n_tokens(encoding, t) if t else 0 for t in batch.column(0).to_pylist()), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(made)], names=["n_tokens"])
 
     return docs.select(F.col("text").cast("string")).mapInArrow(rows, "n_tokens long")

@@ -95,3 +95,28 @@ def test_empty_documents(spark, tmp_path, pipeline):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_each_stage_on_odd_rows(spark, corpus, pipeline):
+    """Null ids, sources and texts, empty and very long texts, ties and repeated rows: every stage goes through, and treats equal rows alike."""
+    folder, rows, _ = corpus
+    text = rows[50][1]
+    words = text.split()
+    long = "\n".join(" ".join(words[i % 50 : i % 50 + 9]) + f" {i}" for i in range(12_000))
+    odd = [(None, text, "aa", None, 1), (None, text, "aa", None, 1), (7, text, "aa", "s", None), (7, text, "aa", "s", None), (8, long, "aa", "s", 0), (9, None, None, None, None), (10, "", "aa", "s", 0), (11, "!!", "aa", "s", 2), (12, "x" * 300_000, "aa", "s", 3)]
+    docs = spark.createDataFrame(odd, DOCS).repartition(3)
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, folder).collect()
+        assert len(out) <= len(odd), name
+        found = sorted(repr((r.doc_id, r.text)) for r in out)
+        twins = [sum(x == repr((i, text)) for x in found) for i in (None, 7)]
+        if name in ("language_id", "decontaminate"):
+            assert all(n in (0, 2) for n in twins), (name, twins)  # rows alike go or stay together
+        if name == "decontaminate":
+            assert len(out) == len(odd)  # nothing here is from the benchmark
+        if name == "line_dedup":
+            left = [r for r in out if r.text and r.text.startswith(words[0] + " " + words[1])]
+            assert {r.doc_id for r in left} <= {7, 8} and sum(r.text is None for r in out) == 1
+        if name == "near_dedup":
+            assert sum(r.text == text for r in out) == 1 and sum(not (r.text or "").strip("!") for r in out) <= 2
+        assert any(r.doc_id == 8 for r in out) or name == "mix", name

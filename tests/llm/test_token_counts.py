@@ -55,3 +55,11 @@ def test_query_on_a_written_table(spark, tmp_path):
 
     frame(spark).write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.n_tokens: r.n_docs for r in op3_token_counts(spark, str(tmp_path)).collect()} == Counter(brute())
+
+
+def test_very_long_runs_of_blanks(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    for text in (" " * 2_000_000, "a" + "\n" * 1_500_000 + "b", "x " + " \t" * 800_000 + "y" + " " * 5000 + "z"):
+        assert [r.n_tokens for r in token_counts.token_lengths(frame(spark, [text])).collect()] == [len(own.encode(text, add_special_tokens=False).ids)]
