@@ -375,6 +375,22 @@ query("adj_extremes_topk", "v_prices", "SELECT ticker, date, adjustment FROM v_p
     lambda p: analytics.top(p.select("ticker", "date", "adjustment"), 8, "adjustment", F.asc("ticker"), F.asc("date"))
 )
 
+query(
+    "volume_magnitudes", "v_prices",
+    "SELECT CAST(floor(log10(close * volume)) AS BIGINT) AS magnitude, count(*) AS n, round(min(log10(close * volume)), 6) AS low, round(max(log10(close * volume)), 6) AS high FROM v_prices WHERE close * volume > 0 GROUP BY 1",
+)(
+    lambda p: p.withColumn("m", analytics.magnitude(F.col("close") * F.col("volume"))).filter("m IS NOT NULL").groupBy(F.floor("m").alias("magnitude")).agg(F.count(F.lit(1)).alias("n"), F.round(F.min("m"), 6).alias("low"), F.round(F.max("m"), 6).alias("high"))
+)
+
+
+def short_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts cut to what a listing shows, with their whole lengths."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", analytics.shortened(F.col("text")).alias("description"), F.char_length("text").cast("long").alias("length"))
+
+
+QUERIES["short_descriptions"] = short_descriptions
+ORACLES["short_descriptions"] = "SELECT doc_id, substr(text, 1, 150) AS description, CAST(length(text) AS BIGINT) AS length FROM documents"
+
 query("missing_prices", "v_actions v_master", "SELECT DISTINCT ticker FROM v_actions WHERE ticker NOT IN (SELECT ticker FROM v_master WHERE ticker IS NOT NULL)")(lambda a, m: analytics.absent(a, "ticker", m, "ticker"))
 
 query(

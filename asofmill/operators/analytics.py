@@ -79,6 +79,16 @@ def bucket(value: Column, edges: list[float], labels: list[str]) -> Column:
     return out
 
 
+def magnitude(value: Column) -> Column:
+    """Decimal logarithm of a positive value; null for others."""
+    return F.when(value > 0, F.log10(value))
+
+
+def shortened(text: Column, most: int = 150) -> Column:
+    """The first characters of a description."""
+    return F.substring(text, 1, most)
+
+
 def with_share(rows: DataFrame, value: str, name: str = "share") -> DataFrame:
     """rows with each one's part of the total. The rows are one per group, not per record."""
     return rows.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy()))

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The numeric indicators of the fundamentals table.
-INDICATORS = (
-    "accoci assets assetsavg assetsc assetsnc assetturnover bvps capex cashneq cashnequsd cor consolinc currentratio de debt debtc debtnc debtusd deferredrev depamor deposits "
-    "divyield dps ebit ebitda ebitdamargin ebitdausd ebitusd ebt eps epsdil epsusd equity equityavg equityusd ev evebit evebitda fcf fcfps fxusd gp grossmargin intangibles intexp "
-    "invcap invcapavg inventory investments investmentsc investmentsnc liabilities liabilitiesc liabilitiesnc marketcap ncf ncfbus ncfcommon ncfdebt ncfdiv ncff ncfi ncfinv ncfo "
-    "ncfx netinc netinccmn netinccmnusd netincdis netincnci netmargin opex opinc payables payoutratio pb pe pe1 ppnenet prefdivis price ps ps1 receivables retearn revenue revenueusd "
-    "rnd roa roe roic ros sbcomp sgna sharefactor sharesbas shareswa shareswadil sps tangibles taxassets taxexp taxliabilities tbvps workingcapital"
-).split()
+INDICATORS = [
+    "accoci", "assets", "assetsavg", "assetsc", "assetsnc", "assetturnover", "bvps", "capex", "cashneq", "cashnequsd", "cor", "consolinc", "currentratio", "de", "debt",
+    "debtc", "debtnc", "debtusd", "deferredrev", "depamor", "deposits", "divyield", "dps", "ebit", "ebitda", "ebitdamargin", "ebitdausd", "ebitusd", "ebt", "eps",
+    "epsdil", "epsusd", "equity", "equityavg", "equityusd", "ev", "evebit", "evebitda", "fcf", "fcfps", "fxusd", "gp", "grossmargin", "intangibles", "intexp", "invcap",
+    "invcapavg", "inventory", "investments", "investmentsc", "investmentsnc", "liabilities", "liabilitiesc", "liabilitiesnc", "marketcap", "ncf", "ncfbus", "ncfcommon",
+    "ncfdebt", "ncfdiv", "ncff", "ncfi", "ncfinv", "ncfo", "ncfx", "netinc", "netinccmn", "netinccmnusd", "netincdis", "netincnci", "netmargin", "opex", "opinc",
+    "payables", "payoutratio", "pb", "pe", "pe1", "ppnenet", "prefdivis", "price", "ps", "ps1", "receivables", "retearn", "revenue", "revenueusd", "rnd", "roa", "roe",
+    "roic", "ros", "sbcomp", "sgna", "sharefactor", "sharesbas", "shareswa", "shareswadil", "sps", "tangibles", "taxassets", "taxexp", "taxliabilities", "tbvps",
+    "workingcapital",
+]
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,7 @@ def _doubles(names: str | list[str]) -> str:
     return ", ".join(f"{n} double" for n in (names.split() if isinstance(names, str) else names))
 
 
+# The tables, their columns and keys.
 _ALL = [
     Table("universe", "ticker, name, source, added_at timestamp_ntz, figi, cik, sic, sic_description, lei", ("ticker",)),
     Table("prices", f"ticker, date date, {_doubles('open high low close')}, volume bigint, adjustment double", ("ticker", "date")),
@@ -117,17 +121,6 @@ SECTORS = {
     "Real Estate": "Real Estate",
 }
 
-# Reference funds by category.
-FUNDS = {
-    "benchmark": "SPY QQQ IWM IWV",
-    "volatility": "VXX",
-    "sector": "XLV XLF XLI XLB XLU XLK XLC XLRE XLP XLY XLE",
-    "bonds": "AGG TLT SHY IEF LQD HYG",
-    "international": "EFA EEM",
-    "commodities": "GLD USO",
-    "fx": "UUP",
-}
-
 # Daily factor files in load order: archive, table columns, header columns.
 FACTOR_FILES = {
     "3f": ("F-F_Research_Data_Factors_daily_CSV.zip", "mkt_rf smb hml rf", "Mkt-RF SMB HML RF"),
@@ -138,10 +131,6 @@ FACTOR_FILES = {
 }
 
 
-def fund_tickers() -> list[str]:
-    return sorted(t for names in FUNDS.values() for t in names.split())
-
-
 def sector_of(label: Column) -> Column:
     """Standard sector of a vendor label without blanks and quotes around it; null if the label is not known."""
     known = F.create_map(*[F.lit(x) for pair in SECTORS.items() for x in pair])

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from asofmill import catalog
-from asofmill.plans.surrogate import TABLES
+from asofmill.plans.surrogate import ALSO, TABLES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +15,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in TABLES:
+    for t in (*TABLES, *ALSO):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return con
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from asofmill.operators import analytics, asof, factors, fundamentals, pit, prices, selection, writes
 from asofmill.sources import landing
-from asofmill.sources.schemas import INDICATORS, TABLES, fund_tickers, sector_of
+from asofmill.sources.schemas import INDICATORS, TABLES, sector_of
 
 BAR = "ticker string, date date, open double, high double, low double, close double, closeunadj double, closeadj double, volume double"
 PRICE = "ticker string, date date, open double, high double, low double, close double, volume bigint, adjustment double"
@@ -208,7 +208,7 @@ def test_keyed_writes_with_null_key_parts(spark):
 def test_sector_labels(spark):
     rows = [('"Technology"',), (" Finance ",), ("Unknown",), (None,), ("",)]
     assert [r[0] for r in spark.createDataFrame(rows, "s string").select(sector_of(F.col("s"))).collect()] == ["Information Technology", "Financials", None, None, None]
-    assert len(INDICATORS) == 105 and len(TABLES["sf1"].schema) == 112 and len(fund_tickers()) == 27
+    assert len(INDICATORS) == 105 and len(TABLES["sf1"].schema) == 112
 
 
 def test_buckets_are_closed_on_the_right(spark):
