@@ -32,7 +32,7 @@ from .common import guarded, quoted, stage
 from .components import components
 
 #: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line at least.
-LEAST, CROWD, BLOCKS = 16, 64, 8
+LEAST, CROWD, BLOCKS = 16, 16, 8
 #: Times that what lies outside shared segments is cut into segments again, for lines of segments that more than so many share.
 DEPTH, SHARED = 3, 1024
 #: Longs of a signature; characters of a segment that its key holds, from its beginning.
@@ -377,12 +377,16 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crow
     def near(a: Column, b: Column, m: Column) -> Column:
         allowed = F.least(F.char_length(a), F.char_length(b)) / per_edit
         decided = within_edits(m["a"], m["b"], max_edits, F.greatest(F.lit(1), F.least(F.lit(max_edits), F.floor(allowed).cast("int"))))
-        # beginnings of equal length are at most twice as many edits apart as the whole; most pairs are told apart by them
-        far = F.levenshtein(F.substring(m["a"], 1, BEGINNING), F.substring(m["b"], 1, BEGINNING), 2 * max_edits) < 0
-        return F.when(far, F.lit(False)).otherwise(decided)
+        return F.when(_apart(F.substring(m["a"], 1, BEGINNING), F.substring(m["b"], 1, BEGINNING)), F.lit(False)).otherwise(decided)
+
+    def _apart(a: Column, b: Column) -> Column:
+        """Beginnings (or ends) of equal length are at most twice as many edits apart as the whole; most pairs are told apart by them."""
+        return F.levenshtein(a, b, 2 * max_edits) < 0
 
     def verified(pairs: DataFrame) -> DataFrame:
         held = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v")
+        ends = [_apart(F.substring("a", at, BEGINNING), F.substring("b", at, BEGINNING)) for at in (1, -BEGINNING)]
+        held = held.filter(~ends[0]).filter(~ends[1])
         return held.filter(let(middles(F.col("a"), F.col("b")), lambda m: near(F.col("a"), F.col("b"), m))).select("u", "v")
 
     if wide:
