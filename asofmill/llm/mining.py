@@ -22,7 +22,8 @@ from .integer_vectors import integer_vectors, matrix_of
 
 #: Rows and anchors of a block, components of a chunk, and chunks at most: tiles have 1 MB, so the tiles added in one group have 8 MB.
 ROWS, ANCHORS, DIMS, CHUNKS = 1024, 128, 32, 8
-_LEAST = np.iinfo(np.int64).min
+#: Below every score; its negative is a long too.
+_LEAST = -np.iinfo(np.int64).max
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
