@@ -65,7 +65,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("table", choices=sorted(landing.LOADERS))
     load.add_argument("file")
     universe = sub.add_parser("update-universe")
-    universe.add_argument("file")
+    universe.add_argument("files", nargs="+", help="holdings files; of a ticker in several the first counts")
     universe.add_argument("--source", default="fund")
     classes = sub.add_parser("update-classifications")
     classes.add_argument("--as-of", type=day, default=dt.date.today())
@@ -114,9 +114,11 @@ def run(spark: SparkSession, words: list[str], fetcher=None):
     if hasattr(given, "loader") or command == "load-bulk":
         out = house.load(given.table if command == "load-bulk" else given.loader, given.file)
     elif command == "update-universe":
-        with open(given.file) as f:
-            rows, day = providers.fund_holdings(spark, f.read())
-        out = house.update_universe(rows.select("ticker", "name", "sector"), given.source, day)
+        funds = []
+        for name in given.files:
+            with open(name) as f:
+                funds.append(providers.fund_holdings(spark, f.read()))
+        out = house.update_universe(providers.joint_holdings([rows for rows, _ in funds]), given.source, min((day for _, day in funds if day), default=None))
     elif command == "update-classifications":
         out = house.classify(given.as_of, ticker_list(given.ticker), given.force)
     elif command == "update-french-factors" and given.base_url:

@@ -9,6 +9,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pyarrow as pa
@@ -190,13 +191,14 @@ def fund_holdings(spark: SparkSession, text: str) -> tuple[DataFrame, dt.date |
     return frame.filter(ticker.isNotNull() & ~ticker.isin("", "-")).select(ticker.alias("ticker"), "name", "sector", F.regexp_replace("weight", ",", "").try_cast("double").alias("weight")), day
 
 
-def joint_holdings(spark: SparkSession, lists: list[list[dict]]) -> DataFrame:
-    """ticker, name of several funds' holdings, one row per ticker: the first list that has it counts."""
+def joint_holdings(funds: list[DataFrame]) -> DataFrame:
+    """ticker, name, sector of several funds' holdings (ticker, name, sector), one row per ticker in upper case: the first fund that has it counts."""
     from ..operators.writes import first_by_key
 
-    rows = [(i, j, str(r["ticker"]).strip().upper(), r.get("name")) for i, own in enumerate(lists) for j, r in enumerate(own) if r.get("ticker")]
-    frame = spark.createDataFrame(rows, "nth int, place int, ticker string, name string")
-    return first_by_key(frame, ["ticker"], ["nth", "place"]).select("ticker", "name")
+    ticker = F.upper(F.trim("ticker"))
+    parts = [f.select(F.lit(i).alias("nth"), ticker.alias("ticker"), "name", "sector") for i, f in enumerate(funds)]
+    rows = reduce(DataFrame.unionByName, parts).filter(F.coalesce(F.col("ticker"), F.lit("")) != "")
+    return first_by_key(rows, ["ticker"], ["nth", "name", "sector"]).drop("nth")
 
 
 # ---- identifiers ----

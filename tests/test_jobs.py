@@ -108,8 +108,9 @@ def test_providers(spark):
     text = '﻿Fund Name\nFund Holdings as of,"Aug 07, 2026"\n\nTicker,Name,Sector,Weight (%)\nAAA,Alpha,Energy,"1,000.5"\n,Cash,,\n-,Dash,,\n'
     rows, when = providers.fund_holdings(spark, text)
     assert [tuple(r) for r in rows.collect()] == [("AAA", "Alpha", "Energy", 1000.5)] and when == dt.date(2026, 8, 7)
-    joint = providers.joint_holdings(spark, [[{"ticker": "a", "name": "first"}, {"ticker": ""}], [{"ticker": "A", "name": "second"}, {"ticker": "B", "name": "b"}]])
-    assert {r.ticker: r.name for r in joint.collect()} == {"A": "first", "B": "b"}
+    fund = lambda *own: spark.createDataFrame(own, "ticker string, name string, sector string")
+    joint = providers.joint_holdings([fund(("a", "first", "s"), ("", None, None), (None, "x", None)), fund(("A ", "second", "t"), ("B", "b", None))])
+    assert sorted(tuple(r) for r in joint.collect()) == [("A", "first", "s"), ("B", "b", None)]
     waits, answers = [], iter([sync.Busy(), [{"data": [{"figi": "F1"}]}, {"warning": "none"}]])
 
     def post(jobs):
