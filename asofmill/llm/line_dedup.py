@@ -13,12 +13,10 @@ are keyed by all that lies outside one block (``BLOCKS`` of them, or the root of
 is more), then by the line without one character of a shared block. Lines with such a key in common are near-copies; each is linked to
 the least of them.
 
-With more edits, lines of a crowded segment are linked like that too, and to the least line of
-the segment if near it. Then what lies outside the segment is cut into max_edits + 1 segments
-in its turn, one of which a near-copy also holds; and so once more where many share that one too (``DEPTH``). Of lines that share
-segments of all kinds only those make pairs that are not linked yet, so one large family of near-copies makes none, and
-only if their signatures allow it: parities of the letter pairs they hold, of which an edit changes four at most. The join
-compares signatures by bits, so lines that merely have a beginning and an end in common make no rows.
+With more edits, lines of a crowded segment carry signatures: parities of the letter pairs they hold, of which an edit changes four
+at most. They are linked to the least line of the segment, if near it; of those that are not linked by that, pairs leave the join only if their signatures
+allow it. It compares bits, so lines that merely have a beginning and an end in common make no rows. Where more than ``SHARED`` lines
+share a segment, what lies outside it is first cut into max_edits + 1 segments in its turn, one of which a near-copy also holds; and so once more (``DEPTH``).
 """
 
 from __future__ import annotations
@@ -309,23 +307,24 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
     near = verified(paired(shared.filter(F.col("c") <= crowd)).distinct())
     n, less = F.col("n"), F.col("less")
     start, size = _segment(n - less, F.col("i"), F.col("edits") + 1)
-    crowded = many.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id").withColumns({"begin": (start + F.col("shift")).cast("int"), "size": F.least(size, F.lit(KEYED)).cast("int")})
-    level = stage(_finer(crowded.select("id", "k", "own", "less", _outside(F.col("line"), F.col("begin"), F.col("size")).alias("rest"), (n - less - F.col("size")).alias("m")), max_edits), "finer")
-    if level.isEmpty():
+    last, rest = many.filter(F.col("c") <= SHARED).select("k", "own", "id"), many.filter(F.col("c") > SHARED)
+    if many.isEmpty():
         return near
-    last = None
+    crowded = rest.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id").withColumns({"begin": (start + F.col("shift")).cast("int"), "size": F.least(size, F.lit(KEYED)).cast("int")})
+    outside = crowded.select("id", "k", "own", "less", _outside(F.col("line"), F.col("begin"), F.col("size")).alias("rest"), (n - less - F.col("size")).alias("m"))
     for depth in range(2, DEPTH + 1):
+        if rest.isEmpty():
+            break
+        level = stage(_finer(outside, max_edits), "finer")
         keys = level.groupBy("k").agg(F.count_distinct("id").alias("c"), F.count_if("own").alias("o")).filter("c > 1 AND o > 0").select("k", "c")
         met = stage(level.join(keys, "k"), "shared-finer")
-        few = met.filter(F.col("c") <= SHARED) if depth < DEPTH else met
-        last = few.select("k", "own", "id") if last is None else last.union(few.select("k", "own", "id"))
-        if depth == DEPTH or (rest := met.filter(F.col("c") > SHARED)).isEmpty():
-            break
-        level = stage(_finer(rest.select("id", "k", "own", "less", _outside(F.col("rest"), F.col("begin"), F.col("size")).alias("rest"), (F.col("m") - F.col("size")).alias("m")), max_edits), "finer")
+        last = last.union((met.filter(F.col("c") <= SHARED) if depth < DEPTH else met).select("k", "own", "id"))
+        rest = met.filter(F.col("c") > SHARED)
+        outside = rest.select("id", "k", "own", "less", _outside(F.col("rest"), F.col("begin"), F.col("size")).alias("rest"), (F.col("m") - F.col("size")).alias("m"))
     everyone = texts.join(many.select("id").distinct(), "id", "left_semi")
     signed = stage(everyone.select("id", signature(F.col("line")).alias("s")).select("id", *[F.get("s", F.lit(w)).alias(c) for w, c in enumerate(signs)]), "signatures")
     finer = stage(last.distinct().join(signed, "id"), "finest")
-    first = starred(many.select("k", "own", "id").join(signed, "id")).union(starred(finer)).distinct()
+    first = starred(finer).distinct()
     links = stage(near.union(verified(first)), "first-links")
     # lines next to one line are linked already
     beside = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy(F.col("u").alias("id")).agg(F.min("v").alias("beside"))
