@@ -30,7 +30,7 @@ from .common import guarded, quoted, stage
 from .components import components
 
 #: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line at least.
-LEAST, CROWD, BLOCKS = 16, 16, 8
+LEAST, CROWD, BLOCKS = 16, 8, 8
 #: Times that what lies outside shared segments is cut into segments again, for lines of segments that more than so many share.
 DEPTH, SHARED = 3, 1024
 #: Longs of a signature; characters of a segment that its key holds, from its beginning.
