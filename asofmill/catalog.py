@@ -13,7 +13,7 @@ from .functions import parse
 from .operators import analytics, asof, factors, fundamentals, pit, prices, writes
 from .plans.surrogate import view, with_views
 from .shipping import shared_folder
-from .sources import archives, landing, providers
+from .sources import archives, landing, providers, shelves
 from .sources.schemas import sector_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,16 +109,14 @@ def paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items pulled by supplier, in batches by size, from a server that cuts its answers at 900 rows."""
-    path, columns = archives.qualified(spark, f"{sf_dir}/lineitem.parquet"), ["l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate"]
-    cap = 900
+    columns, cap = ["l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate"], 900
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_suppkey").cast("string").alias("ticker"), *columns[:3], F.col("l_shipdate").cast("date").alias("l_shipdate"))
+    shelf = shelves.lay(lines, "ticker", "l_shipdate", "l_orderkey", "l_linenumber")
 
     def fetch(tickers: list[str], first: dt.date, last: dt.date) -> list[dict]:
-        found = _store_rows(path, columns, [("l_suppkey", "in", [int(t) for t in tickers])])
-        day = lambda r: r["l_shipdate"].date() if isinstance(r["l_shipdate"], dt.datetime) else r["l_shipdate"]
-        return [{**r, "l_shipdate": day(r)} for r in found if first <= day(r) <= last][:cap]
+        return shelf.of(tickers, "l_shipdate", first, last, cap)
 
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    sizes = lines.groupBy(F.col("l_suppkey").cast("string").alias("ticker")).agg((F.count(F.lit(1)) * 2 / 3).cast("long").alias("expected"))  # too low, as estimates are
+    sizes = lines.groupBy("ticker").agg((F.count(F.lit(1)) * 2 / 3).cast("long").alias("expected"))  # too low, as estimates are
     rows = providers.by_ticker(spark, columns, fetch, sizes, (dt.date(1990, 1, 1), dt.date(2005, 12, 31)), cap, most_rows=1200)
     kinds = {"l_suppkey": "long", "l_orderkey": "long", "l_linenumber": "long", "l_shipdate": "date"}
     return rows.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])

@@ -8,7 +8,7 @@ import io
 import json
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from typing import Protocol
 
@@ -20,7 +20,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.parse import cik
 from ..operators import pit
-from ..shipping import ship
+from ..shipping import shared_folder, ship
 from .sync import Busy, patiently
 
 
@@ -45,6 +45,10 @@ def text_frame(spark: SparkSession, rows: list[dict], columns: list[str]) -> Dat
     return spark.createDataFrame([tuple(None if r.get(c) is None else str(r[c]) for c in columns) for r in rows], schema)
 
 
+#: Tasks that batches of tickers are dealt to, one each, up to so many; then so many batches a task.
+TASKS, RUN = 200, 64
+
+
 class _Pages(InputPartition):
     def __init__(self, first: int, step: int):
         self.first, self.step = first, step
@@ -75,56 +79,48 @@ class PagedReader(DataSourceReader):
             at += partition.step
 
 
-class _Batch(InputPartition):
-    def __init__(self, tickers: list[str]):
-        self.tickers = tickers
-
-
 #: Asks for tickers between two days, both included.
 TickerFetch = Callable[[list[str], dt.date, dt.date], list[dict]]
 
 
-class TickerReader(DataSourceReader):
-    """A table by tickers: a partition for each batch, planned so that its answer stays below the server's ``cap`` rows.
+def answers(tickers: list[str], days: tuple[dt.date, dt.date], fetch: TickerFetch, cap: int) -> Iterator[list[dict]]:
+    """Whole answers for a batch of tickers, planned so that its rows stay below the server's ``cap``.
 
     Sizes are estimates (the sessions a life spans), so an answer may still reach the cap, and what reaches it may be cut: its tickers
     are halved until each answer is whole. A ticker that alone reaches the cap is asked for in pieces of its days, halved likewise.
     """
-
-    def __init__(self, names: list[str], fetch: TickerFetch, sizes: dict[str, int], cap: int, most_rows: int, most_tickers: int, days: tuple[dt.date, dt.date]):
-        self.names, self.fetch, self.sizes, self.cap, self.most_rows, self.most_tickers, self.days = names, fetch, sizes, cap, most_rows, most_tickers, days
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Batch(own) for own in size_batches(self.sizes, self.most_rows, self.most_tickers)]
-
-    def read(self, partition: _Batch) -> Iterator[pa.RecordBatch]:
-        todo = [(partition.tickers, *self.days)] if partition else []
-        while todo:
-            own, first, last = todo.pop()
-            rows = patiently(lambda own=own, first=first, last=last: self.fetch(own, first, last))
-            if len(rows) < self.cap:
-                if rows:
-                    yield _texts(rows, self.names)
-            elif len(own) > 1:
-                todo += [(own[len(own) // 2 :], first, last), (own[: len(own) // 2], first, last)]
-            elif first < last:
-                middle = first + (last - first) // 2
-                todo += [(own, middle + dt.timedelta(1), last), (own, first, middle)]
-            else:
-                raise ValueError(f"{own[0]} has {len(rows)} rows or more on {first}: a day's rows do not fit an answer")
+    todo = [(tickers, *days)]
+    while todo:
+        own, first, last = todo.pop()
+        rows = patiently(lambda own=own, first=first, last=last: fetch(own, first, last))
+        if len(rows) < cap:
+            if rows:
+                yield rows
+        elif len(own) > 1:
+            todo += [(own[len(own) // 2 :], first, last), (own[: len(own) // 2], first, last)]
+        elif first < last:
+            middle = first + (last - first) // 2
+            todo += [(own, middle + dt.timedelta(1), last), (own, first, middle)]
+        else:
+            raise ValueError(f"{own[0]} has {len(rows)} rows or more on {first}: a day's rows do not fit an answer")
 
 
-def size_batches(rows_of: dict[str, int], most_rows: int = 30_000, most_names: int = 28) -> list[list[str]]:
+def batches_of(sizes: Iterable[tuple[str, int]], most_rows: int, most_names: int) -> Iterator[list[str]]:
     """Names in order, in batches that keep both bounds; a name that alone passes ``most_rows`` is a batch."""
-    out: list[list[str]] = []
+    own: list[str] = []
     total = 0
-    for name, rows in rows_of.items():
-        if not out or total + rows > most_rows or len(out[-1]) == most_names:
-            out.append([])
-            total = 0
-        out[-1].append(name)
+    for name, rows in sizes:
+        if own and (total + rows > most_rows or len(own) == most_names):
+            yield own
+            own, total = [], 0
+        own.append(name)
         total += rows
-    return out
+    if own:
+        yield own
+
+
+def size_batches(rows_of: dict[str, int], most_rows: int = 30_000, most_names: int = 28) -> list[list[str]]:
+    return list(batches_of(rows_of.items(), most_rows, most_names))
 
 
 def _source(given: str, columns: list[str], make: Callable[[], DataSourceReader]) -> type[DataSource]:
@@ -157,15 +153,28 @@ def by_ticker(
 ) -> DataFrame:
     """Rows of the tickers in ``expected`` (ticker, expected rows) as text columns, fetched on the executors in batches by size.
 
-    The plan is a name and a number for each ticker: some ten thousand, made on the driver as a data source's partitions are.
+    The plan (a name and a number for each ticker) is written once and dealt to tasks by ranges of names; each makes the batches of its
+    own names, ``RUN`` of them or so where there are many. The driver learns two totals.
     """
     ship(spark)
-    sizes = {r.ticker: int(r.expected or 0) for r in expected.select("ticker", "expected").filter("ticker IS NOT NULL").orderBy("ticker").collect()}
-    if not sizes:
+    path = f"{shared_folder(spark)}/tickers-{uuid.uuid4().hex[:12]}"
+    own = expected.filter("ticker IS NOT NULL").groupBy(F.col("ticker").cast("string").alias("ticker")).agg(F.coalesce(F.max("expected"), F.lit(0)).cast("long").alias("expected"))
+    own.write.parquet(path)
+    plan = spark.read.schema("ticker string, expected long").parquet(path)
+    names, rows = plan.agg(F.count(F.lit(1)), F.coalesce(F.sum("expected"), F.lit(0))).first()
+    if not names:
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
-    name = f"tickers_{uuid.uuid4().hex[:8]}"
-    spark.dataSource.register(_source(name, columns, lambda: TickerReader(columns, fetch, sizes, cap, most_rows, most_tickers, days)))
-    return spark.read.format(name).load()
+    batches = min(names, max(-(-rows // most_rows), -(-names // most_tickers), 1))
+    tasks = max(min(batches, TASKS), -(-batches // RUN))
+
+    def read(planned: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = (pair for some in planned for pair in zip(*[c.to_pylist() for c in some.columns], strict=True))
+        for batch in batches_of(sizes, most_rows, most_tickers):
+            for found in answers(batch, days, fetch, cap):
+                yield _texts(found, columns)
+
+    dealt = plan.repartitionByRange(tasks, "ticker").sortWithinPartitions("ticker")
+    return dealt.mapInArrow(read, ", ".join(f"`{c}` string" for c in columns))
 
 
 def refetched(rows: DataFrame, expected: DataFrame, again: Callable[[DataFrame], DataFrame], slack: int = 20) -> DataFrame:
