@@ -87,23 +87,11 @@ def archived_bars(bars):
     return landing.prices(archives.read(spark, folder, members="first")).drop(landing.UNPARSED)
 
 
-def _store_rows(path: str, columns: list[str], keep=None):
-    """Rows of a Parquet file in any store, as a vendor's server might hold them."""
-    import pyarrow.parquet as pq
-
-    store, at = archives.store_of(path)
-    rows = pq.read_table(at, columns=columns, filesystem=store, filters=keep).to_pylist()
-    return rows
-
-
 def paged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders pulled by offset and limit."""
-    path, columns = archives.qualified(spark, f"{sf_dir}/orders.parquet"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-
-    def fetch(offset: int, limit: int) -> list[dict]:
-        return _store_rows(path, columns)[offset : offset + limit]
-
-    rows = providers.paged(spark, columns, fetch, page=5_000, lanes=3)
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    shelf = shelves.lay(spark.read.parquet(f"{sf_dir}/orders.parquet").select(*columns))
+    rows = providers.paged(spark, columns, shelf.page, page=5_000, lanes=3)
     return rows.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus", "o_orderpriority")
 
 
