@@ -378,14 +378,9 @@ def _alike(docs: DataFrame, prints: DataFrame, candidates: DataFrame, shingle: i
     texts = keyed.join(guarded(wanted, wanted.count()), on).select("fp", "text").mapInArrow(sets, f"fp {kind}, shingles binary")
     texts = stage(texts.groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles")
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = [jaccard(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
-
     def verified(links: DataFrame) -> DataFrame:
         held = links.join(texts.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u").join(texts.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v")
-        return held.select("u", "v", "a", "b").mapInArrow(compared, f"u {kind}, v {kind}")
+        return held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}")
 
     stars = stage(verified(groups.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "stars-alike")
     joined = lambda x, as_: stars.select(F.col("u").alias(x), F.col("v").alias(as_))
@@ -394,6 +389,113 @@ def _alike(docs: DataFrame, prints: DataFrame, candidates: DataFrame, shingle: i
     return stars.union(verified(rest))
 
 
+#: Different shingles up to which single ones are keys; longs of a set's parities.
+FEW, PARITIES = 32, 8
+
+
+def set_keys(own: np.ndarray, similarity: float) -> tuple[np.ndarray, bool]:
+    """Keys of a set of hashes, of which any two sets of that Jaccard similarity share one; and whether that could not be made sure.
+
+    Sets of n and more members that are so alike differ in (1 - s) / s * n of them at most, n being the smaller's. The range of hashes is cut into parts, as many as
+    the size calls for (by powers of two; a size near the lower end is also cut like those below it). With one part more than that
+    difference that is not empty, one at least is the same in both. Of ``FEW`` members or fewer, single ones are keys: as many of the least as a pair
+    can lack, and one.
+    """
+    n, out, short = len(own), [], False
+    v = np.sort(mix64(own))
+    if n * similarity <= FEW:
+        out.append(mix64(v[: n - int(np.ceil(similarity * n - 1e-9)) + 1] ^ np.uint64(FEW)))
+    if n >= FEW:
+        need = int((1 - similarity) / similarity * n + 1e-9) + 1
+        size = FEW << int(np.log2(n // FEW))
+        for parts in (size, size // 2):
+            if parts < FEW or n * similarity > 2 * parts:
+                continue
+            part = ((v >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            start = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            short |= len(start) < need
+            held = np.add.reduceat(mix64(v + np.uint64(0x9E3779B97F4A7C15)), start)[:need]
+            out.append(mix64(held ^ mix64(part[start[:need]] * np.uint64(0x2545F4914F6CDD1D) + np.uint64(parts))))
+    return np.concatenate(out), short
+
+
+def _parities(own: np.ndarray) -> bytes:
+    """How often members fall into each class, modulo two: sets differ in no fewer members than these in bits."""
+    return np.packbits(np.bincount((mix64(own) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1).tobytes()
+
+
+def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: int, similarity: float, size: int) -> DataFrame:
+    """u, v: further links, so that with ``links`` all texts of that similarity are joined, directly or through others.
+
+    Every different set of shingles is keyed by ``set_keys``. Sets that share a key, are not joined by ``links`` and whose sizes and parities
+    allow the similarity are compared. Sets for which keys are not sure are compared with all of their size.
+    """
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("row_a"), F.hash(F.col("text"), F.col("doc_id")).alias("row_b"), F.col("text").cast("string").alias("text"))
+    signs = [f"p{w}" for w in range(PARITIES)]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in split_text_batches(batches, "text"):
+            sets = [np.frombuffer(x, np.uint64) for x in shingle_sets(batch.column(2), shingle)]
+            kept = [i for i, x in enumerate(sets) if len(x)]  # those without words have one fingerprint
+            if not kept:
+                continue
+            made = [set_keys(sets[i], similarity) for i in kept]
+            signed = np.frombuffer(b"".join(_parities(sets[i]) for i in kept), np.int64).reshape(-1, PARITIES)
+            edges = np.cumsum([0, *[len(m[0]) for m in made]])
+            keys = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate([m[0] for m in made]).view(np.int64)))
+            names = np.array([xxhash.xxh3_64_intdigest(sets[i].tobytes()) for i in kept], np.uint64).view(np.int64)
+            at = pa.array(kept)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(names), pa.array([len(sets[i]) for i in kept], pa.int32()), pa.array([m[1] for m in made]), keys, *[pa.array(signed[:, w]) for w in range(PARITIES)]],
+                names=["row_a", "row_b", "id", "n", "short", "keys", *signs],
+            )
+
+    sets = stage(hashed.mapInArrow(keyed, f"row_a long, row_b int, id long, n int, short boolean, keys array<long>, {', '.join(f'{c} long' for c in signs)}"), "sets")
+    roots = stage(components(links), "roots-so-far")
+    named = prints.select("row_a", "row_b", "fp").distinct().join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("row_a", "row_b", "fp", F.coalesce("root", "fp").alias("root"))
+    # of equal sets one is compared; they have one fingerprint
+    chosen = stage(sets.groupBy("id").agg(F.min(F.struct("row_a", "row_b")).alias("row")).select("id", "row.row_a", "row.row_b"), "chosen-sets")
+    nodes = stage(sets.drop("keys", "row_a", "row_b").dropDuplicates(["id"]).join(chosen, "id").join(named, ["row_a", "row_b"]), "nodes")
+    first = sets.join(guarded(chosen.select("row_a", "row_b"), chosen.count()), ["row_a", "row_b"], "left_semi")
+    entries = first.select("id", F.explode("keys").alias("k")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("k"))).filter("c > 1")
+    shared = stage(entries.select("k", "id"), "shared-keys").join(nodes.select("id", "n", "root", *signs), "id")
+    mixed = shared.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("k")
+    shared = stage(shared.join(mixed, "k", "left_semi"), "open-keys")
+    sides = lambda rows, side, *more: rows.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root", *signs)])
+    total = F.col("n_u") + F.col("n_v")
+    apart = sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in signs), F.lit(0))
+    possible = (F.col("root_u") != F.col("root_v")) & (F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * similarity - 1e-6) & (apart <= total * ((1 - similarity) / (1 + similarity)) + 1e-6)
+    a, b = sides(shared, "u", F.col("k").alias("k_u")), sides(shared, "v", F.col("k").alias("k_v"))
+    pairs = a.join(b, (F.col("k_u") == F.col("k_v")) & (F.col("id_u") < F.col("id_v")) & possible).select("id_u", "id_v").distinct()
+    unsure = nodes.filter("short")
+    if not unsure.isEmpty():
+        pairs = pairs.union(sides(unsure, "u").join(sides(nodes, "v"), possible).select("id_u", "id_v"))
+    pairs = stage(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs.join(nodes, F.lit(False)).select(F.col("fp").alias("u"), F.col("fp").alias("v"))
+    wanted = stage(pairs.select(F.col("id_u").alias("id")).union(pairs.select("id_v")).distinct().join(nodes, "id").select("id", "fp", F.col("row_a").alias("want_a"), F.col("row_b").alias("want_b")), "wanted-sets")
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in split_text_batches(batches, "text"):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shingle_sets(batch.column(2), shingle), pa.binary())], names=["id", "fp", "shingles"])
+
+    kind = _kind(size)
+    on = (F.col("row_a") == F.col("want_a")) & (F.col("row_b") == F.col("want_b"))
+    texts = hashed.join(guarded(wanted, wanted.count()), on).select("id", "fp", "text").mapInArrow(again, f"id long, fp {kind}, shingles binary")
+    texts = stage(texts.dropDuplicates(["id"]), "sets-compared")
+    held = pairs.join(texts.select(F.col("id").alias("id_u"), F.col("fp").alias("u"), F.col("shingles").alias("a")), "id_u").join(texts.select(F.col("id").alias("id_v"), F.col("fp").alias("v"), F.col("shingles").alias("b")), "id_v")
+    return held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}")
+
+
+def _compared(similarity: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [jaccard(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    return rows
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, slices: int = 3, size: int = 1, repeats: bool = True, forest: Forest | None = None, similarity: float | None = None
 ) -> DataFrame:
@@ -413,7 +515,8 @@ def near_duplicates(
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     links = near_links(classes, max_bits, slices, size, forest)
     if similarity is not None:
-        links = _alike(docs, prints, links, shingle, similarity, size)
+        links = stage(_alike(docs, prints, links, shingle, similarity, size), "links-alike")
+        links = links.union(_rest_alike(docs, prints, links, shingle, similarity, size))
     roots = stage(components(links), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     of = roots.join(groups, "root").select(F.col("node").alias("fp"), "component_id")
