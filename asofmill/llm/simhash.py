@@ -458,33 +458,45 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
     nodes = stage(sets.drop("keys", "row_a", "row_b").dropDuplicates(["id"]).join(chosen, "id").join(named, ["row_a", "row_b"]), "nodes")
     first = sets.join(guarded(chosen.select("row_a", "row_b"), chosen.count()), ["row_a", "row_b"], "left_semi")
     entries = first.select("id", F.explode("keys").alias("k")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("k"))).filter("c > 1")
-    shared = stage(entries.select("k", "id"), "shared-keys").join(nodes.select("id", "n", "root", *signs), "id")
-    mixed = shared.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("k")
-    shared = stage(shared.join(mixed, "k", "left_semi"), "open-keys")
-    sides = lambda rows, side, *more: rows.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root", *signs)])
+    shared = stage(entries.select("k", "id"), "shared-keys")
     total = F.col("n_u") + F.col("n_v")
     apart = sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in signs), F.lit(0))
     possible = (F.col("root_u") != F.col("root_v")) & (F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * similarity - 1e-6) & (apart <= total * ((1 - similarity) / (1 + similarity)) + 1e-6)
-    a, b = sides(shared, "u", F.col("k").alias("k_u")), sides(shared, "v", F.col("k").alias("k_v"))
-    pairs = a.join(b, (F.col("k_u") == F.col("k_v")) & (F.col("id_u") < F.col("id_v")) & possible).select("id_u", "id_v").distinct()
-    unsure = nodes.filter("short")
-    if not unsure.isEmpty():
-        pairs = pairs.union(sides(unsure, "u").join(sides(nodes, "v"), possible).select("id_u", "id_v"))
-    pairs = stage(pairs, "pairs")
-    if pairs.isEmpty():
-        return pairs.join(nodes, F.lit(False)).select(F.col("fp").alias("u"), F.col("fp").alias("v"))
-    wanted = stage(pairs.select(F.col("id_u").alias("id")).union(pairs.select("id_v")).distinct().join(nodes, "id").select("id", "fp", F.col("row_a").alias("want_a"), F.col("row_b").alias("want_b")), "wanted-sets")
+    side = lambda rows, of: rows.select(*[F.col(c).alias(f"{c}_{of}") for c in rows.columns])
+    kind = _kind(size)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_text_batches(batches, "text"):
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shingle_sets(batch.column(2), shingle), pa.binary())], names=["id", "fp", "shingles"])
 
-    kind = _kind(size)
-    on = (F.col("row_a") == F.col("want_a")) & (F.col("row_b") == F.col("want_b"))
-    texts = hashed.join(guarded(wanted, wanted.count()), on).select("id", "fp", "text").mapInArrow(again, f"id long, fp {kind}, shingles binary")
-    texts = stage(texts.dropDuplicates(["id"]), "sets-compared")
-    held = pairs.join(texts.select(F.col("id").alias("id_u"), F.col("fp").alias("u"), F.col("shingles").alias("a")), "id_u").join(texts.select(F.col("id").alias("id_v"), F.col("fp").alias("v"), F.col("shingles").alias("b")), "id_v")
-    return held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}")
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs.distinct(), "pairs")
+        ids = pairs.select(F.col("id_u").alias("id")).union(pairs.select("id_v")).distinct()
+        wanted = stage(ids.join(nodes, "id").select("id", "fp", F.col("row_a").alias("want_a"), F.col("row_b").alias("want_b")), "wanted-sets")
+        on = (F.col("row_a") == F.col("want_a")) & (F.col("row_b") == F.col("want_b"))
+        texts = hashed.join(guarded(wanted, wanted.count()), on).select("id", "fp", "text").mapInArrow(again, f"id long, fp {kind}, shingles binary")
+        texts = stage(texts.dropDuplicates(["id"]), "sets-compared")
+        held = pairs.join(texts.select(F.col("id").alias("id_u"), F.col("fp").alias("u"), F.col("shingles").alias("a")), "id_u").join(texts.select(F.col("id").alias("id_v"), F.col("fp").alias("v"), F.col("shingles").alias("b")), "id_v")
+        return stage(held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}"), "rest-alike")
+
+    def open_keys(nodes: DataFrame) -> DataFrame:
+        """Entries (k, and the columns of nodes) of keys whose sets are not joined yet."""
+        held = shared.join(nodes.select("id", "n", "root", *signs), "id")
+        mixed = held.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("k")
+        return stage(held.join(mixed, "k", "left_semi"), "open-keys")
+
+    # a large group is joined by its least members first, so that few of its pairs are left to be made
+    held = open_keys(nodes)
+    least = held.groupBy("k").agg(F.min(F.struct("id", "n", "root", *signs)).alias("v")).select(F.col("k").alias("k_v"), *[F.col(f"v.{c}").alias(f"{c}_v") for c in ("id", "n", "root", *signs)])
+    found = verified(side(held, "u").join(least, (F.col("k_u") == F.col("k_v")) & (F.col("id_u") != F.col("id_v")) & possible).select("id_u", "id_v"))
+    over = components(found.join(nodes.select(F.col("fp").alias("u"), F.col("root").alias("a")).distinct(), "u").join(nodes.select(F.col("fp").alias("v"), F.col("root").alias("b")).distinct(), "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    nodes = stage(nodes.join(over.select(F.col("node").alias("root"), F.col("root").alias("joined")), "root", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined"), "nodes-joined")
+    held = open_keys(nodes)
+    pairs = side(held, "u").join(side(held, "v"), (F.col("k_u") == F.col("k_v")) & (F.col("id_u") < F.col("id_v")) & possible).select("id_u", "id_v")
+    unsure = nodes.filter("short")
+    if not unsure.isEmpty():
+        pairs = pairs.union(side(unsure, "u").join(side(nodes, "v"), possible).select("id_u", "id_v"))
+    return found.union(verified(pairs))
 
 
 def _compared(similarity: float):
