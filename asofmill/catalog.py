@@ -83,7 +83,7 @@ def archived_bars(bars):
     """Vendor bars written as zipped CSV files by the executors, and loaded from them as a vendor's bulk files are."""
     spark = bars.sparkSession
     folder = f"{shared_folder(spark)}/bars-{uuid.uuid4().hex[:12]}"
-    archives.write(bars.repartition(4, "ticker"), folder).collect()  # a row for each archive
+    archives.write(bars.repartition("ticker"), folder).collect()  # a row for each archive, of which there are as many as the bars call for
     return landing.prices(archives.read(spark, folder, members="first")).drop(landing.UNPARSED)
 
 

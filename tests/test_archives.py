@@ -42,3 +42,17 @@ def test_round_trip(spark, tmp_path):
     archives.write(frame, folder).collect()  # again: the same archives
     back = archives.read(spark, folder)
     assert back.rdd.getNumPartitions() == 3 and sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_archives_grow_in_number(spark):
+    """Before, four tasks wrote and read all bars, however many there were."""
+    from asofmill import catalog
+
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert catalog.QUERIES["archived_bars"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 7
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
