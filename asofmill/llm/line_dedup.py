@@ -281,12 +281,15 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
     """u, v for the entries (k, edits, i, less, shift, own, c, id) of shared segments, several edits allowed; pairs are those that ``verified`` keeps.
 
     A segment of ``crowd`` lines or fewer makes their pairs, so a line makes no more than that for each of its keys. The lines of others
-    are linked through keys first; of what is left unlinked, pairs whose signatures differ in more than four bits an edit never leave the join.
+    are linked through keys first, before any pairs are made: of lines that this has linked, none are. Of other lines of crowded segments, pairs whose
+    signatures differ in more than four bits an edit never leave the join.
     """
 
     def paired(entries: DataFrame) -> DataFrame:
-        a, b = entries.filter("own").select("k", F.col("id").alias("u")), entries.select("k", "own", F.col("id").alias("v"))
-        return a.join(b, "k").filter((F.col("u") < F.col("v")) | (~F.col("own") & (F.col("u") != F.col("v")))).select("u", "v")
+        """Pairs of entries (k, own, id, root) of unlike roots."""
+        a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root")]) for on, side in (("own", "u"), ("true", "v")))
+        order = (F.col("id_u") < F.col("id_v")) | (~b["own"] & (F.col("id_u") != F.col("id_v")))
+        return a.drop("own").join(b, (a["k"] == b["k"]) & (F.col("root_u") != F.col("root_v")) & order).select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
     signs = [f"s{w}" for w in range(WORDS)]
 
@@ -304,12 +307,12 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
         return entries.join(least, "k").filter((F.col("id") != F.col("v.id")) & near).select(F.col("id").alias("u"), F.col("v.id").alias("v"))
 
     many = shared.filter(F.col("c") > crowd)
-    near = verified(paired(shared.filter(F.col("c") <= crowd)).distinct())
+    few = shared.filter(F.col("c") <= crowd).select("k", "own", "id")
     n, less = F.col("n"), F.col("less")
     start, size = _segment(n - less, F.col("i"), F.col("edits") + 1)
     last, rest = many.filter(F.col("c") <= SHARED).select("k", "own", "id"), many.filter(F.col("c") > SHARED)
     if many.isEmpty():
-        return near
+        return verified(paired(few.withColumn("root", F.col("id"))).distinct())
     crowded = rest.select("id", "k", "edits", "i", "less", "shift", "own").join(texts, "id").withColumns({"begin": (start + F.col("shift")).cast("int"), "size": F.least(size, F.lit(KEYED)).cast("int")})
     outside = crowded.select("id", "k", "own", "less", _outside(F.col("line"), F.col("begin"), F.col("size")).alias("rest"), (n - less - F.col("size")).alias("m"))
     for depth in range(2, DEPTH + 1):
@@ -325,12 +328,16 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
     signed = stage(everyone.select("id", signature(F.col("line")).alias("s")).select("id", *[F.get("s", F.lit(w)).alias(c) for w, c in enumerate(signs)]), "signatures")
     finer = stage(last.distinct().join(signed, "id"), "finest")
     first = starred(finer).distinct()
-    links = stage(near.union(verified(first)), "first-links")
-    # lines next to one line are linked already
-    beside = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy(F.col("u").alias("id")).agg(F.min("v").alias("beside"))
-    rooted = finer.join(beside, "id", "left").withColumn("root", F.least("id", "beside"))
-    mixed = rooted.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
-    return links.union(verified(alike(rooted.join(mixed, "k", "left_semi")).distinct()))
+    links = stage(verified(first), "first-links")
+    # lines next to one line, or next to lines that are, are linked already
+    beside = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy(F.col("u").alias("id")).agg(F.least("id", F.min("v")).alias("root"))
+    further = beside.select(F.col("id").alias("root"), F.col("root").alias("next"))
+    beside = stage(beside.join(further, "root").select("id", F.least("root", "next").alias("root")), "beside")
+    known = guarded(beside, beside.count())
+    rooted = lambda entries: entries.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    unlike = rooted(finer)
+    mixed = unlike.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
+    return links.union(verified(paired(rooted(few)).union(alike(unlike.join(mixed, "k", "left_semi"))).distinct()))
 
 
 def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None, per_edit: int = 1) -> DataFrame:
