@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,10 @@ def quoted(names: list[str]) -> list[str]:
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: What was staged within each ``settled`` that is under way.
+_steps: list[list[str]] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, and survives lost executors.
 
@@ -73,15 +77,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+    if _steps:
+        _steps[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(staged: DataFrame) -> None:
     """Remove what ``stage`` wrote, once nothing is left to be computed from it."""
-    hadoop = staged.sparkSession._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
-        path = staged.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(hadoop).delete(path, True)
+        _remove(staged.sparkSession, folder)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``stage(make(), name)``; all that ``make`` staged on the way is removed as soon as that is written."""
+    _steps.append([])
+    try:
+        kept = stage(make(), name)
+    finally:
+        staged = _steps.pop()
+    for folder in staged[:-1]:
+        _remove(kept.sparkSession, folder)
+    if _steps:
+        _steps[-1].append(staged[-1])
+    return kept
 
 
 #: Rows of a key list that may be broadcast (16 to 32 bytes each); beyond it the join shuffles.

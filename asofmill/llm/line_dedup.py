@@ -15,7 +15,7 @@ the least of them.
 
 With more edits, lines of a crowded segment carry signatures: parities of the letter pairs they hold, of which an edit changes four
 at most. They are linked to the least line of the segment, if near it; of those that are not linked by that, pairs leave the join only if their signatures
-allow it. It compares bits, so lines that merely have a beginning and an end in common make no rows. Where more than ``SHARED`` lines
+and then the lines themselves (of long ones the beginnings and ends) allow it. So lines that merely have much in common make no rows. Where more than ``SHARED`` lines
 share a segment, what lies outside it is first cut into max_edits + 1 segments in its turn, one of which a near-copy also holds; and so once more (``DEPTH``).
 """
 
@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import guarded, quoted, stage
+from .common import guarded, quoted, settled, stage
 from .components import components
 
 #: Shortest line that is looked at; lines of one segment from which keys replace pairs; blocks of such a line at least.
@@ -37,6 +37,8 @@ DEPTH, SHARED = 3, 1024
 WORDS, KEYED = 4, 24
 #: Letters after which the distance looks whether any diagonal is left, and of the beginnings that are compared first.
 EARLY, BEGINNING = 16, 32
+#: Letters of the beginnings and ends that pairs of crowded segments are compared by before they leave the join; shorter lines are compared whole.
+HELD = 1024
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -282,7 +284,8 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
 
     A segment of ``crowd`` lines or fewer makes their pairs, so a line makes no more than that for each of its keys. The lines of others
     are linked through keys first, before any pairs are made: of lines that this has linked, none are. Of other lines of crowded segments, pairs whose
-    signatures differ in more than four bits an edit never leave the join.
+    signatures differ in more than four bits an edit never leave the join, nor do those whose lines (up to ``HELD`` letters; of longer ones the beginnings
+    or ends) are too many edits apart: signatures alone let through lines that differ by a run of letters each.
     """
 
     def paired(entries: DataFrame) -> DataFrame:
@@ -294,9 +297,12 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
     signs = [f"s{w}" for w in range(WORDS)]
 
     def alike(entries: DataFrame) -> DataFrame:
-        """Pairs of entries (k, own, id, root and the signature) of unlike roots whose signatures allow so many edits."""
-        a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", *signs)]) for on, side in (("own", "u"), ("true", "v")))
-        near = differing([F.col(f"{c}_u") for c in signs], [F.col(f"{c}_v") for c in signs]) <= 4 * max_edits
+        """Pairs of entries (k, own, id, root, the signature, n, begins and ends) of unlike roots whose signatures and letters allow so many edits."""
+        a, b = (entries.filter(on).select("k", "own", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "n", "begins", "ends", *signs)]) for on, side in (("own", "u"), ("true", "v")))
+        # beginnings (or ends) of equal length are at most twice as many edits apart as the whole
+        within = lambda c, edits: F.levenshtein(f"{c}_u", f"{c}_v", edits) >= 0
+        letters = F.when(F.greatest("n_u", "n_v") <= HELD, within("begins", max_edits)).otherwise(within("begins", 2 * max_edits) & within("ends", 2 * max_edits))
+        near = (differing([F.col(f"{c}_u") for c in signs], [F.col(f"{c}_v") for c in signs]) <= 4 * max_edits) & letters
         order = (F.col("id_u") < F.col("id_v")) | (~b["own"] & (F.col("id_u") != F.col("id_v")))
         return a.drop("own").join(b, (a["k"] == b["k"]) & (F.col("root_u") != F.col("root_v")) & order & near).select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
 
@@ -325,8 +331,9 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
         rest = met.filter(F.col("c") > SHARED)
         outside = rest.select("id", "k", "own", "less", _outside(F.col("rest"), F.col("begin"), F.col("size")).alias("rest"), (F.col("m") - F.col("size")).alias("m"))
     everyone = texts.join(many.select("id").distinct(), "id", "left_semi")
-    signed = stage(everyone.select("id", signature(F.col("line")).alias("s")).select("id", *[F.get("s", F.lit(w)).alias(c) for w, c in enumerate(signs)]), "signatures")
-    finer = stage(last.distinct().join(signed, "id"), "finest")
+    edges = [F.substring("line", 1, HELD).alias("begins"), F.when(n > HELD - max_edits, F.substring("line", -HELD, HELD)).alias("ends")]
+    signed = stage(everyone.select("id", "n", *edges, signature(F.col("line")).alias("s")).select("id", "n", "begins", "ends", *[F.get("s", F.lit(w)).alias(c) for w, c in enumerate(signs)]), "signatures")
+    finer = stage(last.distinct().join(signed.select("id", *signs), "id"), "finest")
     first = starred(finer).distinct()
     links = stage(verified(first), "first-links")
     # lines next to one line, or next to lines that are, are linked already
@@ -337,7 +344,8 @@ def _wide_links(shared: DataFrame, texts: DataFrame, verified, max_edits: int, c
     rooted = lambda entries: entries.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
     unlike = rooted(finer)
     mixed = unlike.groupBy("k").agg(F.count_if("own").alias("o"), F.min("root").alias("low"), F.max("root").alias("high")).filter("o > 0 AND low != high").select("k")
-    return links.union(verified(paired(rooted(few)).union(alike(unlike.join(mixed, "k", "left_semi"))).distinct()))
+    crowds = unlike.join(mixed, "k", "left_semi").join(signed.select("id", "n", "begins", "ends"), "id")
+    return links.union(verified(paired(rooted(few)).union(alike(crowds)).distinct()))
 
 
 def repeated_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd: int = CROWD, exact: int | None = None, per_edit: int = 1) -> DataFrame:
@@ -426,7 +434,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, least: int = LEAST, crowd:
     table gives no rows; very long lines are compared whole. Kept lines keep their blanks and their order. A null text stays null with 0 lines. Columns n_lines and n_removed of docs are
     replaced; all others stay.
     """
-    gone = stage(repeated_lines(docs, max_edits, least, crowd, exact, per_edit).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
+    gone = settled(lambda: repeated_lines(docs, max_edits, least, crowd, exact, per_edit).select(F.col("row_a").alias("__row_a"), F.col("row_b").alias("__row_b"), F.col("gone").alias("__gone")), "gone")
     changed = guarded(gone.select("__row_a", "__row_b"), gone.count())
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*quoted(names)).withColumns({"__a": F.xxhash64("doc_id", "text"), "__b": F.hash(F.col("text"), F.col("doc_id"))})

@@ -188,3 +188,23 @@ def test_a_family_of_changed_words_against_brute_force(spark, monkeypatch):
             own[at] = own[at][:-1] + chance.choice("xyz") if chance.random() < 0.4 else "".join(chance.choices("qrstuv", k=len(own[at]) + chance.randrange(2)))
         rows.append((i, " ".join(own)))
     assert run(spark, rows, max_edits=3, least=12, crowd=4) == brute(rows, 3, 12)
+
+
+def test_a_family_of_inserted_letters_makes_no_pairs(spark, monkeypatch):
+    """One line with four letters put in at some place: any two are eight edits apart, and their signatures twelve bits at most."""
+    monkeypatch.setattr(ld, "HELD", 64)  # so that beginnings and ends are compared
+    chance = random.Random(9)
+    base = " ".join("".join(chance.choices("aehinorst", k=chance.randrange(2, 9))) for _ in range(18))
+    rows = []
+    for i in range(60):
+        at = chance.randrange(len(base))
+        rows.append((i, base[:at] + "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=4)) + base[at:]))
+    rows += [(300 + i, rows[i][1].replace("e", "x", 1)) for i in range(0, 60, 10)]
+    made, own = [], ld._wide_links
+
+    def counting(shared, texts, verified, max_edits, crowd):
+        return own(shared, texts, lambda pairs: made.append(pairs.count()) or verified(pairs), max_edits, crowd)
+
+    monkeypatch.setattr(ld, "_wide_links", counting)
+    assert run(spark, rows, max_edits=3, least=16, per_edit=16) == brute(rows, 3, 16)
+    assert sum(made) < 8 * len(rows), made
