@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from .functions import parse
 from .operators import analytics, asof, factors, fundamentals, pit, prices, writes
-from .plans.surrogate import view, with_views
+from .plans.surrogate import kept_views, view, with_views
 from .shipping import shared_folder
 from .sources import archives, landing, providers, shelves
 from .sources.schemas import sector_of
 
+#: Views of the universe's history, which reads each several times.
+_PIT_VIEWS = "v_prices v_master v_sf1"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -36,7 +39,7 @@ def query(name: str, views: str, sql: str | None = None):
     """Register a query of the named views (passed as DataFrames) and its SQL."""
 
     def keep(build):
-        QUERIES[name] = lambda spark, sf_dir: build(*[view(spark, sf_dir, v) for v in views.split()])
+        QUERIES[name] = lambda spark, sf_dir: build(*(kept_views(spark, sf_dir) if views == _PIT_VIEWS else [view(spark, sf_dir, v) for v in views.split()]))
         if sql:
             ORACLES[name] = f"{with_views(*views.split())}{',' if sql.lstrip().startswith('/*with*/') else ''} {sql.replace('/*with*/', '')}"
         return build
@@ -229,9 +232,6 @@ history AS (
   SELECT d.date AS as_of, s.ticker, c.category, c.exchange, c.isdelisted, c.sector, c.industry, s.price, s.mcap, s.dvol_avg, s.dvol_days, c.firstpricedate, c.lastpricedate
   FROM spans s JOIN days d ON d.date BETWEEN s.date AND s.until JOIN c USING (ticker))"""
 
-_PIT_VIEWS = "v_prices v_master v_sf1"
-
-
 def _history(p, m, sf1):
     return pit.universe_history(p, m, sf1, SCREEN)
 

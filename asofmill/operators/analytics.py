@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import shared_folder
 from .selection import medians
+from .writes import aside, kept
 
 
 def coverage(tables: dict[str, tuple[DataFrame, str | None]], distinct: str | None = None) -> DataFrame:
@@ -60,9 +62,14 @@ def mean_days(rows: DataFrame, key: str) -> DataFrame:
 
 
 def median_by(rows: DataFrame, by: str, value: str) -> DataFrame:
-    """n, exact median and sum (of whole units) of a value in each group. No group is gathered anywhere: the median is selected by histograms."""
-    with_n = rows.groupBy(F.col(by).alias("__by")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(28,0)")).cast("double").alias("total"))
-    middle = medians(rows, by, value).select(by, "median")
+    """n, exact median and sum (of whole units) of a value in each group. No group is gathered anywhere: the median is selected by histograms.
+
+    The rows are worked out once, whatever they are made of.
+    """
+    folder = shared_folder(rows.sparkSession)
+    with aside(rows.select(by, value), folder) as held:
+        with_n = kept(held.groupBy(F.col(by).alias("__by")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(28,0)")).cast("double").alias("total")), folder)
+        middle = medians(held, by, value).select(by, "median")
     return with_n.join(middle, F.col("__by").eqNullSafe(F.col(by)), "left").select(F.col("__by").alias(by), "n", "median", "total")
 
 

@@ -131,8 +131,9 @@ def _names(master: DataFrame, screen: Screen, bounds: DataFrame) -> DataFrame:
 def _members(valid: DataFrame, master: DataFrame, screen: Screen, days: DataFrame, bounds: DataFrame) -> DataFrame:
     """The trading days that each valid quote stands for, with the ticker's profile."""
     spans = validity(valid, master, screen, bounds.select("last_day")).filter(F.col("until") >= F.col("date"))
-    each = spans.withColumn("as_of", F.explode(F.sequence("date", "until")))
-    return each.join(F.broadcast(days.select(F.col("date").alias("as_of"))), "as_of", "left_semi").join(_names(master, screen, bounds), "ticker").select(*COLUMNS)
+    # profiles before the days are listed: a row for each quote meets them, not one for each day
+    each = spans.join(_names(master, screen, bounds), "ticker").withColumn("as_of", F.explode(F.sequence("date", "until")))
+    return each.join(F.broadcast(days.select(F.col("date").alias("as_of"))), "as_of", "left_semi").select(*COLUMNS)
 
 
 def _bounds(days: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ Plain Parquet has no MERGE. Each function gives the table's new content as a Dat
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -105,6 +106,21 @@ def aside(rows: DataFrame, folder: str) -> Iterator[DataFrame]:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def kept(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows, written into ``folder`` once and read back, for a result that outlasts the step; removed when the application ends."""
+    held = ExitStack()
+    found = held.enter_context(aside(rows, folder))
+
+    def remove() -> None:
+        try:
+            held.close()
+        except Exception:  # the JVM has gone: nothing is left to ask
+            pass
+
+    atexit.register(remove)
+    return found
+
+
 def key_violations(rows: DataFrame, key: list[str]) -> DataFrame:
     """Keys that several rows have, and how many."""
     return rows.groupBy(*key).count().filter("count > 1")

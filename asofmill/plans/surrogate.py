@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.writes import kept
+from ..shipping import shared_folder
+
 VIEWS = {
     "v_vendor_bars": """
 SELECT ticker, date, o * sf AS open, h * sf AS high, l * sf AS low, c * sf AS close, c AS closeunadj,
@@ -89,3 +92,18 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     needed = [n for n in VIEWS if n in NEEDS.get(name, [])]
     with_ = "WITH " + ", ".join(f"{n} AS ({VIEWS[n].strip()})" for n in needed) if needed else ""
     return spark.sql(f"{with_} {VIEWS[name].strip()}")
+
+
+def kept_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """v_prices (what the universe reads of it), v_master and v_sf1 for queries that read each of them several times.
+
+    Each is worked out and written once, and v_master is made of the written prices: as plain views, every use adds up all line items anew.
+    """
+    folder = shared_folder(spark)
+    prices = kept(view(spark, sf_dir, "v_prices").select("ticker", "date", "close", "volume"), folder)
+    prices.createOrReplaceTempView("v_prices")
+    try:
+        master = kept(spark.sql(VIEWS["v_master"]), folder)
+    finally:
+        spark.catalog.dropTempView("v_prices")
+    return prices, master, kept(view(spark, sf_dir, "v_sf1").select("ticker", "date", "dimension", "shareswa"), folder)

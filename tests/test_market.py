@@ -264,3 +264,17 @@ def test_medians_by_histograms(spark):
     assert whole["none"] == (1, None) and whole["odd"][0] == 302
     assert selection.medians(frame.limit(0), "g", "v").count() == 0
     assert "percentile" not in analytics.median_by(frame.filter("g = 'odd'"), "g", "v")._jdf.queryExecution().toString()
+
+
+def test_members_are_worked_out_once_for_median_and_sums(spark):
+    """Before, the rows were worked out for the sums and again for the medians."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, 7.5), (2, None)], "yr int, v double").mapInArrow(counted, "yr int, v double")
+    assert {r.yr: (r.n, r["median"], r.total) for r in analytics.median_by(rows, "yr", "v").collect()} == {1: (2, 3.0, 6.0), 2: (2, 7.5, 8.0)}
+    assert seen.value == 4
