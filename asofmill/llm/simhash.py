@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import byte_class, guarded, joined_bytes, mix64, quoted, sample_of, span_hashes, split_text_batches, stage, window_hashes, word_spans
+from .common import byte_class, discard, guarded, joined_bytes, mix64, quoted, sample_of, settled, span_hashes, split_text_batches, stage, window_hashes, word_spans
 from .components import components
 
 SEED = 42
@@ -459,6 +459,7 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
     first = sets.join(guarded(chosen.select("row_a", "row_b"), chosen.count()), ["row_a", "row_b"], "left_semi")
     entries = first.select("id", F.explode("keys").alias("k")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("k"))).filter("c > 1")
     shared = stage(entries.select("k", "id"), "shared-keys")
+    discard(sets)
     total = F.col("n_u") + F.col("n_v")
     apart = sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in signs), F.lit(0))
     possible = (F.col("root_u") != F.col("root_v")) & (F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * similarity - 1e-6) & (apart <= total * ((1 - similarity) / (1 + similarity)) + 1e-6)
@@ -490,6 +491,7 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
     least = held.groupBy("k").agg(F.min(F.struct("id", "n", "root", *signs)).alias("v")).select(F.col("k").alias("k_v"), *[F.col(f"v.{c}").alias(f"{c}_v") for c in ("id", "n", "root", *signs)])
     found = verified(side(held, "u").join(least, (F.col("k_u") == F.col("k_v")) & (F.col("id_u") != F.col("id_v")) & possible).select("id_u", "id_v"))
     over = components(found.join(nodes.select(F.col("fp").alias("u"), F.col("root").alias("a")).distinct(), "u").join(nodes.select(F.col("fp").alias("v"), F.col("root").alias("b")).distinct(), "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    discard(held)
     nodes = stage(nodes.join(over.select(F.col("node").alias("root"), F.col("root").alias("joined")), "root", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined"), "nodes-joined")
     held = open_keys(nodes)
     pairs = side(held, "u").join(side(held, "v"), (F.col("k_u") == F.col("k_v")) & (F.col("id_u") < F.col("id_v")) & possible).select("id_u", "id_v")
@@ -525,11 +527,12 @@ def near_duplicates(
     """
     prints = stage(fingerprints(docs, shingle, size, repeats), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    links = near_links(classes, max_bits, slices, size, forest)
+    # the shards, and whatever else is written on the way, go before the next step begins
+    links = settled(lambda: near_links(classes, max_bits, slices, size, forest), "links-found")
     if similarity is not None:
-        links = stage(_alike(docs, prints, links, shingle, similarity, size), "links-alike")
-        links = links.union(_rest_alike(docs, prints, links, shingle, similarity, size))
-    roots = stage(components(links), "roots")
+        near = settled(lambda: _alike(docs, prints, links, shingle, similarity, size), "links-alike")
+        links = near.union(settled(lambda: _rest_alike(docs, prints, near, shingle, similarity, size), "links-rest"))
+    roots = settled(lambda: components(links), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
     of = roots.join(groups, "root").select(F.col("node").alias("fp"), "component_id")
     # written, so that the join below is of two plain exchanges, which Spark can split where one fingerprint has many rows
@@ -542,14 +545,18 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
 
     Rows alike in id and text are one choice: one of them stays.
     """
-    found = near_duplicates(docs, **how)
-    # without an id in the whole group, its rows are told apart by fingerprint alone
-    group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
-    found = stage(found.groupBy("row_a", "row_b").agg(F.min("doc_id").alias("doc_id"), F.min(group).alias("group"), F.count(F.lit(1)).alias("copies")), "rows")
-    best = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("best"))
-    chosen = best.select(F.col("best.row_a").alias("row_a"), F.col("best.row_b").alias("row_b"), F.lit(True).alias("chosen"))
+
+    def fates() -> DataFrame:
+        found = near_duplicates(docs, **how)
+        # without an id in the whole group, its rows are told apart by fingerprint alone
+        group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
+        found = stage(found.groupBy("row_a", "row_b").agg(F.min("doc_id").alias("doc_id"), F.min(group).alias("group"), F.count(F.lit(1)).alias("copies")), "rows")
+        best = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("best"))
+        chosen = best.select(F.col("best.row_a").alias("row_a"), F.col("best.row_b").alias("row_b"), F.lit(True).alias("chosen"))
+        return found.join(chosen, ["row_a", "row_b"], "left").filter("chosen IS NULL OR copies > 1").select(F.col("row_a").alias("__fate_a"), F.col("row_b").alias("__fate_b"), F.col("chosen").alias("__chosen"))
+
     # lists of what goes are short beside the texts, which then need not move
-    fate = stage(found.join(chosen, ["row_a", "row_b"], "left").filter("chosen IS NULL OR copies > 1").select(F.col("row_a").alias("__fate_a"), F.col("row_b").alias("__fate_b"), F.col("chosen").alias("__chosen")), "fate")
+    fate = settled(fates, "fate")
     a, b, n = (f"__{x}" for x in ("row_a", "row_b", "row_n"))
     on = (F.col(a) == F.col("__fate_a")) & (F.col(b) == F.col("__fate_b"))
     keyed = docs.withColumns({a: F.xxhash64("doc_id", "text"), b: F.hash(F.col("text"), F.col("doc_id"))})
