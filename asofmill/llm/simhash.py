@@ -398,7 +398,8 @@ def set_keys(own: np.ndarray, similarity: float) -> tuple[np.ndarray, bool]:
 
     Sets of n and more members that are so alike differ in (1 - s) / s * n of them at most, n being the smaller's. The range of hashes is cut into parts, as many as
     the size calls for (by powers of two; a size near the lower end is also cut like those below it). With one part more than that
-    difference that is not empty, one at least is the same in both. Of ``FEW`` members or fewer, single ones are keys: as many of the least as a pair
+    difference that is not empty, one at least is the same in both. Parts of the most members come first (equal parts have equally many, so both sets
+    order them alike): they are hardly shared by chance, as single members that many sets hold are. Of ``FEW`` members or fewer, single ones are keys: as many of the least as a pair
     can lack, and one.
     """
     n, out, short = len(own), [], False
@@ -414,8 +415,9 @@ def set_keys(own: np.ndarray, similarity: float) -> tuple[np.ndarray, bool]:
             part = ((v >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             start = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
             short |= len(start) < need
-            held = np.add.reduceat(mix64(v + np.uint64(0x9E3779B97F4A7C15)), start)[:need]
-            out.append(mix64(held ^ mix64(part[start[:need]] * np.uint64(0x2545F4914F6CDD1D) + np.uint64(parts))))
+            fullest = np.argsort(start - np.append(start[1:], n), kind="stable")[:need]
+            held = np.add.reduceat(mix64(v + np.uint64(0x9E3779B97F4A7C15)), start)[fullest]
+            out.append(mix64(held ^ mix64(part[start[fullest]] * np.uint64(0x2545F4914F6CDD1D) + np.uint64(parts))))
     return np.concatenate(out), short
 
 

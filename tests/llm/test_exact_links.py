@@ -17,6 +17,15 @@ def test_sets_of_the_similarity_share_a_key():
             assert np.bitwise_count(np.frombuffer(simhash._parities(x), np.uint8) ^ np.frombuffer(simhash._parities(y), np.uint8)).sum() <= lost + max(0, added)
 
 
+def test_sets_with_a_few_common_members_hardly_share_keys():
+    """Long texts with a common passage: before, single members were keys, and 117 of the first 780 pairs shared one and were compared with both whole sets."""
+    random = np.random.default_rng(4)
+    for n, most in ((1400, 5), (3000, 5), (500, 10)):
+        common = random.integers(0, 1 << 63, 6, dtype=np.uint64)
+        keys = [simhash.set_keys(np.concatenate((common, random.integers(0, 1 << 63, n - 6, dtype=np.uint64))), 0.8)[0] for _ in range(40)]
+        assert sum(np.intersect1d(a, b).size > 0 for i, a in enumerate(keys) for b in keys[:i]) <= most
+
+
 def test_pairs_that_the_forest_leaves_out_are_linked(spark):
     """A forest that finds next to nothing: before, its candidates alone were links."""
     random = np.random.default_rng(5)
