@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -58,25 +59,38 @@ def quoted(names: list[str]) -> list[str]:
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Most bytes of a batch that goes to a Python worker (rows of more come alone); Spark's own limit is 10,000 rows or 64 MB, which the executor holds twice for each task.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def _held(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The session with these settings, and then as it was."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 #: What was staged within each ``settled`` that is under way.
 _steps: list[list[str]] = []
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, and survives lost executors.
 
-    The shuffle files behind it go as soon as it is written, since nothing reads them again.
+    The shuffle files behind it go as soon as it is written, since nothing reads them again. ``batch``: most bytes that go to Python at once, where rows are long.
     """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/asofmill-{spark.sparkContext.applicationId}"
     _remove_at_exit(spark, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
+    with _held(spark, {FREE_SHUFFLES: "true"} | ({ARROW_BYTES: str(batch)} if batch else {})):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     if _steps:
         _steps[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -93,11 +107,11 @@ def discard(staged: DataFrame) -> None:
         _remove(staged.sparkSession, folder)
 
 
-def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """``stage(make(), name)``; all that ``make`` staged on the way is removed as soon as that is written."""
+def settled(make: Callable[[], DataFrame], name: str, batch: int | None = None) -> DataFrame:
+    """``stage(make(), name, batch)``; all that ``make`` staged on the way is removed as soon as that is written."""
     _steps.append([])
     try:
-        kept = stage(make(), name)
+        kept = stage(make(), name, batch)
     finally:
         staged = _steps.pop()
     for folder in staged[:-1]:

@@ -40,6 +40,8 @@ SEED = 42
 SAMPLE, LEAF, MOST_LEAVES = 32_768, 512, 4_096
 #: Residents, and a quarter of the visitors, that one task compares at once.
 CROWD = 4_096
+#: Bytes of text whose shingle sets a worker makes at once, and of rows that it gets at once. Workers keep what they once took.
+SLICE, BATCH = 1 << 18, 1 << 22
 
 
 class Forest(NamedTuple):
@@ -347,6 +349,12 @@ def shingle_sets(column: pa.Array, shingle: int) -> list[bytes]:
     return out
 
 
+def _with_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches (their last column is the text), each with the shingle sets of its texts."""
+    for batch in split_text_batches(batches, "text", SLICE):
+        yield batch, shingle_sets(batch.column(batch.num_columns - 1), shingle)
+
+
 def jaccard(a: bytes, b: bytes) -> float:
     """Common share of two sorted sets; 1 of two empty ones."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -371,18 +379,18 @@ def _alike(docs: DataFrame, prints: DataFrame, candidates: DataFrame, shingle: i
     on = (F.col("row_a") == F.col("want_a")) & (F.col("row_b") == F.col("want_b"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_text_batches(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingle_sets(batch.column(1), shingle), pa.binary())], names=["fp", "shingles"])
+        for batch, made in _with_sets(batches, shingle):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["fp", "shingles"])
 
     kind = _kind(size)
     texts = keyed.join(guarded(wanted, wanted.count()), on).select("fp", "text").mapInArrow(sets, f"fp {kind}, shingles binary")
-    texts = stage(texts.groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles")
+    texts = stage(texts.groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles", BATCH)
 
     def verified(links: DataFrame) -> DataFrame:
         held = links.join(texts.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u").join(texts.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v")
         return held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}")
 
-    stars = stage(verified(groups.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "stars-alike")
+    stars = stage(verified(groups.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "stars-alike", BATCH)
     joined = lambda x, as_: stars.select(F.col("u").alias(x), F.col("v").alias(as_))
     rest = candidates.join(joined("u", "of_u"), "u", "left").join(joined("v", "of_v"), "v", "left")
     rest = rest.filter(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
@@ -436,8 +444,8 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
     signs = [f"p{w}" for w in range(PARITIES)]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_text_batches(batches, "text"):
-            sets = [np.frombuffer(x, np.uint64) for x in shingle_sets(batch.column(2), shingle)]
+        for batch, found in _with_sets(batches, shingle):
+            sets = [np.frombuffer(x, np.uint64) for x in found]
             kept = [i for i, x in enumerate(sets) if len(x)]  # those without words have one fingerprint
             if not kept:
                 continue
@@ -452,7 +460,7 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
                 names=["row_a", "row_b", "id", "n", "short", "keys", *signs],
             )
 
-    sets = stage(hashed.mapInArrow(keyed, f"row_a long, row_b int, id long, n int, short boolean, keys array<long>, {', '.join(f'{c} long' for c in signs)}"), "sets")
+    sets = stage(hashed.mapInArrow(keyed, f"row_a long, row_b int, id long, n int, short boolean, keys array<long>, {', '.join(f'{c} long' for c in signs)}"), "sets", BATCH)
     roots = stage(components(links), "roots-so-far")
     named = prints.select("row_a", "row_b", "fp").distinct().join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("row_a", "row_b", "fp", F.coalesce("root", "fp").alias("root"))
     # of equal sets one is compared; they have one fingerprint
@@ -469,8 +477,8 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
     kind = _kind(size)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_text_batches(batches, "text"):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shingle_sets(batch.column(2), shingle), pa.binary())], names=["id", "fp", "shingles"])
+        for batch, made in _with_sets(batches, shingle):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.binary())], names=["id", "fp", "shingles"])
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stage(pairs.distinct(), "pairs")
@@ -478,9 +486,9 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
         wanted = stage(ids.join(nodes, "id").select("id", "fp", F.col("row_a").alias("want_a"), F.col("row_b").alias("want_b")), "wanted-sets")
         on = (F.col("row_a") == F.col("want_a")) & (F.col("row_b") == F.col("want_b"))
         texts = hashed.join(guarded(wanted, wanted.count()), on).select("id", "fp", "text").mapInArrow(again, f"id long, fp {kind}, shingles binary")
-        texts = stage(texts.dropDuplicates(["id"]), "sets-compared")
+        texts = stage(texts.dropDuplicates(["id"]), "sets-compared", BATCH)
         held = pairs.join(texts.select(F.col("id").alias("id_u"), F.col("fp").alias("u"), F.col("shingles").alias("a")), "id_u").join(texts.select(F.col("id").alias("id_v"), F.col("fp").alias("v"), F.col("shingles").alias("b")), "id_v")
-        return stage(held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}"), "rest-alike")
+        return stage(held.select("u", "v", "a", "b").mapInArrow(_compared(similarity), f"u {kind}, v {kind}"), "rest-alike", BATCH)
 
     def open_keys(nodes: DataFrame) -> DataFrame:
         """Entries (k, and the columns of nodes) of keys whose sets are not joined yet."""
@@ -506,7 +514,8 @@ def _rest_alike(docs: DataFrame, prints: DataFrame, links: DataFrame, shingle: i
 def _compared(similarity: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [jaccard(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            # views of the batch, not copies
+            near = [jaccard(a.as_buffer(), b.as_buffer()) >= similarity for a, b in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
     return rows
@@ -527,12 +536,12 @@ def near_duplicates(
     id. Repeated rows come back repeated; an empty table gives no rows. Very long texts are read
     whole. Only doc_id and text are read.
     """
-    prints = stage(fingerprints(docs, shingle, size, repeats), "fingerprints")
+    prints = stage(fingerprints(docs, shingle, size, repeats), "fingerprints", BATCH)
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     # the shards, and whatever else is written on the way, go before the next step begins
     links = settled(lambda: near_links(classes, max_bits, slices, size, forest), "links-found")
     if similarity is not None:
-        near = settled(lambda: _alike(docs, prints, links, shingle, similarity, size), "links-alike")
+        near = settled(lambda: _alike(docs, prints, links, shingle, similarity, size), "links-alike", BATCH)
         links = near.union(settled(lambda: _rest_alike(docs, prints, near, shingle, similarity, size), "links-rest"))
     roots = settled(lambda: components(links), "roots")
     groups = roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("first").alias("component_id"))
