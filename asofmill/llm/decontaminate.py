@@ -46,6 +46,8 @@ UNITS = frozenset(
     "mph kmh hz khz mhz ghz watt watts kw kwh volt volts joule joules byte bytes kb mb gb tb meter meters metre metres kilometer kilometers kilometre kilometres".split()
 )
 
+#: Bytes of text that a worker reads at once, different tokens that it remembers between them, bytes of rows that it gets at once. Workers keep what they once took.
+SLICE, REMEMBERED, BATCH = 1 << 19, 50_000, 1 << 22
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?:;\n]")
 _PLAIN, _CAPITAL, _NUMBER, _UNIT, _STOP = range(5)
 _NUMBER_SLOT, _UNIT_SLOT, _NAME_SLOT = 0x9AE16A3B2F90404F, 0xC949C7DEFB2D1E1D, 0xB492B66FBE98F273
@@ -147,6 +149,15 @@ def readings(texts: list[str | None], vocabulary: _Vocabulary) -> list[Templates
     return [Templates(tokens, False), Templates(tokens, True)]
 
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[Templates]]]:
+    """Slices of the batches (their last column is the text), each with the readings of its texts."""
+    vocabulary = _Vocabulary()
+    for batch in split_text_batches(batches, "text", SLICE):
+        if len(vocabulary) > REMEMBERED:
+            vocabulary = _Vocabulary()
+        yield batch, readings(batch.column(batch.num_columns - 1).to_pylist(), vocabulary)
+
+
 #: Windows chosen of a reading: its width, first template words, hashes, and whether they are exact.
 _Chosen = tuple[Templates, int, np.ndarray, np.ndarray, bool]
 
@@ -236,12 +247,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_, wanted = shared.value
-        vocabulary = _Vocabulary()
-        for batch in split_text_batches(batches, "text"):
-            if len(vocabulary) > 300_000:
-                vocabulary = _Vocabulary()
+        for batch, both in _read(batches):
             chosen: list[_Chosen] = []
-            for templates in readings(batch.column(3).to_pylist(), vocabulary):
+            for templates in both:
                 for width, kind in wanted:
                     if kind and templates.names:
                         continue
@@ -299,6 +307,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     of their own. Long texts are read whole. A document that holds an item of a word or two stays.
     """
     found = matches(docs, benchmark, window, least, exact=exact).filter("conclusive")
-    bad = stage(found.select(F.col("row_a").alias("__bad_a"), F.col("row_b").alias("__bad_b")).distinct(), "contaminated")
+    bad = stage(found.select(F.col("row_a").alias("__bad_a"), F.col("row_b").alias("__bad_b")).distinct(), "contaminated", BATCH)
     on = (F.xxhash64("doc_id", "text") == F.col("__bad_a")) & (F.hash(F.col("text"), F.col("doc_id")) == F.col("__bad_b"))
     return docs.join(guarded(bad, bad.count()), on, "left_anti")

@@ -1,4 +1,4 @@
-"""What a Python worker holds while near_dedup makes and compares sets of shingles."""
+"""What a Python worker holds while near_dedup makes and compares sets of shingles, and while decontamination reads texts."""
 
 import tracemalloc
 
@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from asofmill.llm import simhash
+from asofmill.llm import decontaminate, simhash
 from asofmill.llm.common import ARROW_BYTES, stage
 
 
@@ -54,3 +54,14 @@ def test_stage_limits_the_bytes_of_a_batch(spark):
     got = stage(rows.mapInArrow(sizes, "n long, bytes long"), "sizes", 1 << 20).collect()
     assert sum(r.n for r in got) == 2000 and max(r.bytes for r in got) < 2 << 20
     assert spark.conf.get(ARROW_BYTES, None) == before
+
+
+def test_reading_texts_remembers_a_bounded_number_of_tokens():
+    """Before, up to 300,000 tokens and the readings of 2 MB of text were held."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([" ".join(f"{1000 * i + j}" for j in range(3000)) for i in range(1, 41)])], names=["id", "text"])
+    held = [(part.num_rows, len(both[0].forms), [t.values(int(t.first[0]), 2) for t in both]) for part, both in decontaminate._read(iter([batch] * 20))]
+    assert sum(n for n, _, _ in held) == 800
+    first = np.cumsum([0, *[n for n, _, _ in held]])[:-1] % 40 + 1
+    assert [v for _, _, v in held] == [[[f"{1000 * i}", f"{1000 * i + 1}"]] * 2 for i in first]
+    assert max(n for _, n, _ in held) < decontaminate.REMEMBERED + decontaminate.SLICE // 4
+    assert max(n for n, _, _ in held) < 40
