@@ -1,10 +1,10 @@
-"""Hard-negative mining by a two-dimensional block matrix product.
+"""Hard-negative mining by a two-dimensional deal of an exact matrix product that is reduced as it is made.
 
-Rows and anchors are dealt to blocks, and each block is cut into chunks of components. The chunk of
-a row block meets the same chunk of an anchor block in one task, whose product is a partial tile of
-int64 scores; tiles of one pair of blocks are shuffled together and added. A whole tile is reduced
-at once to each anchor's best rows of its own label; what is left of all tiles gives the positives.
-Then every tile is reduced again, to the best rows of another label in the window below each positive.
+Rows are packed in blocks and dealt to segments, anchors in blocks and dealt to groups; a task holds one segment
+and meets the anchor blocks of one group one after another. A first pass multiplies each anchor with the rows of
+its own label, a second with all others, so every score is made once. Scores never leave the task: a tile of them
+is looked through for those that come before the best found so far, and a segment hands on at most the best few of
+each anchor. Products are made in 32-bit floats where these hold every sum exactly, else in doubles or in longs.
 """
 
 from __future__ import annotations
@@ -13,25 +13,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import guarded, stage
+from .common import settled, stage
 from .integer_vectors import integer_vectors, matrix_of
 
-#: Rows and anchors of a block, components of a chunk, and chunks at most: tiles have 1 MB, so the tiles added in one group have 8 MB.
-ROWS, ANCHORS, DIMS, CHUNKS = 1024, 128, 32, 8
-#: Below every score; its negative is a long too.
-_LEAST = -np.iinfo(np.int64).max
-
-
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T in int64: by doubles where these hold every sum exactly."""
-    a, b = a.astype(np.int64), b.astype(np.int64)
-    if a.size and b.size and int(np.abs(a).max()) * int(np.abs(b).max()) * a.shape[1] < 1 << 53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+#: Rows and anchors of a tile of scores (4 MB as 32-bit floats), and components multiplied at once.
+ROWS, ANCHORS, DIMS = 2048, 512, 256
+#: Components that a segment has at most (32 MB as 16-bit integers), anchors of a group, rows of a packed block.
+SEGMENT, GROUP, PACKED = 1 << 24, 1 << 18, 1024
+#: Anchor blocks that are filled together, by label, from a bucket of anchors.
+BUCKET = 8
+#: Segments for each core, where there are rows enough, and most bytes that go to Python at once.
+SEGMENTS_A_CORE, BATCH = 3, 4 << 20
+#: Below every score, and above every score, id and row.
+_LEAST, _MOST = -np.iinfo(np.int64).max, np.iinfo(np.int64).max
+#: Kinds of numbers, and the square of the bound below which each holds all sums exactly.
+_KINDS = ((np.float32, 1 << 48), (np.float64, 1 << 106))
+
+
+def square(q: np.ndarray) -> int:
+    """The largest squared length of a row."""
+    return int(np.einsum("ij,ij->i", q, q, dtype=np.int64).max(initial=0))
+
+
+def kind_for(a: int, b: int) -> type:
+    """The fastest numbers that hold every partial sum of products of rows of such squared lengths (none is beyond the product of the lengths)."""
+    return next((kind for kind, most in _KINDS if a * b < most), np.int64)
+
+
+def product(a: np.ndarray, b: np.ndarray, kind: type | None = None, dims: int = DIMS, out: np.ndarray | None = None) -> np.ndarray:
+    """a @ b.T, exact, in numbers of ``kind`` (those that hold it, if None), written into the bytes ``out`` if there are enough."""
+    kind = kind or kind_for(square(a), square(b))
+    shape = len(a), len(b)
+    size = len(a) * len(b) * np.dtype(kind).itemsize
+    out = np.empty(shape, kind) if out is None or len(out) < size else out[:size].view(kind).reshape(shape)
+    for at in range(0, max(1, a.shape[1]), dims):
+        left, right = a[:, at : at + dims].astype(kind, copy=False), b[:, at : at + dims].astype(kind, copy=False)
+        if at:
+            out += left @ right.T
+        else:
+            np.matmul(left, right.T, out=out)
+    return out
 
 
 def share(score: np.ndarray, part: int, whole: int, up: bool) -> np.ndarray:
@@ -40,37 +66,170 @@ def share(score: np.ndarray, part: int, whole: int, up: bool) -> np.ndarray:
     return part * (score // whole) + (-(-rest // whole) if up else rest // whole)
 
 
-def best_of_label(tile: np.ndarray, anchor_rows: np.ndarray, anchor_labels: np.ndarray, rows: np.ndarray, labels: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor and column of the ``most`` best other rows of the anchor's label, best first; columns are in the order that breaks ties."""
-    same = (labels[None, :] == anchor_labels[:, None]) & (rows[None, :] != anchor_rows[:, None])
-    order = np.argsort(np.where(same, -tile, np.iinfo(np.int64).max), axis=1, kind="stable")[:, :most]
-    anchor, rank = np.nonzero(np.take_along_axis(same, order, axis=1))
-    return anchor, order[anchor, rank]
-
-
-def best_in_window(tile: np.ndarray, anchor_labels: np.ndarray, labels: np.ndarray, anchor: np.ndarray, positive: np.ndarray, most: int, low: int, high: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the (anchor, positive score) asked for, and column of its ``most`` best rows of another label between ``low`` and ``high`` of ``whole`` of that score."""
-    other = labels[None, :] != anchor_labels[:, None]
-    order = np.argsort(np.where(other, -tile, np.iinfo(np.int64).max), axis=1, kind="stable")
-    ranked = np.take_along_axis(np.where(other, tile, _LEAST), order, axis=1)
-    top, bottom = share(positive, high, whole, False), share(positive, low, whole, True)
-    begin = np.zeros(len(anchor), np.int64)
-    for a in np.unique(anchor):
-        own = np.flatnonzero(anchor == a)
-        begin[own] = np.searchsorted(-ranked[a], -top[own], side="left")
-    at = begin[:, None] + np.arange(most)
-    inside = at < tile.shape[1]
-    at = np.minimum(at, tile.shape[1] - 1)
-    score = ranked[anchor[:, None], at]
-    asked, rank = np.nonzero(inside & (score >= bottom[:, None]) & (score > _LEAST))
-    return asked, order[anchor[asked], at[asked, rank]]
+class Best:
+    """The ``most`` best of each key: highest score first, then smallest id and row."""
+
+    def __init__(self, keys: int, most: int) -> None:
+        self.most = most
+        self.score = np.full((keys, most), _LEAST)
+        self.id, self.row = np.full((keys, most), _MOST), np.full((keys, most), _MOST)
+
+    def add(self, key: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        touched = np.unique(key)
+        if not len(touched):
+            return
+        key = np.concatenate((key, np.repeat(touched, self.most)))
+        score, ids, rows = (np.concatenate((new, old[touched].ravel())) for new, old in ((score, self.score), (ids, self.id), (rows, self.row)))
+        order = np.lexsort((rows, ids, -score, key))
+        kept = order[np.searchsorted(key[order], touched)[:, None] + np.arange(self.most)]  # every key has as many rows at least
+        self.score[touched], self.id[touched], self.row[touched] = score[kept], ids[kept], rows[kept]
+
+    def needed(self, first_id: int) -> np.ndarray:
+        """The least score of each key that may still come among its best, at ids from ``first_id`` on."""
+        last = self.score[:, -1]
+        return last + ((last > _LEAST) & (self.id[:, -1] < first_id))
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        """Key and rank of what was found."""
+        return np.nonzero(self.score > _LEAST)
+
+
+def bound(tile: np.ndarray, most: int) -> np.ndarray:
+    """Of each row a score that ``most`` columns reach at least: the ``most``-th best of the best of some columns each."""
+    parts = 16 * most
+    wide = tile.shape[1] // parts
+    if not wide:
+        return np.full(len(tile), _least(tile), tile.dtype)
+    return np.partition(tile[:, : wide * parts].reshape(len(tile), parts, wide).max(axis=2), -most, axis=1)[:, -most]
+
+
+def _least(tile: np.ndarray) -> float:
+    return -np.inf if tile.dtype.kind == "f" else _LEAST
+
+
+def _places(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.divmod(np.flatnonzero(inside), inside.shape[1])  # nonzero() of two dimensions takes many times as long
+
+
+def first_of(tile: np.ndarray, low: np.ndarray, most: int, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the scores from ``low`` on (that are ``inside``); of a row with many, of the ``most`` best at least. Of equal ones the first columns come first."""
+    there = tile >= low[:, None]
+    if inside is not None:
+        there &= inside
+    i, j = _places(there)
+    many = np.bincount(i, minlength=len(tile)) > 16 * most
+    if not many.any():
+        return i, j
+    kept = ~many[i]
+    many = np.flatnonzero(many)
+    own = np.where(there[many], tile[many], _least(tile))
+    near = own >= bound(own, most)[:, None]
+    near &= there[many]
+    if len(tied := np.flatnonzero(np.count_nonzero(near, axis=1) > 16 * most)):
+        only = np.zeros((len(tied), own.shape[1]), np.bool_)
+        np.put_along_axis(only, np.argsort(-own[tied], axis=1, kind="stable")[:, :most], True, axis=1)
+        near[tied] &= only
+    more = _places(near)
+    return np.concatenate((i[kept], many[more[0]])), np.concatenate((j[kept], more[1]))
+
+
+def in_windows(tile: np.ndarray, low: np.ndarray, high: np.ndarray, most: int, allowed: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and window of the (allowed) scores from ``low`` to ``high``, which have a column for each window; of many in a window, of the ``most`` best at least."""
+    least = low.min(axis=1)
+    there = tile >= least[:, None]
+    i, j = _places(there)
+    many = np.bincount(i, minlength=len(tile)) > 16 * most
+    kept = ~many[i] if allowed is None else ~many[i] & allowed[i, j]
+    i, j = i[kept], j[kept]
+    score = tile[i, j][:, None]
+    at, window = np.nonzero((score >= low[i]) & (score <= high[i]))
+    found = [(i[at], j[at], window)]
+    if many.any():
+        many = np.flatnonzero(many)
+        own = tile[many]
+        for w in range(low.shape[1]):
+            inside = own <= high[many, w, None]
+            if allowed is not None:
+                inside &= allowed[many]
+            row, column = first_of(own, low[many, w], most, inside)
+            found.append((many[row], column, np.full(len(row), w)))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _as(limit: np.ndarray, tile: np.ndarray) -> np.ndarray:
+    """Limits as numbers of the tile's kind, whose scores all lie between the largest integers that it holds."""
+    if tile.dtype == np.int64:
+        return limit
+    most = 1 << (24 if tile.dtype == np.float32 else 53)
+    return np.clip(limit, -most, most).astype(tile.dtype)
+
+
+class Segment:
+    """Rows that a task holds. Those of a label with a tile of rows or more lie together, the others in a pool; each of these by id."""
+
+    def __init__(self, pieces: list[tuple[np.ndarray, ...]], size: int) -> None:
+        q, rows, ids, labels = (np.concatenate(x) for x in zip(*pieces, strict=True))
+        pieces.clear()
+        values, inverse, counts = np.unique(labels, return_inverse=True, return_counts=True)
+        large = counts >= size
+        order = np.lexsort((rows, ids, np.where(large[inverse], inverse, -1)))
+        self.q, self.row, self.id, self.label = q[order], rows[order], ids[order], labels[order]
+        self.square = square(self.q)
+        pool = int(counts[~large].sum())
+        self.by_label = np.argsort(self.label[:pool], kind="stable")
+        self.sorted_labels = self.label[self.by_label]
+        ends = pool + np.cumsum(counts[large])
+        self.runs = dict(zip(values[large].tolist(), zip((ends - counts[large]).tolist(), ends.tolist(), strict=True), strict=True))
+        cut = lambda begin, end: [slice(at, min(at + size, end)) for at in range(begin, end, size)]
+        #: All tiles, with the label where all rows have the same.
+        self.tiles = [(x, None) for x in cut(0, pool)] + [(x, label) for label, run in self.runs.items() for x in cut(*run)]
+
+    def of_label(self, label: int, size: int) -> list:
+        """Where the rows of a label are, ``size`` of them each: slices, or places in the pool."""
+        if label in self.runs:
+            begin, end = self.runs[label]
+            return [slice(at, min(at + size, end)) for at in range(begin, end, size)]
+        begin, end = np.searchsorted(self.sorted_labels, [label, label + 1])
+        return [self.by_label[at : min(at + size, end)] for at in range(begin, end, size)]
 
 
 def _longs(value) -> np.ndarray:
-    return np.frombuffer(value.as_py(), np.int64)
+    return np.frombuffer(value, np.int64)
+
+
+def _matrix(value: bytes, width: int) -> np.ndarray:
+    """Packed components; how many bytes each has is written first."""
+    return np.frombuffer(value, f"i{value[0]}", offset=8).reshape(-1, width)
+
+
+def _pack(q: np.ndarray) -> bytes:
+    size = 2 if not q.size or max(-int(q.min()), int(q.max())) < 1 << 15 else 4
+    return bytes([size] * 8) + np.ascontiguousarray(q, f"i{size}").tobytes()
+
 
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(c)[i].as_py() for c, name in enumerate(batch.schema.names)}
 
-_META = "rows binary, row_ids binary, row_labels binary, anchors binary, anchor_ids binary, anchor_labels binary"
+
+def _closed(records: Iterator[dict]) -> Iterator[dict | None]:
+    yield from records
+    yield None
+
+
+def _batch(kinds: str, **columns) -> pa.RecordBatch:
+    """One row of packed columns."""
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    named = [x.split() for x in kinds.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes() if isinstance(x := columns[n], np.ndarray) else x], types[t]) for n, t in named], names=[n for n, _ in named])
+
+
+_BLOCK = "part int, no int, n int, asking int, q binary, row binary, vec_id binary, label binary, asks binary"
+_ANCHORS = "bucket int, ab long, q binary, row binary, vec_id binary, label binary"
+_FOUND = "ab long, key binary, score binary, id binary, other binary"
+_ASKING = f"{_ANCHORS}, positive_score binary, positive_id binary, positive_row binary"
+_RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
 def hard_negatives(
@@ -105,81 +264,185 @@ def hard_negatives(
     spark = vectors.sparkSession
     ship(spark)
     named, width = integer_vectors(vectors, vector, scale, None, F.col(id_column).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"))
+    if not width:
+        return spark.createDataFrame([], _RESULT)
     named = named.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull())
-    rows = stage(named.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", F.expr(is_anchor).alias("asks") if isinstance(is_anchor, str) else is_anchor.alias("asks"), "q"), "vectors")
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("a")).first()
-    if not counts.a:
-        return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
-    row_blocks, anchor_blocks = -(-counts.n // rows_in_block), -(-counts.a // anchors_in_block)
-    dims = max(dims, -(-width // CHUNKS))
-
-    def packed(some: DataFrame, blocks: int, name: str) -> DataFrame:
-        """A row for each block and chunk of components; its rows' own data stand in the first chunk."""
-
-        def pack(table: pa.Table) -> pa.Table:
-            row, ids, labels = (table[c].to_numpy() for c in ("row", "vec_id", "label"))
-            order = np.lexsort((row, ids))
-            q = matrix_of(table["q"], width)[order]
-            own = [x[order].astype(np.int64).tobytes() for x in (row, ids, labels)]
-            out = [(table["block"][0].as_py(), at // dims, np.ascontiguousarray(q[:, at : at + dims]).tobytes(), *(own if not at else [None] * 3)) for at in range(0, width, dims)]
-            return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32()] * 2 + [pa.binary()] * 4, strict=True)], names=["block", "chunk", "q", "row", "vec_id", "label"])
-
-        dealt = some.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), "row", "vec_id", "label", "q")
-        return stage(dealt.groupBy("block").applyInArrow(pack, "block int, chunk int, q binary, row binary, vec_id binary, label binary"), name)
-
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    held = packed(rows, row_blocks, "row-blocks").select(F.col("block").alias("rb"), every(anchor_blocks).alias("ab"), "chunk", F.col("q").alias("b"), F.col("row").alias("rows"), F.col("vec_id").alias("row_ids"), F.col("label").alias("row_labels"))
-    asked = packed(rows.filter("asks"), anchor_blocks, "anchor-blocks").select(every(row_blocks).alias("rb"), F.col("block").alias("ab"), "chunk", F.col("q").alias("a"), F.col("row").alias("anchors"), F.col("vec_id").alias("anchor_ids"), F.col("label").alias("anchor_labels"))
-    meta = [x.split()[0] for x in _META.split(", ")]
-    met = held.join(asked, ["rb", "ab", "chunk"]).select("rb", "ab", "chunk", "a", "b", *meta)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                some = batch.slice(i, 1)
-                size = min(dims, width - some.column(2)[0].as_py() * dims)
-                a, b = (np.frombuffer(some.column(c)[0].as_py(), np.int32).reshape(-1, size) for c in (3, 4))
-                tile = pa.array([product(a, b).tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*some.columns[:2], tile, *some.columns[5:]], names=["rb", "ab", "tile", *meta])
-
-    def added(table: pa.Table) -> pa.Table:
-        tile = np.add.reduce([np.frombuffer(x.as_py(), np.int64) for x in table["tile"]])
-        first = next(i for i in range(table.num_rows) if table["rows"][i].is_valid)
-        own = {c: table[c].slice(first, 1) for c in meta}
-        row, ids, labels, anchors, anchor_ids, anchor_labels = (_longs(own[c][0]) for c in meta)
-        tile = tile.reshape(len(anchors), len(row))
-        anchor, column = best_of_label(tile, anchors, anchor_labels, row, labels, positives)
-        best = [anchors[anchor], anchor_ids[anchor], row[column], ids[column], tile[anchor, column]]
-        names = ["best_anchor", "best_anchor_id", "best_row", "best_id", "best_score"]
-        return pa.table({"rb": table["rb"].slice(first, 1), "ab": table["ab"].slice(first, 1), "tile": pa.array([tile.tobytes()], pa.binary()), **own, **{c: pa.array([x]) for c, x in zip(names, best, strict=True)}})
-
-    best = ", ".join(f"best_{c} array<long>" for c in ("anchor", "anchor_id", "row", "id", "score"))
-    partials = met.mapInArrow(partial, f"rb int, ab int, tile binary, {_META}")
-    tiles = stage(partials.groupBy("rb", "ab").applyInArrow(added, f"rb int, ab int, tile binary, {_META}, {best}"), "tiles")
-
-    found = tiles.select("ab", F.inline(F.arrays_zip(*[F.col(f"best_{c}").alias(c) for c in ("anchor", "anchor_id", "row", "id", "score")])))
-    by_score = Window.partitionBy("anchor").orderBy(F.desc("score"), "id", "row")
-    chosen = found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= positives)
-    # an anchor block's positives: ``anchors_in_block`` times ``positives`` at most
-    wanted = stage(chosen.groupBy("ab").agg(*[F.collect_list(c).alias(f"wanted_{c}") for c in ("anchor", "row", "id", "score")]), "positives")
-    asks = tiles.select("ab", "tile", *meta).join(guarded(wanted, counts.a * positives), "ab")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    asks = F.expr(is_anchor) if isinstance(is_anchor, str) else is_anchor
+    named = named.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", F.coalesce(asks, F.lit(False)).alias("asks"), "q")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, no = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                row, ids, labels, anchors, anchor_ids, anchor_labels = (_longs(batch.column(2 + c)[i]) for c in range(6))
-                tile = _longs(batch.column(1)[i]).reshape(len(anchors), len(row))
-                anchor, positive, positive_id, score = (np.array(batch.column(8 + c)[i].as_py(), np.int64) for c in range(4))
-                place = np.argsort(anchors)
-                at = place[np.searchsorted(anchors[place], anchor)]
-                which, column = best_in_window(tile, anchor_labels, labels, at, score, negatives, low, high, whole)
-                made = [anchor[which], anchor_ids[at[which]], positive[which], positive_id[which], score[which], row[column], ids[column], tile[at[which], column]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["anchor", "anchor_id", "positive", "positive_id", "positive_score", "row", "negative_id", "negative_score"])
-
-    near = asks.mapInArrow(windows, "anchor long, anchor_id long, positive long, positive_id long, positive_score long, row long, negative_id long, negative_score long")
-    by_score = Window.partitionBy("anchor", "positive").orderBy(F.desc("negative_score"), "negative_id", "row")
-    ranked = near.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= negatives)
-    return ranked.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+            for at in range(0, batch.num_rows, PACKED):
+                some = batch.slice(at, PACKED)
+                row, ids, labels = (some.column(c).to_numpy().astype(np.int64) for c in range(3))
+                asking = some.column(3).to_numpy(zero_copy_only=False).astype(np.uint8)
+                yield _batch(_BLOCK, part=part, no=no, n=len(row), asking=int(asking.sum()), q=_pack(matrix_of(some.column(4), width)), row=row, vec_id=ids, label=labels, asks=asking)
+                no += 1
+
+    def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The asking rows of the blocks, a row each."""
+        for x in _records(batches):
+            at = np.flatnonzero(np.frombuffer(x["asks"], np.uint8))
+            q = _matrix(x["q"], width)[at]
+            yield pa.RecordBatch.from_arrays([pa.array(_longs(x[c])[at]) for c in ("row", "vec_id", "label")] + [pa.array([_pack(v) for v in q], pa.binary())], names=["row", "vec_id", "label", "q"])
+
+    def by_label(table: pa.Table) -> pa.Table:
+        """A bucket's anchors in blocks, most of them of one label or two."""
+        row, ids, labels = (table[c].to_numpy() for c in ("row", "vec_id", "label"))
+        order = np.lexsort((row, ids, labels))
+        q = np.concatenate([_matrix(v.as_py(), width).astype(np.int32) for v in table["q"]])
+        parts = np.array_split(order, -(-len(order) // anchors_in_block))
+        return pa.Table.from_batches([_batch(_ANCHORS, bucket=(bucket := table["bucket"][0].as_py()), ab=(bucket << 32) + n, q=_pack(q[x]), row=row[x], vec_id=ids[x], label=labels[x]) for n, x in enumerate(parts)])
+
+    def mined() -> DataFrame:
+        blocks = stage(named.mapInArrow(packed, _BLOCK), "row-blocks", BATCH)
+        counts = blocks.agg(F.sum("n").alias("n"), F.sum("asking").alias("a")).first()
+        if not counts.a:
+            return spark.createDataFrame([], _RESULT)
+        # as many segments as keep the cores busy, with tiles enough to be worth it, and of bounded size
+        cores = spark.sparkContext.defaultParallelism
+        in_segment = max(1, min(max(4 * rows_in_block, -(-counts.n // (SEGMENTS_A_CORE * cores))), SEGMENT // width))
+        segments, buckets = -(-counts.n // in_segment), -(-counts.a // (BUCKET * anchors_in_block))
+        in_group = max(1, GROUP // (BUCKET * anchors_in_block))
+        groups = -(-buckets // in_group)
+        asking = blocks.filter("asking > 0").select("q", "row", "vec_id", "label", "asks").mapInArrow(of_blocks, "row long, vec_id long, label long, q binary")
+        anchors = stage(asking.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")).groupBy("bucket").applyInArrow(by_label, _ANCHORS), "anchor-blocks", BATCH)
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        segment = F.pmod(F.col("part").cast("long") * 7919 + F.col("no"), F.lit(segments)).cast("int")  # a partition's blocks one after another to all segments
+
+        def met(asked: DataFrame) -> DataFrame:
+            """For each task its segment's blocks, and then its group's anchor blocks."""
+            held = blocks.select((segment * groups).alias("at"), every(groups).alias("group"), F.lit(0).alias("kind"), "q", "row", "vec_id", "label")
+            come = asked.select((F.col("bucket") / in_group).cast("int").alias("group"), every(segments).alias("s"), F.lit(1).alias("kind"), *asked.columns[1:])
+            both = held.withColumn("task", F.col("at") + F.col("group")).drop("at", "group").unionByName(come.withColumn("task", F.col("s") * groups + F.col("group")).drop("s", "group"), allowMissingColumns=True)
+            return both.repartitionById(segments * groups, "task").sortWithinPartitions("task", "kind")
+
+        def gathered(asked: DataFrame, found: DataFrame) -> DataFrame:
+            """Each anchor block, and then what was found for it."""
+            both = asked.withColumn("kind", F.lit(0)).unionByName(found.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+            return both.repartition(min(BUCKET * buckets, 4 * cores), "ab").sortWithinPartitions("ab", "kind")
+
+        def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Segment, dict, np.ndarray, int]]:
+            """The task's segment with each anchor block, its components, and their largest squared length."""
+            task, pieces, held = None, [], None
+            for x in _records(batches):
+                if x["task"] != task:
+                    task, pieces, held = x["task"], [], None
+                if x["kind"] == 0:
+                    pieces.append((_matrix(x["q"], width), *(_longs(x[c]) for c in ("row", "vec_id", "label"))))
+                elif held or pieces:
+                    held = held or Segment(pieces, rows_in_block)
+                    q = _matrix(x["q"], width)
+                    yield held, x, q, square(q)
+
+        def emitted(ab: int, best: Best, key: np.ndarray, at: tuple) -> pa.RecordBatch:
+            return _batch(_FOUND, ab=ab, key=key.astype(np.int32), score=best.score[at], id=best.id[at], other=best.row[at])
+
+        def same_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            room = rows_in_block * anchors_in_block
+            space = np.empty(10 * room, np.uint8)
+            for held, x, q, length in meetings(batches):
+                rows, labels = _longs(x["row"]), _longs(x["label"])
+                kind, best = kind_for(length, held.square), Best(len(rows), positives)
+                for y in np.unique(labels):
+                    own = np.flatnonzero(labels == y)
+                    a = q[own].astype(kind)
+                    for where in held.of_label(int(y), max(rows_in_block, room // len(own))):
+                        ids, others = held.id[where], held.row[where]
+                        tile = product(a, held.q[where], kind, dims, space)
+                        least = _as(best.needed(int(ids[0]))[own], tile)
+                        if best.score[own, -1].min() == _LEAST:
+                            least = np.maximum(least, bound(tile, positives + 1))  # one of these may be the anchor itself
+                        near = np.flatnonzero(tile.max(axis=1) >= least)
+                        if not len(near):
+                            continue
+                        some = tile if len(near) == len(own) else tile[near]
+                        i, j = first_of(some, least[near], positives + 1)
+                        another = others[j] != rows[own[near[i]]]
+                        i, j = i[another], j[another]
+                        best.add(own[near[i]], some[i, j].astype(np.int64), ids[j], others[j])
+                at = best.found()
+                yield emitted(x["ab"], best, at[0], at)
+
+        def other_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            space = np.empty(10 * rows_in_block * anchors_in_block, np.uint8)
+            for held, x, q, length in meetings(batches):
+                labels, bottom, top = _longs(x["label"]), *limits(x)
+                kind, best = kind_for(length, held.square), Best(bottom.size, negatives)
+                a, waiting, due = q.astype(kind), [], 0
+                for n, (where, y) in enumerate(held.tiles):
+                    ids, others = held.id[where], held.row[where]
+                    least = np.maximum(bottom, best.needed(int(ids[0])).reshape(bottom.shape))
+                    asks = np.flatnonzero((least.min(axis=1) < _MOST) & (labels != y if y is not None else True))
+                    if not len(asks):
+                        continue
+                    tile = product(a if len(asks) == len(a) else a[asks], held.q[where], kind, dims, space)
+                    near = np.flatnonzero(tile.max(axis=1) >= _as(least[asks].min(axis=1), tile))
+                    if not len(near):
+                        continue
+                    some, own = tile if len(near) == len(asks) else tile[near], asks[near]
+                    allowed = None if y is not None else held.label[where][None, :] != labels[own, None]
+                    i, j, w = in_windows(some, _as(least[own], some), _as(top[own], some), negatives, allowed)
+                    waiting.append((own[i] * positives + w, some[i, j].astype(np.int64), ids[j], others[j]))
+                    if n >= due or sum(len(x[0]) for x in waiting) > 64 * len(best.score):  # seldom, once most tiles add little
+                        best.add(*map(np.concatenate, zip(*waiting, strict=True)))
+                        waiting, due = [], n + 1 + n // 2
+                if waiting:
+                    best.add(*map(np.concatenate, zip(*waiting, strict=True)))
+                at = best.found()
+                anchor, other = at[0] // positives, best.row[at]
+                order = np.lexsort((other, anchor))  # what several of an anchor's windows hold is sent once
+                new = np.ones(len(order), np.bool_)
+                new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(other[order]) != 0)
+                at = tuple(c[order[new]] for c in at)
+                yield emitted(x["ab"], best, anchor[order[new]], at)
+
+        def limits(x: dict) -> tuple[np.ndarray, np.ndarray]:
+            """Least and largest score of the window below each positive: none, where there is no such positive."""
+            score = _longs(x["positive_score"]).reshape(-1, positives)
+            there = score > _LEAST
+            bottom, top = share(score, low, whole, True), share(score, high, whole, False)
+            there &= bottom <= top
+            return np.where(there, bottom, _MOST), np.where(there, top, _LEAST)
+
+        def found_of(x: dict) -> tuple[np.ndarray, ...]:
+            return np.frombuffer(x["key"], np.int32).astype(np.int64), *(_longs(x[c]) for c in ("score", "id", "other"))
+
+        def first_positives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block, best = None, None
+            for x in _closed(_records(batches)):
+                if x is None or x["kind"] == 0:
+                    if block:
+                        yield _batch(_ASKING, **{c: block[c] for c in ("bucket", "ab", "q", "row", "vec_id", "label")}, positive_score=best.score, positive_id=best.id, positive_row=best.row)
+                    block, best = x, x and Best(len(_longs(x["row"])), positives)
+                else:
+                    best.add(*found_of(x))
+
+        def first_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block, best, window = None, None, None
+            for x in _closed(_records(batches)):
+                if x is None or x["kind"] == 0:
+                    if block:
+                        key, rank = best.found()
+                        of = [_longs(block["vec_id"])[key // positives], _longs(block["positive_id"])[key], (rank + 1).astype(np.int32), best.id[key, rank], _longs(block["positive_score"])[key], best.score[key, rank]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in of], names=[c.split()[0] for c in _RESULT.split(", ")])
+                    block = x
+                    if x:
+                        window = limits(x)
+                        best = Best(window[0].size, negatives)
+                else:
+                    anchor, *rest = found_of(x)
+                    for w in range(positives):
+                        inside = (window[0][anchor, w] <= rest[0]) & (rest[0] <= window[1][anchor, w])
+                        best.add(anchor[inside] * positives + w, *(c[inside] for c in rest))
+
+        met_own = stage(met(anchors.drop("vec_id")).mapInArrow(same_label, _FOUND), "same-label", BATCH)
+        asked = stage(gathered(anchors, met_own).mapInArrow(first_positives, _ASKING), "positives", BATCH)
+        met_others = stage(met(asked.select("bucket", "ab", "q", "label", "positive_score")).mapInArrow(other_labels, _FOUND), "other-labels", BATCH)
+        return gathered(asked.drop("bucket", "q", "row", "label", "positive_row"), met_others).mapInArrow(first_negatives, _RESULT)
+
+    return settled(mined, "negatives", BATCH)
 
 
 def oracle(positives: int = 5, negatives: int = 5) -> str:

@@ -1,9 +1,12 @@
 """Hard negatives by blocks against every score in Python integers."""
 
+import os
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from asofmill.llm import mining
 from asofmill.llm.integer_vectors import most_component
@@ -75,3 +78,55 @@ def test_share_of_a_score(score, part):
 def test_products_beyond_doubles_are_exact():
     a, b = np.array([[(1 << 28) - 1, 3]]), np.array([[(1 << 28) - 3, 1], [1, 1]])
     assert mining.product(a, b).tolist() == [[((1 << 28) - 1) * ((1 << 28) - 3) + 3, (1 << 28) + 2]]
+
+
+def test_scores_are_not_written(spark, monkeypatch):
+    """20,000 rows x 2,000 anchors: what is staged stays far under a byte a score (tiles of the whole product took eight)."""
+    sizes = {}
+
+    def staged(df, name, *more):
+        out = kept(df, name, *more)
+        sizes[name] = sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles())
+        return out
+
+    kept = mining.stage
+    monkeypatch.setattr(mining, "stage", staged)
+    rows = spark.range(20_000).select(F.col("id").alias("vec_id"), F.array(*[F.randn(i) for i in range(8)]).alias("embedding"), (F.col("id") % 4).alias("label"))
+    assert mining.hard_negatives(rows, "vec_id % 10 = 0").count() > 1000
+    assert 0 < sum(sizes.values()) < 20_000 * 2_000 / 4
+
+
+@pytest.mark.parametrize("spread", [0, 1, 3, 40])
+def test_tiles_with_many_equal_or_many_fitting_scores(spark, spread):
+    """Labels of more and of fewer rows than a tile, alike vectors, and positives far below most other scores."""
+    random = np.random.default_rng(spread)
+    rows = [(i, [1.0, *random.integers(-spread, spread + 1, 2).astype(float).tolist()], 0 if i % 97 == 0 else i % 3 + (i > 900) * (i % 40)) for i in random.permutation(1000).tolist()]
+    want = brute(rows, 50, 3)
+    assert want
+    assert mined(spark, rows, 50, rows_in_block=128, anchors_in_block=4) == want
+    assert mined(spark, rows, 50) == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 300), st.sampled_from([1, 3, 1000]), st.sampled_from([np.float32, np.float64, np.int64]), st.integers(0, 1 << 30))
+def test_best_in_windows_of_tiles_against_sorting(columns, spread, kind, seed):
+    random = np.random.default_rng(seed)
+    score = random.integers(-spread, spread + 1, (3, columns))
+    low, high = np.sort(random.integers(-spread - 1, spread + 2, (2, 3, 2)), axis=0)
+    allowed = random.random((3, columns)) < 0.8 if seed % 2 else None
+    best = mining.Best(6, 2)
+    for at in range(0, columns, 100):
+        own = None if allowed is None else allowed[:, at : at + 100]
+        i, j, w = mining.in_windows(score[:, at : at + 100].astype(kind), low.astype(kind), high.astype(kind), 2, own)
+        best.add(i * 2 + w, score[i, at + j], at + j, at + j)
+    for i in range(3):
+        for w in range(2):
+            want = sorted((-s, j) for j, s in enumerate(score[i].tolist()) if low[i, w] <= s <= high[i, w] and (allowed is None or allowed[i, j]))[:2]
+            found = best.score[i * 2 + w] > mining._LEAST
+            assert [(-s, j) for s, j in zip(best.score[i * 2 + w][found].tolist(), best.id[i * 2 + w][found].tolist(), strict=True)] == want
+
+
+def test_numbers_hold_the_sums():
+    assert [mining.kind_for(a, a) for a in ((1 << 24) - 1, 1 << 24, (1 << 53) - 1, 1 << 53)] == [np.float32, np.float64, np.float64, np.int64]
+    a = np.array([[4095, 1], [-4095, 90]])
+    assert mining.product(a, a).tolist() == (a @ a.T).tolist() and mining.product(a, a, dims=1).tolist() == (a @ a.T).tolist()
