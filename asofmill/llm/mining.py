@@ -27,6 +27,8 @@ ROWS, ANCHORS, DIMS = 2048, 512, 256
 SEGMENT, GROUP, PACKED = 1 << 24, 1 << 18, 1024
 #: Anchor blocks that are filled together, by label, from a bucket of anchors.
 BUCKET = 8
+#: One segment of so many is met before the others.
+SCOUTED = 16
 #: Segments for each core, where there are rows enough, and most bytes that go to Python at once.
 SEGMENTS_A_CORE, BATCH = 3, 4 << 20
 #: Below every score, and above every score, id and row.
@@ -229,6 +231,7 @@ _BLOCK = "part int, no int, n int, asking int, q binary, row binary, vec_id bina
 _ANCHORS = "bucket int, ab long, q binary, row binary, vec_id binary, label binary"
 _FOUND = "ab long, key binary, score binary, id binary, other binary"
 _ASKING = f"{_ANCHORS}, positive_score binary, positive_id binary, positive_row binary"
+_SEEDED = "bucket int, ab long, q binary, label binary, positive_score binary, seed binary"
 _RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
@@ -305,18 +308,18 @@ def hard_negatives(
         in_segment = max(1, min(max(4 * rows_in_block, -(-counts.n // (SEGMENTS_A_CORE * cores))), SEGMENT // width))
         segments, buckets = -(-counts.n // in_segment), -(-counts.a // (BUCKET * anchors_in_block))
         in_group = max(1, GROUP // (BUCKET * anchors_in_block))
-        groups = -(-buckets // in_group)
         asking = blocks.filter("asking > 0").select("q", "row", "vec_id", "label", "asks").mapInArrow(of_blocks, "row long, vec_id long, label long, q binary")
         anchors = stage(asking.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")).groupBy("bucket").applyInArrow(by_label, _ANCHORS), "anchor-blocks", BATCH)
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         segment = F.pmod(F.col("part").cast("long") * 7919 + F.col("no"), F.lit(segments)).cast("int")  # a partition's blocks one after another to all segments
 
-        def met(asked: DataFrame) -> DataFrame:
-            """For each task its segment's blocks, and then its group's anchor blocks."""
-            held = blocks.select((segment * groups).alias("at"), every(groups).alias("group"), F.lit(0).alias("kind"), "q", "row", "vec_id", "label")
-            come = asked.select((F.col("bucket") / in_group).cast("int").alias("group"), every(segments).alias("s"), F.lit(1).alias("kind"), *asked.columns[1:])
+        def met(asked: DataFrame, first: int, end: int, in_group: int) -> DataFrame:
+            """For each task the blocks of its segment, one from ``first`` to before ``end``, and then its group's anchor blocks."""
+            groups = -(-buckets // in_group)
+            held = blocks.filter((segment >= first) & (segment < end)).select(((segment - first) * groups).alias("at"), every(groups).alias("group"), F.lit(0).alias("kind"), "q", "row", "vec_id", "label")
+            come = asked.select((F.col("bucket") / in_group).cast("int").alias("group"), every(end - first).alias("s"), F.lit(1).alias("kind"), *asked.columns[1:])
             both = held.withColumn("task", F.col("at") + F.col("group")).drop("at", "group").unionByName(come.withColumn("task", F.col("s") * groups + F.col("group")).drop("s", "group"), allowMissingColumns=True)
-            return both.repartitionById(segments * groups, "task").sortWithinPartitions("task", "kind")
+            return both.repartitionById((end - first) * groups, "task").sortWithinPartitions("task", "kind")
 
         def gathered(asked: DataFrame, found: DataFrame) -> DataFrame:
             """Each anchor block, and then what was found for it."""
@@ -404,6 +407,8 @@ def hard_negatives(
             there = score > _LEAST
             bottom, top = share(score, low, whole, True), share(score, high, whole, False)
             there &= bottom <= top
+            if x.get("seed"):
+                bottom = np.maximum(bottom, _longs(x["seed"]).reshape(bottom.shape))
             return np.where(there, bottom, _MOST), np.where(there, top, _LEAST)
 
         def found_of(x: dict) -> tuple[np.ndarray, ...]:
@@ -419,14 +424,13 @@ def hard_negatives(
                 else:
                     best.add(*found_of(x))
 
-        def first_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def gathered_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Best]]:
+            """Each anchor block, and the best in its windows."""
             block, best, window = None, None, None
             for x in _closed(_records(batches)):
                 if x is None or x["kind"] == 0:
                     if block:
-                        key, rank = best.found()
-                        of = [_longs(block["vec_id"])[key // positives], _longs(block["positive_id"])[key], (rank + 1).astype(np.int32), best.id[key, rank], _longs(block["positive_score"])[key], best.score[key, rank]]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in of], names=[c.split()[0] for c in _RESULT.split(", ")])
+                        yield block, best
                     block = x
                     if x:
                         window = limits(x)
@@ -437,10 +441,27 @@ def hard_negatives(
                         inside = (window[0][anchor, w] <= rest[0]) & (rest[0] <= window[1][anchor, w])
                         best.add(anchor[inside] * positives + w, *(c[inside] for c in rest))
 
-        met_own = stage(met(anchors.drop("vec_id")).mapInArrow(same_label, _FOUND), "same-label", BATCH)
+        def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """The anchor blocks with the last of the best scores in each window, below which nothing needs to be looked for."""
+            for block, best in gathered_negatives(batches):
+                yield _batch(_SEEDED, **{n: block[n] for n in ("bucket", "ab", "q", "label", "positive_score")}, seed=np.ascontiguousarray(best.score[:, -1]))
+
+        def first_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block, best in gathered_negatives(batches):
+                key, rank = best.found()
+                of = [_longs(block["vec_id"])[key // positives], _longs(block["positive_id"])[key], (rank + 1).astype(np.int32), best.id[key, rank], _longs(block["positive_score"])[key], best.score[key, rank]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in of], names=[c.split()[0] for c in _RESULT.split(", ")])
+
+        met_own = stage(met(anchors.drop("vec_id"), 0, segments, in_group).mapInArrow(same_label, _FOUND), "same-label", BATCH)
         asked = stage(gathered(anchors, met_own).mapInArrow(first_positives, _ASKING), "positives", BATCH)
-        met_others = stage(met(asked.select("bucket", "ab", "q", "label", "positive_score")).mapInArrow(other_labels, _FOUND), "other-labels", BATCH)
-        return gathered(asked.drop("bucket", "q", "row", "label", "positive_row"), met_others).mapInArrow(first_negatives, _RESULT)
+        sought, found = asked.select("bucket", "ab", "q", "label", "positive_score"), None
+        # a few segments come first: what they hold spares the others most of their finds
+        if scouts := segments // SCOUTED:
+            some = max(1, min(in_group, buckets * scouts // (SEGMENTS_A_CORE * cores)))
+            found = stage(met(sought, 0, scouts, some).mapInArrow(other_labels, _FOUND), "scouted", BATCH)
+            sought = stage(gathered(sought, found).mapInArrow(seeded, _SEEDED), "seeds", BATCH)
+        rest = stage(met(sought, scouts, segments, in_group).mapInArrow(other_labels, _FOUND), "other-labels", BATCH)
+        return gathered(asked.drop("bucket", "q", "row", "label", "positive_row"), found.unionByName(rest) if found else rest).mapInArrow(first_negatives, _RESULT)
 
     return settled(mined, "negatives", BATCH)
 

@@ -130,3 +130,13 @@ def test_numbers_hold_the_sums():
     assert [mining.kind_for(a, a) for a in ((1 << 24) - 1, 1 << 24, (1 << 53) - 1, 1 << 53)] == [np.float32, np.float64, np.float64, np.int64]
     a = np.array([[4095, 1], [-4095, 90]])
     assert mining.product(a, a).tolist() == (a @ a.T).tolist() and mining.product(a, a, dims=1).tolist() == (a @ a.T).tolist()
+
+
+@pytest.mark.parametrize("spread", [1, 40])
+def test_segments_that_come_first_change_nothing(spark, monkeypatch, spread):
+    monkeypatch.setattr(mining, "SCOUTED", 2)
+    random = np.random.default_rng(spread)
+    rows = [(i, random.integers(-spread, spread + 1, 3).astype(float).tolist(), i % 3) for i in random.permutation(600).tolist()]
+    want = brute(rows, 20, 3)
+    assert want
+    assert mined(spark, rows, 20, rows_in_block=16, anchors_in_block=2) == want
